@@ -7,8 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from remitwise import schemas
 
@@ -52,131 +51,119 @@ BAD_NPI = "1234567896"
 
 def payers(spark: SparkSession) -> DataFrame:
     rows = spark.createDataFrame(PAYER_ROWS, schemas.PAYERS.fieldNames())
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PAYERS])
+    return rows.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}"
+                             for f in schemas.PAYERS])
 
 
 def cpt(spark: SparkSession) -> DataFrame:
     rows = spark.createDataFrame(CPT_ROWS, schemas.CPT.fieldNames())
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.CPT])
+    return rows.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}"
+                             for f in schemas.CPT])
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _text_money(c: Column) -> Column:
-    return c.cast("decimal(18,2)").cast("string")
+def _pick(values: list[str], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({index} as int) + 1)"
 
 
 def _orders(spark: SparkSession, sf_dir: str, defects: bool) -> DataFrame:
-    k = F.col("o_orderkey")
-    billed = (100 + k % 400).cast("decimal(18,2)")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
     cores = spark.sparkContext.defaultParallelism
     if orders.rdd.getNumPartitions() < cores:
         # A small file is one split; the rows derived from it would keep one core busy.
         orders = orders.repartition(cores)
-    return orders.select(
-        k.alias("k"), (k % 100).alias("status_residue"),
-        (k % 100 if defects else F.lit(-1).cast("long")).alias("r"),
-        F.col("o_orderdate").cast("date").alias("dos"),
-        F.concat(F.lit("CLM-"), F.lpad(k.cast("string"), 10, "0")).alias("claim_id"),
-        billed.alias("billed"),
-        (billed * F.lit(0.60).cast("decimal(3,2)")).cast("decimal(18,2)").alias("expected"),
-        F.when((k % 100).between(90, 95), "PENDING").when(k % 100 >= 96, "DENIED")
-        .otherwise("PAID").alias("status"))
+    billed = "cast(100 + o_orderkey % 400 as decimal(18,2))"
+    return orders.selectExpr(
+        "o_orderkey as k",
+        f"{'o_orderkey % 100' if defects else '-1L'} as r",
+        "cast(o_orderdate as date) as dos",
+        "concat('CLM-', lpad(o_orderkey, 10, '0')) as claim_id",
+        f"{billed} as billed",
+        f"cast({billed} * 0.60 as decimal(18,2)) as expected",
+        "case when o_orderkey % 100 between 90 and 95 then 'PENDING' "
+        "when o_orderkey % 100 >= 96 then 'DENIED' else 'PAID' end as status")
 
 
 def claims(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFrame:
     """The claims landing table."""
-    k, r, dos = F.col("k"), F.col("r"), F.col("dos")
-    copies = (F.when(r == 1, F.array(F.lit("own"), F.lit("resend")))
-              .when(r == 2, F.array(F.lit("own"), F.lit("rebill")))
-              .otherwise(F.array(F.lit("own"))))
-    resend, rebill = F.col("copy") == "resend", F.col("copy") == "rebill"
-    late = k % 200 == 11
-    submit = F.date_add(dos, (1 + k % 10).cast("int"))
+    npi = _pick(NPIS, "k % 5")
     values = {
-        "claim_id": F.when(rebill, F.concat(F.lit("CLM-9"), F.substring("claim_id", 6, 20)))
-        .otherwise(F.col("claim_id")),
-        "patient_id": F.when((r == 12) & (k % 500 == 12), "")
-        .otherwise(F.concat(F.lit("PT-"), k.cast("string"))),
-        "encounter_id": F.concat(F.lit("ENC-"), k.cast("string")),
-        "provider_npi": F.when((r == 10) & (k % 200 == 10), F.substring(_pick(NPIS, k % 5), 1, 9))
-        .when(r == 10, BAD_NPI).otherwise(_pick(NPIS, k % 5)),
-        "facility_id": F.concat(F.lit("FAC-0"), (1 + k % 5).cast("string")),
-        "place_of_service": F.lit("11"),
-        "payer_id": F.when((r == 9) & (k % 200 == 9), "").when(r == 9, "PAY-XXX-999")
-        .otherwise(_pick([p[0] for p in PAYER_ROWS], k % 9)),
-        "payer_name": F.when(r == 9, "UNMAPPED")
-        .otherwise(_pick([p[1] for p in PAYER_ROWS], k % 9)),
-        "date_of_service": F.when((r == 11) & late, "2026-09-29").when(r == 13, "")
-        .otherwise(dos.cast("string")),
-        "claim_submit_date": F.when(rebill, F.date_add(dos, 20)).when(r == 14, F.date_sub(dos, 3))
-        .otherwise(submit).cast("string"),
-        "cpt_code": F.when(r == 15, "ABCDE").otherwise("99213"),
-        "icd10_code": F.when(r == 16, "E119").otherwise("E11.9"),
-        "units": F.lit("1"),
-        "billed_amount": F.when(r == 17, "-125.00").otherwise(_text_money(F.col("billed"))),
-        "expected_allowed_amount": _text_money(F.col("expected")),
-        "claim_status": F.when(rebill, "PENDING").otherwise(F.col("status")),
-        "source_system": F.when(resend, "ATHENA_PM").otherwise("EPIC_PB"),
-        "ingest_batch_id": F.when(resend, "BATCH-1-R").when(rebill, "BATCH-2")
-        .otherwise("BATCH-1"),
+        "claim_id": "case when copy = 'rebill' then concat('CLM-9', substr(claim_id, 6)) "
+                    "else claim_id end",
+        "patient_id": "case when r = 12 and k % 500 = 12 then '' else concat('PT-', k) end",
+        "encounter_id": "concat('ENC-', k)",
+        "provider_npi": f"case when r = 10 and k % 200 = 10 then substr({npi}, 1, 9) "
+                        f"when r = 10 then '{BAD_NPI}' else {npi} end",
+        "facility_id": "concat('FAC-0', 1 + k % 5)",
+        "place_of_service": "'11'",
+        "payer_id": "case when r = 9 and k % 200 = 9 then '' when r = 9 then 'PAY-XXX-999' "
+                    f"else {_pick([p[0] for p in PAYER_ROWS], 'k % 9')} end",
+        "payer_name": "case when r = 9 then 'UNMAPPED' "
+                      f"else {_pick([p[1] for p in PAYER_ROWS], 'k % 9')} end",
+        "date_of_service": "case when r = 11 and k % 200 = 11 then '2026-09-29' "
+                           "when r = 13 then '' else cast(dos as string) end",
+        "claim_submit_date": "cast(case when copy = 'rebill' then date_add(dos, 20) "
+                             "when r = 14 then date_sub(dos, 3) "
+                             "else date_add(dos, cast(1 + k % 10 as int)) end as string)",
+        "cpt_code": "case when r = 15 then 'ABCDE' else '99213' end",
+        "icd10_code": "case when r = 16 then 'E119' else 'E11.9' end",
+        "units": "'1'",
+        "billed_amount": "case when r = 17 then '-125.00' else cast(billed as string) end",
+        "expected_allowed_amount": "cast(expected as string)",
+        "claim_status": "case when copy = 'rebill' then 'PENDING' else status end",
+        "source_system": "case when copy = 'resend' then 'ATHENA_PM' else 'EPIC_PB' end",
+        "ingest_batch_id": "case copy when 'resend' then 'BATCH-1-R' when 'rebill' then 'BATCH-2' "
+                           "else 'BATCH-1' end",
     }
-    rows = _orders(spark, sf_dir, defects).withColumn("copy", F.explode(copies))
-    return rows.select(*[values[c].alias(c) for c in schemas.CLAIM_COLUMNS])
+    copies = ("explode(case when r = 1 then array('own', 'resend') "
+              "when r = 2 then array('own', 'rebill') else array('own') end) as copy")
+    return (_orders(spark, sf_dir, defects).selectExpr("*", copies)
+            .selectExpr(*[f"{values[c]} as {c}" for c in schemas.CLAIM_COLUMNS]))
 
 
 def remits(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFrame:
     """The remittances landing table."""
-    k, r, dos = F.col("k"), F.col("r"), F.col("dos")
-    billed, expected, zero = F.col("billed"), F.col("expected"), F.lit(0).cast("decimal(18,2)")
-    denied = F.col("status") == "DENIED"
-    cut = (expected * F.lit(0.80).cast("decimal(3,2)")).cast("decimal(18,2)")
-    allowed = (F.when(denied, zero).when(r == 7, billed + 50).when(r == 8, cut)
-               .otherwise(expected))
-    copies = (F.when(r == 3, F.array(F.lit("RMT-"), F.lit("RMT-D")))
-              .when(r == 4, F.array(F.lit("RMT-"), F.lit("RMT-G")))
-              .otherwise(F.array(F.lit("RMT-"))))
+    allowed = ("case when status = 'DENIED' then 0 when r = 7 then billed + 50 "
+               "when r = 8 then expected * 0.80 else expected end")
     values = {
-        "remit_id": F.concat("copy", k.cast("string")),
-        "claim_id": F.when(F.col("copy") == "RMT-G",
-                           F.concat(F.lit("CLM-8"), F.substring("claim_id", 6, 20)))
-        .otherwise(F.col("claim_id")),
-        "payer_id": _pick([p[0] for p in PAYER_ROWS], k % 9),
-        "check_eft_number": F.concat(F.lit("EFT"), k.cast("string")),
-        "remit_date": F.when(r == 18, F.date_sub(dos, 5)).otherwise(F.date_add(dos, 30))
-        .cast("string"),
-        "allowed_amount": _text_money(allowed),
-        "paid_amount": _text_money(F.when(r == 6, expected - 5).otherwise(allowed)),
-        "patient_responsibility": F.lit("0.00"),
-        "contractual_adjustment": _text_money(F.when(r == 7, zero).otherwise(billed - allowed)),
-        "carc_code": F.when(denied, "16").otherwise("45"),
-        "carc_description": F.when(
-            denied, "Claim lacks information or has submission/billing error")
-        .otherwise("Charge exceeds fee schedule/contracted rate"),
-        "claim_status_code": F.when(denied, "4").otherwise("1"),
-        "posted_flag": F.lit("Y"),
-        "ingest_batch_id": F.lit("ERA-1"),
+        "remit_id": "concat(copy, k)",
+        "claim_id": "case when copy = 'RMT-G' then concat('CLM-8', substr(claim_id, 6)) "
+                    "else claim_id end",
+        "payer_id": _pick([p[0] for p in PAYER_ROWS], "k % 9"),
+        "check_eft_number": "concat('EFT', k)",
+        "remit_date": "cast(case when r = 18 then date_sub(dos, 5) else date_add(dos, 30) end "
+                      "as string)",
+        "allowed_amount": "cast(allowed as string)",
+        "paid_amount": "cast(cast(case when r = 6 then expected - 5 else allowed end "
+                       "as decimal(18,2)) as string)",
+        "patient_responsibility": "'0.00'",
+        "contractual_adjustment": "cast(cast(case when r = 7 then 0 else billed - allowed end "
+                                  "as decimal(18,2)) as string)",
+        "carc_code": "case when status = 'DENIED' then '16' else '45' end",
+        "carc_description": "case when status = 'DENIED' "
+                            "then 'Claim lacks information or has submission/billing error' "
+                            "else 'Charge exceeds fee schedule/contracted rate' end",
+        "claim_status_code": "case when status = 'DENIED' then '4' else '1' end",
+        "posted_flag": "'Y'",
+        "ingest_batch_id": "'ERA-1'",
     }
-    rows = (_orders(spark, sf_dir, defects).filter((F.col("status") != "PENDING") & (r != 5))
-            .withColumn("copy", F.explode(copies)))
-    return rows.select(*[values[c].alias(c) for c in schemas.REMIT_COLUMNS])
+    copies = ("explode(case when r = 3 then array('RMT-', 'RMT-D') "
+              "when r = 4 then array('RMT-', 'RMT-G') else array('RMT-') end) as copy")
+    return (_orders(spark, sf_dir, defects).filter("status <> 'PENDING' and r <> 5")
+            .selectExpr("*", f"cast({allowed} as decimal(18,2)) as allowed", copies)
+            .selectExpr(*[f"{values[c]} as {c}" for c in schemas.REMIT_COLUMNS]))
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per planted defect."""
-    k, r, claim = F.col("k"), F.col("r"), F.col("claim_id")
-    check = (F.when(r.between(1, 10), F.concat(F.lit("DQ-"), F.lpad(r.cast("string"), 2, "0")))
-             .when((r == 11) & (k % 200 == 11) | r.isin(14, 18), "DQ-11")
-             .when((r == 12) & (k % 500 == 12) | r.isin(13, 15, 16, 17), "DQ-12"))
-    key = (F.when(r == 2, F.concat(F.lit("CLM-9"), F.substring(claim, 6, 20)))
-           .when(r == 3, F.concat(F.lit("RMT-D"), k.cast("string")))
-           .when(r == 4, F.concat(F.lit("RMT-G"), k.cast("string"))).otherwise(claim))
-    return (_orders(spark, sf_dir, True).withColumn("check_id", check)
-            .filter("check_id is not null")
-            .select(F.concat(F.lit("INJ-"), k.cast("string")).alias("defect_ref"), "check_id",
-                    F.when(r.isin(3, 4), "remit").otherwise("claim").alias("entity_type"),
-                    key.alias("entity_key"),
-                    F.concat(F.lit("planted by residue "), r.cast("string")).alias("description")))
+    check = ("case when r between 1 and 10 then concat('DQ-', lpad(r, 2, '0')) "
+             "when (r = 11 and k % 200 = 11) or r in (14, 18) then 'DQ-11' "
+             "when (r = 12 and k % 500 = 12) or r in (13, 15, 16, 17) then 'DQ-12' end")
+    key = ("case r when 2 then concat('CLM-9', substr(claim_id, 6)) when 3 then concat('RMT-D', k) "
+           "when 4 then concat('RMT-G', k) else claim_id end")
+    return (_orders(spark, sf_dir, True)
+            .selectExpr("concat('INJ-', k) as defect_ref", f"{check} as check_id",
+                        "case when r in (3, 4) then 'remit' else 'claim' end as entity_type",
+                        f"{key} as entity_key",
+                        "concat('planted by residue ', r) as description")
+            .filter("check_id is not null"))

@@ -1,8 +1,10 @@
-"""Column functions: casts that never fail, format rules, text assembly."""
+"""Expressions of the audit: casts that never fail, format rules, text assembly.
 
-from __future__ import annotations
+Functions named `sql_*` return Spark SQL text, which one parser call turns into an expression; the
+others wrap the same text as a Column. Arguments are column names or SQL text.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,71 +22,89 @@ CPT_TEXT = r"^[0-9]{4}[0-9A-Z]\z"
 ICD10_TEXT = r"^[A-TV-Z][0-9][0-9A-Z](\.[0-9A-Z]{1,4})?\z"
 NPI_PREFIX = "80840"
 
+ZERO = f"cast(0 as {MONEY})"
 
-def blank_to_null(c: Column | str) -> Column:
-    """Trimmed text, NULL when nothing is left."""
-    return F.nullif(F.trim(c), F.lit(""))
 
+def sql_matches(c: str, pattern: str) -> str:
+    return f"{c} rlike r'{pattern}'"
 
-def safe_date(c: Column | str) -> Column:
-    """ISO date text as a date, NULL for anything else."""
-    text = F.trim(c)
-    return F.when(text.rlike(DATE_TEXT), text.try_cast("date"))
 
+def sql_blank_to_null(c: str) -> str:
+    return f"nullif(trim({c}), '')"
 
-def safe_numeric(c: Column | str) -> Column:
-    """Number text as money, NULL for anything else."""
-    text = F.trim(c)
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast(MONEY))
 
+def sql_safe_date(c: str) -> str:
+    return f"case when {sql_matches(f'trim({c})', DATE_TEXT)} then try_cast(trim({c}) as date) end"
 
-def npi_is_valid(c: Column | str) -> Column:
-    """True for ten digits whose last is the Luhn check digit over the prefixed number."""
-    npi = F.col(c) if isinstance(c, str) else c
-    valid = npi.rlike(NPI_TEXT) & F.call_function("luhn_check", F.concat(F.lit(NPI_PREFIX), npi))
-    return F.coalesce(valid, F.lit(False))
 
+def sql_safe_numeric(c: str) -> str:
+    return (f"case when {sql_matches(f'trim({c})', NUMBER_TEXT)} "
+            f"then try_cast(trim({c}) as {MONEY}) end")
 
-def money(c: Column) -> Column:
+
+def sql_npi_is_valid(c: str) -> str:
+    return (f"coalesce({sql_matches(c, NPI_TEXT)} and luhn_check(concat('{NPI_PREFIX}', {c})), "
+            "false)")
+
+
+def sql_money(c: str) -> str:
     """Amount rounded half up to cents."""
-    return F.round(c, 2).cast(MONEY)
+    return f"cast(round({c}, 2) as {MONEY})"
 
 
-def zero_if_null(c: Column | str) -> Column:
-    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0).cast(MONEY))
+def sql_zero(c: str) -> str:
+    """Amount with NULL as zero."""
+    return f"coalesce({c}, {ZERO})"
 
 
-def rate(numerator: Column, denominator: Column, factor: int, digits: int) -> Column:
+def sql_rate(numerator: str, denominator: str, factor: int, digits: int) -> str:
     """`factor * numerator / denominator` rounded to `digits`, NULL when the denominator is 0."""
-    share = F.lit(factor) * numerator.cast("decimal(18,0)") / F.nullif(
-        denominator.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
-    return F.round(share, digits).cast(f"decimal(18,{digits})")
+    share = (f"{factor} * cast({numerator} as decimal(18,0)) "
+             f"/ nullif(cast({denominator} as decimal(18,0)), 0)")
+    return f"cast(round({share}, {digits}) as decimal(18,{digits}))"
 
 
-def fill(template: str, *values: Column | str) -> Column:
+def sql_fill(template: str, *values: str) -> str:
     """`template` with each `{}` replaced by the next value as text; NULL prints as nothing."""
     pieces = template.split("{}")
-    texts = [F.coalesce((F.col(v) if isinstance(v, str) else v).cast("string"), F.lit(""))
-             for v in values]
-    parts = [F.lit(pieces[0])]
-    for text, piece in zip(texts, pieces[1:], strict=True):
-        parts += [text, F.lit(piece)]
-    return F.concat(*parts)
+    parts = [f"'{pieces[0]}'"]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts += [f"coalesce(cast({value} as string), '')", f"'{piece}'"]
+    return f"concat({', '.join(parts)})"
 
 
-def any_of(conditions: list[Column]) -> Column:
+def sql_any(conditions: list[str]) -> str:
     """True when one condition is true; a NULL condition counts as false."""
-    return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
+    return "(" + " or ".join(f"coalesce({c}, false)" for c in conditions) + ")"
+
+
+def sql_sorted_list(c: str, separator: str) -> str:
+    """A set as sorted text, NULL for an empty set."""
+    return f"nullif(array_join(array_sort({c}), '{separator}'), '')"
 
 
-def sorted_list(c: Column, separator: str) -> Column:
-    """A set column as sorted text, NULL for an empty set."""
-    return F.when(F.size(c) > 0, F.array_join(F.array_sort(c), separator))
+def blank_to_null(c: str) -> Column:
+    """Trimmed text, NULL when nothing is left."""
+    return F.expr(sql_blank_to_null(c))
+
+
+def safe_date(c: str) -> Column:
+    """ISO date text as a date, NULL for anything else."""
+    return F.expr(sql_safe_date(c))
+
+
+def safe_numeric(c: str) -> Column:
+    """Number text as money, NULL for anything else."""
+    return F.expr(sql_safe_numeric(c))
+
+
+def npi_is_valid(c: str) -> Column:
+    """True for ten digits whose last is the Luhn check digit over the prefixed number."""
+    return F.expr(sql_npi_is_valid(c))
 
 
-def add_business_days(day: Column, days: Column) -> Column:
+def sql_add_business_days(day: str, days: str) -> str:
     """The date `days` weekdays after `day`; a weekend day counts from the Friday before it."""
-    weekday = F.weekday(day)
-    start = F.date_sub(day, F.greatest(weekday - 4, F.lit(0)))
-    at = F.least(weekday, F.lit(4))
-    return F.date_add(start, (days + 2 * F.floor((at + days) / 5)).cast("int"))
+    start = f"date_sub({day}, greatest(weekday({day}) - 4, 0))"
+    weekends = f"cast(floor((least(weekday({day}), 4) + {days}) / 5) as int)"
+    return f"date_add({start}, {days} + 2 * {weekends})"

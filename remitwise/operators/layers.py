@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitwise.functions.scalars import (blank_to_null, money, safe_date, safe_numeric,
-                                         sorted_list, zero_if_null)
+from remitwise.functions.scalars import (sql_blank_to_null, sql_money, sql_safe_date,
+                                         sql_safe_numeric, sql_sorted_list, sql_zero)
 from remitwise.operators.skew import is_small, lookup, spread_join
 from remitwise.schemas import (CLAIM_COLUMNS, CLAIM_RAW_COLUMNS, MONEY, RECON_COLUMNS,
                                REMIT_COLUMNS, ROLLUP_COLUMNS, TYPED_CLAIM_COLUMNS)
@@ -19,25 +19,25 @@ _AMOUNTS = {"units", "billed_amount", "expected_allowed_amount", "allowed_amount
             "patient_responsibility", "contractual_adjustment"}
 
 
-def _typed(name: str, key: str):
+def _typed(name: str, key: str) -> str:
     if name == key:
-        return F.trim(name).alias(name)
+        return f"trim({name}) as {name}"
     if name in _DATES:
-        return safe_date(name).alias(name)
+        return f"{sql_safe_date(name)} as {name}"
     if name in _AMOUNTS:
-        return safe_numeric(name).alias(name)
-    return blank_to_null(name).alias(name)
+        return f"{sql_safe_numeric(name)} as {name}"
+    return f"{sql_blank_to_null(name)} as {name}"
 
 
 def typed_claims(raw: DataFrame) -> DataFrame:
     """Every claim row with types; the text of four checked columns is kept beside them."""
-    return raw.select(*[_typed(c, "claim_id") for c in CLAIM_COLUMNS],
-                      *[F.col(c).alias(f"{c}_raw") for c in CLAIM_RAW_COLUMNS])
+    return raw.selectExpr(*[_typed(c, "claim_id") for c in CLAIM_COLUMNS],
+                          *[f"{c} as {c}_raw" for c in CLAIM_RAW_COLUMNS])
 
 
 def typed_remits(raw: DataFrame) -> DataFrame:
     """Every remittance line with types."""
-    return raw.select(*[_typed(c, "remit_id") for c in REMIT_COLUMNS])
+    return raw.selectExpr(*[_typed(c, "remit_id") for c in REMIT_COLUMNS])
 
 
 def claims_by_id(typed: DataFrame) -> DataFrame:
@@ -49,19 +49,18 @@ def claims_by_id(typed: DataFrame) -> DataFrame:
     """
     first = ["ingest_batch_id", "source_system"]
     rest = [c for c in TYPED_CLAIM_COLUMNS if c not in ("claim_id", *first)]
-    rank = F.struct(*[f for c in first for f in
-                      (F.col(c).isNull().alias(f"no_{c}"), F.col(c))], *rest)
+    rank = ", ".join([f"{c} is null as no_{c}, {c}" for c in first] + rest)
     grouped = typed.groupBy("claim_id").agg(
-        F.min(rank).alias("kept"),
-        F.count(F.lit(1)).alias("occurrences"),
-        F.max("billed_amount").alias("max_billed_amount"),
-        F.collect_set("source_system").alias("sources"),
-        F.collect_set("ingest_batch_id").alias("batches"))
-    return grouped.select(
-        "claim_id", *[F.col(f"kept.{c}").alias(c) for c in TYPED_CLAIM_COLUMNS if c != "claim_id"],
+        F.expr(f"min(struct({rank})) as kept"),
+        F.expr("count(*) as occurrences"),
+        F.expr("max(billed_amount) as max_billed_amount"),
+        F.expr("collect_set(source_system) as sources"),
+        F.expr("collect_set(ingest_batch_id) as batches"))
+    return grouped.selectExpr(
+        "claim_id", *[f"kept.{c} as {c}" for c in TYPED_CLAIM_COLUMNS if c != "claim_id"],
         "occurrences", "max_billed_amount",
-        sorted_list(F.col("sources"), ", ").alias("source_systems"),
-        sorted_list(F.col("batches"), ", ").alias("ingest_batches"))
+        f"{sql_sorted_list('sources', ', ')} as source_systems",
+        f"{sql_sorted_list('batches', ', ')} as ingest_batches")
 
 
 def claim_unique(typed: DataFrame) -> DataFrame:
@@ -71,35 +70,38 @@ def claim_unique(typed: DataFrame) -> DataFrame:
 
 def remit_by_claim(remits: DataFrame) -> DataFrame:
     """Remittance lines rolled up to the claim; lines without a claim_id are left out."""
-    def total(c: str):
-        return F.sum(c).cast(MONEY)
-
-    return (remits.filter(F.col("claim_id").isNotNull())
-            .groupBy("claim_id")
-            .agg(F.count(F.lit(1)).alias("remit_line_count"),
-                 total("allowed_amount").alias("allowed_total"),
-                 total("paid_amount").alias("paid_total"),
-                 total("patient_responsibility").alias("patient_resp_total"),
-                 total("contractual_adjustment").alias("adjustment_total"),
-                 F.min("remit_date").alias("first_remit_date"),
-                 F.max("remit_date").alias("last_remit_date"),
-                 F.min("claim_status_code").alias("remit_status_code"),
-                 sorted_list(F.collect_set("carc_code"), ",").alias("carc_codes"),
-                 sorted_list(F.collect_set("check_eft_number"), ",").alias("check_eft_numbers")))
-
-
-def _with_balance(joined: DataFrame) -> DataFrame:
-    accounted = (zero_if_null("paid_total") + zero_if_null("patient_resp_total")
-                 + zero_if_null("adjustment_total"))
-    return (joined
-            .withColumn("remit_line_count", F.coalesce("remit_line_count", F.lit(0).cast("long")))
-            .withColumn("remit_accounted_total", money(accounted))
-            .withColumn("balance_variance", money(F.col("billed_amount") - accounted)))
+    measures = [
+        "count(*) as remit_line_count",
+        f"cast(sum(allowed_amount) as {MONEY}) as allowed_total",
+        f"cast(sum(paid_amount) as {MONEY}) as paid_total",
+        f"cast(sum(patient_responsibility) as {MONEY}) as patient_resp_total",
+        f"cast(sum(contractual_adjustment) as {MONEY}) as adjustment_total",
+        "min(remit_date) as first_remit_date",
+        "max(remit_date) as last_remit_date",
+        "min(claim_status_code) as remit_status_code",
+        f"{sql_sorted_list('collect_set(carc_code)', ',')} as carc_codes",
+        f"{sql_sorted_list('collect_set(check_eft_number)', ',')} as check_eft_numbers",
+    ]
+    return (remits.filter("claim_id is not null").groupBy("claim_id")
+            .agg(*[F.expr(m) for m in measures]))
+
+
+def _balance() -> dict[str, str]:
+    """Rollup columns that the join completes."""
+    accounted = " + ".join(sql_zero(c) for c in
+                           ("paid_total", "patient_resp_total", "adjustment_total"))
+    return {
+        "remit_line_count": "coalesce(remit_line_count, 0L)",
+        "remit_accounted_total": sql_money(accounted),
+        "balance_variance": sql_money(f"billed_amount - ({accounted})"),
+    }
 
 
 def claim_recon(unique: DataFrame, rollup: DataFrame) -> DataFrame:
     """One row per unique claim with its payments, amount accounted for and variance."""
-    return _with_balance(unique.join(rollup, "claim_id", "left")).select(*RECON_COLUMNS)
+    balance = _balance()
+    return unique.join(rollup, "claim_id", "left").selectExpr(
+        *[f"{balance.get(c, c)} as {c}" for c in RECON_COLUMNS])
 
 
 def audit_grain(claims: DataFrame, rollup: DataFrame) -> DataFrame:
@@ -109,9 +111,11 @@ def audit_grain(claims: DataFrame, rollup: DataFrame) -> DataFrame:
     that only the remittances know. Both sides leave their aggregation hashed on claim_id, so the
     join adds no exchange.
     """
-    left = claims.withColumn("in_claims", F.lit(True))
-    joined = left.join(rollup, "claim_id", "full")
-    return _with_balance(joined.withColumn("in_claims", F.coalesce("in_claims", F.lit(False))))
+    balance = {**_balance(), "in_claims": "coalesce(in_claims, false)",
+               "payer_known": "coalesce(payer_known, false)"}
+    joined = claims.withColumn("in_claims", F.lit(True)).join(rollup, "claim_id", "full")
+    added = [c for c in balance if c not in joined.columns and c != "payer_known"]
+    return joined.selectExpr(*[f"{balance.get(c, c)} as {c}" for c in [*joined.columns, *added]])
 
 
 @dataclass(frozen=True)
@@ -158,15 +162,15 @@ def flagged_lines(remits: DataFrame, grain: DataFrame, payers: DataFrame, payers
     line = ["remit_id", "claim_id", "payer_id", "check_eft_number", "remit_date", "paid_amount",
             "line_no"]
     claim = ["payer_name", "date_of_service", "cpt_code", "billed_amount"]
-    facts = grain.filter("remit_line_count > 1 or (not in_claims and remit_line_count > 0)").select(
-        "claim_id", "remit_line_count", "in_claims",
-        *[F.col(c).alias(f"claim_{c}") for c in claim])
-    known = remits.filter(F.col("claim_id").isNotNull()).select(*line)
+    facts = (grain.filter("remit_line_count > 1 or (not in_claims and remit_line_count > 0)")
+             .selectExpr("claim_id", "remit_line_count", "in_claims",
+                         *[f"{c} as claim_{c}" for c in claim]))
+    known = remits.filter("claim_id is not null").select(*line)
     matched = spread_join(known, facts, ["claim_id"], "remit_line_count", "line_no", rows_per_task)
-    unnamed = (remits.filter(F.col("claim_id").isNull()).select(*line)
-               .withColumn("in_claims", F.lit(False)))
+    unnamed = (remits.filter("claim_id is null")
+               .selectExpr(*line, "false as in_claims"))
     lines = matched.unionByName(unnamed, allowMissingColumns=True)
-    names = payers.select("payer_id", F.col("payer_name").alias("master_payer_name"))
+    names = payers.selectExpr("payer_id", "payer_name as master_payer_name")
     return lookup(lines, names, "payer_id", "line_no", payers_small, rows_per_task)
 
 
@@ -177,10 +181,9 @@ def build_layer(spark: SparkSession, claims: DataFrame, remits: DataFrame, payer
     payers_small = is_small(payers)
     lines = _store(typed_remits(remits).withColumn("line_no", F.monotonically_increasing_id()),
                    f"{path}/remits")
-    known = payers.select("payer_id", F.lit(True).alias("payer_known"))
+    known = payers.selectExpr("payer_id", "true as payer_known")
     unique = lookup(claims_by_id(typed_claims(claims)), known, "payer_id", "claim_id",
                     payers_small, rows_per_task)
-    unique = unique.withColumn("payer_known", F.coalesce("payer_known", F.lit(False)))
     grain = _store(audit_grain(unique, remit_by_claim(lines)), f"{path}/grain")
     flagged = _store(flagged_lines(lines, grain, payers, payers_small, rows_per_task),
                      f"{path}/flagged")

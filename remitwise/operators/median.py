@@ -2,43 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _leading(cents: Column) -> list[Column]:
-    """Digit count and first four digits: an order-preserving bucket with under 200,000 values."""
-    digits = F.length(cents.cast("string"))
-    return [digits.alias("digits"),
-            F.rpad(F.substring(cents.cast("string"), 1, 4), 4, "0").alias("head")]
-
-
-def exact_median(df: DataFrame, amount: Column, name: str) -> DataFrame:
+def exact_median(df: DataFrame, amount: str, name: str) -> DataFrame:
     """One row with the median of non-negative amounts in cents, the mean of the middle two.
 
     Values are counted, the counts are summed in buckets of leading digits, and only the one or
-    two buckets that hold a middle rank are ranked by value.
+    two buckets that hold a middle rank are ranked by value. A bucket is the digit count and the
+    first four digits, which keeps the order of the values and allows fewer than 200,000 buckets.
     """
-    cents = (amount * 100).cast("decimal(20,0)")
-    counts = (df.select(cents.alias("cents")).filter("cents is not null")
-              .groupBy("cents").agg(F.count(F.lit(1)).alias("n"))
-              .select("cents", "n", *_leading(F.col("cents"))))
-    by_bucket = Window.orderBy("digits", "head")
-    buckets = (counts.groupBy("digits", "head").agg(F.sum("n").alias("size"))
-               .withColumn("upto", F.sum("size").over(by_bucket))
-               .withColumn("total", F.sum("size").over(
-                   by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    before = F.col("upto") - F.col("size")
-    middle = (buckets.filter(((before < low) & (F.col("upto") >= low))
-                             | ((before < high) & (F.col("upto") >= high)))
-              .select("digits", "head", before.alias("before"), low.alias("low"),
-                      high.alias("high")))
-    by_value = Window.partitionBy("digits", "head").orderBy("cents")
+    counts = (df.selectExpr(f"cast({amount} * 100 as decimal(20,0)) as cents")
+              .filter("cents is not null").groupBy("cents").agg(F.expr("count(*) as n"))
+              .selectExpr("cents", "n", "length(cents) as digits",
+                          "rpad(substr(cents, 1, 4), 4, '0') as head"))
+    buckets = (counts.groupBy("digits", "head").agg(F.expr("sum(n) as size"))
+               .selectExpr("digits", "head", "size",
+                           "sum(size) over (order by digits, head) as upto",
+                           "sum(size) over () as total")
+               .selectExpr("digits", "head", "upto", "upto - size as before",
+                           "floor((total + 1) / 2) as low", "floor((total + 2) / 2) as high"))
+    middle = (buckets.filter("(before < low and upto >= low) or (before < high and upto >= high)")
+              .select("digits", "head", "before", "low", "high"))
     ranked = (counts.join(F.broadcast(middle), ["digits", "head"])  # at most two rows
-              .withColumn("upto", F.col("before") + F.sum("n").over(by_value))
-              .withColumn("from", F.col("upto") - F.col("n")))
-    at_low = (F.col("from") < F.col("low")) & (F.col("upto") >= F.col("low"))
-    at_high = (F.col("from") < F.col("high")) & (F.col("upto") >= F.col("high"))
-    both = F.max(F.when(at_low, F.col("cents"))) + F.max(F.when(at_high, F.col("cents")))
-    return ranked.agg((both / 200).cast("decimal(18,3)").alias(name))
+              .selectExpr("cents", "n", "low", "high",
+                          "before + sum(n) over (partition by digits, head order by cents) as upto")
+              .selectExpr("cents", "low", "high", "upto", "upto - n as before"))
+    return ranked.agg(F.expr(
+        "cast((max(cents) filter (where before < low and upto >= low)"
+        " + max(cents) filter (where before < high and upto >= high)) / 200 as decimal(18,3))"
+        f" as {name}"))

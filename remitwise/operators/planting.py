@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from remitwise.functions.scalars import fill, safe_date, safe_numeric
+from remitwise.functions.scalars import safe_date, safe_numeric, sql_fill
 from remitwise.schemas import CLAIM_COLUMNS, MONEY, REMIT_COLUMNS
 
 # Default share of the book per defect: buckets out of 1,000.
@@ -208,7 +208,7 @@ def _ledger(marked: DataFrame) -> DataFrame:
     defect, claim = F.col("defect"), F.col("claim_id")
     note = F.lit(None).cast("string")
     for check_id, text in _NOTES.items():
-        filled = fill(text, claim) if "{}" in text else F.lit(text)
+        filled = F.expr(sql_fill(text, "claim_id")) if "{}" in text else F.lit(text)
         note = F.when(defect == check_id, filled).otherwise(note)
     key = (F.when(defect == "DQ-02", _new_id("RB-", claim))
            .when(defect == "DQ-03", _new_id("RP-", F.col("line_id")))

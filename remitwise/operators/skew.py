@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +12,10 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_ROWS = 100_000
 
 
+def _same(keys: list[str], other: str) -> str:
+    return " and ".join(f"{k} <=> {other}{k}" for k in keys)
+
+
 def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], size: str, spread: str,
                 rows_per_task: int | None = None, how: str = "inner") -> DataFrame:
     """Join `rows` to `facts`, one fact per key, splitting the keys that hold too many rows.
@@ -24,21 +26,17 @@ def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], size: str, s
     `row count / rows_per_task` entries, so it is broadcast. NULL keys match each other.
     """
     limit = rows_per_task or ROWS_PER_TASK
-    parts = F.ceil(F.col(size) / F.lit(limit)).cast("int")
-    large = facts.filter(F.col(size) > limit).select(
-        *[F.col(k).alias(f"_large_{k}") for k in keys], parts.alias("_parts"))
-    is_large = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys])
-    split = (rows.join(F.broadcast(large), is_large, "left")
-             .withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_parts")), F.lit(0))
-                         .cast("int"))
-             .drop("_parts", *[f"_large_{k}" for k in keys]))
-    copied = facts.select(
-        *[F.col(k).alias(f"_fact_{k}") for k in keys],
-        *[c for c in facts.columns if c not in keys],
-        F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("_fact_part"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_fact_{k}")) for k in keys])
-    joined = split.join(copied, same & (F.col("_part") == F.col("_fact_part")), how)
-    return joined.drop("_part", "_fact_part", *[f"_fact_{k}" for k in keys])
+    parts = f"cast(ceil({size} / {limit}) as int)"
+    large = facts.filter(f"{size} > {limit}").selectExpr(
+        *[f"{k} as _large_{k}" for k in keys], f"{parts} as _parts")
+    split = rows.join(F.broadcast(large), F.expr(_same(keys, "_large_")), "left").selectExpr(
+        *rows.columns, f"cast(coalesce(pmod(xxhash64({spread}), _parts), 0) as int) as _part")
+    others = [c for c in facts.columns if c not in keys]
+    copied = facts.selectExpr(
+        *[f"{k} as _fact_{k}" for k in keys], *others,
+        f"explode(sequence(0, greatest({parts}, 1) - 1)) as _fact_part")
+    return split.join(copied, F.expr(f"{_same(keys, '_fact_')} and _part = _fact_part"),
+                      how).select(*rows.columns, *others)
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
@@ -57,11 +55,11 @@ def lookup(rows: DataFrame, dim: DataFrame, key: str, spread: str, broadcast: bo
     if broadcast:
         return rows.join(F.broadcast(dim), key, "left").select(
             *rows.columns, *[c for c in dim.columns if c != key])
-    sized = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).join(dim, key)
+    sized = rows.groupBy(key).agg(F.expr("count(*) as _rows")).join(dim, key)
     return spread_join(rows, sized, [key], "_rows", spread, rows_per_task, "left").drop("_rows")
 
 
-def repeats(rows: DataFrame, keys: list[str], order: list, original: str, spread: str,
+def repeats(rows: DataFrame, keys: list[str], order: list[str], original: str, spread: str,
             rows_per_task: int | None = None) -> DataFrame:
     """Every row of a group but its first, with the first row's `original` column attached.
 
@@ -69,12 +67,12 @@ def repeats(rows: DataFrame, keys: list[str], order: list, original: str, spread
     must differ from row to row. Groups are aggregated before the join, so a group of any size
     stays spread over tasks.
     """
-    rank = F.struct(*[f for c in order for f in
-                      (F.col(c).isNull().alias(f"_no_{c}"), F.col(c).alias(f"_by_{c}"))])
+    rank = "struct(" + ", ".join(f"{c} is null as _no_{c}, {c} as _by_{c}" for c in order) + ")"
+    # Naming `_first` in the filter keeps the plan of both uses of the groups equal, so that the
+    # second reuses the exchange of the first.
     groups = (rows.groupBy(*keys)
-              .agg(F.min(rank).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-              .filter("_rows > 1"))
+              .agg(F.expr(f"min({rank}) as _first"), F.expr("count(*) as _rows"))
+              .filter("_rows > 1 and _first is not null"))
     return (spread_join(rows, groups, keys, "_rows", spread, rows_per_task)
-            .filter(rank != F.col("_first"))
-            .withColumn(f"original_{original}", F.col(f"_first._by_{original}"))
-            .drop("_first", "_rows"))
+            .filter(f"{rank} <> _first")
+            .selectExpr(*rows.columns, f"_first._by_{original} as original_{original}"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitwise.functions.scalars import money, rate, zero_if_null
-from remitwise.plans.reports import impact_total
+from remitwise.functions.scalars import sql_money, sql_rate, sql_zero
+from remitwise.plans.reports import IMPACT, aggregate, grouped, sql_count
 from remitwise.schemas import MONEY
 
 # The verdict that goes with each payment check, and what the check tests.
@@ -22,114 +22,106 @@ PAYMENT_CHECKS = [
 QUIET_VERDICTS = ["BALANCED", "INVALID CHARGE", "NO REMITTANCE", "DUPLICATE POSTING"]
 
 
-def _verdict(tolerance: Decimal, variance: Column) -> Column:
-    billed, lines = F.col("billed_amount"), F.col("remit_line_count")
-    return (F.when(billed.isNull() | (billed <= 0), "INVALID CHARGE")
-            .when((lines == 0) & (F.col("claim_status") == "PAID"), "NO REMITTANCE (PAID)")
-            .when(lines == 0, "NO REMITTANCE")
-            .when(lines > 1, "DUPLICATE POSTING")
-            .when(zero_if_null("paid_total") > billed, "OVERPAYMENT")
-            .when(F.abs(variance) > F.lit(tolerance), "MISMATCH")
-            .otherwise("BALANCED"))
+def _listed(values: list[str]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
 def recon_verdict(recon: DataFrame, tolerance: Decimal = Decimal("0.01")) -> DataFrame:
     """A verdict per claim from the raw amounts, without use of the checks or their variance."""
-    accounted = money(zero_if_null("paid_total") + zero_if_null("patient_resp_total")
-                      + zero_if_null("adjustment_total"))
-    variance = money(zero_if_null("billed_amount") - F.col("recomputed_accounted"))
-    return (recon.select("claim_id", "claim_status", "billed_amount", "remit_line_count",
-                         "paid_total", accounted.alias("recomputed_accounted"))
-            .withColumn("recomputed_variance", variance)
-            .withColumn("verdict", _verdict(tolerance, F.col("recomputed_variance"))))
+    accounted = sql_money(" + ".join(
+        sql_zero(c) for c in ("paid_total", "patient_resp_total", "adjustment_total")))
+    variance = sql_money(f"{sql_zero('billed_amount')} - recomputed_accounted")
+    verdict = f"""case
+        when billed_amount is null or billed_amount <= 0 then 'INVALID CHARGE'
+        when remit_line_count = 0 and claim_status = 'PAID' then 'NO REMITTANCE (PAID)'
+        when remit_line_count = 0 then 'NO REMITTANCE'
+        when remit_line_count > 1 then 'DUPLICATE POSTING'
+        when {sql_zero('paid_total')} > billed_amount then 'OVERPAYMENT'
+        when abs(recomputed_variance) > {tolerance:f} then 'MISMATCH'
+        else 'BALANCED' end as verdict"""
+    return (recon.selectExpr("claim_id", "claim_status", "billed_amount", "remit_line_count",
+                             "paid_total", f"{accounted} as recomputed_accounted")
+            .selectExpr("*", f"{variance} as recomputed_variance")
+            .selectExpr("*", verdict))
 
 
 def crossfoot_detail(recon: DataFrame, register: DataFrame,
                      tolerance: Decimal = Decimal("0.01")) -> DataFrame:
     """Verdict against register, claim by claim: AGREE or CHECK."""
-    checks = [c for c, _, _ in PAYMENT_CHECKS]
+    checks = _listed([c for c, _, _ in PAYMENT_CHECKS])
     # A claim in more than one of the payment checks shows the first of them.
-    held = (register.filter(F.col("check_id").isin(checks) & F.col("claim_id").isNotNull())
-            .groupBy("claim_id").agg(F.min("check_id").alias("register_check")))
-    verdict, check = F.col("verdict"), F.col("register_check")
-    agree = verdict.isin(QUIET_VERDICTS) & check.isNull()
-    for check_id, goes_with, _ in PAYMENT_CHECKS:
-        agree = agree | ((verdict == goes_with) & check.eqNullSafe(F.lit(check_id)))
+    held = grouped(register.filter(f"check_id in {checks} and claim_id is not null"),
+                   ["claim_id"], "min(check_id) as register_check")
+    pairs = " or ".join([f"verdict in {_listed(QUIET_VERDICTS)} and register_check is null",
+                         *[f"verdict = '{v}' and register_check <=> '{c}'"
+                           for c, v, _ in PAYMENT_CHECKS]])
     return (recon_verdict(recon, tolerance).join(held, "claim_id", "left")
-            .withColumn("agreement", F.when(agree, "AGREE").otherwise("CHECK")))
+            .selectExpr("*", f"if({pairs}, 'AGREE', 'CHECK') as agreement"))
 
 
 def crossfoot_summary(detail: DataFrame, register: DataFrame) -> DataFrame:
     """Register count against recomputed count per payment check, and all claims together."""
-    spark = detail.sparkSession
-    checks = spark.createDataFrame(PAYMENT_CHECKS, "check_id string, verdict string, tests string")
-    found = register.groupBy("check_id").agg(F.count(F.lit(1)).alias("found"))
-    seen = detail.groupBy("verdict").agg(F.count(F.lit(1)).alias("seen"))
-    zero = F.lit(0).cast("long")
+    checks = detail.sparkSession.createDataFrame(
+        PAYMENT_CHECKS, "check_id string, verdict string, tests string")
+    found = grouped(register, ["check_id"], "count(*) as found")
+    seen = grouped(detail, ["verdict"], "count(*) as seen")
     per_check = (checks.join(F.broadcast(found), "check_id", "left")
                  .join(F.broadcast(seen), "verdict", "left")
-                 .select("check_id", "tests",
-                         F.coalesce("found", zero).alias("register_count"),
-                         F.coalesce("seen", zero).alias("recomputed_count"))
-                 .withColumn("difference", F.col("register_count") - F.col("recomputed_count")))
-    overall = detail.agg(
-        F.lit("ALL").alias("check_id"),
-        F.lit("Recomputed verdict vs register, every claim").alias("tests"),
-        F.count(F.lit(1)).alias("register_count"),
-        F.count_if(F.col("agreement") == "AGREE").alias("recomputed_count"),
-        F.count_if(F.col("agreement") == "CHECK").alias("difference"))
-    return per_check.unionByName(overall).withColumn(
-        "status", F.when(F.col("difference") == 0, "AGREE").otherwise("INVESTIGATE"))
+                 .selectExpr("check_id", "tests", f"{sql_count('found')} as register_count",
+                             f"{sql_count('seen')} as recomputed_count",
+                             f"{sql_count('found')} - {sql_count('seen')} as difference"))
+    overall = aggregate(
+        detail, "'ALL' as check_id", "'Recomputed verdict vs register, every claim' as tests",
+        "count(*) as register_count",
+        "count(*) filter (where agreement = 'AGREE') as recomputed_count",
+        "count(*) filter (where agreement = 'CHECK') as difference")
+    return per_check.unionByName(overall).selectExpr(
+        "*", "if(difference = 0, 'AGREE', 'INVESTIGATE') as status")
 
 
 def check_summary(summary: DataFrame, routing: DataFrame) -> DataFrame:
     """The run summary with owning queue, and a TOTAL row."""
-    rows = summary.join(F.broadcast(routing), "check_id")
-    total = F.grouping("check_id") == 1
-    grouped = rows.rollup("check_id").agg(
-        *[F.when(~total, F.min(c)).alias(c) for c in
-          ("check_name", "dimension", "severity")],
-        F.when(total, "TOTAL").otherwise(F.min("assigned_queue")).alias("assigned_queue"),
-        F.sum("exceptions_found").alias("exceptions"),
-        F.sum("financial_impact_usd").cast(MONEY).alias("financial_exposure_usd"),
-        *[F.when(~total, F.min(c)).alias(c) for c in
-          ("exception_rate_pct", "result", "failure_condition", "escalation")])
-    return grouped
+    per_check = ["check_name", "dimension", "severity", "exception_rate_pct", "result",
+                 "failure_condition", "escalation"]
+    rows = summary.join(F.broadcast(routing), "check_id").rollup("check_id").agg(
+        *[F.expr(f"min({c}) as {c}") for c in [*per_check, "assigned_queue"]],
+        F.expr("sum(exceptions_found) as exceptions"),
+        F.expr(f"cast(sum(financial_impact_usd) as {MONEY}) as financial_exposure_usd"),
+        F.expr("grouping(check_id) as is_total"))
+    return rows.selectExpr(
+        "check_id", *[f"if(is_total = 0, {c}, null) as {c}" for c in per_check],
+        "if(is_total = 0, assigned_queue, 'TOTAL') as assigned_queue", "exceptions",
+        "financial_exposure_usd")
 
 
 def defect_log(register: DataFrame, catalog: DataFrame, routing: DataFrame,
                raised: dt.date) -> DataFrame:
     """One defect per check, with volume and exposure from the register."""
-    found = register.groupBy("check_id").agg(
-        F.count(F.lit(1)).alias("found"), impact_total().alias("exposure"))
-    number = F.substring("check_id", 4, 2).cast("int")
+    found = grouped(register, ["check_id"], "count(*) as found", f"{IMPACT} as exposure")
     return (catalog.join(F.broadcast(routing), "check_id")
             .join(F.broadcast(found), "check_id", "left")
-            .select(F.format_string("DEF-%03d", number).alias("defect_id"),
-                    F.lit(raised).alias("raised"), "check_id",
-                    F.col("check_name").alias("defect_title"), "severity", "root_cause",
-                    F.coalesce("found", F.lit(0).cast("long")).alias("volume"),
-                    zero_if_null("exposure").alias("financial_exposure_usd"), "assigned_queue",
-                    F.col("sla_label").alias("target_sla"), F.lit("OPEN").alias("status"),
-                    F.concat(F.lit("output/exceptions/"), "evidence", F.lit(".csv"))
-                    .alias("evidence_file")))
+            .selectExpr("concat('DEF-0', substr(check_id, 4, 2)) as defect_id",
+                        f"date'{raised.isoformat()}' as raised", "check_id",
+                        "check_name as defect_title", "severity", "root_cause",
+                        f"{sql_count('found')} as volume",
+                        f"{sql_zero('exposure')} as financial_exposure_usd", "assigned_queue",
+                        "sla_label as target_sla", "'OPEN' as status",
+                        "concat('output/exceptions/', evidence, '.csv') as evidence_file"))
 
 
 def severity_mix(register: DataFrame, catalog: DataFrame) -> DataFrame:
     """Exceptions, share and exposure per severity, and a TOTAL row."""
-    found = register.groupBy("severity").agg(
-        F.count(F.lit(1)).alias("found"), impact_total().alias("exposure"))
+    found = grouped(register, ["severity"], "count(*) as found", f"{IMPACT} as exposure")
     listed = catalog.select("severity").distinct().join(F.broadcast(found), "severity", "left")
     rows = listed.rollup("severity").agg(
-        F.coalesce(F.sum("found"), F.lit(0).cast("long")).alias("exceptions"),
-        zero_if_null(F.sum("exposure").cast(MONEY)).alias("financial_exposure_usd"),
-        F.grouping("severity").alias("is_total"))
-    overall = F.broadcast(listed.agg(F.sum("found").alias("overall")))
-    return rows.crossJoin(overall).select(
-        F.when(F.col("is_total") == 1, "TOTAL").otherwise(F.col("severity")).alias("severity"),
-        "exceptions",
-        rate(F.col("exceptions"), F.coalesce("overall", F.lit(0)), 100, 1).alias("share_pct"),
-        "financial_exposure_usd")
+        F.expr(f"{sql_count('sum(found)')} as exceptions"),
+        F.expr(f"cast({sql_zero('sum(exposure)')} as {MONEY}) as financial_exposure_usd"),
+        F.expr("grouping(severity) as is_total"))
+    # Four rows, so one window over all of them is safe.
+    overall = "max(if(is_total = 1, exceptions, null)) over ()"
+    return rows.selectExpr(
+        "if(is_total = 1, 'TOTAL', severity) as severity", "exceptions",
+        f"{sql_rate('exceptions', overall, 100, 1)} as share_pct", "financial_exposure_usd")
 
 
 def payer_scorecard_total(recon: DataFrame, register: DataFrame, payers: DataFrame) -> DataFrame:
@@ -137,53 +129,45 @@ def payer_scorecard_total(recon: DataFrame, register: DataFrame, payers: DataFra
 
     A payer with exceptions but no claims is listed too, so that the total is the register's.
     """
-    claims = recon.groupBy("payer_id").agg(
-        F.count(F.lit(1)).alias("claims"),
-        F.sum(zero_if_null("billed_amount")).cast(MONEY).alias("billed_total"))
-    found = register.groupBy(F.col("payer_id").alias("found_payer")).agg(
-        F.count(F.lit(1)).alias("exceptions"), impact_total().alias("impact"))
-    names = payers.select(F.col("payer_id").alias("known_payer"), "payer_name")
-    rows = (claims.join(found, F.col("payer_id").eqNullSafe(F.col("found_payer")), "full")
-            .withColumn("payer_id", F.coalesce("payer_id", "found_payer"))
-            .join(names, F.col("payer_id") == F.col("known_payer"), "left")
-            .withColumn("payer_id", F.coalesce("payer_id", F.lit("UNMAPPED")))
-            .withColumn("payer_name",
-                        F.coalesce("payer_name", F.lit("Unmapped / unknown payer"))))
-    total = F.grouping("payer_id") == 1
+    claims = grouped(recon, ["payer_id as claim_payer"], "count(*) as claims",
+                     f"cast(sum({sql_zero('billed_amount')}) as {MONEY}) as billed")
+    found = grouped(register, ["payer_id as found_payer"], "count(*) as found",
+                    f"{IMPACT} as impact")
+    names = payers.selectExpr("payer_id as known_payer", "payer_name")
+    unknown = "Unmapped / unknown payer"
+    rows = (claims.join(found, F.expr("claim_payer <=> found_payer"), "full")
+            .join(names, F.expr("coalesce(claim_payer, found_payer) = known_payer"), "left")
+            .selectExpr("coalesce(claim_payer, found_payer, 'UNMAPPED') as payer_id",
+                        f"coalesce(payer_name, '{unknown}') as payer_name",
+                        "claims", "billed", "found", "impact"))
     summed = rows.rollup("payer_id").agg(
-        F.when(total, "TOTAL").otherwise(F.min("payer_name")).alias("payer_name"),
-        F.coalesce(F.sum("claims"), F.lit(0).cast("long")).alias("claims"),
-        zero_if_null(F.sum("billed_total").cast(MONEY)).alias("billed_total"),
-        F.coalesce(F.sum("exceptions"), F.lit(0).cast("long")).alias("exceptions"),
-        zero_if_null(F.sum("impact").cast(MONEY)).alias("financial_exposure_usd"),
-        F.grouping("payer_id").alias("is_total"))
-    return summed.select(
-        "payer_id", "payer_name", "claims", "billed_total", "exceptions", "financial_exposure_usd",
-        F.when(F.col("is_total") == 0,
-               F.coalesce(rate(F.col("exceptions"), F.col("claims"), 1000, 1),
-                          F.lit(0).cast("decimal(18,1)")))
-        .alias("exceptions_per_1000_claims"))
+        F.expr("min(payer_name) as payer_name"),
+        F.expr(f"{sql_count('sum(claims)')} as claims"),
+        F.expr(f"cast({sql_zero('sum(billed)')} as {MONEY}) as billed_total"),
+        F.expr(f"{sql_count('sum(found)')} as exceptions"),
+        F.expr(f"cast({sql_zero('sum(impact)')} as {MONEY}) as financial_exposure_usd"),
+        F.expr("grouping(payer_id) as is_total"))
+    per_thousand = f"coalesce({sql_rate('exceptions', 'claims', 1000, 1)}, 0.0)"
+    return summed.selectExpr(
+        "payer_id", "if(is_total = 1, 'TOTAL', payer_name) as payer_name", "claims",
+        "billed_total", "exceptions", "financial_exposure_usd",
+        f"if(is_total = 0, {per_thousand}, null) as exceptions_per_1000_claims")
 
 
 def headline(recon: DataFrame, register: DataFrame, claim_rows: DataFrame,
              remit_rows: DataFrame) -> DataFrame:
     """The eight headline figures in one row."""
-    claims = recon.agg(
-        F.count(F.lit(1)).alias("unique_claims"),
-        zero_if_null(F.sum("billed_amount").cast(MONEY)).alias("billed_in_scope"),
-        zero_if_null(F.sum(F.when(F.col("remit_line_count") > 0, F.col("balance_variance")))
-                     .cast(MONEY)).alias("net_variance_adjudicated"))
-    found = register.agg(
-        F.count(F.lit(1)).alias("exceptions"),
-        F.count_if(F.col("severity") == "CRITICAL").alias("critical_exceptions"),
-        zero_if_null(impact_total()).alias("financial_exposure_usd"))
-    received = (claim_rows.agg(F.count(F.lit(1)).alias("claim_rows"))
-                .crossJoin(remit_rows.agg(F.count(F.lit(1)).alias("remit_rows"))))
-    return (claims.crossJoin(found).crossJoin(received)
-            .select("unique_claims",
-                    (F.col("claim_rows") + F.col("remit_rows")).alias("rows_compared"),
-                    "exceptions",
-                    rate(F.col("exceptions"), F.col("unique_claims"), 100, 1)
-                    .alias("exception_rate_pct"),
-                    "critical_exceptions", "financial_exposure_usd", "billed_in_scope",
-                    "net_variance_adjudicated"))
+    net = "sum(balance_variance) filter (where remit_line_count > 0)"
+    claims = aggregate(recon, "count(*) as unique_claims",
+                       f"cast({sql_zero('sum(billed_amount)')} as {MONEY}) as billed_in_scope",
+                       f"cast({sql_zero(net)} as {MONEY}) as net_variance_adjudicated")
+    found = aggregate(register, "count(*) as exceptions",
+                      "count(*) filter (where severity = 'CRITICAL') as critical_exceptions",
+                      f"{sql_zero(IMPACT)} as financial_exposure_usd")
+    received = (aggregate(claim_rows, "count(*) as claim_rows")
+                .crossJoin(aggregate(remit_rows, "count(*) as remit_rows")))
+    return claims.crossJoin(found).crossJoin(received).selectExpr(
+        "unique_claims", "claim_rows + remit_rows as rows_compared", "exceptions",
+        f"{sql_rate('exceptions', 'unique_claims', 100, 1)} as exception_rate_pct",
+        "critical_exceptions", "financial_exposure_usd", "billed_in_scope",
+        "net_variance_adjudicated")

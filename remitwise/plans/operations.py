@@ -5,83 +5,81 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitwise.functions.scalars import add_business_days, money, rate, zero_if_null
+from remitwise.functions.scalars import (sql_add_business_days, sql_money, sql_rate, sql_zero)
 from remitwise.operators.median import exact_median
-from remitwise.plans.reports import impact_total
+from remitwise.plans.reports import IMPACT, PAYER, aggregate, grouped, sql_count
 from remitwise.schemas import MONEY, SEVERITY_RANK, SLA_DAYS
 
 # The thresholds at which a defect leaves its queue.
-SINGLE_VARIANCE_LIMIT = Decimal("500")
-MISSING_REMIT_LIMITS = (10, Decimal("5000"))
-UNDERPAID_LIMITS = (25, Decimal("5000"))
+SINGLE_VARIANCE_LIMIT = 500
+MISSING_REMIT_LIMITS = (10, 5000)
+UNDERPAID_LIMITS = (25, 5000)
 RUN_RATE_LIMIT_PCT = Decimal("0.5")
 REPEATED_RUNS = 3
 CLOSED = ["RESOLVED", "WAIVED", "CARRIED FORWARD"]
 
 
-def _literal_map(values: dict) -> Column:
-    return F.create_map(*[F.lit(v) for pair in values.items() for v in pair])
+def _map_lookup(values: dict, key: str) -> str:
+    pairs = ", ".join(f"'{k}', {v}" for k, v in values.items())
+    return f"try_element_at(map({pairs}), {key})"
 
 
 def run_verdict(summary: DataFrame, claim_unique: DataFrame,
                 rate_limit_pct: Decimal = RUN_RATE_LIMIT_PCT) -> DataFrame:
     """PASS when no CRITICAL check has findings and the total rate is below the limit."""
-    found = summary.agg(
-        F.sum("exceptions_found").alias("exceptions"),
-        F.sum(F.when(F.col("severity") == "CRITICAL", F.col("exceptions_found")).otherwise(0))
-        .alias("critical_exceptions"))
-    claims = claim_unique.agg(F.count(F.lit(1)).alias("claims"))
-    passes = ((F.col("critical_exceptions") == 0)
-              & (100 * F.col("exceptions").cast("decimal(18,0)")
-                 < F.lit(rate_limit_pct) * F.col("claims").cast("decimal(18,0)")))
-    none = (F.col("critical_exceptions") == 0) & (F.col("exceptions") == 0)
-    return found.crossJoin(claims).select(
+    critical = "sum(exceptions_found) filter (where severity = 'CRITICAL')"
+    found = aggregate(summary, f"{sql_count('sum(exceptions_found)')} as exceptions",
+                      f"{sql_count(critical)} as critical_exceptions")
+    claims = aggregate(claim_unique, "count(*) as claims")
+    below = (f"100 * cast(exceptions as decimal(18,0)) "
+             f"< {rate_limit_pct:f} * cast(claims as decimal(18,0))")
+    return found.crossJoin(claims).selectExpr(
         "claims", "exceptions", "critical_exceptions",
-        rate(F.col("exceptions"), F.col("claims"), 100, 3).alias("exception_rate_pct"),
-        F.when(passes | none, "PASS").otherwise("FAIL").alias("verdict"))
+        f"{sql_rate('exceptions', 'claims', 100, 3)} as exception_rate_pct",
+        f"if(critical_exceptions = 0 and (exceptions = 0 or {below}), 'PASS', 'FAIL') as verdict")
 
 
 def suite_verdict(validation: DataFrame, control: DataFrame) -> DataFrame:
     """PASS when every planted defect is found, nothing else is, and clean data gives nothing."""
-    scored = validation.agg(F.sum("injected_defects").alias("injected"),
-                            F.sum("false_negatives").alias("false_negatives"),
-                            F.sum("false_positives").alias("false_positives"))
-    clean = control.agg(F.sum("false_positives").alias("clean_findings"))
-    return scored.crossJoin(clean).withColumn(
-        "verdict", F.when((F.col("false_negatives") == 0) & (F.col("false_positives") == 0)
-                          & (F.col("clean_findings") == 0), "PASS").otherwise("FAIL"))
+    scored = aggregate(validation, "sum(injected_defects) as injected",
+                       "sum(false_negatives) as false_negatives",
+                       "sum(false_positives) as false_positives")
+    clean = aggregate(control, "sum(false_positives) as clean_findings")
+    return scored.crossJoin(clean).selectExpr(
+        "*", "if(false_negatives = 0 and false_positives = 0 and clean_findings = 0, "
+             "'PASS', 'FAIL') as verdict")
 
 
 def class_rollup(register: DataFrame, routing: DataFrame) -> DataFrame:
     """Volume and exposure per finding class, and a TOTAL row."""
-    found = register.groupBy("check_id").agg(
-        F.count(F.lit(1)).alias("found"), impact_total().alias("exposure"))
-    rows = routing.join(F.broadcast(found), "check_id", "left")
-    grouped = rows.rollup("finding_class").agg(
-        F.concat_ws(", ", F.array_sort(F.collect_set("check_id"))).alias("checks"),
-        F.coalesce(F.sum("found"), F.lit(0).cast("long")).alias("volume"),
-        zero_if_null(F.sum("exposure").cast(MONEY)).alias("exposure_usd"),
-        F.grouping("finding_class").alias("is_total"))
-    return grouped.select(
-        F.when(F.col("is_total") == 1, "TOTAL").otherwise(F.col("finding_class"))
-        .alias("finding_class"),
-        F.when(F.col("is_total") == 0, F.col("checks")).alias("checks"), "volume", "exposure_usd")
-
-
-def triage_order() -> list[Column]:
+    found = grouped(register, ["check_id"], "count(*) as found", f"{IMPACT} as exposure")
+    rows = routing.join(F.broadcast(found), "check_id", "left").rollup("finding_class").agg(
+        F.expr("array_join(array_sort(collect_set(check_id)), ', ') as checks"),
+        F.expr(f"{sql_count('sum(found)')} as volume"),
+        F.expr(f"cast({sql_zero('sum(exposure)')} as {MONEY}) as exposure_usd"),
+        F.expr("grouping(finding_class) as is_total"))
+    return rows.selectExpr("if(is_total = 1, 'TOTAL', finding_class) as finding_class",
+                           "if(is_total = 1, null, checks) as checks", "volume", "exposure_usd")
+
+
+def triage_order() -> list:
     """Severity first, then exposure descending; the rest makes the order total."""
-    return [F.try_element_at(_literal_map(SEVERITY_RANK), F.col("severity")).asc_nulls_last(),
-            F.abs("amount_impact").desc_nulls_last(), F.col("check_id").asc_nulls_last(),
+    return [F.expr(_map_lookup(SEVERITY_RANK, "severity")).asc_nulls_last(),
+            F.expr("abs(amount_impact)").desc_nulls_last(), F.col("check_id").asc_nulls_last(),
             F.col("entity_key").asc_nulls_last(), F.col("finding").asc_nulls_last()]
 
 
 def triage_queue(register: DataFrame, n: int) -> DataFrame:
-    """The first `n` open items of every queue, ranked."""
+    """The first `n` open items of every queue, ranked.
+
+    Every input split keeps its own first `n` per queue before the exchange, so a long queue does
+    not reach one task.
+    """
     by_queue = Window.partitionBy("assigned_queue").orderBy(*triage_order())
-    return (register.filter(F.col("disposition") == "OPEN")
+    return (register.filter("disposition = 'OPEN'")
             .select("assigned_queue", "severity", "check_id", "entity_key", "claim_id",
                     "amount_impact", "finding")
             .withColumn("queue_rank", F.row_number().over(by_queue))
@@ -90,23 +88,20 @@ def triage_queue(register: DataFrame, n: int) -> DataFrame:
 
 def worklist(register: DataFrame) -> DataFrame:
     """All open items in working order, queue after queue."""
-    return (register.filter(F.col("disposition") == "OPEN")
-            .orderBy(F.col("assigned_queue").asc_nulls_last(), *triage_order()))
+    return register.filter("disposition = 'OPEN'").orderBy(
+        F.col("assigned_queue").asc_nulls_last(), *triage_order())
 
 
 def with_sla(register: DataFrame, as_of: dt.datetime) -> DataFrame:
     """The register with `due_ts` and `sla_status`."""
-    days = F.try_element_at(_literal_map(SLA_DAYS), F.col("check_id"))
-    in_a_day = F.col("run_ts") + F.expr("interval 24 hours")
+    days = _map_lookup(SLA_DAYS, "check_id")
     # An item due in business days may be closed until its last day ends.
-    day_end = F.date_add(add_business_days(F.to_date("run_ts"), days), 1).cast("timestamp")
-    return (register
-            .withColumn("due_ts", F.when(days == 0, in_a_day).otherwise(day_end))
-            .withColumn("sla_status",
-                        F.when(F.col("due_ts").isNull(), "NO SLA")
-                        .when(F.col("disposition") != "OPEN", "CLOSED")
-                        .when(F.lit(as_of).cast("timestamp") > F.col("due_ts"), "BREACHED")
-                        .otherwise("IN TIME")))
+    day_end = f"cast(date_add({sql_add_business_days('to_date(run_ts)', days)}, 1) as timestamp)"
+    late = f"timestamp'{as_of.isoformat(' ')}' > due_ts"
+    return register.selectExpr(
+        "*", f"if({days} = 0, run_ts + interval 24 hours, {day_end}) as due_ts").selectExpr(
+        "*", "case when due_ts is null then 'NO SLA' when disposition <> 'OPEN' then 'CLOSED' "
+             f"when {late} then 'BREACHED' else 'IN TIME' end as sla_status")
 
 
 def sla_ageing(register: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -118,28 +113,24 @@ def sla_ageing(register: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 def escalations(register: DataFrame) -> DataFrame:
     """Items and groups that crossed an escalation threshold."""
-    impact = F.abs("amount_impact")
-    single = (register.filter((F.col("check_id") == "DQ-06") & (impact > SINGLE_VARIANCE_LIMIT))
-              .select("check_id", F.lit("claim").alias("scope"),
-                      F.col("entity_key").alias("scope_key"), F.lit(1).cast("long").alias("items"),
-                      impact.cast(MONEY).alias("exposure_usd"),
-                      F.lit("Payer Relations").alias("escalate_to")))
-
-    def grouped(check_id: str, scope: str, key: Column, limits: tuple[int, Decimal],
-                escalate_to: str) -> DataFrame:
+    single = (register
+              .filter(f"check_id = 'DQ-06' and abs(amount_impact) > {SINGLE_VARIANCE_LIMIT}")
+              .selectExpr("check_id", "'claim' as scope", "entity_key as scope_key",
+                          "1L as items", f"cast(abs(amount_impact) as {MONEY}) as exposure_usd",
+                          "'Payer Relations' as escalate_to"))
+
+    def by_group(check_id: str, scope: str, key: str, limits: tuple[int, int],
+                 escalate_to: str) -> DataFrame:
         count, exposure = limits
-        return (register.filter(F.col("check_id") == check_id).groupBy(key.alias("scope_key"))
-                .agg(F.count(F.lit(1)).alias("items"),
-                     zero_if_null(impact_total()).alias("exposure_usd"))
-                .filter((F.col("items") >= count) | (F.col("exposure_usd") >= F.lit(exposure)))
-                .select(F.lit(check_id).alias("check_id"), F.lit(scope).alias("scope"),
-                        "scope_key", "items", "exposure_usd",
-                        F.lit(escalate_to).alias("escalate_to")))
+        return (grouped(register.filter(f"check_id = '{check_id}'"), [f"{key} as scope_key"],
+                        "count(*) as items", f"{sql_zero(IMPACT)} as exposure_usd")
+                .filter(f"items >= {count} or exposure_usd >= {exposure}")
+                .selectExpr(f"'{check_id}' as check_id", f"'{scope}' as scope", "scope_key",
+                            "items", "exposure_usd", f"'{escalate_to}' as escalate_to"))
 
-    missing = grouped("DQ-05", "run", F.col("run_id"), MISSING_REMIT_LIMITS, "A/R manager")
-    underpaid = grouped("DQ-08", "payer", F.coalesce("payer_id", F.lit("UNMAPPED")),
-                        UNDERPAID_LIMITS, "Payer Relations")
-    return single.unionByName(missing).unionByName(underpaid)
+    return (single
+            .unionByName(by_group("DQ-05", "run", "run_id", MISSING_REMIT_LIMITS, "A/R manager"))
+            .unionByName(by_group("DQ-08", "payer", PAYER, UNDERPAID_LIMITS, "Payer Relations")))
 
 
 def repeat_defects(register: DataFrame, runs: DataFrame, keys: list[str] | None = None,
@@ -153,53 +144,51 @@ def repeat_defects(register: DataFrame, runs: DataFrame, keys: list[str] | None
     # The run log has one row per run, so ranking it in one task is safe.
     numbered = runs.select("run_id", "run_ts").distinct().withColumn(
         "run_no", F.row_number().over(Window.orderBy("run_ts", "run_id")))
-    seen = register.groupBy(*keys, "run_id").agg(F.count(F.lit(1)).alias("found"))
+    seen = grouped(register, [*keys, "run_id"], "count(*) as found")
     in_order = Window.partitionBy(*keys).orderBy("run_no")
     island = F.col("run_no") - F.row_number().over(in_order)
-    return (seen.join(numbered, "run_id").withColumn("island", island)
-            .groupBy(*keys, "island")
-            .agg(F.count(F.lit(1)).alias("consecutive_runs"),
-                 F.min_by("run_id", "run_no").alias("first_run"),
-                 F.max_by("run_id", "run_no").alias("last_run"),
-                 F.sum("found").alias("exceptions"))
-            .filter(F.col("consecutive_runs") >= min_runs)
+    return (grouped(seen.join(numbered, "run_id").withColumn("island", island),
+                    [*keys, "island"], "count(*) as consecutive_runs",
+                    "min_by(run_id, run_no) as first_run", "max_by(run_id, run_no) as last_run",
+                    "sum(found) as exceptions")
+            .filter(f"consecutive_runs >= {min_runs}")
             .drop("island"))
 
 
 def disposition_violations(register: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Items that break the closing rules."""
-    state, reason = F.col("disposition"), F.col("disposition_reason")
-    no_reason = reason.isNull() | (F.trim(reason) == "")
-    broken = (F.when(state.isNull(), "no disposition")
-              .when(~state.isin("OPEN", *CLOSED), "unknown disposition")
-              .when(state.isin(CLOSED) & no_reason, "closed without a reason")
-              .when((state == "RESOLVED") & F.col("resolved_ts").isNull(),
-                    "resolved without a time")
-              .when(F.col("sla_status") == "BREACHED", "open past its SLA"))
-    return (with_sla(register, as_of).withColumn("violation", broken).filter("violation is not null")
+    closed = "disposition in (" + ", ".join(f"'{c}'" for c in CLOSED) + ")"
+    violation = f"""case
+        when disposition is null then 'no disposition'
+        when disposition <> 'OPEN' and not {closed} then 'unknown disposition'
+        when {closed} and coalesce(trim(disposition_reason), '') = ''
+            then 'closed without a reason'
+        when disposition = 'RESOLVED' and resolved_ts is null then 'resolved without a time'
+        when sla_status = 'BREACHED' then 'open past its SLA' end as violation"""
+    return (with_sla(register, as_of).selectExpr("*", violation).filter("violation is not null")
             .select("run_id", "check_id", "entity_key", "assigned_queue", "disposition",
                     "disposition_reason", "violation", "finding"))
 
 
 def variance_profile(recon: DataFrame, register: DataFrame, check_id: str = "DQ-06") -> DataFrame:
     """Net and absolute variance of adjudicated claims; median and largest item of a check."""
-    book = recon.filter("remit_line_count > 0").agg(
-        zero_if_null(F.sum("balance_variance").cast(MONEY)).alias("net_variance"),
-        zero_if_null(F.sum(F.abs("balance_variance")).cast(MONEY)).alias("absolute_variance"))
+    book = aggregate(
+        recon.filter("remit_line_count > 0"),
+        f"cast({sql_zero('sum(balance_variance)')} as {MONEY}) as net_variance",
+        f"cast({sql_zero('sum(abs(balance_variance))')} as {MONEY}) as absolute_variance")
     items = register.filter(F.col("check_id") == check_id)
-    sized = items.agg(F.count(F.lit(1)).alias("items"),
-                      F.max(F.abs("amount_impact")).cast(MONEY).alias("largest_item"))
-    return (book.crossJoin(sized)
-            .crossJoin(exact_median(items, F.abs("amount_impact"), "median_item"))
-            .withColumn("median_item", money(F.col("median_item"))))
+    sized = aggregate(items, "count(*) as items",
+                      f"cast(max(abs(amount_impact)) as {MONEY}) as largest_item")
+    median = exact_median(items, "abs(amount_impact)", "median_item")
+    return book.crossJoin(sized).crossJoin(median).selectExpr(
+        "net_variance", "absolute_variance", "items", "largest_item",
+        f"{sql_money('median_item')} as median_item")
 
 
 def entry_criteria(receipt: DataFrame, received: dict[str, int] | None = None) -> DataFrame:
     """Whether every table arrived with rows and, where a count was announced, with that count."""
-    loaded = F.col("rows_loaded")
-    expected = (F.try_element_at(_literal_map(received), F.col("table_name")) if received
-                else F.lit(None)).cast("long")
-    return receipt.select(
-        "table_name", "rows_loaded", expected.alias("rows_received"),
-        F.when(loaded == 0, "EMPTY").when(expected.isNotNull() & (expected != loaded), "SHORT")
-        .otherwise("MET").alias("criterion"))
+    expected = _map_lookup(received, "table_name") if received else "null"
+    return receipt.selectExpr(
+        "table_name", "rows_loaded", f"cast({expected} as bigint) as rows_received").selectExpr(
+        "*", "case when rows_loaded = 0 then 'EMPTY' when rows_received <> rows_loaded "
+             "then 'SHORT' else 'MET' end as criterion")

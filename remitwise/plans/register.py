@@ -13,10 +13,10 @@ REGISTER_COLUMNS = ["exception_id", "run_id", "run_ts", *EXCEPTION_COLUMNS, "ass
                     "disposition", "disposition_reason", "resolved_ts"]
 
 
-def assigned_queue(check_id: str = "check_id"):
+def sql_assigned_queue(check_id: str = "check_id") -> str:
     """The queue that owns a check."""
-    pairs = [F.lit(v) for pair in QUEUE.items() for v in pair]
-    return F.try_element_at(F.create_map(*pairs), F.col(check_id))
+    pairs = ", ".join(f"'{check}', '{queue}'" for check, queue in QUEUE.items())
+    return f"try_element_at(map({pairs}), {check_id})"
 
 
 def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
@@ -24,14 +24,14 @@ def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime)
 
     The id is a hash of run, check, entity and finding, so a rerun gives the same ids.
     """
-    key = F.concat_ws(":", F.lit(run_id), "check_id", F.coalesce("entity_key", F.lit("")),
-                      F.coalesce("finding", F.lit("")))
-    return exceptions.select(
-        F.sha2(key, 256).alias("exception_id"), F.lit(run_id).alias("run_id"),
-        F.lit(run_ts).cast("timestamp").alias("run_ts"), *EXCEPTION_COLUMNS,
-        assigned_queue().alias("assigned_queue"), F.lit("OPEN").alias("disposition"),
-        F.lit(None).cast("string").alias("disposition_reason"),
-        F.lit(None).cast("timestamp").alias("resolved_ts"))
+    key = "concat_ws(':', run_id, check_id, coalesce(entity_key, ''), coalesce(finding, ''))"
+    run = exceptions.select(F.lit(run_id).alias("run_id"),
+                            F.expr(f"timestamp'{run_ts.isoformat(' ')}' as run_ts"),
+                            *EXCEPTION_COLUMNS)
+    return run.selectExpr(
+        f"sha2({key}, 256) as exception_id", "*", f"{sql_assigned_queue()} as assigned_queue",
+        "'OPEN' as disposition", "cast(null as string) as disposition_reason",
+        "cast(null as timestamp) as resolved_ts")
 
 
 def write_register(register: DataFrame, path: str) -> None:

@@ -5,115 +5,109 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitwise.functions.scalars import rate, zero_if_null
+from remitwise.functions.scalars import sql_rate, sql_zero
 from remitwise.schemas import MONEY
 
-_NONE = F.lit(0).cast("long")
+IMPACT = f"cast(sum(abs(amount_impact)) as {MONEY})"
+PAYER = "coalesce(payer_id, 'UNMAPPED')"
 
 
-def _count(c: str):
-    return F.coalesce(F.col(c), _NONE)
+def aggregate(df: DataFrame, *measures: str) -> DataFrame:
+    """Global aggregates given as SQL text."""
+    return df.agg(*[F.expr(m) for m in measures])
 
 
-def impact_total():
-    """Sum of absolute impact."""
-    return F.sum(F.abs("amount_impact")).cast(MONEY)
+def grouped(df: DataFrame, keys: list[str], *measures: str) -> DataFrame:
+    """Aggregates by columns or expressions, all given as SQL text."""
+    return df.groupBy(*[F.expr(k) for k in keys]).agg(*[F.expr(m) for m in measures])
 
 
-def per_check(register: DataFrame) -> DataFrame:
-    """Exceptions, claims and impact per check, checks with findings only."""
-    return register.groupBy("check_id").agg(
-        F.count(F.lit(1)).alias("exceptions_found"),
-        F.count_distinct("claim_id").alias("claims_affected"),
-        impact_total().alias("financial_impact_usd"))
+def sql_count(c: str) -> str:
+    """Count with NULL as zero."""
+    return f"coalesce({c}, 0L)"
 
 
 def dq_summary(register: DataFrame, claim_unique: DataFrame, catalog: DataFrame) -> DataFrame:
     """One row per check, also for checks without findings."""
-    reviewed = claim_unique.agg(F.count(F.lit(1)).alias("claims_reviewed"))
-    found = F.broadcast(per_check(register))  # at most one row per check
-    return (catalog.join(found, "check_id", "left").crossJoin(F.broadcast(reviewed))
-            .select("check_id", "check_name", "dimension", "severity",
-                    _count("exceptions_found").alias("exceptions_found"),
-                    _count("claims_affected").alias("claims_affected"),
-                    zero_if_null("financial_impact_usd").alias("financial_impact_usd"),
-                    rate(_count("exceptions_found"), F.col("claims_reviewed"), 100, 3)
-                    .alias("exception_rate_pct"),
-                    F.when(_count("exceptions_found") == 0, "PASS").otherwise("FAIL")
-                    .alias("result"),
-                    "failure_condition", "escalation"))
+    reviewed = aggregate(claim_unique, "count(*) as claims_reviewed")
+    found = grouped(register, ["check_id"], "count(*) as found",
+                    "count(distinct claim_id) as claims", f"{IMPACT} as impact")
+    found_n = sql_count("found")
+    # `found` has at most one row per check, `reviewed` one row.
+    return (catalog.join(F.broadcast(found), "check_id", "left")
+            .crossJoin(F.broadcast(reviewed))
+            .selectExpr("check_id", "check_name", "dimension", "severity",
+                        f"{found_n} as exceptions_found",
+                        f"{sql_count('claims')} as claims_affected",
+                        f"{sql_zero('impact')} as financial_impact_usd",
+                        f"{sql_rate(found_n, 'claims_reviewed', 100, 3)} as exception_rate_pct",
+                        f"if({found_n} = 0, 'PASS', 'FAIL') as result",
+                        "failure_condition", "escalation"))
 
 
 def control_totals(recon: DataFrame) -> DataFrame:
     """How much of the billed book the remittances account for."""
-    matched = F.col("remit_line_count") > 0
-
-    def total(c):
-        return F.sum(c).cast(MONEY)
-
-    accounted = (zero_if_null("paid_total") + zero_if_null("patient_resp_total")
-                 + zero_if_null("adjustment_total"))
-    return recon.agg(
-        F.count(F.lit(1)).alias("claims_in_scope"),
-        F.count_if(matched).alias("claims_with_remittance"),
-        F.count_if(~matched).alias("claims_without_remittance"),
-        total(zero_if_null("billed_amount")).alias("billed_total"),
-        total(zero_if_null("allowed_total")).alias("allowed_total"),
-        total(zero_if_null("paid_total")).alias("paid_total"),
-        total(zero_if_null("patient_resp_total")).alias("patient_responsibility_total"),
-        total(zero_if_null("adjustment_total")).alias("adjustment_total"),
-        total(zero_if_null("billed_amount") - accounted).alias("unreconciled_variance"),
-        total(F.when(matched, zero_if_null("billed_amount"))).alias("billed_total_adjudicated"),
-        total(F.when(matched, F.col("balance_variance"))).alias("variance_adjudicated"),
-        total(F.when(matched, F.abs("balance_variance"))).alias("abs_variance_adjudicated"))
+    billed, allowed, paid = (sql_zero(c) for c in ("billed_amount", "allowed_total", "paid_total"))
+    patient, adjusted = sql_zero("patient_resp_total"), sql_zero("adjustment_total")
+
+    def total(value: str, name: str, where: str = "true") -> str:
+        return f"cast(sum({value}) filter (where {where}) as {MONEY}) as {name}"
+
+    matched = "remit_line_count > 0"
+    return aggregate(
+        recon,
+        "count(*) as claims_in_scope",
+        f"count(*) filter (where {matched}) as claims_with_remittance",
+        "count(*) filter (where remit_line_count = 0) as claims_without_remittance",
+        total(billed, "billed_total"), total(allowed, "allowed_total"), total(paid, "paid_total"),
+        total(patient, "patient_responsibility_total"), total(adjusted, "adjustment_total"),
+        total(f"{billed} - ({paid} + {patient} + {adjusted})", "unreconciled_variance"),
+        total(billed, "billed_total_adjudicated", matched),
+        total("balance_variance", "variance_adjudicated", matched),
+        total("abs(balance_variance)", "abs_variance_adjudicated", matched))
 
 
 def payer_scorecard(claim_unique: DataFrame, register: DataFrame, payers: DataFrame) -> DataFrame:
     """Claims, exceptions and impact per payer; payers without claims are left out."""
-    payer = F.coalesce("payer_id", F.lit("UNMAPPED")).alias("payer_id")
-    base = claim_unique.groupBy(payer).agg(
-        F.count(F.lit(1)).alias("claims"),
-        F.sum(zero_if_null("billed_amount")).cast(MONEY).alias("billed_total"))
-    found = register.groupBy(payer).agg(
-        F.count(F.lit(1)).alias("exceptions"), impact_total().alias("financial_impact_usd"))
+    base = grouped(claim_unique, [f"{PAYER} as payer_id"], "count(*) as claims",
+                   f"cast(sum({sql_zero('billed_amount')}) as {MONEY}) as billed_total")
+    found = grouped(register, [f"{PAYER} as payer_id"], "count(*) as found",
+                    f"{IMPACT} as impact")
+    found_n = sql_count("found")
     return (base.join(found, "payer_id", "left")
             .join(payers.select("payer_id", "payer_name"), "payer_id", "left")
-            .select("payer_id",
-                    F.coalesce("payer_name", F.lit("Unmapped / unknown payer")).alias("payer_name"),
-                    "claims", "billed_total", _count("exceptions").alias("exceptions"),
-                    zero_if_null("financial_impact_usd").alias("financial_impact_usd"),
-                    rate(_count("exceptions"), F.col("claims"), 1000, 1)
-                    .alias("exceptions_per_1000_claims")))
+            .selectExpr("payer_id",
+                        "coalesce(payer_name, 'Unmapped / unknown payer') as payer_name",
+                        "claims", "billed_total", f"{found_n} as exceptions",
+                        f"{sql_zero('impact')} as financial_impact_usd",
+                        f"{sql_rate(found_n, 'claims', 1000, 1)} as exceptions_per_1000_claims"))
 
 
 def suite_validation(catalog: DataFrame, ledger: DataFrame, register: DataFrame) -> DataFrame:
     """Recall and precision of every check against the planted defects."""
     planted = ledger.select("check_id", "entity_key").distinct()
     reported = register.select("check_id", "entity_key").distinct()
-    injected = ledger.groupBy("check_id").agg(F.count(F.lit(1)).alias("injected"))
-    detected = (reported.filter("entity_key is not null").groupBy("check_id")
-                .agg(F.count(F.lit(1)).alias("detected")))
+    injected = grouped(ledger, ["check_id"], "count(*) as injected")
+    detected = grouped(reported, ["check_id"], "count(entity_key) as detected")
     # An inner join, not `intersect`: a NULL key matches nothing.
-    hits = (planted.join(reported, ["check_id", "entity_key"]).groupBy("check_id")
-            .agg(F.count(F.lit(1)).alias("hits")))
+    hits = grouped(planted.join(reported, ["check_id", "entity_key"]), ["check_id"],
+                   "count(*) as hits")
     scored = catalog
     for part in (injected, detected, hits):
         scored = scored.join(F.broadcast(part), "check_id", "left")  # one row per check
-    planted_n, found_n, hit_n = _count("injected"), _count("detected"), _count("hits")
-    return scored.select(
-        "check_id", "check_name",
-        planted_n.alias("injected_defects"), found_n.alias("detected_exceptions"),
-        hit_n.alias("true_positives"), (planted_n - hit_n).alias("false_negatives"),
-        (found_n - hit_n).alias("false_positives"),
-        rate(hit_n, planted_n, 100, 1).alias("recall_pct"),
-        rate(hit_n, found_n, 100, 1).alias("precision_pct"),
-        F.when((planted_n == hit_n) & (found_n == hit_n), "PASS").otherwise("REVIEW")
-        .alias("suite_result"))
+    planted_n, found_n, hit_n = (sql_count(c) for c in ("injected", "detected", "hits"))
+    return scored.selectExpr(
+        "check_id", "check_name", f"{planted_n} as injected_defects",
+        f"{found_n} as detected_exceptions", f"{hit_n} as true_positives",
+        f"{planted_n} - {hit_n} as false_negatives", f"{found_n} - {hit_n} as false_positives",
+        f"{sql_rate(hit_n, planted_n, 100, 1)} as recall_pct",
+        f"{sql_rate(hit_n, found_n, 100, 1)} as precision_pct",
+        f"if({planted_n} = {hit_n} and {found_n} = {hit_n}, 'PASS', 'REVIEW') as suite_result")
 
 
 def negative_control(exceptions: DataFrame, catalog: DataFrame) -> DataFrame:
     """Findings per check on clean data, where every count must be zero."""
-    found = exceptions.groupBy("check_id").agg(F.count(F.lit(1)).alias("found"))
-    return (catalog.join(F.broadcast(found), "check_id", "left")
-            .select("check_id", _count("found").alias("false_positives"),
-                    F.when(_count("found") == 0, "PASS").otherwise("FAIL").alias("result")))
+    found = grouped(exceptions, ["check_id"], "count(*) as found")
+    return catalog.join(F.broadcast(found), "check_id", "left").selectExpr(
+        "check_id", f"{sql_count('found')} as false_positives",
+        f"if({sql_count('found')} = 0, 'PASS', 'FAIL') as result")
