@@ -362,15 +362,12 @@ CROSSFOOT = {
 }
 # The day an item is due, found by walking the calendar.
 SLA = {
+    "weekday": f"""SELECT d, row_number() OVER (ORDER BY d) AS n FROM (
+        SELECT CAST(unnest(generate_series(DATE '{RUN_TS[:10]}' + 1, DATE '{RUN_TS[:10]}' + 20,
+            INTERVAL 1 DAY)) AS DATE) AS d) t WHERE isodow(d) < 6""",
     "due": f"""SELECT check_id, CASE WHEN sla_business_days = 0
-        THEN TIMESTAMP '{RUN_TS}' + INTERVAL 24 HOUR
-        ELSE (SELECT CAST(max(d) + 1 AS TIMESTAMP) FROM (SELECT d FROM (
-            SELECT CAST(DATE '{RUN_TS[:10]}' + i AS DATE) AS d
-            FROM (SELECT unnest(range(1, 20)) AS i)) WHERE isodow(d) < 6 ORDER BY d)
-            WHERE (SELECT count(*) FROM (SELECT unnest(range(1, 20)) AS j)
-                WHERE DATE '{RUN_TS[:10]}' + CAST(j AS INTEGER) <= d
-                AND isodow(DATE '{RUN_TS[:10]}' + CAST(j AS INTEGER)) < 6) <= sla_business_days)
-        END AS due_ts FROM routing""",
+        THEN TIMESTAMP '{RUN_TS}' + INTERVAL 24 HOUR ELSE CAST(d + 1 AS TIMESTAMP) END AS due_ts
+        FROM routing LEFT JOIN weekday ON n = sla_business_days""",
 }
 
 
@@ -439,8 +436,8 @@ def _oracles() -> dict[str, str]:
         "load_receipt": _chain(receipts, MASTER, feeds()),
         "entry_criteria": _chain(
             f"""SELECT table_name, rows_loaded,
-                CASE table_name WHEN 'payer_reference' THEN 9 WHEN 'cpt_reference' THEN 17 END
-                    AS rows_received,
+                CAST(CASE table_name WHEN 'payer_reference' THEN 9 WHEN 'cpt_reference' THEN 17 END
+                    AS BIGINT) AS rows_received,
                 CASE WHEN rows_loaded = 0 THEN 'EMPTY' WHEN table_name = 'cpt_reference'
                     THEN 'SHORT' ELSE 'MET' END AS criterion FROM ({receipts}) t""",
             MASTER, feeds()),
@@ -501,12 +498,16 @@ def _oracles() -> dict[str, str]:
         "detail": "SELECT 1"})
     out["crossfoot_detail"] = _chain("SELECT * FROM detail", *_REGISTER, CROSSFOOT)
     out["crossfoot_summary"] = _chain(
-        """SELECT check_id, tests, register_count, recomputed_count, difference,
-            CASE WHEN difference = 0 THEN 'AGREE' ELSE 'INVESTIGATE' END AS status FROM (
+        """SELECT check_id, tests, register_count, recomputed_count,
+            CASE WHEN check_id = 'ALL' THEN disagreements ELSE register_count - recomputed_count END
+                AS difference,
+            CASE WHEN CASE WHEN check_id = 'ALL' THEN disagreements
+                ELSE register_count - recomputed_count END = 0 THEN 'AGREE' ELSE 'INVESTIGATE' END
+                AS status FROM (
             SELECT t.check_id, t.tests,
                 (SELECT count(*) FROM reg WHERE reg.check_id = t.check_id) AS register_count,
                 (SELECT count(*) FROM detail WHERE detail.verdict = t.verdict) AS recomputed_count,
-                register_count - recomputed_count AS difference
+                NULL AS disagreements
             FROM (VALUES ('DQ-05', 'NO REMITTANCE (PAID)', 'Claim marked PAID, no remittance line'),
                 ('DQ-06', 'MISMATCH', 'Billed ≠ paid + patient resp + adjustment'),
                 ('DQ-07', 'OVERPAYMENT', 'Paid exceeds the billed charge')) t(check_id, verdict, tests)
@@ -647,7 +648,7 @@ def _oracles() -> dict[str, str]:
         {"o": feeds(False)["o"]})
     out["planted_validation"] = _chain(
         f"""SELECT c.check_id, check_name, n AS injected_defects, n AS detected_exceptions,
-            n AS true_positives, 0 AS false_negatives, 0 AS false_positives,
+            n AS true_positives, 0::BIGINT AS false_negatives, 0::BIGINT AS false_positives,
             CAST(100.0 AS DECIMAL(18,1)) AS recall_pct, CAST(100.0 AS DECIMAL(18,1)) AS precision_pct,
             'PASS' AS suite_result FROM catalog c JOIN (SELECT 'DQ-' ||
                 lpad(CAST(b + 1 AS VARCHAR), 2, '0') AS check_id, count(*) AS n

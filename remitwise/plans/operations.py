@@ -83,7 +83,8 @@ def triage_queue(register: DataFrame, n: int) -> DataFrame:
             .select("assigned_queue", "severity", "check_id", "entity_key", "claim_id",
                     "amount_impact", "finding")
             .withColumn("queue_rank", F.row_number().over(by_queue))
-            .filter(F.col("queue_rank") <= n))
+            .filter(F.col("queue_rank") <= n)
+            .withColumn("queue_rank", F.col("queue_rank").cast("long")))
 
 
 def worklist(register: DataFrame) -> DataFrame:
