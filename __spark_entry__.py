@@ -140,7 +140,7 @@ def _on_audit(query: Callable[[Audit], DataFrame]) -> Callable[[SparkSession, st
 
 
 def _detail(audit: Audit) -> DataFrame:
-    return crossfoot.crossfoot_detail(audit.layer.claim_recon, audit.register)
+    return crossfoot.crossfoot_detail(audit.layer.recon, audit.register)
 
 
 def _routing(audit: Audit) -> DataFrame:
@@ -180,7 +180,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payer_scorecard": _on_audit(Audit.payer_scorecard),
         "suite_validation": _on_audit(Audit.suite_validation),
         "negative_control": _control,
-        "recon_verdict": _on_audit(lambda a: crossfoot.recon_verdict(a.layer.claim_recon)),
+        "recon_verdict": _on_audit(lambda a: crossfoot.recon_verdict(a.layer.recon)),
         "crossfoot_detail": _on_audit(_detail),
         "crossfoot_summary": _on_audit(
             lambda a: crossfoot.crossfoot_summary(_detail(a), a.register)),
@@ -189,9 +189,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             a.register, a.catalog, _routing(a), fixture.AUDIT_DATE)),
         "severity_mix": _on_audit(lambda a: crossfoot.severity_mix(a.register, a.catalog)),
         "payer_scorecard_total": _on_audit(lambda a: crossfoot.payer_scorecard_total(
-            a.layer.claim_recon, a.register, a.layer.payers)),
+            a.layer.recon, a.register, a.layer.payers)),
         "headline": lambda spark, sf_dir: crossfoot.headline(
-            _audit(spark, sf_dir).layer.claim_recon, _audit(spark, sf_dir).register,
+            _audit(spark, sf_dir).layer.recon, _audit(spark, sf_dir).register,
             fixture.claims(spark, sf_dir), fixture.remits(spark, sf_dir)),
         "run_verdict": _on_audit(
             lambda a: operations.run_verdict(a.dq_summary(), a.layer.claim_unique)),
@@ -205,7 +205,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "repeat_defects": _repeat_defects,
         "disposition_violations": _disposition_violations,
         "variance_profile": _on_audit(lambda a: operations.variance_profile(
-            a.layer.claim_recon, a.register, "DQ-08")),
+            a.layer.recon, a.register, "DQ-08")),
         "planted_ledger": lambda spark, sf_dir: _plant(spark, sf_dir)[2],
         "planted_validation": lambda spark, sf_dir: _audit(
             spark, sf_dir, "planted").suite_validation(),

@@ -102,7 +102,7 @@ def claim_rules(params: Params) -> dict[str, Rule]:
              "remit_line_count = 1 and billed_amount > 0 and paid_total > billed_amount",
              overpaid,
              sql_fill("paid {} against a billed charge of {}; overpaid by {} (check {})",
-                      "paid_total", "billed_amount", overpaid, "check_eft_numbers")),
+                      "paid_total", "billed_amount", overpaid, "first_check_eft_number")),
         Rule("DQ-08",
              "remit_line_count = 1 and remit_status_code = '1' and allowed_total > 0 "
              "and expected_allowed_amount > 0 "
@@ -175,7 +175,7 @@ def dq03(layer: Layer, params: Params) -> DataFrame:
     lines = layer.flagged.filter("remit_line_count > 1")
     later = repeats(lines, ["claim_id", "check_eft_number", "paid_amount"],
                     ["remit_id", "payer_id", "line_no"], "remit_id", "line_no",
-                    layer.rows_per_task)
+                    layer.rows_per_task, null_keys=True)
     finding = sql_fill("second posting of claim {} on check {} for {} (original posting {})",
                        "claim_id", "check_eft_number", "paid_amount", "original_remit_id")
     claim = {c: f"claim_{c}"

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from remitwise.functions.scalars import (sql_blank_to_null, sql_money, sql_safe_date,
                                          sql_safe_numeric, sql_sorted_list, sql_zero)
 from remitwise.operators.skew import is_small, lookup, spread_join
-from remitwise.schemas import (CLAIM_COLUMNS, CLAIM_RAW_COLUMNS, MONEY, RECON_COLUMNS,
-                               REMIT_COLUMNS, ROLLUP_COLUMNS, TYPED_CLAIM_COLUMNS)
+from remitwise.schemas import (CLAIM_COLUMNS, CLAIM_RAW_COLUMNS, LIST_COLUMNS, MONEY, RECON_COLUMNS,
+                               REMIT_COLUMNS, TYPED_CLAIM_COLUMNS)
 from remitwise.sources.scratch import scratch_path
 
 _DATES = {"date_of_service", "claim_submit_date", "remit_date"}
@@ -68,8 +68,7 @@ def claim_unique(typed: DataFrame) -> DataFrame:
     return claims_by_id(typed).select(*TYPED_CLAIM_COLUMNS)
 
 
-def remit_by_claim(remits: DataFrame) -> DataFrame:
-    """Remittance lines rolled up to the claim; lines without a claim_id are left out."""
+def _rollup(remits: DataFrame, more: list[str]) -> DataFrame:
     measures = [
         "count(*) as remit_line_count",
         f"cast(sum(allowed_amount) as {MONEY}) as allowed_total",
@@ -79,13 +78,30 @@ def remit_by_claim(remits: DataFrame) -> DataFrame:
         "min(remit_date) as first_remit_date",
         "max(remit_date) as last_remit_date",
         "min(claim_status_code) as remit_status_code",
-        f"{sql_sorted_list('collect_set(carc_code)', ',')} as carc_codes",
-        f"{sql_sorted_list('collect_set(check_eft_number)', ',')} as check_eft_numbers",
+        *more,
     ]
     return (remits.filter("claim_id is not null").groupBy("claim_id")
             .agg(*[F.expr(m) for m in measures]))
 
 
+def remit_totals(remits: DataFrame) -> DataFrame:
+    """The rollup without its lists: the state of a claim has a fixed size, however many lines.
+
+    `first_check_eft_number` is the check of a claim with one line.
+    """
+    return _rollup(remits, ["min(check_eft_number) as first_check_eft_number"])
+
+
+def remit_by_claim(remits: DataFrame) -> DataFrame:
+    """Remittance lines rolled up to the claim; lines without a claim_id are left out.
+
+    The two lists hold every distinct code and check of a claim in one value.
+    """
+    return _rollup(remits, [
+        f"{sql_sorted_list('collect_set(carc_code)', ',')} as carc_codes",
+        f"{sql_sorted_list('collect_set(check_eft_number)', ',')} as check_eft_numbers"])
+
+
 def _balance() -> dict[str, str]:
     """Rollup columns that the join completes."""
     accounted = " + ".join(sql_zero(c) for c in
@@ -104,8 +120,8 @@ def claim_recon(unique: DataFrame, rollup: DataFrame) -> DataFrame:
         *[f"{balance.get(c, c)} as {c}" for c in RECON_COLUMNS])
 
 
-def audit_grain(claims: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Claims (`claims_by_id`) full outer joined to their rollup.
+def audit_grain(claims: DataFrame, totals: DataFrame) -> DataFrame:
+    """Claims (`claims_by_id`) full outer joined to their totals (`remit_totals`).
 
     One join serves the reconciliation and the orphan check: `in_claims` is false for a claim_id
     that only the remittances know. Both sides leave their aggregation hashed on claim_id, so the
@@ -113,7 +129,7 @@ def audit_grain(claims: DataFrame, rollup: DataFrame) -> DataFrame:
     """
     balance = {**_balance(), "in_claims": "coalesce(in_claims, false)",
                "payer_known": "coalesce(payer_known, false)"}
-    joined = claims.withColumn("in_claims", F.lit(True)).join(rollup, "claim_id", "full")
+    joined = claims.withColumn("in_claims", F.lit(True)).join(totals, "claim_id", "full")
     added = [c for c in balance if c not in joined.columns and c != "payer_known"]
     return joined.selectExpr(*[f"{balance.get(c, c)} as {c}" for c in [*joined.columns, *added]])
 
@@ -143,15 +159,21 @@ class Layer:
         return self.claims.select(*TYPED_CLAIM_COLUMNS)
 
     @property
-    def claim_recon(self) -> DataFrame:
-        return self.claims.select(*RECON_COLUMNS)
+    def recon(self) -> DataFrame:
+        """The reconciliation without its lists."""
+        return self.claims.select(*[c for c in RECON_COLUMNS if c not in LIST_COLUMNS])
 
     @property
     def remit_by_claim(self) -> DataFrame:
-        return self.grain.filter("remit_line_count > 0").select("claim_id", *ROLLUP_COLUMNS)
+        return remit_by_claim(self.remits)
+
+    @property
+    def claim_recon(self) -> DataFrame:
+        return claim_recon(self.claim_unique, self.remit_by_claim)
 
 
 def _store(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back: the cut in the lineage of everything after it."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -184,9 +206,10 @@ def build_layer(spark: SparkSession, claims: DataFrame, remits: DataFrame, payer
     known = payers.selectExpr("payer_id", "true as payer_known")
     unique = lookup(claims_by_id(typed_claims(claims)), known, "payer_id", "claim_id",
                     payers_small, rows_per_task)
-    grain = _store(audit_grain(unique, remit_by_claim(lines)), f"{path}/grain")
-    flagged = _store(flagged_lines(lines, grain, payers, payers_small, rows_per_task),
-                     f"{path}/flagged")
+    grain = _store(audit_grain(unique, remit_totals(lines)), f"{path}/grain")
+    # Few lines are flagged, spread over every split: `rebalance` gathers them into full files.
+    flagged = _store(flagged_lines(lines, grain, payers, payers_small, rows_per_task)
+                     .hint("rebalance"), f"{path}/flagged")
     return Layer(grain, lines, flagged, payers, path, rows_per_task)
 
 

@@ -12,31 +12,33 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_ROWS = 100_000
 
 
-def _same(keys: list[str], other: str) -> str:
-    return " and ".join(f"{k} <=> {other}{k}" for k in keys)
+def _same(keys: list[str], other: str, null_keys: bool) -> str:
+    equal = "<=>" if null_keys else "="
+    return " and ".join(f"{k} {equal} {other}{k}" for k in keys)
 
 
 def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], size: str, spread: str,
-                rows_per_task: int | None = None, how: str = "inner") -> DataFrame:
-    """Join `rows` to `facts`, one fact per key, splitting the keys that hold too many rows.
+                rows_per_task: int | None = None, null_keys: bool = False) -> DataFrame:
+    """Inner join of `rows` to `facts`, one fact per key, splitting keys that hold too many rows.
 
     `facts[size]` is the number of rows its key has. A key with more than `rows_per_task` of them
     is cut into parts by the hash of `spread`, a column of `rows` that differs from row to row,
     and its fact is copied to every part. The list of such keys has at most
-    `row count / rows_per_task` entries, so it is broadcast. NULL keys match each other.
+    `row count / rows_per_task` entries, so it is broadcast. With `null_keys`, NULL keys match each
+    other; without it, rows with a NULL key must not be many, since they meet in one task.
     """
     limit = rows_per_task or ROWS_PER_TASK
     parts = f"cast(ceil({size} / {limit}) as int)"
     large = facts.filter(f"{size} > {limit}").selectExpr(
         *[f"{k} as _large_{k}" for k in keys], f"{parts} as _parts")
-    split = rows.join(F.broadcast(large), F.expr(_same(keys, "_large_")), "left").selectExpr(
+    split = rows.join(F.broadcast(large), F.expr(_same(keys, "_large_", null_keys)), "left").selectExpr(
         *rows.columns, f"cast(coalesce(pmod(xxhash64({spread}), _parts), 0) as int) as _part")
     others = [c for c in facts.columns if c not in keys]
     copied = facts.selectExpr(
         *[f"{k} as _fact_{k}" for k in keys], *others,
         f"explode(sequence(0, greatest({parts}, 1) - 1)) as _fact_part")
-    return split.join(copied, F.expr(f"{_same(keys, '_fact_')} and _part = _fact_part"),
-                      how).select(*rows.columns, *others)
+    same = f"{_same(keys, '_fact_', null_keys)} and _part = _fact_part"
+    return split.join(copied, F.expr(same)).select(*rows.columns, *others)
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
@@ -50,17 +52,19 @@ def lookup(rows: DataFrame, dim: DataFrame, key: str, spread: str, broadcast: bo
     """Left join `rows` to a dimension with one row per `key`.
 
     `broadcast` is the outcome of `is_small(dim)`. A dimension too large for that is joined by
-    shuffle, with the row count of each key taken first so that common keys are split.
+    shuffle, with the row count of each key taken first so that common keys are split; keys the
+    dimension does not know, and NULL, are counted and split too.
     """
     if broadcast:
         return rows.join(F.broadcast(dim), key, "left").select(
             *rows.columns, *[c for c in dim.columns if c != key])
-    sized = rows.groupBy(key).agg(F.expr("count(*) as _rows")).join(dim, key)
-    return spread_join(rows, sized, [key], "_rows", spread, rows_per_task, "left").drop("_rows")
+    sized = rows.groupBy(key).agg(F.expr("count(*) as _rows")).join(dim, key, "left")
+    return spread_join(rows, sized, [key], "_rows", spread, rows_per_task,
+                       null_keys=True).drop("_rows")
 
 
 def repeats(rows: DataFrame, keys: list[str], order: list[str], original: str, spread: str,
-            rows_per_task: int | None = None) -> DataFrame:
+            rows_per_task: int | None = None, null_keys: bool = False) -> DataFrame:
     """Every row of a group but its first, with the first row's `original` column attached.
 
     `order` names (nullable ascending, NULL last) the columns that rank a group; the last of them
@@ -73,6 +77,6 @@ def repeats(rows: DataFrame, keys: list[str], order: list[str], original: str, s
     groups = (rows.groupBy(*keys)
               .agg(F.expr(f"min({rank}) as _first"), F.expr("count(*) as _rows"))
               .filter("_rows > 1 and _first is not null"))
-    return (spread_join(rows, groups, keys, "_rows", spread, rows_per_task)
+    return (spread_join(rows, groups, keys, "_rows", spread, rows_per_task, null_keys)
             .filter(f"{rank} <> _first")
             .selectExpr(*rows.columns, f"_first._by_{original} as original_{original}"))

@@ -29,7 +29,7 @@ class Audit:
         return reports.dq_summary(self.register, self.layer.claim_unique, self.catalog)
 
     def control_totals(self) -> DataFrame:
-        return reports.control_totals(self.layer.claim_recon)
+        return reports.control_totals(self.layer.recon)
 
     def payer_scorecard(self) -> DataFrame:
         return reports.payer_scorecard(self.layer.claim_unique, self.register, self.layer.payers)
@@ -56,7 +56,7 @@ class Audit:
         exports.export_reports(self.report_tables(), out)
         exports.export_register(self.register, out)
         exports.export_exceptions(self.register, out)
-        exports.export_recon(self.layer.claim_recon, out)
+        exports.export_recon(self.layer.recon, out)
 
 
 def run_audit(spark: SparkSession, claims: DataFrame, remits: DataFrame, payers: DataFrame,

@@ -36,13 +36,17 @@ def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime)
 
 def write_register(register: DataFrame, path: str) -> None:
     """Replace the runs contained in `register`, keep the other runs in the table."""
-    (register.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id").parquet(path))
+    (register.hint("rebalance").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
 def write_run(register: DataFrame, path: str, run_id: str) -> None:
-    """Replace one run, also when it has no exceptions."""
-    (register.filter(F.col("run_id") == run_id).drop("run_id")
+    """Replace one run, also when it has no exceptions.
+
+    Exceptions are a small share of the rows of every split; `rebalance` gathers them into files of
+    a good size.
+    """
+    (register.filter(F.col("run_id") == run_id).drop("run_id").hint("rebalance")
      .write.mode("overwrite").parquet(f"{path}/run_id={run_id}"))
 
 

@@ -27,6 +27,9 @@ ROLLUP_COLUMNS = [
     "first_remit_date", "last_remit_date", "remit_status_code", "carc_codes", "check_eft_numbers",
 ]
 
+# Rollup columns that list every distinct value of a claim.
+LIST_COLUMNS = ["carc_codes", "check_eft_numbers"]
+
 RECON_COLUMNS = [
     "claim_id", "patient_id", "provider_npi", "facility_id", "payer_id", "payer_name",
     "date_of_service", "claim_submit_date", "cpt_code", "claim_status", "source_system",

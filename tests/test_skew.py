@@ -67,10 +67,28 @@ def test_hot_key_reaches_several_partitions(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_unknown_and_null_dimension_keys_are_split_too(spark):
+    rows = spark.range(900).selectExpr("id", "element_at(array('x', null, 'a'), int(id % 3) + 1) as k")
+    dim = spark.createDataFrame([("a", "A")], "k string, name string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = skew.lookup(rows, dim, "k", "id", broadcast=False, rows_per_task=20)
+        assert joined.columns == ["id", "k", "name"]
+        assert joined.count() == 900 and joined.filter("name = 'A'").count() == 300
+        for key in ("k = 'x'", "k is null", "k = 'a'"):
+            places = joined.filter(key).select(F.spark_partition_id()).distinct().count()
+            assert places > 4, key
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_null_keys_match(spark):
     rows = spark.createDataFrame([(i, None if i < 5 else "a") for i in range(9)], "id int, k string")
     facts = rows.groupBy("k").agg(F.expr("count(*) as n"))
-    assert skew.spread_join(rows, facts, ["k"], "n", "id", 2).count() == 9
+    assert skew.spread_join(rows, facts, ["k"], "n", "id", 2, null_keys=True).count() == 9
+    assert skew.spread_join(rows, facts, ["k"], "n", "id", 2).count() == 4
 
 
 def test_repeats_against_sorting(spark):
@@ -81,7 +99,7 @@ def test_repeats_against_sorting(spark):
     for row in sorted(data, key=lambda r: (r[2] is None, r[2] or 0, r[0])):
         groups.setdefault(row[1], []).append(row)
     want = sorted((r[0], rows[0][0]) for rows in groups.values() for r in rows[1:])
-    got = skew.repeats(df, ["k"], ["v", "id"], "id", "id", rows_per_task=9)
+    got = skew.repeats(df, ["k"], ["v", "id"], "id", "id", rows_per_task=9, null_keys=True)
     assert sorted((r.id, r.original_id) for r in got.collect()) == want
 
 
