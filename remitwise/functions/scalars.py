@@ -80,7 +80,7 @@ def sql_any(conditions: list[str]) -> str:
 
 def sql_sorted_list(c: str, separator: str) -> str:
     """A set as sorted text, NULL for an empty set."""
-    return f"nullif(array_join(array_sort({c}), '{separator}'), '')"
+    return f"nullif(array_join(sort_array({c}), '{separator}'), '')"
 
 
 def blank_to_null(c: str) -> Column:

@@ -41,7 +41,7 @@ def typed_remits(raw: DataFrame) -> DataFrame:
 
 
 def claims_by_id(typed: DataFrame) -> DataFrame:
-    """One row per claim_id: the row kept, and how often and from where the id was received.
+    """One row per claim_id: the row kept, how often the id was received and, if repeated, from where.
 
     The row kept is the first by batch and source (NULL last), then by every other column, so the
     choice does not depend on input order. One aggregation with a map-side combine does both, so
@@ -59,8 +59,8 @@ def claims_by_id(typed: DataFrame) -> DataFrame:
     return grouped.selectExpr(
         "claim_id", *[f"kept.{c} as {c}" for c in TYPED_CLAIM_COLUMNS if c != "claim_id"],
         "occurrences", "max_billed_amount",
-        f"{sql_sorted_list('sources', ', ')} as source_systems",
-        f"{sql_sorted_list('batches', ', ')} as ingest_batches")
+        f"if(occurrences > 1, {sql_sorted_list('sources', ', ')}, null) as source_systems",
+        f"if(occurrences > 1, {sql_sorted_list('batches', ', ')}, null) as ingest_batches")
 
 
 def claim_unique(typed: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ class Layer:
 def _store(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: the cut in the lineage of everything after it."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def flagged_lines(remits: DataFrame, grain: DataFrame, payers: DataFrame, payers_small: bool,

@@ -6,11 +6,21 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remitwise.schemas import EXCEPTION_COLUMNS, QUEUE
 
-REGISTER_COLUMNS = ["exception_id", "run_id", "run_ts", *EXCEPTION_COLUMNS, "assigned_queue",
-                    "disposition", "disposition_reason", "resolved_ts"]
+REGISTER = T.StructType([
+    T.StructField("exception_id", T.StringType()), T.StructField("run_id", T.StringType()),
+    T.StructField("run_ts", T.TimestampType()),
+    *[T.StructField(c, {"date_of_service": T.DateType(), "billed_amount": T.DecimalType(18, 2),
+                        "amount_impact": T.DecimalType(18, 2)}.get(c, T.StringType()))
+      for c in EXCEPTION_COLUMNS],
+    T.StructField("assigned_queue", T.StringType()), T.StructField("disposition", T.StringType()),
+    T.StructField("disposition_reason", T.StringType()),
+    T.StructField("resolved_ts", T.TimestampType()),
+])
+REGISTER_COLUMNS = REGISTER.fieldNames()
 
 
 def sql_assigned_queue(check_id: str = "check_id") -> str:
@@ -52,7 +62,5 @@ def write_run(register: DataFrame, path: str, run_id: str) -> None:
 
 def read_register(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """The register, or one run of it; a run is one partition folder."""
-    register = spark.read.parquet(path).select(
-        *[c if c != "run_id" else F.col("run_id").cast("string").alias("run_id")
-          for c in REGISTER_COLUMNS])
+    register = spark.read.schema(REGISTER).parquet(path).select(*REGISTER_COLUMNS)
     return register if run_id is None else register.filter(F.col("run_id") == run_id)

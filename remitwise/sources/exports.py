@@ -20,9 +20,9 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def export_reports(reports: dict[str, DataFrame], out: str) -> None:
-    """One folder per report; reports are a few rows each, so one file."""
+    """One folder per report, in the order of the report over its files."""
     for name, df in reports.items():
-        _write(df.coalesce(1), f"{out}/{name}")
+        _write(df, f"{out}/{name}")
 
 
 def export_register(register: DataFrame, out: str) -> None:

@@ -11,21 +11,26 @@ from pyspark.sql import types as T
 from remitwise import schemas
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
-    return (spark.read.schema(schema)
+def _csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE",
+         multi_line: bool = False) -> DataFrame:
+    return (spark.read.schema(schema).option("multiLine", multi_line)
             .option("header", True).option("escape", '"').option("nullValue", "")
             .option("emptyValue", "").option("enforceSchema", False).option("mode", mode)
             .csv(path))
 
 
-def read_claims(spark: SparkSession, path: str) -> DataFrame:
-    """Claims extract, every column as text so that bad rows land."""
-    return _csv(spark, path, schemas.CLAIMS)
+def read_claims(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Claims extract, every column as text so that bad rows land.
+
+    `multi_line` allows line breaks inside quotes; such a file is read whole by one task, so keep
+    it off for large files.
+    """
+    return _csv(spark, path, schemas.CLAIMS, multi_line=multi_line)
 
 
-def read_remits(spark: SparkSession, path: str) -> DataFrame:
+def read_remits(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Remittance extract, every column as text."""
-    return _csv(spark, path, schemas.REMITS)
+    return _csv(spark, path, schemas.REMITS, multi_line=multi_line)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -51,6 +51,7 @@ def layer(spark, claims, remits, rows_per_task=None, payers=None):
 
 
 def found(df, *columns):
-    """Sorted rows of the named columns as text."""
-    return sorted(tuple(None if v is None else str(v) for v in row)
-                  for row in df.select(*columns).collect())
+    """Rows of the named columns, or of all, as text in a fixed order."""
+    rows = (df.select(*columns) if columns else df).collect()
+    return sorted((tuple(None if v is None else str(v) for v in row) for row in rows),
+                  key=lambda row: [(v is None, v or "") for v in row])

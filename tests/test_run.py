@@ -10,6 +10,7 @@ from rows import PARAMS, claim, feeds, found, layer, remit
 
 from remitwise import fixture, schemas
 from remitwise.operators.checks import all_exceptions
+from remitwise.operators.layers import open_layer
 from remitwise.plans import crossfoot, operations, register, reports
 from remitwise.plans.audit import run_audit
 from remitwise.sources import exports, landing
@@ -107,6 +108,23 @@ def test_reference_violations(spark):
         ("NOT NULL", "p", "b", "1"), ("UNIQUE", "k", "a", "2")]
 
 
+def test_layer_reopens(spark):
+    rows = layer(spark, CLAIMS, REMITS)
+    again = open_layer(spark, rows.payers, rows.path)
+    assert found(all_exceptions(again, PARAMS)) == found(all_exceptions(rows, PARAMS))
+    assert found(again.claim_recon, "claim_id", "carc_codes", "check_eft_numbers") == [
+        ("C1", "45", "EFT1"), ("C2", "45", "EFT2"), ("C3", None, None), ("C4", "45", "EFT4"),
+        ("C5", "45", "EFT5")]
+    assert again.remit_by_claim.count() == 5 and again.claim_unique.count() == 5
+
+
+def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    row = ",".join('"a\nb"' if c == "payer_name" else "1" for c in schemas.CLAIM_COLUMNS)
+    path.write_text(",".join(schemas.CLAIM_COLUMNS) + "\n" + row + "\n")
+    assert landing.read_claims(spark, str(path), multi_line=True).first().payer_name == "a\nb"
+
+
 def test_crossfoot_without_any_exception(spark):
     rows = layer(spark, [claim(1), claim(2, claim_status="PENDING")], [remit(1)])
     empty = register.exception_register(all_exceptions(rows, PARAMS), "R", NOW)
