@@ -9,7 +9,6 @@ from collections.abc import Callable
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -42,10 +41,10 @@ def _files(spark: SparkSession, sf_dir: str) -> tuple:
 
 def _plant(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Defects planted in a clean book, buckets and draws by the number in the claim_id."""
-    number = F.expr("cast(substr(claim_id, 5) as bigint)")
+    number = "cast(substr(claim_id, 5) as bigint)"
     return planting.plant_defects(
         fixture.claims(spark, sf_dir, False), fixture.remits(spark, sf_dir, False),
-        fixture.AUDIT_DATE, plan=dict.fromkeys(checks.CHECKS, 1), bucket=number % 100,
+        fixture.AUDIT_DATE, plan=dict.fromkeys(checks.CHECKS, 1), bucket=f"{number} % 100",
         draw=number)
 
 

@@ -7,10 +7,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from remitwise.functions.scalars import safe_date, safe_numeric, sql_fill
+from remitwise.functions.scalars import sql_fill, sql_safe_date, sql_safe_numeric
 from remitwise.schemas import CLAIM_COLUMNS, MONEY, REMIT_COLUMNS
 
 # Default share of the book per defect: buckets out of 1,000.
@@ -26,194 +25,170 @@ BAD_CPT = ["", "9921", "ABCDE", "99213A"]
 BAD_ICD10 = ["", "XX999", "E119"]
 BAD_CHARGES = ["0.00", "-125.00"]
 
+# Ledger wording per defect; `{}` is the claim_id.
+NOTES = {
+    "DQ-01": "Exact claim_id re-submitted under a resend batch",
+    "DQ-02": "Duplicate billing fingerprint of {} under a new claim id",
+    "DQ-03": "Second posting of claim {} under the same check/EFT",
+    "DQ-04": "Remittance posted against a claim absent from the claims feed",
+    "DQ-05": "Claim carries PAID status but no remittance line was received",
+    "DQ-06": "Payments no longer balance to the billed amount on claim {}",
+    "DQ-07": "Paid amount exceeds the billed charge on claim {}",
+    "DQ-08": "Allowed amount is more than 10% below the contracted expectation on claim {}",
+    "DQ-09": "Payer id is blank or absent from the payer master",
+    "DQ-10": "Provider NPI fails the 10-digit Luhn standard",
+    "DQ-11": "Temporal integrity break",
+    "DQ-12": "Mandatory field blank or malformed",
+}
+
 
-def hash_bucket(seed: int, buckets: int = BUCKETS) -> Column:
-    """The bucket of a claim, by a hash of its id and the seed."""
-    return F.pmod(F.xxhash64("claim_id", F.lit(seed)), F.lit(buckets))
+def _cents(c: str) -> str:
+    """Amount text as whole cents, so that all arithmetic is on integers."""
+    return f"cast({sql_safe_numeric(c)} * 100 as bigint)"
 
 
-def _pick(values: list[str], draw: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]),
-                        (F.pmod(draw, F.lit(len(values))) + 1).cast("int"))
+def _amount(cents: str) -> str:
+    return f"cast(cast(cast({cents} as decimal(18,0)) / 100 as {MONEY}) as string)"
 
 
-def _between(low: int, high: int, draw: Column) -> Column:
-    return F.lit(low) + F.pmod(draw, F.lit(high - low + 1))
+def _pick(values: list[str], draw: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({draw} % {len(values)} as int) + 1)"
 
 
-def _cents(low: int, high: Column, draw: Column) -> Column:
-    """An amount from `low` cents up to `high`."""
-    room = (high * 100).cast("long") - low + 1
-    return (F.lit(low) + F.pmod(draw, F.greatest(room, F.lit(1)))).cast("decimal(18,0)") / 100
+def _between(low: int, high: int) -> str:
+    """A whole number of days in a range, by the draw."""
+    return f"cast({low} + draw % {high - low + 1} as int)"
 
 
-def _assigned(plan: dict[str, int], bucket: Column) -> Column:
+def _spot(plan: dict[str, int], bucket: str) -> str:
     """The defect of a bucket: the plan's shares laid end to end from bucket 0."""
-    out, start = F.lit(None).cast("string"), 0
+    arms, start = [], 0
     for check_id, share in plan.items():
-        out = F.when((bucket >= start) & (bucket < start + share), check_id).otherwise(out)
+        arms.append(f"when {bucket} between {start} and {start + share - 1} then '{check_id}'")
         start += share
-    return out
+    return f"case {' '.join(arms)} end"
 
 
 def plant_defects(claims: DataFrame, remits: DataFrame, audit_date: dt.date,
                   plan: dict[str, int] | None = None, seed: int = 0,
-                  bucket: Column | None = None, draw: Column | None = None,
+                  bucket: str | None = None, draw: str | None = None,
                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Dirty claims, dirty remittances and the ledger of what was planted.
 
     The inputs are clean landing tables: claim_id unique, at most one line per claim. `plan` gives
-    the number of buckets per check. `bucket` and `draw` are columns over a claim; by default the
+    the number of buckets per check. `bucket` and `draw` are SQL text over a claim; by default the
     bucket is a hash of claim_id and `seed` out of 1,000, and the draw, which chooses the form of
     the defect, another hash. A defect of the payment side is planted on PAID claims with a line.
     """
-    draw = F.xxhash64("claim_id", F.lit(seed), F.lit("draw")) if draw is None else draw
-    spot = _assigned(plan or DEFAULT_PLAN, hash_bucket(seed) if bucket is None else bucket)
-    line = remits.select("claim_id", F.col("remit_id").alias("line_id"),
-                         safe_numeric("paid_amount").alias("line_paid"),
-                         F.lit(True).alias("has_line"))
-    paid = (F.col("claim_status") == "PAID") & F.coalesce("has_line", F.lit(False))
-    billed = safe_numeric("billed_amount")
-    room_up, room_down = F.col("billed") - F.col("line_paid") - 1, F.col("line_paid") - 1
-    fits = {
-        "DQ-03": paid, "DQ-04": paid, "DQ-05": paid,
-        "DQ-06": paid & ((room_up > 2) | (room_down > F.lit(1.5).cast(MONEY))),
-        "DQ-07": paid, "DQ-08": paid & (F.col("expected") > 1),
-    }
-    defect = F.col("spot")
-    for check_id, condition in fits.items():
-        defect = F.when((F.col("spot") == check_id) & ~F.coalesce(condition, F.lit(False)),
-                        F.lit(None)).otherwise(defect)
+    bucket = bucket or f"pmod(xxhash64(claim_id, {seed}), {BUCKETS})"
+    draw = draw or f"xxhash64(claim_id, {seed}, 'draw')"
+    line = remits.selectExpr("claim_id", "remit_id as line_id", "true as has_line",
+                             f"{_cents('paid_amount')} as line_paid")
+    payable = "claim_status = 'PAID' and has_line"
+    # What a claim must offer to take a defect; the others take any claim.
+    fits = f"""case
+        when spot in ('DQ-03', 'DQ-04', 'DQ-05', 'DQ-07') then {payable}
+        when spot = 'DQ-06' then {payable} and (billed - line_paid > 300 or line_paid > 250)
+        when spot = 'DQ-08' then {payable} and expected > 100 else true end"""
     # The form of a temporal defect; a claim without a line cannot have an early remittance.
-    form = F.pmod(F.col("draw"), F.lit(20))
-    timing = (F.when((form < 9) & F.coalesce("has_line", F.lit(False)), "remit")
-              .when((form >= 9) & (form < 15), "submit").otherwise("future"))
-    field = _pick(["cpt_code", "icd10_code", "date_of_service", "billed_amount", "patient_id"],
-                  F.col("draw"))
+    form = f"""case when defect = 'DQ-11' then
+            case when draw % 20 < 9 and has_line then 'remit'
+                 when draw % 20 between 9 and 14 then 'submit' else 'future' end
+        when defect = 'DQ-12' then {_pick(["cpt_code", "icd10_code", "date_of_service",
+                                           "billed_amount", "patient_id"], "draw")} end"""
     marked = (claims.join(line, "claim_id", "left")
-              .withColumn("draw", F.abs(draw % F.lit(1_000_000_007)))
-              .withColumn("spot", spot)
-              .withColumn("billed", billed)
-              .withColumn("expected", safe_numeric("expected_allowed_amount"))
-              .withColumn("dos", safe_date("date_of_service"))
-              .withColumn("submit", safe_date("claim_submit_date"))
-              .withColumn("defect", defect)
-              .withColumn("form", F.when(F.col("defect") == "DQ-11", timing)
-                          .when(F.col("defect") == "DQ-12", field)))
-    return (_dirty_claims(marked, audit_date), _dirty_remits(marked, remits), _ledger(marked))
+              .selectExpr("*", f"{_spot(plan or DEFAULT_PLAN, bucket)} as spot",
+                          f"abs({draw} % 1000000007L) as draw",
+                          f"{_cents('billed_amount')} as billed",
+                          f"{_cents('expected_allowed_amount')} as expected",
+                          f"{sql_safe_date('date_of_service')} as dos",
+                          f"{sql_safe_date('claim_submit_date')} as submit")
+              .selectExpr("*", f"case when {fits} then spot end as defect")
+              .selectExpr("*", f"{form} as form"))
+    return _dirty_claims(marked, audit_date), _dirty_remits(marked, remits), _ledger(marked)
 
 
-def _new_id(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix), c)
+def _changed(rows: DataFrame, columns: list[str], changes: dict[str, str]) -> DataFrame:
+    """`changes` holds the arms of a CASE per column; a row that takes none keeps its value."""
+    return rows.selectExpr(*[f"case {changes[c]} else {c} end as {c}" if c in changes else c
+                             for c in columns])
 
 
 def _dirty_claims(marked: DataFrame, audit_date: dt.date) -> DataFrame:
-    defect, form, draw = F.col("defect"), F.col("form"), F.col("draw")
-    copies = F.when(defect.isin("DQ-01", "DQ-02"), F.array(F.lit(False), F.lit(True))).otherwise(
-        F.array(F.lit(False)))
-    again, other = (F.col("copy") & (defect == check) for check in ("DQ-01", "DQ-02"))
-    npi = F.col("provider_npi")
-    wrong_digit = F.pmod(F.substring(npi, 10, 1).try_cast("int") + 3, F.lit(10)).cast("string")
-    how = F.pmod(draw, F.lit(10))
-    bad_npi = (F.when(how < 4, F.substring(npi, 1, 9))
-               .when(how < 7, F.concat(F.substring(npi, 1, 9), F.lit("X")))
-               .otherwise(F.concat(F.substring(npi, 1, 9), wrong_digit)))
-    change = {
-        "claim_id": F.when(other, _new_id("RB-", F.col("claim_id"))),
-        "encounter_id": F.when(other, _new_id("RB-", F.col("encounter_id"))),
-        "claim_submit_date":
-            F.when(other, F.date_add("submit", _between(1, 6, draw).cast("int")).cast("string"))
-            .when(form == "submit",
-                  F.date_sub("dos", _between(1, 15, draw).cast("int")).cast("string")),
-        "claim_status": F.when(other, "PENDING"),
-        "source_system": F.when(again, "ATHENA_PM"),
-        "ingest_batch_id": F.when(again, F.concat("ingest_batch_id", F.lit("-R"))),
-        "payer_id": F.when(defect == "DQ-09", _pick(BAD_PAYERS, draw)),
-        "payer_name": F.when(defect == "DQ-09", "UNMAPPED"),
-        "provider_npi": F.when(defect == "DQ-10", bad_npi),
-        "date_of_service":
-            F.when(form == "future",
-                   F.date_add(F.lit(audit_date), _between(5, 90, draw).cast("int")).cast("string"))
-            .when(form == "date_of_service", ""),
-        "cpt_code": F.when(form == "cpt_code", _pick(BAD_CPT, F.floor(draw / 5))),
-        "icd10_code": F.when(form == "icd10_code", _pick(BAD_ICD10, F.floor(draw / 5))),
-        "billed_amount": F.when(form == "billed_amount", _pick(BAD_CHARGES, F.floor(draw / 5))),
-        "patient_id": F.when(form == "patient_id", ""),
-    }
-    rows = marked.withColumn("copy", F.explode(copies))
-    return rows.select(*[F.coalesce(change[c], F.col(c)).alias(c) if c in change else F.col(c)
-                         for c in CLAIM_COLUMNS])
+    wrong_digit = "cast(pmod(try_cast(substr(provider_npi, 10, 1) as int) + 3, 10) as string)"
+    nine = "substr(provider_npi, 1, 9)"
+    later = f"cast(date_add(submit, {_between(1, 6)}) as string)"
+    early = f"cast(date_sub(dos, {_between(1, 15)}) as string)"
+    future = f"cast(date_add(date'{audit_date.isoformat()}', {_between(5, 90)}) as string)"
+    again, other = "when again and defect = 'DQ-01' then", "when again and defect = 'DQ-02' then"
+    copies = "explode(if(defect in ('DQ-01', 'DQ-02'), array(false, true), array(false))) as again"
+    return _changed(marked.selectExpr("*", copies), CLAIM_COLUMNS, {
+        "claim_id": f"{other} concat('RB-', claim_id)",
+        "encounter_id": f"{other} concat('RB-', encounter_id)",
+        "claim_submit_date": f"{other} coalesce({later}, claim_submit_date) "
+                             f"when form = 'submit' then {early}",
+        "claim_status": f"{other} 'PENDING'",
+        "source_system": f"{again} 'ATHENA_PM'",
+        "ingest_batch_id": f"{again} concat(ingest_batch_id, '-R')",
+        "payer_id": f"when defect = 'DQ-09' then {_pick(BAD_PAYERS, 'draw')}",
+        "payer_name": "when defect = 'DQ-09' then 'UNMAPPED'",
+        "provider_npi": f"when defect = 'DQ-10' and draw % 10 < 4 then {nine} "
+                        f"when defect = 'DQ-10' and draw % 10 < 7 then concat({nine}, 'X') "
+                        f"when defect = 'DQ-10' then concat({nine}, {wrong_digit})",
+        "date_of_service": f"when form = 'future' then {future} "
+                           "when form = 'date_of_service' then ''",
+        "cpt_code": f"when form = 'cpt_code' then {_pick(BAD_CPT, '(draw div 5)')}",
+        "icd10_code": f"when form = 'icd10_code' then {_pick(BAD_ICD10, '(draw div 5)')}",
+        "billed_amount": f"when form = 'billed_amount' then {_pick(BAD_CHARGES, '(draw div 5)')}",
+        "patient_id": "when form = 'patient_id' then ''",
+    })
 
 
 def _dirty_remits(marked: DataFrame, remits: DataFrame) -> DataFrame:
-    defect, draw = F.col("defect"), F.col("draw")
-    facts = marked.filter("has_line").select("claim_id", "defect", "form", "draw", "billed",
-                                             "expected", "dos")
-    copies = F.when(defect.isin("DQ-03", "DQ-04"), F.array(F.lit(False), F.lit(True))).otherwise(
-        F.array(F.lit(False)))
-    again, ghost = (F.col("copy") & (defect == check) for check in ("DQ-03", "DQ-04"))
-    paid, pr = safe_numeric("paid_amount"), safe_numeric("patient_responsibility")
-    room_up, room_down = F.col("billed") - paid - 1, paid - 1
-    cap = F.lit(95).cast(MONEY)
-    up = _cents(150, F.least(room_up, cap), draw)
-    down = _cents(150, F.least(room_down, cap), draw)
-    go_up = (room_up > 2) & ((room_down <= F.lit(1.5).cast(MONEY)) | (draw % 2 == 0))
-    drifted = F.when(go_up, paid + up).otherwise(paid - down)
-    over = F.col("billed") + _cents(500, F.lit(60).cast(MONEY), draw)
-    cut = F.round(F.col("expected") * _between(72, 88, draw).cast("decimal(3,0)") / 100, 2)
-    kept_pr = F.least(pr, cut)
-
-    def text(c: Column) -> Column:
-        return c.cast(MONEY).cast("string")
-
-    seven, eight = defect == "DQ-07", defect == "DQ-08"
-    change = {
-        "remit_id": F.when(again, _new_id("RP-", F.col("remit_id")))
-        .when(ghost, _new_id("GH-", F.col("remit_id"))),
-        "claim_id": F.when(ghost, _new_id("GH-", F.col("claim_id"))),
-        "ingest_batch_id": F.when(again, F.concat("ingest_batch_id", F.lit("-R"))),
-        "remit_date": F.when(F.col("form") == "remit",
-                             F.date_sub("dos", _between(2, 40, draw).cast("int")).cast("string")),
-        "allowed_amount": F.when(seven, text(over)).when(eight, text(cut)),
-        "paid_amount": F.when(defect == "DQ-06", text(drifted)).when(seven, text(over))
-        .when(eight, text(cut - kept_pr)),
-        "patient_responsibility": F.when(seven, "0.00").when(eight, text(kept_pr)),
-        "contractual_adjustment": F.when(seven, "0.00").when(eight, text(F.col("billed") - cut)),
-    }
-    rows = (remits.join(facts, "claim_id", "left")
-            .filter(~F.coalesce(defect == "DQ-05", F.lit(False)))
-            .withColumn("copy", F.explode(copies)))
-    return rows.select(*[F.coalesce(change[c], F.col(c)).alias(c) if c in change else F.col(c)
-                         for c in REMIT_COLUMNS])
+    """Payments drift by 1.50 to 95.00 inside 0 < paid < billed, overpay by 5.00 to 60.00, or are
+    cut to 72 to 88 % of the expected amount and stay balanced."""
+    facts = marked.filter("defect is not null and has_line").select(
+        "claim_id", "defect", "form", "draw", "billed", "expected", "dos")
 
+    def step(room: str) -> str:
+        return f"150 + draw % greatest(least({room}, 9500) - 149, 1)"
 
-# Ledger wording per defect; the rest of a key is filled in.
-_NOTES = {
-    "DQ-01": "Exact claim_id re-submitted under a resend batch",
-    "DQ-02": "Duplicate billing fingerprint of {} under a new claim id",
-    "DQ-03": "Second posting of claim {} under the same check/EFT",
-    "DQ-04": "Remittance posted against a claim absent from the claims feed",
-    "DQ-05": "Claim carries PAID status but no remittance line was received",
-    "DQ-06": "Payments no longer balance to the billed amount on claim {}",
-    "DQ-07": "Paid amount exceeds the billed charge on claim {}",
-    "DQ-08": "Allowed amount is more than 10% below the contracted expectation on claim {}",
-    "DQ-09": "Payer id is blank or absent from the payer master",
-    "DQ-10": "Provider NPI fails the 10-digit Luhn standard",
-    "DQ-11": "Temporal integrity break",
-    "DQ-12": "Mandatory field blank or malformed",
-}
+    up, down = "(billed - paid - 100)", "(paid - 100)"
+    rises = f"{up} > 200 and ({down} <= 150 or draw % 2 = 0)"
+    copies = "explode(if(defect in ('DQ-03', 'DQ-04'), array(false, true), array(false))) as again"
+    rows = (remits.join(facts, "claim_id", "left")
+            .filter("coalesce(defect, '') <> 'DQ-05'")
+            .selectExpr("*", f"{_cents('paid_amount')} as paid",
+                        f"{_cents('patient_responsibility')} as patient_cents",
+                        "(expected * (72 + draw % 17) + 50) div 100 as cut",
+                        "billed + 500 + draw % 5501 as over")
+            .selectExpr("*", f"if({rises}, paid + ({step(up)}), paid - ({step(down)})) as drifted",
+                        "least(coalesce(patient_cents, 0), cut) as patient_cut", copies))
+    again, ghost = "when again and defect = 'DQ-03' then", "when again and defect = 'DQ-04' then"
+    seven, eight = "when defect = 'DQ-07' then", "when defect = 'DQ-08' then"
+    early = f"cast(date_sub(dos, {_between(2, 40)}) as string)"
+    return _changed(rows, REMIT_COLUMNS, {
+        "remit_id": f"{again} concat('RP-', remit_id) {ghost} concat('GH-', remit_id)",
+        "claim_id": f"{ghost} concat('GH-', claim_id)",
+        "ingest_batch_id": f"{again} concat(ingest_batch_id, '-R')",
+        "remit_date": f"when form = 'remit' then {early}",
+        "allowed_amount": f"{seven} {_amount('over')} {eight} {_amount('cut')}",
+        "paid_amount": f"when defect = 'DQ-06' then {_amount('drifted')} "
+                       f"{seven} {_amount('over')} {eight} {_amount('cut - patient_cut')}",
+        "patient_responsibility": f"{seven} '0.00' {eight} {_amount('patient_cut')}",
+        "contractual_adjustment": f"{seven} '0.00' {eight} {_amount('billed - cut')}",
+    })
 
 
 def _ledger(marked: DataFrame) -> DataFrame:
-    defect, claim = F.col("defect"), F.col("claim_id")
-    note = F.lit(None).cast("string")
-    for check_id, text in _NOTES.items():
-        filled = F.expr(sql_fill(text, "claim_id")) if "{}" in text else F.lit(text)
-        note = F.when(defect == check_id, filled).otherwise(note)
-    key = (F.when(defect == "DQ-02", _new_id("RB-", claim))
-           .when(defect == "DQ-03", _new_id("RP-", F.col("line_id")))
-           .when(defect == "DQ-04", _new_id("GH-", F.col("line_id"))).otherwise(claim))
-    return marked.filter(defect.isNotNull()).select(
-        F.concat(F.lit("INJ-"), claim).alias("defect_ref"), defect.alias("check_id"),
-        F.when(defect.isin("DQ-03", "DQ-04"), "remit").otherwise("claim").alias("entity_type"),
-        key.alias("entity_key"), note.alias("description"))
+    notes = " ".join(
+        f"when '{check_id}' then " + (sql_fill(note, "claim_id") if "{}" in note else f"'{note}'")
+        for check_id, note in NOTES.items())
+    return marked.filter("defect is not null").selectExpr(
+        "concat('INJ-', claim_id) as defect_ref", "defect as check_id",
+        "if(defect in ('DQ-03', 'DQ-04'), 'remit', 'claim') as entity_type",
+        "case defect when 'DQ-02' then concat('RB-', claim_id) "
+        "when 'DQ-03' then concat('RP-', line_id) when 'DQ-04' then concat('GH-', line_id) "
+        "else claim_id end as entity_key",
+        f"case defect {notes} end as description")
