@@ -20,6 +20,7 @@ from remitwise.plans.audit import Audit, run_audit  # noqa: E402
 from remitwise.plans.register import exception_register  # noqa: E402
 from remitwise.schemas import check_catalog, check_routing  # noqa: E402
 from remitwise.sources import landing  # noqa: E402
+from remitwise.sources.scratch import scratch_path  # noqa: E402
 
 PARAMS = checks.Params(fixture.AUDIT_DATE)
 RUN_TS = dt.datetime.fromisoformat(statements.RUN_TS)
@@ -58,7 +59,9 @@ def _audit(spark: SparkSession, sf_dir: str, book: str = "dirty") -> Audit:
         except Exception:  # the scratch folder was emptied
             del _AUDITS[key]
     if book == "planted":
-        claims, remits, ledger = _plant(spark, sf_dir)
+        # As with any feed, the planted book lands before it is audited.
+        claims, remits, ledger = (landing.land(df, scratch_path(spark, "planted"))
+                                  for df in _plant(spark, sf_dir))
     else:
         claims = fixture.claims(spark, sf_dir, book == "dirty")
         remits = fixture.remits(spark, sf_dir, book == "dirty")

@@ -98,8 +98,9 @@ def plant_defects(claims: DataFrame, remits: DataFrame, audit_date: dt.date,
         when defect = 'DQ-12' then {_pick(["cpt_code", "icd10_code", "date_of_service",
                                            "billed_amount", "patient_id"], "draw")} end"""
     marked = (claims.join(line, "claim_id", "left")
-              .selectExpr("*", f"{_spot(plan or DEFAULT_PLAN, bucket)} as spot",
-                          f"abs({draw} % 1000000007L) as draw",
+              .selectExpr("*", f"cast({bucket} as int) as bucket",
+                          f"abs({draw} % 1000000007L) as draw")
+              .selectExpr("*", f"{_spot(plan or DEFAULT_PLAN, 'bucket')} as spot",
                           f"{_cents('billed_amount')} as billed",
                           f"{_cents('expected_allowed_amount')} as expected",
                           f"{sql_safe_date('date_of_service')} as dos",
