@@ -7,18 +7,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Temporary folders of local applications that configure none.
+_LOCAL: dict[str, str] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of `spark.checkpoint.dir`; a local temporary one on a local master only."""
-    conf = spark.sparkContext.getConf()
-    shared = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not conf.get("spark.master", "").startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="remitwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="remitwise-")
+    return _LOCAL[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
