@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -22,6 +23,13 @@ from remitwise.schemas import check_catalog, check_routing  # noqa: E402
 from remitwise.sources import landing  # noqa: E402
 from remitwise.sources.scratch import scratch_path  # noqa: E402
 
+# The only place that tolerates the absence of the training-data operators.
+if importlib.util.find_spec("remitwise.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from remitwise.llm import queries as llm
+else:
+    corpus_pipeline = llm = None
+
 PARAMS = checks.Params(fixture.AUDIT_DATE)
 RUN_TS = dt.datetime.fromisoformat(statements.RUN_TS)
 AS_OF = dt.datetime.fromisoformat(statements.AS_OF)
@@ -212,9 +220,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "planted_validation": lambda spark, sf_dir: _audit(
             spark, sf_dir, "planted").suite_validation(),
     }
+    if llm:
+        out |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB statement for each query."""
-    return dict(statements.ORACLE)
+    out = dict(statements.ORACLE)
+    if llm:
+        out |= llm.ORACLE
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
