@@ -33,7 +33,7 @@ from remitwise.llm.common import PairTable, pick, ragged, runs, steps, texts_of
 MARK = "▁"
 NEVER = np.int32(2**31 - 1)
 # Words whose ids a process keeps; beyond that it starts anew.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 # Longer words take the scalar agenda, whose cost is n log n.
 BLOCK_WORD = 48
 
