@@ -71,7 +71,7 @@ select conv_id, count(*) as n_turns,
   cast(sum(length('<|im_start|>') + length(role) + 1
     + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))
     + length('<|im_end|>') + 1) as bigint) as formatted_chars
-from turns group by conv_id""".replace("\\\\", "\\"),
+from turns group by conv_id""",
     "op8_url_filter": r"""
 with rules(rule, verdict) as (values ('net/', 'block'), ('example.net/en/', 'allow'),
   ('example.com/de/', 'block'), ('org/fr/', 'allow')),
