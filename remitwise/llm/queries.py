@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitwise.llm import chat, pieces, tokens, topk, urls
+from remitwise.llm import chat, language, mixing, pieces, quality, tokens, topk, urls
 from remitwise.llm.common import table
 
 
@@ -22,6 +22,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -45,15 +53,90 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_mix_sources": op2_mix_sources,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_chat_format": op4_chat_format,
     "op5_token_counts": op5_token_counts,
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_quality_rules": r"""
+with docs as (
+  select doc_id, lang, source, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+places as (
+  select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from docs),
+windows as (
+  select doc_id, i, [word, lead(word, 1) over o, lead(word, 2) over o, lead(word, 3) over o,
+    lead(word, 4) over o] as k, lead(i, 4) over o as last
+  from places window o as (partition by doc_id order by i)),
+repeated as (
+  select doc_id, i from windows where last is not null
+  qualify count(*) over (partition by doc_id, k) > 1),
+covered as (
+  select doc_id, count(distinct i + d) as n
+  from repeated, (select unnest(range(5)) as d) group by doc_id),
+lines as (
+  select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+  from (select doc_id, unnest(string_split(text, chr(10))) as line from docs)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+base as (
+  select d.doc_id, lang, source, len(w) as n_words,
+    coalesce(cast(length(array_to_string(w, '')) as bigint), 0) as word_chars,
+    cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(c.n, 0) as n_repeat_words
+  from docs d left join lines using (doc_id) left join covered c using (doc_id)),
+rated as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    n_symbols * 1000 // nullif(word_chars, 0) as symbol_rate,
+    n_dup_lines * 1000 // nullif(n_lines, 0) as dup_line_rate,
+    word_chars * 100 // nullif(n_words, 0) as word_size
+  from base),
+rates as (
+  unpivot (select lang, source, cast(symbol_rate as bigint) as symbol_rate,
+             cast(dup_line_rate as bigint) as dup_line_rate, cast(word_size as bigint) as word_size
+           from rated where not base_failed)
+  on symbol_rate, dup_line_rate, word_size into name rate value v),
+-- The largest value of the bucket: all but the six leading bits of a number are set.
+bucketed as (
+  select lang, source, rate, (((v >> s) + 1) << s) - 1 as top
+  from (select *, cast(greatest(length(bin(v)) - 6, 0) as bigint) as s from rates)),
+levels as (
+  select 0 as level, lang, source, rate, top from bucketed
+  union all select 1, lang, null, rate, top from bucketed
+  union all select 2, null, null, rate, top from bucketed),
+quantiles as (
+  select level, lang, source, rate, count(*) as total,
+    quantile_disc(top, 0.1) as q10, quantile_disc(top, 0.5) as q50, quantile_disc(top, 0.9) as q90
+  from levels group by level, lang, source, rate),
+fences as (
+  select level, lang, source, max(total) as total,
+    max(q90 + 3 * (q90 - q50) + 40) filter (rate = 'symbol_rate') as symbol_hi,
+    max(q90 + 3 * (q90 - q50) + 400) filter (rate = 'dup_line_rate') as dup_hi,
+    max(q90 + 3 * (q90 - q50) + 200) filter (rate = 'word_size') as size_hi,
+    max(q10 - 3 * (q50 - q10) - 200) filter (rate = 'word_size') as size_lo
+  from quantiles group by level, lang, source),
+chosen as (
+  select r.*, f.symbol_hi, f.dup_hi, f.size_hi, f.size_lo
+  from rated r left join fences f on (f.level = 2 or f.lang is not distinct from r.lang)
+    and (f.level > 0 or f.source is not distinct from r.source)
+    and (f.level = 2 or f.total >= 100)
+  qualify row_number() over (partition by r.doc_id order by f.level) = 1)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and symbol_rate <= symbol_hi and dup_line_rate <= dup_hi
+    and word_size <= size_hi and word_size >= size_lo as kept
+from chosen""",
     "op4_chat_format": r"""
 with turns as (
   select conv_id, turn, role as by_role, text as by_text, coalesce(role, '') as role,
