@@ -119,3 +119,30 @@ class PairTable:
             out[todo] = self.values[slot[todo]]
             todo = todo[(out[todo] >= 0) & (self.keys[slot[todo]] != keys[todo])]
         return out.reshape(shape)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Regroup batches that are sorted by `key` (no nulls) so that none ends inside a group."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.get_field_index(key))
+        last = pc.equal(keys, keys[batch.num_rows - 1]).index(True).as_py()
+        if held and not held[-1].column(key)[held[-1].num_rows - 1].equals(keys[0]):
+            yield pa.concat_batches(held)
+            held = []
+        if last:
+            yield pa.concat_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def group_cuts(column: pa.Array) -> np.ndarray:
+    """Where the groups of a sorted column without nulls begin, and its length."""
+    if not len(column):
+        return np.zeros(1, np.int64)
+    changed = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.flatnonzero(changed) + 1, [len(column)]])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitwise.llm import chat, language, mixing, pieces, quality, tokens, topk, urls
+from remitwise.llm import chat, language, mixing, neardup, pieces, quality, tokens, topk, urls
 from remitwise.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         turns.select("conv_id", "turn", "role", "text").unionByName(hostile)))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark, urls.RULES))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_chat_format": op4_chat_format,
     "op5_token_counts": op5_token_counts,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
@@ -155,6 +160,36 @@ select conv_id, count(*) as n_turns,
     + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))
     + length('<|im_end|>') + 1) as bigint) as formatted_chars
 from turns group by conv_id""",
+    "op6_near_duplicates": r"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [w]
+    else list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) end) as s
+  from docs),
+-- Documents of one set are linked with the first of them.
+first as (
+  select s, min(doc_id) as doc_id, len(s) as n from sets where len(s) > 0 group by s),
+shingles as (select doc_id, n, unnest(s) as k from first),
+shared as (
+  select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as c
+  from shingles a join shingles b on a.k = b.k and a.doc_id < b.doc_id
+  where 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id),
+links as (
+  select a, b from shared where 100 * c >= 85 * (na + nb - c)
+  union all select b, a from shared where 100 * c >= 85 * (na + nb - c)),
+reach as (
+  select doc_id as a, doc_id as b from first
+  union
+  select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a as doc_id, min(b) as component_id from reach group by a)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles,
+  coalesce(component_id, s.doc_id) as component_id,
+  s.doc_id = coalesce(component_id, s.doc_id) as kept
+from sets s left join first f on f.s = s.s left join least l on l.doc_id = f.doc_id""",
     "op8_url_filter": r"""
 with rules(rule, verdict) as (values ('net/', 'block'), ('example.net/en/', 'allow'),
   ('example.com/de/', 'block'), ('org/fr/', 'allow')),
