@@ -150,10 +150,10 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 0) -> dict[
 
 
 def predict(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DIMENSIONS,
-            seed: int = 0, key: str = "doc_id") -> DataFrame:
-    """(key, lang_pred, score) of every whole text; a map over the rows."""
-    rows = pick(docs, key, "text")
-    kind = rows.schema[0].dataType.simpleString()
+            seed: int = 0, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(columns to carry, lang_pred, score) of every whole text; a map over the rows."""
+    rows = pick(docs, *carry, *({"text"} - set(carry)))
+    kinds = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in carry)
     names = np.array([*model, UNKNOWN])
     prototypes = np.array([*model.values()]).reshape(len(model), dimensions).astype(np.float32)
 
@@ -163,7 +163,7 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DIM
             for step in steps(batch, "text"):
                 best = np.full(step.num_rows, len(names) - 1)
                 score = np.zeros(step.num_rows)
-                for row, found, count in own.counted(step.column(1)):
+                for row, found, count in own.counted(step.column("text")):
                     bundle = count.astype(np.float32) @ own.vectors[found].astype(np.float32)
                     size = np.linalg.norm(bundle)
                     if len(prototypes) and size:
@@ -171,10 +171,11 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DIM
                         best[row] = int(cosine.argmax())
                         score[row] = min(1.0, max(0.0, float(cosine[best[row]])))
                 yield pa.RecordBatch.from_arrays(
-                    [step.column(0), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
-                    [key, "lang_pred", "score"])
+                    [*(step.column(c) for c in carry),
+                     pa.array(names[best].tolist(), pa.string()), pa.array(score)],
+                    [*carry, "lang_pred", "score"])
 
-    return rows.mapInArrow(work, f"`{key}` {kind}, lang_pred string, score double")
+    return rows.mapInArrow(work, f"{kinds}lang_pred string, score double")
 
 
 HELD_OUT = "coalesce(crc32(cast(doc_id as string)) % 3 = 1, false)"

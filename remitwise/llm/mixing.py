@@ -14,7 +14,7 @@ weight; a source whose share is above `CAP` times its size gets that, and what i
 the others, until none is above.
 
 Null text or no words: size 0, nothing taken. Null source: a source of its own, last in order.
-Repeated rows are separate documents (a row number within equal rows tells them apart). Sources
+Repeated rows are separate documents. Sources
 without words have the target 0. Extra columns are ignored; an empty table gives no rows.
 """
 
@@ -34,14 +34,17 @@ GAPS = r"[\x20\x09-\x0D]+"
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, copy): words of every text; `copy` numbers equal rows."""
+    """(doc_id, source, text_hash, size, copy): words of every text.
+
+    `copy` tells the rows of one doc_id apart, equal ones too.
+    """
     rows = pick(docs, "doc_id", "source", "text").selectExpr(
-        "doc_id", "source", f"cast(size(array_remove(split(coalesce(text, ''), r'{GAPS}'), ''))"
-        " as bigint) as size")
+        "doc_id", "source", "xxhash64(text) as text_hash",
+        f"cast(size(array_remove(split(coalesce(text, ''), r'{GAPS}'), '')) as bigint) as size")
     # Counting first keeps a row that is repeated without end out of any one task.
-    counted = rows.groupBy("doc_id", "source", "size").agg(F.expr("count(*) as rows"))
-    return counted.selectExpr("doc_id", "source", "size",
-                              "explode(sequence(1L, rows)) as copy")
+    counted = rows.groupBy("doc_id", "source", "text_hash", "size").agg(F.expr("count(*) as rows"))
+    return counted.selectExpr("*", "explode(sequence(1L, rows)) as nth").selectExpr(
+        "doc_id", "source", "text_hash", "size", "xxhash64(source, text_hash, size, nth) as copy")
 
 
 def ranked(groups: DataFrame, key: str) -> DataFrame:
@@ -166,22 +169,38 @@ def rounded(masses: DataFrame, seed: int = 0, block: int = BLOCK, unit: int = UN
 
 def mix(docs: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
         block: int = BLOCK) -> DataFrame:
-    """(doc_id, copy, size, source_size, target, copies) of every row of the documents."""
+    """(doc_id, source, text_hash, copy, size, source_size, target, copies) of every row."""
     sized = land(sizes(docs), "sizes")
     goals = land(targets(sized, weights, cap), "targets")
     rate = "if(source_size = 0, 0D, target / source_size)"
     planned = spread_join(sized, goals, ["source"], "docs", "doc_id", null_keys=True).selectExpr(
-        "doc_id", "copy", "source", "size", "source_size", "target",
+        "doc_id", "copy", "source", "text_hash", "size", "source_size", "target",
         f"cast(round({rate} * {UNIT}) as bigint) as mass")
     planned = land(planned, "planned")
     more = rounded(planned.selectExpr("doc_id", "copy", "source", "size", f"mass % {UNIT} as mass")
                    .filter("size > 0"), seed, block)
     one = more.selectExpr("doc_id as m_doc", "copy as m_copy")
     return planned.join(one, F.expr("doc_id <=> m_doc and copy = m_copy"), "left").selectExpr(
-        "doc_id", "copy", "source", "size", "source_size", "target",
+        "doc_id", "copy", "source", "text_hash", "size", "source_size", "target",
         f"mass div {UNIT} + if(m_copy is null, 0, 1) as copies")
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     return mix(docs).selectExpr("doc_id", "size", "source_size", "target", "copies * size as taken")
+
+
+def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """All columns of the documents as often as the mix takes them."""
+    plan = (mix(docs, seed).groupBy("doc_id", "source", "text_hash")
+            .agg(F.expr("sum(copies) as total")).filter("total > 0")
+            .toDF("plan_id", "plan_source", "plan_hash", "plan_total"))
+    columns = [f"_{i}" for i in range(len(docs.columns))]
+    at = {name: columns[docs.columns.index(name)] for name in ("doc_id", "source", "text")}
+    keys = ["plan_id", "plan_source", "plan_hash"]
+    return (docs.toDF(*columns).withColumn("own_hash", F.xxhash64(at["text"]))
+            .join(plan, F.expr(f"{at['doc_id']} <=> plan_id and {at['source']} <=> plan_source "
+                               "and own_hash = plan_hash"))
+            .dropDuplicates(keys)
+            .selectExpr(*columns, "explode(sequence(1L, plan_total)) as nth")
+            .select(*columns).toDF(*docs.columns))

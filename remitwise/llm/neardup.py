@@ -112,15 +112,15 @@ def fingerprint(shingles: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, fp, sig) of every whole text; fp and sig are null without a set."""
-    rows = pick(docs, "doc_id", "text")
+    """(doc_id, text_hash, n_shingles, fp, sig) of every whole text; no set: no fp, no sig."""
+    rows = pick(docs, "doc_id", "text").selectExpr("doc_id", "xxhash64(text) as text_hash", "text")
     kind = rows.schema[0].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = odd_numbers(COORDINATES, 2)
         for batch in batches:
             for step in steps(batch, "text"):
-                sets = shingle_sets(step.column(1))
+                sets = shingle_sets(step.column(2))
                 size = np.array([len(s) for s in sets])
                 full = np.flatnonzero(size)
                 sig = np.zeros((len(full), COORDINATES), np.uint32)
@@ -132,14 +132,15 @@ def signatures(docs: DataFrame) -> DataFrame:
                         sig[:, c] = (least >> np.uint64(32)).astype(np.uint32)
                 lengths = np.where(size > 0, COORDINATES, 0)
                 yield pa.RecordBatch.from_arrays([
-                    step.column(0), pa.array(size.astype(np.int64)),
+                    step.column(0), step.column(1), pa.array(size.astype(np.int64)),
                     pa.array([fingerprint(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)),
                         pa.array(sig.view(np.int32).ravel())),
-                ], ["doc_id", "n_shingles", "fp", "sig"])
+                ], ["doc_id", "text_hash", "n_shingles", "fp", "sig"])
 
-    return rows.mapInArrow(work, f"doc_id {kind}, n_shingles bigint, fp binary, sig array<int>")
+    return rows.mapInArrow(work, f"doc_id {kind}, text_hash bigint, n_shingles bigint, fp binary, "
+                                 "sig array<int>")
 
 
 # -- the trees --------------------------------------------------------------------------------
@@ -365,7 +366,7 @@ def dense_rest(large: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document."""
+    """doc_id, n_shingles, component_id, kept and text_hash, a hash of the text, of every document."""
     signed = land(signatures(docs), "signatures")
     members = land(
         signed.filter("fp is not null").groupBy("fp").agg(
@@ -389,9 +390,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "fp", "copies", "rep", "coalesce(root, fp) as root")
     least = named.groupBy("root").agg(F.expr("min(rep) as component_id"), F.expr("count(*) as n"))
     facts = spread_join(named, least, ["root"], "n", "fp").select("fp", "copies", "component_id")
-    narrow = signed.select("doc_id", "n_shingles", "fp")
+    narrow = signed.select("doc_id", "n_shingles", "fp", "text_hash")
     joined = spread_join(narrow.filter("fp is not null"), facts, ["fp"], "copies", "doc_id")
     return joined.selectExpr(
-        "doc_id", "n_shingles", "component_id", "doc_id <=> component_id as kept").unionByName(
-        narrow.filter("fp is null").selectExpr(
-            "doc_id", "n_shingles", "doc_id as component_id", "true as kept"))
+        "doc_id", "n_shingles", "component_id", "doc_id <=> component_id as kept", "text_hash"
+    ).unionByName(narrow.filter("fp is null").selectExpr(
+        "doc_id", "n_shingles", "doc_id as component_id", "true as kept", "text_hash"))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """All columns of the documents that stay: one of each component, one of repeated rows."""
+    kept = near_duplicates(docs).filter("kept").selectExpr(
+        "doc_id as kept_id", "text_hash as kept_hash").distinct()
+    columns = [f"_{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*columns)
+    key = columns[docs.columns.index("doc_id")]
+    text = columns[docs.columns.index("text")]
+    return (plain.withColumn("own_hash", F.xxhash64(text))
+            .join(kept, F.expr(f"{key} <=> kept_id and own_hash = kept_hash"))
+            .dropDuplicates(["kept_id", "kept_hash"]).select(*columns).toDF(*docs.columns))

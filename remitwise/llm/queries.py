@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitwise.llm import chat, language, mixing, neardup, pieces, quality, tokens, topk, urls
+from remitwise.llm import chat, language, mixing, neardup, pieces, quality, surrogates, tokens, topk, urls
 from remitwise.llm.common import table
 
 
@@ -46,7 +46,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymised(table(spark, sf_dir, "documents"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": op4_chat_format,
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_pii_surrogates": op7_pii_surrogates,
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
