@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from remitwise.llm.common import pick, ragged, steps, texts_of
+from remitwise.llm.common import map_batches, pick, ragged, steps, texts_of
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 LEARNED = "assistant"
@@ -107,7 +107,7 @@ def format_chats(turns: DataFrame, learned: str = LEARNED) -> DataFrame:
                 ], ["conv_id", "part", "formatted", "loss_start", "loss_end"])
                 part += len(first)
 
-    return dealt.mapInArrow(work, f"conv_id {kind}, part bigint, formatted string, "
+    return map_batches(dealt, work, f"conv_id {kind}, part bigint, formatted string, "
                                   "loss_start array<bigint>, loss_end array<bigint>")
 
 
@@ -160,5 +160,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def closed(conv: object, state: list) -> tuple:
         return (conv, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])
 
-    return dealt.mapInArrow(work, f"conv_id {kind}, n_turns bigint, turns_sha256 string, "
+    return map_batches(dealt, work, f"conv_id {kind}, n_turns bigint, turns_sha256 string, "
                                   "loss_chars bigint, loss_sha256 string, formatted_chars bigint")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+import remitwise
 from remitwise.sources.scratch import scratch_path
 
 # Text bytes that one step of a batch operator works on. A longer text is a step of its own.
@@ -33,6 +37,34 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Applications whose executors have the package.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package as an archive, as `--py-files` does; Spark serves the file."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    folder = os.path.dirname(os.path.abspath(remitwise.__file__))
+    with tempfile.TemporaryDirectory() as own:
+        source = shutil.copytree(folder, f"{own}/code/remitwise",
+                                 ignore=shutil.ignore_patterns("__pycache__"))
+        archive = shutil.make_archive(f"{own}/remitwise", "zip", os.path.dirname(source))
+        # Kept by the driver for executors that start later.
+        kept = f"{tempfile.mkdtemp(prefix='remitwise-code-')}/remitwise.zip"
+        shutil.copyfile(archive, kept)
+    context.addPyFile(kept)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: str) -> DataFrame:
+    """`mapInArrow` on executors that have this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

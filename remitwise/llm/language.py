@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from remitwise.llm.common import PairTable, pick, steps
+from remitwise.llm.common import PairTable, map_batches, pick, steps
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -141,7 +141,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 0) -> dict[
                 [pa.array([lang] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)),
                  pa.array(bundle)], ["lang", "place", "value"])
 
-    summed = (rows.mapInArrow(work, "lang string, place int, value bigint")
+    summed = (map_batches(rows, work, "lang string, place int, value bigint")
               .groupBy("lang", "place").sum("value"))
     model: dict[str, np.ndarray] = {}
     for lang, place, value in summed.collect():  # languages x dimensions
@@ -175,7 +175,7 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DIM
                      pa.array(names[best].tolist(), pa.string()), pa.array(score)],
                     [*carry, "lang_pred", "score"])
 
-    return rows.mapInArrow(work, f"{kinds}lang_pred string, score double")
+    return map_batches(rows, work, f"{kinds}lang_pred string, score double")
 
 
 HELD_OUT = "coalesce(crc32(cast(doc_id as string)) % 3 = 1, false)"

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitwise.llm.common import PairTable, pick, ragged, runs, steps, texts_of
+from remitwise.llm.common import PairTable, map_batches, pick, ragged, runs, steps, texts_of
 
 MARK = "▁"
 NEVER = np.int32(2**31 - 1)
@@ -336,7 +336,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), words.encode(part.column(1), verify)], [key, "ids"])
 
-    return rows.mapInArrow(work, f"`{key}` {kind}, ids array<int>")
+    return map_batches(rows, work, f"`{key}` {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -352,7 +352,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, words.decode(ids)], [*part.schema.names, "decoded"])
 
-    return encoded.mapInArrow(work, f"{kinds}, decoded string")
+    return map_batches(encoded, work, f"{kinds}, decoded string")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitwise.llm.common import land, pick, steps
+from remitwise.llm.common import land, map_batches, pick, steps
 from remitwise.operators.skew import spread_join
 
 KEY = b"change me"
@@ -249,7 +249,7 @@ def mentions(docs: DataFrame) -> DataFrame:
                      pa.array(kinds, pa.string()), pa.array(normals, pa.string())],
                     ["doc_id", "kind", "normal"])
 
-    return rows.mapInArrow(work, f"doc_id {id_type}, kind string, normal string")
+    return map_batches(rows, work, f"doc_id {id_type}, kind string, normal string")
 
 
 def drawn(entities: DataFrame, key: bytes) -> DataFrame:
@@ -262,8 +262,8 @@ def drawn(entities: DataFrame, key: bytes) -> DataFrame:
                 [*batch.columns, pa.array([surrogate(key, *r) for r in rows], pa.string())],
                 ["kind", "normal", "attempt", "own"])
 
-    return entities.select("kind", "normal", "attempt").mapInArrow(
-        work, "kind string, normal string, attempt int, own string")
+    return map_batches(entities.select("kind", "normal", "attempt"), work,
+                       "kind string, normal string, attempt int, own string")
 
 
 def assigned(entities: DataFrame, key: bytes) -> DataFrame:
@@ -324,4 +324,4 @@ def pseudonymised(docs: DataFrame, key: bytes = KEY, carry: tuple[str, ...] = ()
                     [step.column(0), column, *(step.column(c) for c in carry),
                      pa.array(counts, pa.int64())], ["doc_id", "text", *carry, "n_entities"])
 
-    return rows.mapInArrow(work, f"{kinds}, n_entities bigint")
+    return map_batches(rows, work, f"{kinds}, n_entities bigint")

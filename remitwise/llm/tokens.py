@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from remitwise.llm.common import PairTable, pick, runs, steps
+from remitwise.llm.common import PairTable, map_batches, pick, runs, steps
 
 MEMO_PAIRS = 4_000_000
 MEMO_WORDS = 300_000
@@ -344,5 +344,5 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, key: str = "doc_i
                     [part.column(0), size, pa.array(count), pa.array(count > limit)],
                     [key, "n_bytes", "n_tokens", "over_limit"])
 
-    return rows.mapInArrow(
-        work, f"`{key}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return map_batches(
+        rows, work, f"`{key}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")

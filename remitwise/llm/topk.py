@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitwise.llm.common import land, pick
+from remitwise.llm.common import land, pick, ship
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 8192
 # Components per segment, coarse to fine.
@@ -140,6 +140,7 @@ def top_k(table: DataFrame, query: str = "vec_id % 20 = 0", k: int = 20,
                                  matrix(right.column("v"), size), k)
         return pa.table([ids[row].astype(np.int64), other[place].astype(np.int64), score], names)
 
+    ship(table.sparkSession)
     found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(
         work, "query_id bigint, vec_id bigint, score bigint")
     ranked = found.selectExpr(
