@@ -16,7 +16,7 @@ import remitwise
 from remitwise.sources.scratch import scratch_path
 
 # Text bytes that one step of a batch operator works on. A longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:

@@ -33,7 +33,7 @@ from remitwise.llm.common import PairTable, map_batches, pick, ragged, runs, ste
 MARK = "▁"
 NEVER = np.int32(2**31 - 1)
 # Words whose ids a process keeps; beyond that it starts anew.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 # Longer words take the scalar agenda, whose cost is n log n.
 BLOCK_WORD = 48
 
@@ -355,10 +355,26 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return map_batches(encoded, work, f"{kinds}, decoded string")
 
 
+def coded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
+          verify: bool = True) -> DataFrame:
+    """(key, ids, decoded): `encode` and `decode` in one pass, with one process per task."""
+    rows = pick(docs, key, text)
+    kind = rows.schema[0].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        for batch in batches:
+            for part in steps(batch, text):
+                ids = words.encode(part.column(1), verify)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), ids, words.decode(ids)], [key, "ids", "decoded"])
+
+    return map_batches(rows, work, f"`{key}` {kind}, ids array<int>, decoded string")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    coded = decode(encode(docs, path), path)
-    return coded.select(
+    return coded(docs, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
