@@ -33,7 +33,7 @@ from remitwise.llm.common import PairTable, map_batches, pick, ragged, runs, ste
 MARK = "▁"
 NEVER = np.int32(2**31 - 1)
 # Words whose ids a process keeps; beyond that it starts anew.
-MEMO_WORDS = 100_000
+MEMO_WORDS = 250_000
 # Longer words take the scalar agenda, whose cost is n log n.
 BLOCK_WORD = 48
 
@@ -239,7 +239,7 @@ class Vocabulary:
         cuts = np.append(np.flatnonzero(start), len(data))
         words = runs(data, cuts)
         distinct = words.dictionary.to_pylist()
-        if len(self.memo) + len(distinct) > MEMO_WORDS:
+        if len(self.memo) > MEMO_WORDS:
             self.forget()
         new = [w for w in distinct if w not in self.memo]
         if new:
