@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -17,6 +18,8 @@ from remitwise.sources.scratch import scratch_path
 
 # Text bytes that one step of a batch operator works on. A longer text is a step of its own.
 STEP_BYTES = 2 << 20
+# Rows of an Arrow batch, unless the session sets another number than Spark's default.
+BATCH_ROWS = 1000
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -44,6 +47,9 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Give the executors this package as an archive, as `--py-files` does; Spark serves the file."""
     context = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        # The default of 10,000 whole texts per batch takes too much memory in both processes.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId in _SHIPPED:
         return
     folder = os.path.dirname(os.path.abspath(remitwise.__file__))
@@ -60,9 +66,25 @@ def ship(spark: SparkSession) -> None:
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
-    """`mapInArrow` on executors that have this package."""
+    """`mapInArrow` on executors that have this package.
+
+    Python processes outlive a task, so each gives unused memory back before it waits for the next.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        release()
+
+    return df.mapInArrow(lean, schema)
+
+
+def release() -> None:
+    """Return freed memory of this process to the machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,12 +26,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from remitwise.llm.common import PairTable, map_batches, pick, steps
+from remitwise.llm.common import STEP_BYTES, PairTable, map_batches, pick, steps
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
 # Trigrams whose vectors a process keeps; beyond that it starts anew.
-MEMO_TRIGRAMS = 60_000
+MEMO_TRIGRAMS = 25_000
 # No text holds lone surrogates: one can stand between texts.
 END = "\ud800"
 
@@ -121,7 +121,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 0) -> dict[
         own = encoder(dimensions, seed)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for step in steps(batch, "text"):
+            for step in steps(batch, "text", STEP_BYTES // 2):
                 langs = step.column(0).to_pylist()
                 counts: dict[str, np.ndarray] = {}
                 for row, found, count in own.counted(step.column(1)):
@@ -132,8 +132,8 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 0) -> dict[
                 for lang, total in counts.items():
                     found = np.flatnonzero(total)
                     bundle = np.zeros(dimensions, np.int64)
-                    for a in range(0, len(found), 4096):
-                        part = found[a:a + 4096]
+                    for a in range(0, len(found), 1024):
+                        part = found[a:a + 1024]
                         bundle += total[part] @ own.vectors[part].astype(np.int64)
                     sums[lang] = sums.get(lang, 0) + bundle
         for lang, bundle in sums.items():
@@ -160,7 +160,7 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DIM
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(dimensions, seed)
         for batch in batches:
-            for step in steps(batch, "text"):
+            for step in steps(batch, "text", STEP_BYTES // 2):
                 best = np.full(step.num_rows, len(names) - 1)
                 score = np.zeros(step.num_rows)
                 for row, found, count in own.counted(step.column("text")):
