@@ -5,18 +5,19 @@ member. `TREES` independent trees branch the members: at each node coordinates a
 1 / similarity of them on average, and members go to the child named by their minwise token at the
 coordinate. Two members of the wanted similarity meet below each node with a probability that does
 not fall with the number of documents, and independent trees raise it: at 0.85 a pair is missed by
-about (1 - 0.77) ** 10 < 1e-6.
+about (1 - 0.77) ** 8 < 1e-5.
 
-Nodes are branched at least `LEAST_DEPTH` times, then until they hold `LEAF` members. A leaf is compared
+Nodes are branched at least `LEAST_DEPTH` times, then until they hold `LEAF` members or stop getting
+smaller. A leaf is compared
 exhaustively: first by all coordinates of the signatures (a pair is let go if fewer than
 `LET_GO` of them agree, 5 deviations below the wanted similarity), then what is left of it, a cluster,
 by the full sets. A cluster gives a spanning forest of its confirmed links, which holds the same
 components as all of them.
 
-A node that `MOST_DEPTH` branchings have not made small holds members that agree almost everywhere.
-It is compared exactly in two steps, without a cap: its members in random blocks of `LEAF`, each with
+A large node that keeps more than half of its parent's members holds members that agree almost
+everywhere. It is compared exactly in two steps, without a cap: its members in random blocks of `BLOCK`, each with
 the node's first member, which joins nearly all of them; then whoever is not yet in the node's largest
-component against every block, in portions of `LEAF`.
+component against every block, in portions of `BLOCK`.
 
 Components come from the links by alternating large-star and small-star steps over written tables;
 the driver sees counts and checksums only. Copies come back by a join that splits common sets.
@@ -30,22 +31,34 @@ marked as kept. Extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitwise.llm.common import group_cuts, land, pick, ragged, runs, steps, texts_of, whole_groups
+from remitwise.llm.common import (
+    group_cuts,
+    land,
+    map_batches,
+    pick,
+    ragged,
+    runs,
+    steps,
+    texts_of,
+    whole_groups,
+)
 from remitwise.operators.skew import is_small, spread_join
 
 WORDS = 5
 SIMILAR = 85  # percent
 COORDINATES = 64
-TREES = 10
-LEAST_DEPTH, MOST_DEPTH = 2, 6
+TREES = 8
+LEAST_DEPTH = 2
 LEAF = 128
+# Members per block of a node that does not become smaller.
+BLOCK = 512
 LET_GO = 0.6
 
 _GAP = np.zeros(256, bool)
@@ -139,8 +152,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                         pa.array(sig.view(np.int32).ravel())),
                 ], ["doc_id", "text_hash", "n_shingles", "fp", "sig"])
 
-    return rows.mapInArrow(work, f"doc_id {kind}, text_hash bigint, n_shingles bigint, fp binary, "
-                                 "sig array<int>")
+    return map_batches(rows, work, f"doc_id {kind}, text_hash bigint, n_shingles bigint, "
+                                   "fp binary, sig array<int>")
 
 
 # -- the trees --------------------------------------------------------------------------------
@@ -163,21 +176,27 @@ def sized(rows: DataFrame) -> DataFrame:
 
 
 def branch(members: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Leaves, and the nodes that stay large, as tables of (node, fp)."""
+    """Leaves, and the nodes that do not become smaller, as tables of (node, fp)."""
     rows = members.selectExpr("fp", "sig", f"explode(sequence(1L, {TREES})) as tree").selectExpr(
-        "fp", "sig", "xxhash64(tree) as node")
+        "fp", "sig", "xxhash64(tree) as node", "cast(null as bigint) as above")
     for _ in range(LEAST_DEPTH):
         rows = children(rows)
     leaves: list[DataFrame] = []
-    for depth in range(LEAST_DEPTH, MOST_DEPTH + 1):
+    dense: list[DataFrame] = []
+    while True:
         # A node may meet a member twice when two choices fall on one coordinate.
-        level = land(sized(rows.select("node", "fp").distinct()), f"nodes{depth}")
+        level = land(sized(rows.select("node", "fp", "above").distinct()), "nodes")
         leaves.append(level.filter(f"size <= {LEAF}").select("node", "fp"))
-        large = level.filter(f"size > {LEAF}").select("node", "fp")
+        large = level.filter(f"size > {LEAF}")
+        # Every level that is branched has less than half the members per node of the one above.
+        stuck = "2 * size > above"
+        if dense or not large.filter(stuck).isEmpty():
+            dense.append(large.filter(stuck).select("node", "fp"))
+        large = large.filter(f"not coalesce({stuck}, false)")
         if large.isEmpty():
-            return leaves, None
-        rows = children(large.join(members.select("fp", "sig"), "fp"))
-    return leaves, large
+            return leaves, reduce(DataFrame.unionByName, dense) if dense else None
+        rows = children(large.selectExpr("node", "fp", "size as above").join(
+            members.select("fp", "sig"), "fp"))
 
 
 def distinct_groups(groups: DataFrame) -> DataFrame:
@@ -229,7 +248,7 @@ def clusters(groups: DataFrame, members: DataFrame, known: DataFrame | None = No
             after = np.repeat(cuts[1:], count) - np.arange(len(size)) - 1
             found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             ends = np.cumsum(after)
-            for part in np.split(np.arange(len(size)), np.flatnonzero(np.diff(ends >> 17)) + 1):
+            for part in np.split(np.arange(len(size)), np.flatnonzero(np.diff(ends >> 14)) + 1):
                 a = np.repeat(part, after[part])
                 b = ragged(part + 1, after[part])
                 ok = ((100 * np.minimum(size[a], size[b]) >= SIMILAR * np.maximum(size[a], size[b]))
@@ -245,7 +264,7 @@ def clusters(groups: DataFrame, members: DataFrame, known: DataFrame | None = No
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names[kept].view(np.int64)), fp.take(pa.array(kept))], ["node", "fp"])
 
-    return dealt.mapInArrow(work, "node bigint, fp binary")
+    return map_batches(dealt, work, "node bigint, fp binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -269,7 +288,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)),
                         pa.array(flat.view(np.int64)))], ["fp", "shingles"])
 
-    return rows.mapInArrow(work, "fp binary, shingles array<bigint>")
+    return map_batches(rows, work, "fp binary, shingles array<bigint>")
 
 
 def linked(sets: list[np.ndarray]) -> np.ndarray:
@@ -278,7 +297,7 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
     owner = np.repeat(np.arange(len(sets)), size)
     distinct, place = np.unique(np.concatenate(sets), return_inverse=True)
     shared = np.zeros((len(sets), len(sets)), np.int64)
-    width = 1 << 15
+    width = 1 << 13
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
     cuts = np.searchsorted(place, np.arange(0, len(distinct) + width, width))
@@ -314,7 +333,7 @@ def links(groups: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_u, pa.binary()), pa.array(out_v, pa.binary())], ["u", "v"])
 
-    return land(dealt.mapInArrow(work, "u binary, v binary").distinct(), "links")
+    return land(map_batches(dealt, work, "u binary, v binary").distinct(), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -341,9 +360,9 @@ def dense_blocks(large: DataFrame) -> DataFrame:
     """Random blocks of each large node, each with the node's first member, as (node, fp)."""
     facts = large.groupBy("node").agg(F.expr("count(*) as size"), F.expr("min(fp) as first"))
     rows = spread_join(large, facts, ["node"], "size", "fp")
-    block = f"cast(pmod(xxhash64(fp, node), (size - 1) div {LEAF} + 1) as bigint)"
+    block = f"cast(pmod(xxhash64(fp, node), (size - 1) div {BLOCK} + 1) as bigint)"
     firsts = facts.selectExpr(
-        f"explode(sequence(0L, (size - 1) div {LEAF})) as block", "node", "first as fp")
+        f"explode(sequence(0L, (size - 1) div {BLOCK})) as block", "node", "first as fp")
     return rows.selectExpr(f"xxhash64(node, {block}) as node", "fp").unionByName(
         firsts.selectExpr("xxhash64(node, block) as node", "fp")).distinct()
 
@@ -356,7 +375,7 @@ def dense_rest(large: DataFrame, roots: DataFrame) -> DataFrame:
                                      F.expr("sum(n) as size"), F.expr("sum(n) - max(n) as others"))
     facts = facts.filter("others > 0")
     rows = spread_join(rows, facts, ["node"], "size", "fp")
-    blocks, portions = f"(size - 1) div {LEAF} + 1", f"(others - 1) div {LEAF} + 1"
+    blocks, portions = f"(size - 1) div {BLOCK} + 1", f"(others - 1) div {BLOCK} + 1"
     own = (f"transform(sequence(0L, {portions} - 1), j -> "
            f"xxhash64(node, pmod(xxhash64(fp, node), {blocks}), j))")
     across = (f"transform(sequence(0L, {blocks} - 1), i -> "
