@@ -230,11 +230,14 @@ def clusters(groups: DataFrame, members: DataFrame, known: DataFrame | None = No
 
     With `known`, a table of (fp, root), pairs that already are in one component do not count.
     """
-    rows = groups.join(members.select("fp", "n_shingles", "sig"), "fp")
-    rows = (rows.join(known, "fp", "left").selectExpr(
-        "node", "fp", "n_shingles", "sig", "xxhash64(coalesce(root, fp)) as own")
-        if known is not None else rows.selectExpr(
-            "node", "fp", "n_shingles", "sig", "xxhash64(fp) as own"))
+    # A member is joined once, then goes to its groups: some per tree, few for one that is let go.
+    rows = (groups.groupBy("fp").agg(F.expr("collect_list(node) as nodes"))
+            .join(members.select("fp", "n_shingles", "sig"), "fp"))
+    own = "fp"
+    if known is not None:
+        rows, own = rows.join(known, "fp", "left"), "coalesce(root, fp)"
+    rows = rows.selectExpr("explode(nodes) as node", "fp", "n_shingles", "sig",
+                           f"xxhash64({own}) as own")
     dealt = rows.repartition("node").sortWithinPartitions("node", "fp")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
