@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from remitwise.operators.checks import Params, all_exceptions_fused
 from remitwise.operators.layers import Layer, build_layer
 from remitwise.plans import reports
-from remitwise.plans.register import exception_register, read_register, write_run
+from remitwise.plans.register import exception_register, read_register, run_folder, write_run
 from remitwise.schemas import check_catalog
 from remitwise.sources import exports
+from remitwise.sources.landing import require_key
 from remitwise.sources.scratch import scratch_path
 
 
@@ -68,6 +69,8 @@ def run_audit(spark: SparkSession, claims: DataFrame, remits: DataFrame, payers:
     Work is cut at written tables: the layer, then the register. Without paths both go to the
     scratch folder of the session.
     """
+    run_folder(run_id)
+    require_key("payer_reference", payers, "payer_id")
     layer = build_layer(spark, claims, remits, payers, layer_path, rows_per_task)
     register_path = register_path or scratch_path(spark, "register")
     found = exception_register(all_exceptions_fused(layer, params), run_id, run_ts)

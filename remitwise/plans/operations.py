@@ -65,6 +65,10 @@ def class_rollup(register: DataFrame, routing: DataFrame) -> DataFrame:
                            "if(is_total = 1, null, checks) as checks", "volume", "exposure_usd")
 
 
+# Parts of a queue that are ranked apart before they meet.
+TRIAGE_PARTS = 64
+
+
 def triage_order() -> list:
     """Severity first, then exposure descending; the rest makes the order total."""
     return [F.expr(_map_lookup(SEVERITY_RANK, "severity")).asc_nulls_last(),
@@ -75,13 +79,17 @@ def triage_order() -> list:
 def triage_queue(register: DataFrame, n: int) -> DataFrame:
     """The first `n` open items of every queue, ranked.
 
-    Every input split keeps its own first `n` per queue before the exchange, so a long queue does
-    not reach one task.
+    A queue is cut into `TRIAGE_PARTS` by a hash of the item; each part keeps its first `n` and only
+    those meet, so a long queue does not reach one task, whatever `n` is.
     """
     by_queue = Window.partitionBy("assigned_queue").orderBy(*triage_order())
+    by_part = Window.partitionBy("assigned_queue", "part").orderBy(*triage_order())
     return (register.filter("disposition = 'OPEN'")
             .select("assigned_queue", "severity", "check_id", "entity_key", "claim_id",
                     "amount_impact", "finding")
+            .withColumn("part", F.expr(f"pmod(xxhash64(entity_key, finding), {TRIAGE_PARTS})"))
+            .withColumn("part_rank", F.row_number().over(by_part))
+            .filter(F.col("part_rank") <= n).drop("part", "part_rank")
             .withColumn("queue_rank", F.row_number().over(by_queue))
             .filter(F.col("queue_rank") <= n)
             .withColumn("queue_rank", F.col("queue_rank").cast("long")))

@@ -50,6 +50,16 @@ def write_register(register: DataFrame, path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
+def run_folder(run_id: str) -> str:
+    """The partition folder of a run, named as Spark names and reads partitions."""
+    if not run_id:
+        raise ValueError("a run needs an id")
+    # Characters that Spark writes as %XX in the folder of a partition.
+    escaped = "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^\x7f" or c < " " else c
+                      for c in run_id)
+    return f"run_id={escaped}"
+
+
 def write_run(register: DataFrame, path: str, run_id: str) -> None:
     """Replace one run, also when it has no exceptions.
 
@@ -57,7 +67,7 @@ def write_run(register: DataFrame, path: str, run_id: str) -> None:
     a good size.
     """
     (register.filter(F.col("run_id") == run_id).drop("run_id").hint("rebalance")
-     .write.mode("overwrite").parquet(f"{path}/run_id={run_id}"))
+     .write.mode("overwrite").parquet(f"{path}/{run_folder(run_id)}"))
 
 
 def read_register(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:

@@ -88,3 +88,12 @@ def reference_violations(table: str, df: DataFrame, key: list[str],
         absent = values.join(parent.select(*shared).distinct(), shared, "left_anti")
         found.append(report("FOREIGN KEY", ",".join(shared), absent, *shared))
     return reduce(DataFrame.unionByName, found)
+
+
+def require_key(name: str, df: DataFrame, key: str) -> None:
+    """Stop if `key` of a master table is missing or repeated: each row joined to it would double."""
+    broken = (df.groupBy(key).agg(F.expr("count(*) as rows")).filter(f"{key} is null or rows > 1")
+              .orderBy(key).limit(5).collect())
+    if broken:
+        named = ", ".join(f"{row[0]!r} ({row[1]} rows)" for row in broken)
+        raise ValueError(f"{name}: {key} must be there and unique, but is {named}")
