@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from remitwise.schemas import MONEY
+from remitwise.schemas import MONEY, TOTAL
 
 # ISO date with an optional time. Java's `$` also matches before a final newline, `\z` does not.
 DATE_TEXT = (r"^[1-9][0-9]{3}-[0-9]{1,2}-[0-9]{1,2}"
@@ -48,8 +48,8 @@ def sql_npi_is_valid(c: str) -> str:
 
 
 def sql_money(c: str) -> str:
-    """Amount rounded half up to cents."""
-    return f"cast(round({c}, 2) as {MONEY})"
+    """Derived amount rounded half up to cents."""
+    return f"cast(round({c}, 2) as {TOTAL})"
 
 
 def sql_zero(c: str) -> str:

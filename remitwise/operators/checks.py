@@ -13,7 +13,7 @@ from remitwise.functions.scalars import (CPT_TEXT, ICD10_TEXT, NPI_TEXT, sql_any
                                          sql_matches, sql_money, sql_npi_is_valid, sql_zero)
 from remitwise.operators.layers import Layer
 from remitwise.operators.skew import repeats
-from remitwise.schemas import EXCEPTION_COLUMNS, MONEY, SEVERITY
+from remitwise.schemas import EXCEPTION_COLUMNS, MONEY, SEVERITY, TOTAL
 
 
 @dataclass(frozen=True)
@@ -77,8 +77,9 @@ def claim_rules(params: Params) -> dict[str, Rule]:
     """The nine checks that need one grain row only."""
     overpaid = sql_money("paid_total - billed_amount")
     shortfall = "(expected_allowed_amount - allowed_total)"
-    below_pct = (f"cast(round(100 * {shortfall} / nullif(expected_allowed_amount, 0), 1) "
-                 "as decimal(18,1))")
+    # A shortfall that is reported is smaller than the expected amount, so the narrow type holds it.
+    below_pct = (f"cast(round(100 * try_cast({shortfall} as {MONEY}) "
+                 "/ nullif(expected_allowed_amount, 0), 1) as decimal(18,1))")
     rules = [
         Rule("DQ-01",
              "occurrences > 1 and claim_id is not null",
@@ -135,7 +136,7 @@ def _record(check_id: str, entity_type: str, key: str, impact: str, finding: str
     values = {
         "check_id": f"'{check_id}'", "severity": f"'{SEVERITY[check_id]}'",
         "entity_type": f"'{entity_type}'", "entity_key": key,
-        "amount_impact": f"cast({impact} as {MONEY})", "finding": finding, **columns,
+        "amount_impact": f"cast({impact} as {TOTAL})", "finding": finding, **columns,
     }
     return {c: values.get(c, c) for c in EXCEPTION_COLUMNS}
 

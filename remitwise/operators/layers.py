@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from remitwise.functions.scalars import (sql_blank_to_null, sql_money, sql_safe_date,
                                          sql_safe_numeric, sql_sorted_list, sql_zero)
 from remitwise.operators.skew import is_small, lookup, spread_join
-from remitwise.schemas import (CLAIM_COLUMNS, CLAIM_RAW_COLUMNS, LIST_COLUMNS, MONEY, RECON_COLUMNS,
-                               REMIT_COLUMNS, TYPED_CLAIM_COLUMNS)
+from remitwise.schemas import (CLAIM_COLUMNS, CLAIM_RAW_COLUMNS, LIST_COLUMNS, RECON_COLUMNS,
+                               REMIT_COLUMNS, TOTAL, TYPED_CLAIM_COLUMNS)
 from remitwise.sources.scratch import scratch_path
 
 _DATES = {"date_of_service", "claim_submit_date", "remit_date"}
@@ -71,10 +71,10 @@ def claim_unique(typed: DataFrame) -> DataFrame:
 def _rollup(remits: DataFrame, more: list[str]) -> DataFrame:
     measures = [
         "count(*) as remit_line_count",
-        f"cast(sum(allowed_amount) as {MONEY}) as allowed_total",
-        f"cast(sum(paid_amount) as {MONEY}) as paid_total",
-        f"cast(sum(patient_responsibility) as {MONEY}) as patient_resp_total",
-        f"cast(sum(contractual_adjustment) as {MONEY}) as adjustment_total",
+        f"cast(sum(allowed_amount) as {TOTAL}) as allowed_total",
+        f"cast(sum(paid_amount) as {TOTAL}) as paid_total",
+        f"cast(sum(patient_responsibility) as {TOTAL}) as patient_resp_total",
+        f"cast(sum(contractual_adjustment) as {TOTAL}) as adjustment_total",
         "min(remit_date) as first_remit_date",
         "max(remit_date) as last_remit_date",
         "min(claim_status_code) as remit_status_code",

@@ -13,7 +13,7 @@ def exact_median(df: DataFrame, amount: str, name: str) -> DataFrame:
     two buckets that hold a middle rank are ranked by value. A bucket is the digit count and the
     first four digits, which keeps the order of the values and allows fewer than 200,000 buckets.
     """
-    counts = (df.selectExpr(f"cast({amount} * 100 as decimal(20,0)) as cents")
+    counts = (df.selectExpr(f"cast({amount} * 100 as decimal(38,0)) as cents")
               .filter("cents is not null").groupBy("cents").agg(F.expr("count(*) as n"))
               .selectExpr("cents", "n", "length(cents) as digits",
                           "rpad(substr(cents, 1, 4), 4, '0') as head"))
@@ -31,5 +31,5 @@ def exact_median(df: DataFrame, amount: str, name: str) -> DataFrame:
               .selectExpr("cents", "low", "high", "upto", "upto - n as before"))
     return ranked.agg(F.expr(
         "cast((max(cents) filter (where before < low and upto >= low)"
-        " + max(cents) filter (where before < high and upto >= high)) / 200 as decimal(18,3))"
+        " + max(cents) filter (where before < high and upto >= high)) / 200 as decimal(38,3))"
         f" as {name}"))

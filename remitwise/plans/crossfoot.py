@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import sql_money, sql_rate, sql_zero
 from remitwise.plans.reports import IMPACT, aggregate, grouped, sql_count
-from remitwise.schemas import MONEY
+from remitwise.schemas import TOTAL
 
 # The verdict that goes with each payment check, and what the check tests.
 PAYMENT_CHECKS = [
@@ -86,7 +86,7 @@ def check_summary(summary: DataFrame, routing: DataFrame) -> DataFrame:
     rows = summary.join(F.broadcast(routing), "check_id").rollup("check_id").agg(
         *[F.expr(f"min({c}) as {c}") for c in [*per_check, "assigned_queue"]],
         F.expr("sum(exceptions_found) as exceptions"),
-        F.expr(f"cast(sum(financial_impact_usd) as {MONEY}) as financial_exposure_usd"),
+        F.expr(f"cast(sum(financial_impact_usd) as {TOTAL}) as financial_exposure_usd"),
         F.expr("grouping(check_id) as is_total"))
     return rows.selectExpr(
         "check_id", *[f"if(is_total = 0, {c}, null) as {c}" for c in per_check],
@@ -106,7 +106,7 @@ def defect_log(register: DataFrame, catalog: DataFrame, routing: DataFrame,
                         f"{sql_count('found')} as volume",
                         f"{sql_zero('exposure')} as financial_exposure_usd", "assigned_queue",
                         "sla_label as target_sla", "'OPEN' as status",
-                        "concat('output/exceptions/', evidence, '.csv') as evidence_file"))
+                        "concat('output/exceptions/evidence=', evidence) as evidence_file"))
 
 
 def severity_mix(register: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def severity_mix(register: DataFrame, catalog: DataFrame) -> DataFrame:
     listed = catalog.select("severity").distinct().join(F.broadcast(found), "severity", "left")
     rows = listed.rollup("severity").agg(
         F.expr(f"{sql_count('sum(found)')} as exceptions"),
-        F.expr(f"cast({sql_zero('sum(exposure)')} as {MONEY}) as financial_exposure_usd"),
+        F.expr(f"cast({sql_zero('sum(exposure)')} as {TOTAL}) as financial_exposure_usd"),
         F.expr("grouping(severity) as is_total"))
     # Four rows, so one window over all of them is safe.
     overall = "max(if(is_total = 1, exceptions, null)) over ()"
@@ -130,7 +130,7 @@ def payer_scorecard_total(recon: DataFrame, register: DataFrame, payers: DataFra
     A payer with exceptions but no claims is listed too, so that the total is the register's.
     """
     claims = grouped(recon, ["payer_id as claim_payer"], "count(*) as claims",
-                     f"cast(sum({sql_zero('billed_amount')}) as {MONEY}) as billed")
+                     f"cast(sum({sql_zero('billed_amount')}) as {TOTAL}) as billed")
     found = grouped(register, ["payer_id as found_payer"], "count(*) as found",
                     f"{IMPACT} as impact")
     names = payers.selectExpr("payer_id as known_payer", "payer_name")
@@ -143,9 +143,9 @@ def payer_scorecard_total(recon: DataFrame, register: DataFrame, payers: DataFra
     summed = rows.rollup("payer_id").agg(
         F.expr("min(payer_name) as payer_name"),
         F.expr(f"{sql_count('sum(claims)')} as claims"),
-        F.expr(f"cast({sql_zero('sum(billed)')} as {MONEY}) as billed_total"),
+        F.expr(f"cast({sql_zero('sum(billed)')} as {TOTAL}) as billed_total"),
         F.expr(f"{sql_count('sum(found)')} as exceptions"),
-        F.expr(f"cast({sql_zero('sum(impact)')} as {MONEY}) as financial_exposure_usd"),
+        F.expr(f"cast({sql_zero('sum(impact)')} as {TOTAL}) as financial_exposure_usd"),
         F.expr("grouping(payer_id) as is_total"))
     per_thousand = f"coalesce({sql_rate('exceptions', 'claims', 1000, 1)}, 0.0)"
     return summed.selectExpr(
@@ -159,8 +159,8 @@ def headline(recon: DataFrame, register: DataFrame, claim_rows: DataFrame,
     """The eight headline figures in one row."""
     net = "sum(balance_variance) filter (where remit_line_count > 0)"
     claims = aggregate(recon, "count(*) as unique_claims",
-                       f"cast({sql_zero('sum(billed_amount)')} as {MONEY}) as billed_in_scope",
-                       f"cast({sql_zero(net)} as {MONEY}) as net_variance_adjudicated")
+                       f"cast({sql_zero('sum(billed_amount)')} as {TOTAL}) as billed_in_scope",
+                       f"cast({sql_zero(net)} as {TOTAL}) as net_variance_adjudicated")
     found = aggregate(register, "count(*) as exceptions",
                       "count(*) filter (where severity = 'CRITICAL') as critical_exceptions",
                       f"{sql_zero(IMPACT)} as financial_exposure_usd")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import sql_rate, sql_zero
-from remitwise.schemas import MONEY
+from remitwise.schemas import TOTAL
 
-IMPACT = f"cast(sum(abs(amount_impact)) as {MONEY})"
+IMPACT = f"cast(sum(abs(amount_impact)) as {TOTAL})"
 PAYER = "coalesce(payer_id, 'UNMAPPED')"
 
 
@@ -51,7 +51,7 @@ def control_totals(recon: DataFrame) -> DataFrame:
     patient, adjusted = sql_zero("patient_resp_total"), sql_zero("adjustment_total")
 
     def total(value: str, name: str, where: str = "true") -> str:
-        return f"cast(sum({value}) filter (where {where}) as {MONEY}) as {name}"
+        return f"cast(sum({value}) filter (where {where}) as {TOTAL}) as {name}"
 
     matched = "remit_line_count > 0"
     return aggregate(
@@ -70,7 +70,7 @@ def control_totals(recon: DataFrame) -> DataFrame:
 def payer_scorecard(claim_unique: DataFrame, register: DataFrame, payers: DataFrame) -> DataFrame:
     """Claims, exceptions and impact per payer; payers without claims are left out."""
     base = grouped(claim_unique, [f"{PAYER} as payer_id"], "count(*) as claims",
-                   f"cast(sum({sql_zero('billed_amount')}) as {MONEY}) as billed_total")
+                   f"cast(sum({sql_zero('billed_amount')}) as {TOTAL}) as billed_total")
     found = grouped(register, [f"{PAYER} as payer_id"], "count(*) as found",
                     f"{IMPACT} as impact")
     found_n = sql_count("found")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
+# Sums, products and differences of amounts: no number of lines overflows it.
+TOTAL = "decimal(38,2)"
 
 CLAIM_COLUMNS = [
     "claim_id", "patient_id", "encounter_id", "provider_npi", "facility_id", "place_of_service",
@@ -78,13 +80,15 @@ CPT = T.StructType([
 RECON_EXPORT = T.StructType([
     T.StructField(c, T.DateType() if c.endswith(("_date", "date_of_service"))
                   else T.LongType() if c == "remit_line_count"
-                  else T.DecimalType(18, 2) if c.endswith(("_amount", "_total", "_variance"))
+                  else T.DecimalType(18, 2) if c.endswith("_amount")
+                  else T.DecimalType(38, 2) if c.endswith(("_total", "_variance"))
                   else T.StringType())
     for c in RECON_EXPORT_COLUMNS
 ])
 REGISTER_EXPORT = T.StructType([
     T.StructField(c, T.DateType() if c == "date_of_service"
-                  else T.DecimalType(18, 2) if c in ("billed_amount", "amount_impact")
+                  else T.DecimalType(18, 2) if c == "billed_amount"
+                  else T.DecimalType(38, 2) if c == "amount_impact"
                   else T.StringType())
     for c in REGISTER_EXPORT_COLUMNS
 ])
