@@ -32,6 +32,10 @@ def _money(c: str) -> str:
     return f"CAST({c} AS {MONEY})"
 
 
+def _total(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(38,2))"
+
+
 def _pct(n: str, d: str, factor: str, digits: int) -> str:
     return (f"CAST(round({factor} * {n} / nullif({d}, 0), {digits}) AS DECIMAL(18,{digits}))")
 
@@ -158,9 +162,9 @@ RECON = {
     "cu": f"""SELECT * FROM tc QUALIFY row_number() OVER (PARTITION BY claim_id
         ORDER BY ingest_batch_id NULLS LAST, source_system NULLS LAST, {_TIEBREAK}) = 1""",
     "rb": f"""SELECT claim_id, count(*) AS remit_line_count,
-        {_money('sum(allowed_amount)')} AS allowed_total, {_money('sum(paid_amount)')} AS paid_total,
-        {_money('sum(patient_responsibility)')} AS patient_resp_total,
-        {_money('sum(contractual_adjustment)')} AS adjustment_total,
+        {_total('sum(allowed_amount)')} AS allowed_total, {_total('sum(paid_amount)')} AS paid_total,
+        {_total('sum(patient_responsibility)')} AS patient_resp_total,
+        {_total('sum(contractual_adjustment)')} AS adjustment_total,
         min(remit_date) AS first_remit_date, max(remit_date) AS last_remit_date,
         min(claim_status_code) AS remit_status_code,
         string_agg(DISTINCT carc_code, ',' ORDER BY carc_code) AS carc_codes,
@@ -170,9 +174,9 @@ RECON = {
         date_of_service, claim_submit_date, cpt_code, claim_status, source_system, billed_amount,
         expected_allowed_amount, coalesce(remit_line_count, 0) AS remit_line_count,
         rb.* EXCLUDE (claim_id, remit_line_count),
-        {_money('coalesce(paid_total, 0) + coalesce(patient_resp_total, 0) + coalesce(adjustment_total, 0)')}
+        {_total('coalesce(paid_total, 0) + coalesce(patient_resp_total, 0) + coalesce(adjustment_total, 0)')}
             AS remit_accounted_total,
-        {_money('billed_amount - coalesce(paid_total, 0) - coalesce(patient_resp_total, 0) - coalesce(adjustment_total, 0)')}
+        {_total('billed_amount - coalesce(paid_total, 0) - coalesce(patient_resp_total, 0) - coalesce(adjustment_total, 0)')}
             AS balance_variance
         FROM cu LEFT JOIN rb ON cu.claim_id = rb.claim_id""",
 }
@@ -186,7 +190,7 @@ def _exception(check_id: str, source: str, impact: str, finding: str, where: str
     return f"""SELECT '{check_id}' AS check_id, '{schemas.SEVERITY[check_id]}' AS severity,
         '{entity}' AS entity_type, {key} AS entity_key, {claim_id} AS claim_id,
         {payer_id} AS payer_id, {payer_name} AS payer_name, {dos} AS date_of_service,
-        {cpt} AS cpt_code, {billed} AS billed_amount, {_money(impact)} AS amount_impact,
+        {cpt} AS cpt_code, {billed} AS billed_amount, {_total(impact)} AS amount_impact,
         {finding} AS finding FROM {source} WHERE {where}"""
 
 
@@ -250,7 +254,7 @@ CHECKS = {
     "DQ-07": _exception(
         "DQ-07", "rc", "paid_total - billed_amount",
         f"concat('paid ', paid_total, ' against a billed charge of ', billed_amount, "
-        f"'; overpaid by ', {_money('paid_total - billed_amount')}, ' (check ', "
+        f"'; overpaid by ', {_total('paid_total - billed_amount')}, ' (check ', "
         "check_eft_numbers, ')')",
         "remit_line_count = 1 AND billed_amount > 0 AND paid_total > billed_amount"),
     "DQ-08": _exception(
@@ -302,20 +306,23 @@ CHECKS = {
 QUERY_NAMES = {row[0]: "dq" + row[5][3:] for row in schemas.ROUTING}
 
 EXCEPTIONS = {"exc": " UNION ALL ".join(CHECKS.values())}
+_ALL_TEXT = ", ".join(f"coalesce(CAST(exc.{c} AS VARCHAR), '<null>')"
+                      for c in schemas.EXCEPTION_COLUMNS)
 REGISTER = {
-    "reg": f"""SELECT sha256(concat_ws(':', '{RUN_ID}', exc.check_id, entity_key, finding))
-            AS exception_id,
-        '{RUN_ID}' AS run_id, TIMESTAMP '{RUN_TS}' AS run_ts, exc.*, q.assigned_queue,
+    "reg": f"""SELECT sha256(concat_ws(chr(31), '{RUN_ID}', {_ALL_TEXT}, copy)) AS exception_id,
+        '{RUN_ID}' AS run_id, TIMESTAMP '{RUN_TS}' AS run_ts, exc.* EXCLUDE (copy),
+        q.assigned_queue,
         'OPEN' AS disposition, CAST(NULL AS VARCHAR) AS disposition_reason,
         CAST(NULL AS TIMESTAMP) AS resolved_ts
-        FROM exc LEFT JOIN routing q ON q.check_id = exc.check_id""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(schemas.EXCEPTION_COLUMNS)})
+            AS copy FROM exc) exc LEFT JOIN routing q ON q.check_id = exc.check_id""",
 }
 
-_IMPACT = _money("sum(abs(amount_impact))")
+_IMPACT = _total("sum(abs(amount_impact))")
 SUMMARY = {
     "summary": f"""SELECT c.check_id, check_name, dimension, severity,
         coalesce(n, 0) AS exceptions_found, coalesce(claims, 0) AS claims_affected,
-        {_money('coalesce(impact, 0)')} AS financial_impact_usd,
+        {_total('coalesce(impact, 0)')} AS financial_impact_usd,
         {_pct('coalesce(n, 0)', '(SELECT count(*) FROM cu)', '100.0', 3)} AS exception_rate_pct,
         CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS result, failure_condition, escalation
         FROM catalog c LEFT JOIN (SELECT check_id, count(*) AS n,
@@ -339,9 +346,9 @@ VALIDATION = {
 }
 CROSSFOOT = {
     "verdicts": f"""SELECT claim_id, claim_status, billed_amount, remit_line_count, paid_total,
-        {_money('coalesce(paid_total, 0) + coalesce(patient_resp_total, 0) + coalesce(adjustment_total, 0)')}
+        {_total('coalesce(paid_total, 0) + coalesce(patient_resp_total, 0) + coalesce(adjustment_total, 0)')}
             AS recomputed_accounted,
-        {_money('coalesce(billed_amount, 0) - (coalesce(paid_total, 0) + coalesce(patient_resp_total, 0) + coalesce(adjustment_total, 0))')}
+        {_total('coalesce(billed_amount, 0) - (coalesce(paid_total, 0) + coalesce(patient_resp_total, 0) + coalesce(adjustment_total, 0))')}
             AS recomputed_variance,
         CASE WHEN coalesce(billed_amount, 0) <= 0 THEN 'INVALID CHARGE'
              WHEN remit_line_count = 0 THEN CASE WHEN claim_status = 'PAID'
@@ -386,8 +393,8 @@ _CONTROL = """SELECT c.check_id, count(exc.check_id) AS false_positives,
     CASE WHEN count(exc.check_id) = 0 THEN 'PASS' ELSE 'FAIL' END AS result
     FROM catalog c LEFT JOIN exc ON exc.check_id = c.check_id GROUP BY c.check_id"""
 
-_ZERO = _money("0")
-_EXPOSURE = _money("coalesce(sum(abs(amount_impact)), 0)")
+_ZERO = _total("0")
+_EXPOSURE = _total("coalesce(sum(abs(amount_impact)), 0)")
 
 # The runs of the repeat-defect query: the fourth night is clean, and in the second the
 # remittance feed came late, so only claims were audited.
@@ -428,14 +435,15 @@ _PLANTED_NOTE = """CASE b WHEN 0 THEN 'Exact claim_id re-submitted under a resen
 
 
 def _oracles() -> dict[str, str]:
-    receipts = """SELECT 'claims_source' AS table_name, count(*) AS rows_loaded FROM claims
-        UNION ALL SELECT 'payments_remittance', count(*) FROM remits
-        UNION ALL SELECT 'payer_reference', count(*) FROM payer
-        UNION ALL SELECT 'cpt_reference', 16"""
+    receipts = """SELECT 'claims_source' AS table_name, count(*) AS rows_loaded,
+            0::BIGINT AS rows_rejected FROM claims
+        UNION ALL SELECT 'payments_remittance', count(*), 0 FROM remits
+        UNION ALL SELECT 'payer_reference', count(*), 0 FROM payer
+        UNION ALL SELECT 'cpt_reference', 16, 0"""
     out = {
         "load_receipt": _chain(receipts, MASTER, feeds()),
         "entry_criteria": _chain(
-            f"""SELECT table_name, rows_loaded,
+            f"""SELECT table_name, rows_loaded, rows_rejected,
                 CAST(CASE table_name WHEN 'payer_reference' THEN 9 WHEN 'cpt_reference' THEN 17 END
                     AS BIGINT) AS rows_received,
                 CASE WHEN rows_loaded = 0 THEN 'EMPTY' WHEN table_name = 'cpt_reference'
@@ -469,26 +477,26 @@ def _oracles() -> dict[str, str]:
         f"""SELECT count(*) AS claims_in_scope,
             sum(CAST(remit_line_count > 0 AS BIGINT))::BIGINT AS claims_with_remittance,
             sum(CAST(remit_line_count = 0 AS BIGINT))::BIGINT AS claims_without_remittance,
-            {_money('sum(coalesce(billed_amount, 0))')} AS billed_total,
-            {_money('sum(coalesce(allowed_total, 0))')} AS allowed_total,
-            {_money('sum(coalesce(paid_total, 0))')} AS paid_total,
-            {_money('sum(coalesce(patient_resp_total, 0))')} AS patient_responsibility_total,
-            {_money('sum(coalesce(adjustment_total, 0))')} AS adjustment_total,
-            {_money('sum(coalesce(billed_amount, 0)) - sum(coalesce(paid_total, 0)) - sum(coalesce(patient_resp_total, 0)) - sum(coalesce(adjustment_total, 0))')}
+            {_total('sum(coalesce(billed_amount, 0))')} AS billed_total,
+            {_total('sum(coalesce(allowed_total, 0))')} AS allowed_total,
+            {_total('sum(coalesce(paid_total, 0))')} AS paid_total,
+            {_total('sum(coalesce(patient_resp_total, 0))')} AS patient_responsibility_total,
+            {_total('sum(coalesce(adjustment_total, 0))')} AS adjustment_total,
+            {_total('sum(coalesce(billed_amount, 0)) - sum(coalesce(paid_total, 0)) - sum(coalesce(patient_resp_total, 0)) - sum(coalesce(adjustment_total, 0))')}
                 AS unreconciled_variance,
-            {_money('sum(CASE WHEN remit_line_count > 0 THEN coalesce(billed_amount, 0) END)')}
+            {_total('sum(CASE WHEN remit_line_count > 0 THEN coalesce(billed_amount, 0) END)')}
                 AS billed_total_adjudicated,
-            {_money('sum(CASE WHEN remit_line_count > 0 THEN balance_variance END)')}
+            {_total('sum(CASE WHEN remit_line_count > 0 THEN balance_variance END)')}
                 AS variance_adjudicated,
-            {_money('sum(CASE WHEN remit_line_count > 0 THEN abs(balance_variance) END)')}
+            {_total('sum(CASE WHEN remit_line_count > 0 THEN abs(balance_variance) END)')}
                 AS abs_variance_adjudicated FROM rc""", *_RECON)
     out["payer_scorecard"] = _chain(
         f"""SELECT b.payer_id, coalesce(p.payer_name, 'Unmapped / unknown payer') AS payer_name,
             claims, billed_total, coalesce(n, 0) AS exceptions,
-            {_money('coalesce(impact, 0)')} AS financial_impact_usd,
+            {_total('coalesce(impact, 0)')} AS financial_impact_usd,
             {_pct('coalesce(n, 0)', 'claims', '1000.0', 1)} AS exceptions_per_1000_claims
             FROM (SELECT coalesce(payer_id, 'UNMAPPED') AS payer_id, count(*) AS claims,
-                {_money('sum(coalesce(billed_amount, 0))')} AS billed_total FROM cu GROUP BY 1) b
+                {_total('sum(coalesce(billed_amount, 0))')} AS billed_total FROM cu GROUP BY 1) b
             LEFT JOIN (SELECT coalesce(payer_id, 'UNMAPPED') AS payer_id, count(*) AS n,
                 {_IMPACT} AS impact FROM reg GROUP BY 1) e ON e.payer_id = b.payer_id
             LEFT JOIN payer p ON p.payer_id = b.payer_id""", *_REGISTER)
@@ -521,7 +529,7 @@ def _oracles() -> dict[str, str]:
             exception_rate_pct, result, failure_condition, escalation
             FROM summary s JOIN routing q ON q.check_id = s.check_id
             UNION ALL SELECT NULL, NULL, NULL, NULL, 'TOTAL', sum(exceptions_found)::BIGINT,
-            {_money('sum(financial_impact_usd)')}, NULL, NULL, NULL, NULL FROM summary""",
+            {_total('sum(financial_impact_usd)')}, NULL, NULL, NULL, NULL FROM summary""",
         *_REGISTER, SUMMARY)
     out["defect_log"] = _chain(
         f"""SELECT 'DEF-' || lpad(CAST(row_number() OVER (ORDER BY c.check_id) AS VARCHAR), 3, '0')
@@ -530,7 +538,7 @@ def _oracles() -> dict[str, str]:
             (SELECT count(*) FROM reg WHERE reg.check_id = c.check_id) AS volume,
             (SELECT {_EXPOSURE} FROM reg WHERE reg.check_id = c.check_id)
                 AS financial_exposure_usd, q.assigned_queue, sla_label AS target_sla,
-            'OPEN' AS status, 'output/exceptions/' || evidence || '.csv' AS evidence_file
+            'OPEN' AS status, 'output/exceptions/evidence=' || evidence AS evidence_file
             FROM catalog c JOIN routing q ON q.check_id = c.check_id""", *_REGISTER)
     out["severity_mix"] = _chain(
         f"""SELECT s.severity, count(reg.severity) AS exceptions,
@@ -546,7 +554,7 @@ def _oracles() -> dict[str, str]:
                 coalesce(p.payer_name, 'Unmapped / unknown payer') AS payer_name,
                 (SELECT count(*) FROM rc WHERE rc.payer_id IS NOT DISTINCT FROM ids.payer_id)
                     AS claims,
-                (SELECT {_money('coalesce(sum(billed_amount), 0)')} FROM rc
+                (SELECT {_total('coalesce(sum(billed_amount), 0)')} FROM rc
                     WHERE rc.payer_id IS NOT DISTINCT FROM ids.payer_id) AS billed_total,
                 (SELECT count(*) FROM reg WHERE reg.payer_id IS NOT DISTINCT FROM ids.payer_id)
                     AS exceptions,
@@ -556,7 +564,7 @@ def _oracles() -> dict[str, str]:
             FROM (SELECT payer_id FROM rc UNION SELECT payer_id FROM reg) ids
             LEFT JOIN payer p ON p.payer_id = ids.payer_id) x
             UNION ALL SELECT NULL, 'TOTAL', (SELECT count(*) FROM rc),
-                (SELECT {_money('sum(billed_amount)')} FROM rc), count(*), {_EXPOSURE}, NULL
+                (SELECT {_total('sum(billed_amount)')} FROM rc), count(*), {_EXPOSURE}, NULL
             FROM reg""", *_REGISTER)
     out["headline"] = _chain(
         f"""SELECT (SELECT count(*) FROM cu) AS unique_claims,
@@ -565,8 +573,8 @@ def _oracles() -> dict[str, str]:
             {_pct('count(*)', '(SELECT count(*) FROM cu)', '100.0', 1)} AS exception_rate_pct,
             count(CASE WHEN severity = 'CRITICAL' THEN 1 END) AS critical_exceptions,
             {_EXPOSURE} AS financial_exposure_usd,
-            (SELECT {_money('sum(billed_amount)')} FROM rc) AS billed_in_scope,
-            (SELECT {_money('sum(balance_variance)')} FROM rc WHERE remit_line_count > 0)
+            (SELECT {_total('sum(billed_amount)')} FROM rc) AS billed_in_scope,
+            (SELECT {_total('sum(balance_variance)')} FROM rc WHERE remit_line_count > 0)
                 AS net_variance_adjudicated FROM reg""", *_REGISTER)
     out["run_verdict"] = _chain(
         f"""SELECT claims, exceptions, critical_exceptions,
@@ -604,7 +612,7 @@ def _oracles() -> dict[str, str]:
         *_REGISTER, SLA)
     out["escalations"] = _chain(
         f"""SELECT check_id, 'claim' AS scope, entity_key AS scope_key, 1 AS items,
-            {_money('abs(amount_impact)')} AS exposure_usd, 'Payer Relations' AS escalate_to
+            {_total('abs(amount_impact)')} AS exposure_usd, 'Payer Relations' AS escalate_to
             FROM reg WHERE check_id = 'DQ-06' AND abs(amount_impact) > 500
             UNION ALL SELECT 'DQ-05', 'run', run_id, count(*), {_EXPOSURE}, 'A/R manager'
             FROM reg WHERE check_id = 'DQ-05' GROUP BY run_id
@@ -633,12 +641,12 @@ def _oracles() -> dict[str, str]:
                 OR (reg.check_id NOT IN ('DQ-01', 'DQ-04')
                     AND TIMESTAMP '{AS_OF}' > due_ts)""", *_REGISTER, SLA)
     out["variance_profile"] = _chain(
-        f"""SELECT {_money('sum(balance_variance)')} AS net_variance,
-            {_money('sum(abs(balance_variance))')} AS absolute_variance,
+        f"""SELECT {_total('sum(balance_variance)')} AS net_variance,
+            {_total('sum(abs(balance_variance))')} AS absolute_variance,
             (SELECT count(*) FROM reg WHERE check_id = 'DQ-07') AS items,
-            (SELECT {_money('max(abs(amount_impact))')} FROM reg WHERE check_id = 'DQ-07')
+            (SELECT {_total('max(abs(amount_impact))')} FROM reg WHERE check_id = 'DQ-07')
                 AS largest_item,
-            (SELECT {_money('round(median(abs(amount_impact)), 2)')} FROM reg
+            (SELECT {_total('round(median(abs(amount_impact)), 2)')} FROM reg
                 WHERE check_id = 'DQ-07') AS median_item
             FROM rc WHERE remit_line_count > 0""".replace("DQ-07", "DQ-08"), *_REGISTER)
     out["planted_ledger"] = _chain(

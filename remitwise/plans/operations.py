@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from remitwise.functions.scalars import (sql_add_business_days, sql_money, sql_rate, sql_zero)
 from remitwise.operators.median import exact_median
 from remitwise.plans.reports import IMPACT, PAYER, aggregate, grouped, sql_count
-from remitwise.schemas import MONEY, SEVERITY_RANK, SLA_DAYS
+from remitwise.schemas import SEVERITY_RANK, SLA_DAYS, TOTAL
 
 # The thresholds at which a defect leaves its queue.
 SINGLE_VARIANCE_LIMIT = 500
@@ -59,7 +59,7 @@ def class_rollup(register: DataFrame, routing: DataFrame) -> DataFrame:
     rows = routing.join(F.broadcast(found), "check_id", "left").rollup("finding_class").agg(
         F.expr("array_join(array_sort(collect_set(check_id)), ', ') as checks"),
         F.expr(f"{sql_count('sum(found)')} as volume"),
-        F.expr(f"cast({sql_zero('sum(exposure)')} as {MONEY}) as exposure_usd"),
+        F.expr(f"cast({sql_zero('sum(exposure)')} as {TOTAL}) as exposure_usd"),
         F.expr("grouping(finding_class) as is_total"))
     return rows.selectExpr("if(is_total = 1, 'TOTAL', finding_class) as finding_class",
                            "if(is_total = 1, null, checks) as checks", "volume", "exposure_usd")
@@ -125,7 +125,7 @@ def escalations(register: DataFrame) -> DataFrame:
     single = (register
               .filter(f"check_id = 'DQ-06' and abs(amount_impact) > {SINGLE_VARIANCE_LIMIT}")
               .selectExpr("check_id", "'claim' as scope", "entity_key as scope_key",
-                          "1L as items", f"cast(abs(amount_impact) as {MONEY}) as exposure_usd",
+                          "1L as items", f"cast(abs(amount_impact) as {TOTAL}) as exposure_usd",
                           "'Payer Relations' as escalate_to"))
 
     def by_group(check_id: str, scope: str, key: str, limits: tuple[int, int],
@@ -183,11 +183,11 @@ def variance_profile(recon: DataFrame, register: DataFrame, check_id: str = "DQ-
     """Net and absolute variance of adjudicated claims; median and largest item of a check."""
     book = aggregate(
         recon.filter("remit_line_count > 0"),
-        f"cast({sql_zero('sum(balance_variance)')} as {MONEY}) as net_variance",
-        f"cast({sql_zero('sum(abs(balance_variance))')} as {MONEY}) as absolute_variance")
+        f"cast({sql_zero('sum(balance_variance)')} as {TOTAL}) as net_variance",
+        f"cast({sql_zero('sum(abs(balance_variance))')} as {TOTAL}) as absolute_variance")
     items = register.filter(F.col("check_id") == check_id)
     sized = aggregate(items, "count(*) as items",
-                      f"cast(max(abs(amount_impact)) as {MONEY}) as largest_item")
+                      f"cast(max(abs(amount_impact)) as {TOTAL}) as largest_item")
     median = exact_median(items, "abs(amount_impact)", "median_item")
     return book.crossJoin(sized).crossJoin(median).selectExpr(
         "net_variance", "absolute_variance", "items", "largest_item",
@@ -195,9 +195,15 @@ def variance_profile(recon: DataFrame, register: DataFrame, check_id: str = "DQ-
 
 
 def entry_criteria(receipt: DataFrame, received: dict[str, int] | None = None) -> DataFrame:
-    """Whether every table arrived with rows and, where a count was announced, with that count."""
-    expected = _map_lookup(received, "table_name") if received else "null"
-    return receipt.selectExpr(
-        "table_name", "rows_loaded", f"cast({expected} as bigint) as rows_received").selectExpr(
-        "*", "case when rows_loaded = 0 then 'EMPTY' when rows_received <> rows_loaded "
-             "then 'SHORT' else 'MET' end as criterion")
+    """Whether every table arrived with rows, none set aside, and with the count announced for it.
+
+    `received` holds the announced counts; a table it names that the receipt lacks is ABSENT.
+    """
+    spark, received = receipt.sparkSession, received or {}
+    announced = spark.createDataFrame(list(received.items()),
+                                      "table_name string, rows_received bigint")
+    return receipt.join(F.broadcast(announced), "table_name", "full").selectExpr(
+        "table_name", "rows_loaded", "rows_received", "rows_rejected",
+        "case when rows_loaded is null then 'ABSENT' when rows_loaded = 0 then 'EMPTY' "
+        "when rows_rejected > 0 then 'REJECTS' when rows_loaded < rows_received then 'SHORT' "
+        "when rows_loaded > rows_received then 'SURPLUS' else 'MET' end as criterion")

@@ -14,7 +14,7 @@ REGISTER = T.StructType([
     T.StructField("exception_id", T.StringType()), T.StructField("run_id", T.StringType()),
     T.StructField("run_ts", T.TimestampType()),
     *[T.StructField(c, {"date_of_service": T.DateType(), "billed_amount": T.DecimalType(18, 2),
-                        "amount_impact": T.DecimalType(18, 2)}.get(c, T.StringType()))
+                        "amount_impact": T.DecimalType(38, 2)}.get(c, T.StringType()))
       for c in EXCEPTION_COLUMNS],
     T.StructField("assigned_queue", T.StringType()), T.StructField("disposition", T.StringType()),
     T.StructField("disposition_reason", T.StringType()),
@@ -29,17 +29,44 @@ def sql_assigned_queue(check_id: str = "check_id") -> str:
     return f"try_element_at(map({pairs}), {check_id})"
 
 
-def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
+# Copies of one record that a task numbers in one go.
+COPIES_PER_BLOCK = 1_000_000
+
+
+def _numbered(exceptions: DataFrame, per_block: int) -> DataFrame:
+    """Each exception with `copy`: 1, or the number of the copy where records are equal.
+
+    Equal records are counted, map side first, and written out again from the count. A count above
+    `per_block` is cut into blocks that are spread over tasks, so one line posted again and again
+    stays split.
+    """
+    counted = exceptions.groupBy(*EXCEPTION_COLUMNS).agg(F.expr("count(*) as copies"))
+    few = counted.filter(f"copies <= {per_block}").selectExpr(
+        *EXCEPTION_COLUMNS, "explode(sequence(1L, copies)) as copy")
+    blocks = (counted.filter(f"copies > {per_block}")
+              .selectExpr("*", f"explode(sequence(0L, (copies - 1) div {per_block})) as block")
+              .repartition("check_id", "entity_key", "finding", "block"))
+    many = blocks.selectExpr(
+        *EXCEPTION_COLUMNS, f"explode(sequence(block * {per_block} + 1, "
+                            f"least((block + 1) * {per_block}, copies))) as copy")
+    return few.unionByName(many)
+
+
+def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime,
+                       per_block: int = COPIES_PER_BLOCK) -> DataFrame:
     """Exceptions of a run with queue and open disposition.
 
-    The id is a hash of run, check, entity and finding, so a rerun gives the same ids.
+    The id is a hash of the run, the whole record and the number of its copy, so a rerun gives the
+    same ids and no two items share one.
     """
-    key = "concat_ws(':', run_id, check_id, coalesce(entity_key, ''), coalesce(finding, ''))"
-    run = exceptions.select(F.lit(run_id).alias("run_id"),
-                            F.expr(f"timestamp'{run_ts.isoformat(' ')}' as run_ts"),
-                            *EXCEPTION_COLUMNS)
+    record = ", ".join(f"coalesce(cast({c} as string), '<null>')" for c in EXCEPTION_COLUMNS)
+    key = f"concat_ws(char(31), run_id, {record}, cast(copy as string))"
+    run = _numbered(exceptions, per_block).select(
+        F.lit(run_id).alias("run_id"), F.expr(f"timestamp'{run_ts.isoformat(' ')}' as run_ts"),
+        *EXCEPTION_COLUMNS, "copy")
     return run.selectExpr(
-        f"sha2({key}, 256) as exception_id", "*", f"{sql_assigned_queue()} as assigned_queue",
+        f"sha2({key}, 256) as exception_id", "run_id", "run_ts", *EXCEPTION_COLUMNS,
+        f"{sql_assigned_queue()} as assigned_queue",
         "'OPEN' as disposition", "cast(null as string) as disposition_reason",
         "cast(null as timestamp) as resolved_ts")
 

@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitwise import schemas
+from remitwise.schemas import check_routing
+
+
+# Text is written on one line, so that files stay splittable: these characters become a backslash
+# and a letter. A field without text reads as a lone marker, which escaped text cannot be.
+_ESCAPES = {"\\": "\\s", "\n": "\\n", "\r": "\\r"}
+_NOTHING = "\\N"
+
+
+def _replaced(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """`df` with pieces of its text columns replaced, one pair after the other."""
+    def column(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            for old, new in pairs:
+                value = F.replace(value, F.lit(old), F.lit(new))
+        return value.alias(field.name)
+
+    return df.select(*[column(f) for f in df.schema])
 
 
 def _write(df: DataFrame, path: str, *partitions: str) -> None:
-    (df.write.mode("overwrite").option("header", True).option("escape", '"')
-     .partitionBy(*partitions).csv(path))
+    # The backslash comes first: the others add backslashes.
+    (_replaced(df, list(_ESCAPES.items())).write.mode("overwrite").option("header", True)
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).partitionBy(*partitions).csv(path))
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("escape", '"')
+    rows = (spark.read.schema(schema).option("header", True).option("escape", '"')
+            .option("nullValue", _NOTHING).option("emptyValue", "").option("columnPruning", False)
             .option("mode", "FAILFAST").csv(path))
+    return _replaced(rows, [(new, old) for old, new in reversed(_ESCAPES.items())])
 
 
 def export_reports(reports: dict[str, DataFrame], out: str) -> None:
@@ -34,14 +57,25 @@ def export_register(register: DataFrame, out: str) -> None:
 
 
 def export_exceptions(register: DataFrame, out: str) -> None:
-    """One folder per check, in key order over its files.
+    """One folder per check, `evidence=<name>`, in key order over its files; a clean check's holds a
+    file with the header alone.
 
-    Rows are split by ranges of (check_id, entity_key), so a check with many findings becomes many
-    files and not one large task.
+    Rows are split by ranges of (check_id, entity_key, exception_id), so neither a check with many
+    findings nor a key with many becomes one large task.
     """
-    rows = register.select(*schemas.EXCEPTION_COLUMNS)
-    _write(rows.repartitionByRange("check_id", "entity_key")
-           .sortWithinPartitions("check_id", "entity_key"), f"{out}/exceptions", "check_id")
+    spark = register.sparkSession
+    names = check_routing(spark).select("check_id", "evidence")
+    rows = (register.repartitionByRange("check_id", "entity_key", "exception_id")
+            .join(F.broadcast(names), "check_id", "left")  # twelve rows
+            .sortWithinPartitions("evidence", "entity_key", "exception_id")
+            .select(*schemas.EXCEPTION_COLUMNS, "evidence"))
+    _write(rows, f"{out}/exceptions", "evidence")
+    # At most one row per check.
+    found = {row[0] for row in register.select("check_id").distinct().collect()}
+    nothing = register.limit(0).select(*schemas.EXCEPTION_COLUMNS)
+    for row in schemas.ROUTING:
+        if row[0] not in found:
+            _write(nothing, f"{out}/exceptions/evidence={row[5]}")
 
 
 def export_recon(recon: DataFrame, out: str) -> None:
@@ -53,7 +87,7 @@ def export_recon(recon: DataFrame, out: str) -> None:
 def read_exports(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The register and the reconciliation as exported, for independent recomputation."""
     register = T.StructType([*schemas.REGISTER_EXPORT.fields,
-                             T.StructField("absolute_impact", T.DecimalType(18, 2))])
+                             T.StructField("absolute_impact", T.DecimalType(38, 2))])
     return {
         "exception_register": _read(spark, f"{out}/exception_register", register),
         "claim_reconciliation": _read(spark, f"{out}/claim_reconciliation",
@@ -62,10 +96,8 @@ def read_exports(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 
 def read_exceptions(spark: SparkSession, out: str) -> DataFrame:
-    """The per-check files, with check_id taken from the folder."""
-    fields = [f for f in schemas.REGISTER_EXPORT.fields if f.name in schemas.EXCEPTION_COLUMNS]
-    by_name = {f.name: f for f in fields}
-    in_file = T.StructType([by_name.get(c, T.StructField(c, T.StringType()))
-                            for c in schemas.EXCEPTION_COLUMNS if c != "check_id"])
-    partitioned = T.StructType([*in_file.fields, T.StructField("check_id", T.StringType())])
+    """The per-check files."""
+    by_name = {f.name: f for f in schemas.REGISTER_EXPORT.fields}
+    in_file = T.StructType([by_name[c] for c in schemas.EXCEPTION_COLUMNS])
+    partitioned = T.StructType([*in_file.fields, T.StructField("evidence", T.StringType())])
     return _read(spark, f"{out}/exceptions", partitioned).select(*schemas.EXCEPTION_COLUMNS)
