@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from remitwise.functions.scalars import sql_fill, sql_safe_date, sql_safe_numeric
 from remitwise.schemas import CLAIM_COLUMNS, MONEY, REMIT_COLUMNS
+from remitwise.sources.scratch import scratch_path
 
 # Default share of the book per defect: buckets out of 1,000.
 BUCKETS = 1000
@@ -25,7 +26,7 @@ BAD_CPT = ["", "9921", "ABCDE", "99213A"]
 BAD_ICD10 = ["", "XX999", "E119"]
 BAD_CHARGES = ["0.00", "-125.00"]
 
-# Ledger wording per defect; `{}` is the claim_id.
+# Ledger wording per defect; `{}` is the claim_id.
 NOTES = {
     "DQ-01": "Exact claim_id re-submitted under a resend batch",
     "DQ-02": "Duplicate billing fingerprint of {} under a new claim id",
@@ -77,14 +78,24 @@ def plant_defects(claims: DataFrame, remits: DataFrame, audit_date: dt.date,
     """Dirty claims, dirty remittances and the ledger of what was planted.
 
     The inputs are clean landing tables: claim_id unique, at most one line per claim. `plan` gives
-    the number of buckets per check. `bucket` and `draw` are SQL text over a claim; by default the
+    the number of buckets per check. `bucket` and `draw` are SQL text over claim_id; by default the
     bucket is a hash of claim_id and `seed` out of 1,000, and the draw, which chooses the form of
     the defect, another hash. A defect of the payment side is planted on PAID claims with a line.
+
+    Rows of a claim_id whose bucket has no defect pass by a filter. Only the others are joined; the
+    claims among them are written once and serve all three results.
     """
     bucket = bucket or f"pmod(xxhash64(claim_id, {seed}), {BUCKETS})"
     draw = draw or f"xxhash64(claim_id, {seed}, 'draw')"
-    line = remits.selectExpr("claim_id", "remit_id as line_id", "true as has_line",
-                             f"{_cents('paid_amount')} as line_paid")
+
+    def spotted(rows: DataFrame) -> DataFrame:
+        return (rows.selectExpr("*", f"cast({bucket} as int) as bucket")
+                .selectExpr("*", f"{_spot(plan or DEFAULT_PLAN, 'bucket')} as spot"))
+
+    book, lines = spotted(claims), spotted(remits)
+    line = lines.filter("spot is not null").selectExpr(
+        "claim_id", "remit_id as line_id", "true as has_line",
+        f"{_cents('paid_amount')} as line_paid")
     payable = "claim_status = 'PAID' and has_line"
     # What a claim must offer to take a defect; the others take any claim.
     fits = f"""case
@@ -97,17 +108,23 @@ def plant_defects(claims: DataFrame, remits: DataFrame, audit_date: dt.date,
                  when draw % 20 between 9 and 14 then 'submit' else 'future' end
         when defect = 'DQ-12' then {_pick(["cpt_code", "icd10_code", "date_of_service",
                                            "billed_amount", "patient_id"], "draw")} end"""
-    marked = (claims.join(line, "claim_id", "left")
-              .selectExpr("*", f"cast({bucket} as int) as bucket",
-                          f"abs({draw} % 1000000007L) as draw")
-              .selectExpr("*", f"{_spot(plan or DEFAULT_PLAN, 'bucket')} as spot",
+    marked = (book.filter("spot is not null").join(line, "claim_id", "left")
+              .selectExpr("*", f"abs({draw} % 1000000007L) as draw",
                           f"{_cents('billed_amount')} as billed",
                           f"{_cents('expected_allowed_amount')} as expected",
                           f"{sql_safe_date('date_of_service')} as dos",
                           f"{sql_safe_date('claim_submit_date')} as submit")
               .selectExpr("*", f"case when {fits} then spot end as defect")
               .selectExpr("*", f"{form} as form"))
-    return _dirty_claims(marked, audit_date), _dirty_remits(marked, remits), _ledger(marked)
+    spark = claims.sparkSession
+    path = scratch_path(spark, "marked")
+    marked.hint("rebalance").write.parquet(path)
+    marked = spark.read.schema(marked.schema).parquet(path)
+    return (_dirty_claims(marked, audit_date).unionByName(
+                book.filter("spot is null").select(*CLAIM_COLUMNS)),
+            _dirty_remits(marked, lines.filter("spot is not null")).unionByName(
+                lines.filter("spot is null").select(*REMIT_COLUMNS)),
+            _ledger(marked))
 
 
 def _changed(rows: DataFrame, columns: list[str], changes: dict[str, str]) -> DataFrame:
@@ -158,7 +175,7 @@ def _dirty_remits(marked: DataFrame, remits: DataFrame) -> DataFrame:
     up, down = "(billed - paid - 100)", "(paid - 100)"
     rises = f"{up} > 200 and ({down} <= 150 or draw % 2 = 0)"
     copies = "explode(if(defect in ('DQ-03', 'DQ-04'), array(false, true), array(false))) as again"
-    rows = (remits.join(facts, "claim_id", "left")
+    rows = (remits.select(*REMIT_COLUMNS).join(facts, "claim_id", "left")
             .filter("coalesce(defect, '') <> 'DQ-05'")
             .selectExpr("*", f"{_cents('paid_amount')} as paid",
                         f"{_cents('patient_responsibility')} as patient_cents",
