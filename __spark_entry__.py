@@ -7,9 +7,9 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
-from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -18,9 +18,9 @@ from remitwise import fixture  # noqa: E402
 from remitwise.operators import checks, layers, planting  # noqa: E402
 from remitwise.plans import crossfoot, operations, reports  # noqa: E402
 from remitwise.plans.audit import Audit, run_audit  # noqa: E402
-from remitwise.plans.register import exception_register  # noqa: E402
+from remitwise.plans.register import exception_register, read_register, write_run  # noqa: E402
 from remitwise.schemas import check_catalog, check_routing  # noqa: E402
-from remitwise.sources import landing  # noqa: E402
+from remitwise.sources import exports, landing  # noqa: E402
 from remitwise.sources.scratch import scratch_path  # noqa: E402
 
 # The only place that tolerates the absence of the training-data operators.
@@ -40,12 +40,10 @@ _AUDITS: dict[tuple, Audit] = {}
 
 
 def _files(spark: SparkSession, sf_dir: str) -> tuple:
-    found = []
-    for uri in sorted(spark.read.parquet(f"{sf_dir}/orders.parquet").inputFiles()):
-        path = unquote(urlparse(uri).path)
-        stat = os.stat(path) if os.path.exists(path) else None
-        found.append((uri, stat and (stat.st_size, stat.st_mtime_ns)))
-    return tuple(found)
+    """Name, size and time of every input file, wherever it is; contents are not read."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .load(f"{sf_dir}/orders.parquet").select("path", "length", "modificationTime"))
+    return tuple(sorted(map(tuple, listed.collect())))
 
 
 def _plant(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -161,6 +159,55 @@ def _control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.negative_control(_audit(spark, sf_dir, "clean").register, check_catalog(spark))
 
 
+def _csv(rows: DataFrame, name: str) -> str:
+    """The folder of a feed delivered as CSV."""
+    path = scratch_path(rows.sparkSession, name)
+    (rows.write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+def _csv_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed from CSV, with payer names that need quotes and keep an outer blank."""
+    named = fixture.claims(spark, sf_dir).withColumn(
+        "payer_name", F.expr("concat(payer_name, ', \"Inc\" ')"))
+    return landing.read_claims(spark, _csv(named, "claims_csv"))
+
+
+def _csv_remits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.read_remits(spark, _csv(fixture.remits(spark, sf_dir), "remits_csv"))
+
+
+def _csv_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.read_ledger(spark, _csv(_plant(spark, sf_dir)[2], "ledger_csv"))
+
+
+def _exported(audit: Audit) -> str:
+    """The folder with the exports of an audit."""
+    out = scratch_path(audit.register.sparkSession, "exports")
+    audit.export(out)
+    return out
+
+
+def _reread(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return _on_audit(lambda a: exports.read_exports(
+        a.register.sparkSession, _exported(a))[name])
+
+
+def _crossfoot_from_exports(audit: Audit) -> DataFrame:
+    held = exports.read_exports(audit.register.sparkSession, _exported(audit))
+    return crossfoot.crossfoot_detail(held["claim_reconciliation"], held["exception_register"])
+
+
+def _stored_run(audit: Audit) -> DataFrame:
+    """A run whose id needs escaping, written twice beside another run and read back."""
+    spark = audit.register.sparkSession
+    path = scratch_path(spark, "register")
+    for run_id in (statements.ODD_RUN, statements.RUN_ID, statements.ODD_RUN):
+        write_run(audit.register.withColumn("run_id", F.lit(run_id)), path, run_id)
+    return read_register(spark, path, statements.ODD_RUN)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The run summary of a full audit at the smallest scale."""
     return _audit(spark, "/root/testdata/sf0.001").dq_summary()
@@ -200,9 +247,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "severity_mix": _on_audit(lambda a: crossfoot.severity_mix(a.register, a.catalog)),
         "payer_scorecard_total": _on_audit(lambda a: crossfoot.payer_scorecard_total(
             a.layer.recon, a.register, a.layer.payers)),
-        "headline": lambda spark, sf_dir: crossfoot.headline(
-            _audit(spark, sf_dir).layer.recon, _audit(spark, sf_dir).register,
-            fixture.claims(spark, sf_dir), fixture.remits(spark, sf_dir)),
+        "headline": _on_audit(
+            lambda a: crossfoot.headline(a.layer.grain, a.register, a.layer.remits)),
         "run_verdict": _on_audit(
             lambda a: operations.run_verdict(a.dq_summary(), a.layer.claim_unique)),
         "suite_verdict": lambda spark, sf_dir: operations.suite_verdict(
@@ -216,6 +262,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "disposition_violations": _disposition_violations,
         "variance_profile": _on_audit(lambda a: operations.variance_profile(
             a.layer.recon, a.register, "DQ-08")),
+        "csv_claims": _csv_claims,
+        "csv_remits": _csv_remits,
+        "csv_ledger": _csv_ledger,
+        "stored_run": _on_audit(_stored_run),
+        "export_register": _reread("exception_register"),
+        "export_recon": _reread("claim_reconciliation"),
+        "export_exceptions": _on_audit(lambda a: exports.read_exceptions(
+            a.register.sparkSession, _exported(a))),
+        "crossfoot_from_exports": _on_audit(_crossfoot_from_exports),
         "planted_ledger": lambda spark, sf_dir: _plant(spark, sf_dir)[2],
         "planted_validation": lambda spark, sf_dir: _audit(
             spark, sf_dir, "planted").suite_validation(),

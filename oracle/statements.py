@@ -10,6 +10,8 @@ AUDIT_DATE = "2001-12-31"
 RUN_ID = "RUN-2001-12-31"
 RUN_TS = "2001-12-31 06:00:00"
 AS_OF = "2002-01-04 12:00:00"
+# A run id that cannot be a folder name as it is.
+ODD_RUN = "RUN 2001/12=31: 50%25"
 
 
 def _quoted(value: object) -> str:
@@ -472,6 +474,18 @@ def _oracles() -> dict[str, str]:
     out["all_exceptions"] = _chain("SELECT * FROM exc", *_RECON, EXCEPTIONS)
     out["all_exceptions_fused"] = out["all_exceptions"]
     out["exception_register"] = _chain("SELECT * FROM reg", *_REGISTER)
+    out["stored_run"] = _chain(f"SELECT * REPLACE ('{ODD_RUN}' AS run_id) FROM reg", *_REGISTER)
+    out["export_register"] = _chain(
+        f"SELECT {', '.join(schemas.REGISTER_EXPORT_COLUMNS)}, "
+        "abs(amount_impact) AS absolute_impact FROM reg", *_REGISTER)
+    out["export_recon"] = _chain(
+        f"SELECT {', '.join(schemas.RECON_EXPORT_COLUMNS)} FROM rc", *_RECON)
+    out["export_exceptions"] = _chain(
+        f"SELECT {', '.join(schemas.EXCEPTION_COLUMNS)} FROM exc", *_RECON, EXCEPTIONS)
+    out["csv_claims"] = _chain(
+        """SELECT * REPLACE (payer_name || ', "Inc" ' AS payer_name) FROM claims""",
+        MASTER, feeds())
+    out["csv_remits"] = _chain("SELECT * FROM remits", MASTER, feeds())
     out["dq_summary"] = _chain("SELECT * FROM summary", *_REGISTER, SUMMARY)
     out["control_totals"] = _chain(
         f"""SELECT count(*) AS claims_in_scope,
@@ -505,6 +519,7 @@ def _oracles() -> dict[str, str]:
     out["recon_verdict"] = _chain("SELECT * FROM verdicts", *_RECON, CROSSFOOT | {
         "detail": "SELECT 1"})
     out["crossfoot_detail"] = _chain("SELECT * FROM detail", *_REGISTER, CROSSFOOT)
+    out["crossfoot_from_exports"] = out["crossfoot_detail"]
     out["crossfoot_summary"] = _chain(
         """SELECT check_id, tests, register_count, recomputed_count,
             CASE WHEN check_id = 'ALL' THEN disagreements ELSE register_count - recomputed_count END
@@ -654,6 +669,7 @@ def _oracles() -> dict[str, str]:
             AS check_id, CASE WHEN b IN (2, 3) THEN 'remit' ELSE 'claim' END AS entity_type,
             {_PLANTED_KEY} AS entity_key, {_PLANTED_NOTE} AS description FROM {_BUCKETS}""",
         {"o": feeds(False)["o"]})
+    out["csv_ledger"] = out["planted_ledger"]
     out["planted_validation"] = _chain(
         f"""SELECT c.check_id, check_name, n AS injected_defects, n AS detected_exceptions,
             n AS true_positives, 0::BIGINT AS false_negatives, 0::BIGINT AS false_positives,

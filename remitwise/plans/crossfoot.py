@@ -154,18 +154,17 @@ def payer_scorecard_total(recon: DataFrame, register: DataFrame, payers: DataFra
         f"if(is_total = 0, {per_thousand}, null) as exceptions_per_1000_claims")
 
 
-def headline(recon: DataFrame, register: DataFrame, claim_rows: DataFrame,
-             remit_rows: DataFrame) -> DataFrame:
-    """The eight headline figures in one row."""
+def headline(grain: DataFrame, register: DataFrame, remits: DataFrame) -> DataFrame:
+    """The eight headline figures in one row, from the layer's grain and lines and the register."""
     net = "sum(balance_variance) filter (where remit_line_count > 0)"
-    claims = aggregate(recon, "count(*) as unique_claims",
+    claims = aggregate(grain.filter("in_claims"), "count(*) as unique_claims",
+                       "coalesce(sum(occurrences), 0L) as claim_rows",
                        f"cast({sql_zero('sum(billed_amount)')} as {TOTAL}) as billed_in_scope",
                        f"cast({sql_zero(net)} as {TOTAL}) as net_variance_adjudicated")
     found = aggregate(register, "count(*) as exceptions",
                       "count(*) filter (where severity = 'CRITICAL') as critical_exceptions",
                       f"{sql_zero(IMPACT)} as financial_exposure_usd")
-    received = (aggregate(claim_rows, "count(*) as claim_rows")
-                .crossJoin(aggregate(remit_rows, "count(*) as remit_rows")))
+    received = aggregate(remits, "count(*) as remit_rows")
     return claims.crossJoin(found).crossJoin(received).selectExpr(
         "unique_claims", "claim_rows + remit_rows as rows_compared", "exceptions",
         f"{sql_rate('exceptions', 'unique_claims', 100, 1)} as exception_rate_pct",

@@ -133,27 +133,31 @@ def reference_violations(table: str, df: DataFrame, key: list[str],
                          parent: DataFrame | None = None) -> DataFrame:
     """Broken table rules: repeated or NULL keys, NULL in required columns, missing parents.
 
-    `parent` holds the allowed values of the columns it shares with `df`.
+    `parent` holds the allowed values of the columns it shares with `df`. One aggregation by key
+    counts for all rules but the last, which needs one by the shared columns.
     """
-    def report(rule: str, column: str, rows: DataFrame, *values: str) -> DataFrame:
-        shown = F.concat_ws("|", *[F.coalesce(F.col(v).cast("string"), F.lit("<null>"))
-                                   for v in values])
-        return rows.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-                           F.lit(column).alias("column_name"), shown.alias("key_value"),
-                           F.col("rows").cast("long").alias("rows"))
-
-    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"))
-    found = [report("UNIQUE", ",".join(key), counted.filter("rows > 1"), *key)]
-    for column in [*key, *(required or [])]:
-        missing = (df.filter(F.col(column).isNull()).groupBy(*key)
-                   .agg(F.count(F.lit(1)).alias("rows")))
-        found.append(report("NOT NULL", column, missing, *key))
+    def shown(columns: list[str]) -> str:
+        return "concat_ws('|', " + ", ".join(
+            f"coalesce(cast({c} as string), '<null>')" for c in columns) + ") as key_value"
+
+    named = f"'{table}' as table_name"
+    columns = [*key, *(required or [])]
+    counted = df.groupBy(*key).agg(F.expr("count(*) as held"), *[
+        F.expr(f"count_if({c} is null) as missing_{i}") for i, c in enumerate(columns)])
+    rules = [f"struct('UNIQUE' as rule, '{','.join(key)}' as column_name, "
+             "if(held > 1, held, 0L) as rows)"]
+    rules += [f"struct('NOT NULL' as rule, '{c}' as column_name, missing_{i} as rows)"
+              for i, c in enumerate(columns)]
+    found = (counted.selectExpr(named, shown(key), f"inline(array({', '.join(rules)}))")
+             .filter("rows > 0").select("table_name", "rule", "column_name", "key_value", "rows"))
     if parent is not None:
         shared = [c for c in parent.columns if c in df.columns]
-        values = df.na.drop(subset=shared).groupBy(*shared).agg(F.count(F.lit(1)).alias("rows"))
+        values = df.na.drop(subset=shared).groupBy(*shared).agg(F.expr("count(*) as rows"))
         absent = values.join(parent.select(*shared).distinct(), shared, "left_anti")
-        found.append(report("FOREIGN KEY", ",".join(shared), absent, *shared))
-    return reduce(DataFrame.unionByName, found)
+        found = found.unionByName(absent.selectExpr(
+            named, "'FOREIGN KEY' as rule", f"'{','.join(shared)}' as column_name", shown(shared),
+            "rows"))
+    return found
 
 
 def require_key(name: str, df: DataFrame, key: str) -> None:
