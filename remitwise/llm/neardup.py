@@ -5,7 +5,7 @@ member. `TREES` independent trees branch the members: at each node coordinates a
 1 / similarity of them on average, and members go to the child named by their minwise token at the
 coordinate. Two members of the wanted similarity meet below each node with a probability that does
 not fall with the number of documents, and independent trees raise it: at 0.85 a pair is missed by
-about (1 - 0.77) ** 8 < 1e-5.
+about (1 - 0.77) ** 10 < 1e-6.
 
 Nodes are branched at least `LEAST_DEPTH` times, then until they hold `LEAF` members or stop getting
 smaller. A leaf is compared
@@ -54,7 +54,7 @@ from remitwise.operators.skew import is_small, spread_join
 WORDS = 5
 SIMILAR = 85  # percent
 COORDINATES = 64
-TREES = 8
+TREES = 10
 LEAST_DEPTH = 2
 LEAF = 128
 # Members per block of a node that does not become smaller.
