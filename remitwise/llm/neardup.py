@@ -1,21 +1,24 @@
 """Operator 6: near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its distinct 5-word shingles (64-bit hashes). Documents of equal sets are one
-member. `TREES` independent trees branch the members: at each node coordinates are chosen at random,
-1 / similarity of them on average, and members go to the child named by their minwise token at the
-coordinate. Two members of the wanted similarity meet below each node with a probability that does
-not fall with the number of documents, and independent trees raise it: at 0.85 a pair is missed by
-about (1 - 0.77) ** 10 < 1e-6.
-
-Nodes are branched at least `LEAST_DEPTH` times, then until they hold `LEAF` members or stop getting
-smaller. A leaf is compared
-exhaustively: first by all coordinates of the signatures (a pair is let go if fewer than
-`LET_GO` of them agree, 5 deviations below the wanted similarity), then what is left of it, a cluster,
+member. Independent trees branch the members, each by `OWN` minwise functions of its own: at each node
+one or two of those not yet used above it are chosen at random, and members go to the child named by
+their token there. The first `LEAST_DEPTH` branchings choose 1 / similarity functions on average, the
+deeper ones `DEEP` / similarity, so that the chance that two similar members meet does not run out with
+depth. `plan` computes from these numbers how often a tree misses a pair of exactly the wanted
+similarity at `MOST_DEPTH`, where it is missed most, and takes as many trees, ten at least, as keep that
+below `MISSED` at every depth.
+
+Nodes are branched at least `LEAST_DEPTH` times, then until they hold `LEAF` members, stop getting
+smaller or lie at `MOST_DEPTH`. A leaf is compared
+exhaustively: first by `COORDINATES` of the signatures (a pair is let go if so few of them agree that
+a similar pair does so with a chance below `LET_GO`), then what is left of it, a cluster,
 by the full sets. A cluster gives a spanning forest of its confirmed links, which holds the same
 components as all of them.
 
 A large node that keeps more than half of its parent's members holds members that agree almost
-everywhere. It is compared exactly in two steps, without a cap: its members in random blocks of `BLOCK`, each with
+everywhere. It, like one that is still large at `MOST_DEPTH`, is compared exactly in two steps, without a
+cap: its members in random blocks of `BLOCK`, each with
 the node's first member, which joins nearly all of them; then whoever is not yet in the node's largest
 component against every block, in portions of `BLOCK`.
 
@@ -32,6 +35,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from math import ceil, comb, log
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -54,12 +59,16 @@ from remitwise.operators.skew import is_small, spread_join
 WORDS = 5
 SIMILAR = 85  # percent
 COORDINATES = 64
-TREES = 10
-LEAST_DEPTH = 2
+LEAST_TREES = 10
+# Minwise functions of each tree.
+OWN = 24
+LEAST_DEPTH, MOST_DEPTH = 2, 8
+DEEP = 1.5
 LEAF = 128
 # Members per block of a node that does not become smaller.
 BLOCK = 512
-LET_GO = 0.6
+# Chances that a pair of exactly the wanted similarity is lost by the trees, and in a leaf.
+MISSED, LET_GO = 1e-5, 1e-6
 
 _GAP = np.zeros(256, bool)
 _GAP[[32, *range(9, 14)]] = True
@@ -67,6 +76,50 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+class Plan(NamedTuple):
+    """What follows from a similarity in percent."""
+
+    similar: int
+    more: int  # nodes of 1,000 that choose a second function, in the first branchings
+    deep: int  # and below them
+    trees: int
+    agree: int  # least coordinates that agree
+
+    @property
+    def width(self) -> int:
+        return max(COORDINATES, OWN * self.trees)
+
+
+def tree_miss(similar: int, more: int, deep: int, depth: int) -> float:
+    """The chance that one tree parts a pair of exactly this similarity within `depth` branchings."""
+    s, missed = similar / 100, 0.0
+    for same in range(OWN + 1):
+        # `same` of the tree's functions agree; a node at `level` has used as many of these.
+        lost = 0.0
+        for level in reversed(range(depth)):
+            second = (more if level < LEAST_DEPTH else deep) / 1000
+            left, free = max(0, same - level), OWN - level
+            one = left / free
+            both = one * max(0, left - 1) / (free - 1)
+            single = 1 - one + one * lost
+            pair = 1 - 2 * one + both + 2 * (one - both) * lost + both * lost * lost
+            lost = (1 - second) * single + second * pair
+        missed += comb(OWN, same) * s ** same * (1 - s) ** (OWN - same) * lost
+    return missed
+
+
+@lru_cache(maxsize=4)
+def plan(similar: int) -> Plan:
+    """Branching rates, number of trees and least agreement for a similarity in percent."""
+    more, deep = (min(1000, int(100_000 * r) // similar - 1000) for r in (1, DEEP))
+    miss = max(tree_miss(similar, more, deep, d) for d in range(LEAST_DEPTH, MOST_DEPTH + 1))
+    s, agree, fewer = similar / 100, 0, (1 - similar / 100) ** COORDINATES
+    while fewer <= LET_GO:
+        agree += 1
+        fewer += comb(COORDINATES, agree) * s ** agree * (1 - s) ** (COORDINATES - agree)
+    return Plan(similar, more, deep, max(LEAST_TREES, ceil(log(MISSED) / log(miss))), agree)
+
+
 @lru_cache(maxsize=4)
 def odd_numbers(count: int, seed: int) -> np.ndarray:
     """Fixed random odd multipliers."""
@@ -124,26 +177,28 @@ def fingerprint(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, own: Plan) -> DataFrame:
     """(doc_id, text_hash, n_shingles, fp, sig) of every whole text; no set: no fp, no sig."""
     rows = pick(docs, "doc_id", "text").selectExpr("doc_id", "xxhash64(text) as text_hash", "text")
     kind = rows.schema[0].dataType.simpleString()
 
+    width = own.width
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        multipliers = odd_numbers(COORDINATES, 2)
+        multipliers = odd_numbers(width, 2)
         for batch in batches:
             for step in steps(batch, "text"):
                 sets = shingle_sets(step.column(2))
                 size = np.array([len(s) for s in sets])
                 full = np.flatnonzero(size)
-                sig = np.zeros((len(full), COORDINATES), np.uint32)
+                sig = np.zeros((len(full), width), np.uint32)
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     cuts = np.cumsum(size[full]) - size[full]
                     for c, m in enumerate(multipliers):
                         least = np.minimum.reduceat(flat * m, cuts)
                         sig[:, c] = (least >> np.uint64(32)).astype(np.uint32)
-                lengths = np.where(size > 0, COORDINATES, 0)
+                lengths = np.where(size > 0, width, 0)
                 yield pa.RecordBatch.from_arrays([
                     step.column(0), step.column(1), pa.array(size.astype(np.int64)),
                     pa.array([fingerprint(s) for s in sets], pa.binary()),
@@ -159,14 +214,20 @@ def signatures(docs: DataFrame) -> DataFrame:
 # -- the trees --------------------------------------------------------------------------------
 
 
-def children(nodes: DataFrame) -> DataFrame:
-    """One branching of (node, fp, sig, ...): 1 / similarity children per node on average."""
-    more = 100_000 // SIMILAR - 1000
-    chosen = (f"filter(array(cast(pmod(xxhash64(node, 1), {COORDINATES}) as int), "
-              f"if(pmod(xxhash64(node, 3), 1000) < {more}, "
-              f"cast(pmod(xxhash64(node, 2), {COORDINATES}) as int), null)), c -> c is not null)")
-    return nodes.selectExpr("* except (node)", "node as parent", f"explode({chosen}) as c").selectExpr(
-        "xxhash64(parent, c, get(sig, c)) as node", "* except (parent, c)")
+def children(nodes: DataFrame, more: int) -> DataFrame:
+    """One branching of (node, fp, tree, used, sig, ...); `more` of 1,000 nodes choose twice.
+
+    `used` has a bit for each of the tree's functions chosen above the node.
+    """
+    free = f"filter(sequence(0, {OWN - 1}), c -> (shiftright(used, c) & 1) = 0)"
+    place = "cast(pmod(xxhash64(node, 1), size(free)) as int)"
+    other = "cast(pmod(place + 1 + pmod(xxhash64(node, 2), size(free) - 1), size(free)) as int)"
+    chosen = (f"if(pmod(xxhash64(node, 3), 1000) < {more}, array(get(free, place), "
+              f"get(free, {other})), array(get(free, place)))")
+    return (nodes.selectExpr("*", f"{free} as free").selectExpr("*", f"{place} as place")
+            .selectExpr("* except (node, free, place)", "node as parent", f"explode({chosen}) as c")
+            .selectExpr(f"xxhash64(parent, c, get(sig, tree * {OWN} + c)) as node",
+                        "used | shiftleft(1, c) as used", "* except (parent, c, used)"))
 
 
 def sized(rows: DataFrame) -> DataFrame:
@@ -175,28 +236,33 @@ def sized(rows: DataFrame) -> DataFrame:
     return spread_join(rows, counts, ["node"], "size", "fp")
 
 
-def branch(members: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Leaves, and the nodes that do not become smaller, as tables of (node, fp)."""
-    rows = members.selectExpr("fp", "sig", f"explode(sequence(1L, {TREES})) as tree").selectExpr(
-        "fp", "sig", "xxhash64(tree) as node", "cast(null as bigint) as above")
+def branch(members: DataFrame, own: Plan) -> tuple[list[DataFrame], DataFrame | None]:
+    """Leaves, and the nodes that are to be compared by blocks, as tables of (node, fp)."""
+    rows = members.selectExpr(
+        "fp", "sig", f"explode(sequence(0, {own.trees - 1})) as tree").selectExpr(
+        "fp", "sig", "tree", "0 as used", "xxhash64(tree) as node", "cast(null as bigint) as above")
     for _ in range(LEAST_DEPTH):
-        rows = children(rows)
+        rows = children(rows, own.more)
     leaves: list[DataFrame] = []
     dense: list[DataFrame] = []
+    depth = LEAST_DEPTH
     while True:
-        # A node may meet a member twice when two choices fall on one coordinate.
-        level = land(sized(rows.select("node", "fp", "above").distinct()), "nodes")
+        level = land(sized(rows.select("node", "fp", "tree", "used", "above")), "nodes")
         leaves.append(level.filter(f"size <= {LEAF}").select("node", "fp"))
         large = level.filter(f"size > {LEAF}")
         # Every level that is branched has less than half the members per node of the one above.
-        stuck = "2 * size > above"
+        stuck = "2 * size > above" if depth < MOST_DEPTH else "true"
         if dense or not large.filter(stuck).isEmpty():
             dense.append(large.filter(stuck).select("node", "fp"))
         large = large.filter(f"not coalesce({stuck}, false)")
         if large.isEmpty():
             return leaves, reduce(DataFrame.unionByName, dense) if dense else None
-        rows = children(large.selectExpr("node", "fp", "size as above").join(
-            members.select("fp", "sig"), "fp"))
+        # A member is joined once, then goes to its nodes.
+        held = large.groupBy("fp").agg(
+            F.expr("collect_list(struct(node, tree, used, size as above)) as nodes"))
+        rows = children(held.join(members.select("fp", "sig"), "fp").selectExpr(
+            "fp", "sig", "inline(nodes)"), own.deep)
+        depth += 1
 
 
 def distinct_groups(groups: DataFrame) -> DataFrame:
@@ -225,15 +291,16 @@ def connected(pairs_a: np.ndarray, pairs_b: np.ndarray, n: int) -> np.ndarray:
     return label
 
 
-def clusters(groups: DataFrame, members: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def clusters(groups: DataFrame, members: DataFrame, own_plan: Plan,
+             known: DataFrame | None = None) -> DataFrame:
     """Cut (node, fp) into clusters by signature: (node, fp), clusters of one left out.
 
     With `known`, a table of (fp, root), pairs that already are in one component do not count.
     """
     # A member is joined once, then goes to its groups: some per tree, few for one that is let go.
     rows = (groups.groupBy("fp").agg(F.expr("collect_list(node) as nodes"))
-            .join(members.select("fp", "n_shingles", "sig"), "fp"))
-    own = "fp"
+            .join(members.selectExpr("fp", "n_shingles", f"slice(sig, 1, {COORDINATES}) as sig"), "fp"))
+    own, similar, agree = "fp", own_plan.similar, own_plan.agree
     if known is not None:
         rows, own = rows.join(known, "fp", "left"), "coalesce(root, fp)"
     rows = rows.selectExpr("explode(nodes) as node", "fp", "n_shingles", "sig",
@@ -254,10 +321,10 @@ def clusters(groups: DataFrame, members: DataFrame, known: DataFrame | None = No
             for part in np.split(np.arange(len(size)), np.flatnonzero(np.diff(ends >> 14)) + 1):
                 a = np.repeat(part, after[part])
                 b = ragged(part + 1, after[part])
-                ok = ((100 * np.minimum(size[a], size[b]) >= SIMILAR * np.maximum(size[a], size[b]))
+                ok = ((100 * np.minimum(size[a], size[b]) >= similar * np.maximum(size[a], size[b]))
                       & (own[a] != own[b]))
                 a, b = a[ok], b[ok]
-                ok = (sig[a] == sig[b]).sum(axis=1) >= LET_GO * COORDINATES
+                ok = (sig[a] == sig[b]).sum(axis=1) >= agree
                 found_a.append(a[ok])
                 found_b.append(b[ok])
             label = connected(np.concatenate(found_a), np.concatenate(found_b), len(size))
@@ -294,7 +361,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(rows, work, "fp binary, shingles array<bigint>")
 
 
-def linked(sets: list[np.ndarray]) -> np.ndarray:
+def linked(sets: list[np.ndarray], similar: int) -> np.ndarray:
     """Which of the sets are similar enough, by their exact intersections."""
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), size)
@@ -309,10 +376,10 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
         held[owner[a:b], place[a:b] - k * width] = 1
         shared += (held @ held.T).astype(np.int64)
     union = size[:, None] + size[None, :] - shared
-    return 100 * shared >= SIMILAR * union
+    return 100 * shared >= similar * union
 
 
-def links(groups: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+def links(groups: DataFrame, members: DataFrame, docs: DataFrame, similar: int) -> DataFrame:
     """(u, v): a spanning forest of the confirmed links of every cluster of (node, fp)."""
     groups = land(distinct_groups(groups), "clusters")
     wanted = groups.select("fp").distinct().join(members.select("fp", "rep"), "fp")
@@ -329,7 +396,7 @@ def links(groups: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
                 first = [i for i, fp in enumerate(fps) if not i or fp != fps[i - 1]]
                 lists = batch.column(2).slice(a, b - a)
                 sets = [lists[i].values.to_numpy().view(np.uint64) for i in first]
-                label = connected(*np.nonzero(np.triu(linked(sets), 1)), len(sets))
+                label = connected(*np.nonzero(np.triu(linked(sets, similar), 1)), len(sets))
                 for i in np.flatnonzero(label != np.arange(len(sets))).tolist():
                     out_u.append(fps[first[i]])
                     out_v.append(fps[first[label[i]]])
@@ -389,24 +456,25 @@ def dense_rest(large: DataFrame, roots: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_hash, a hash of the text, of every document."""
-    signed = land(signatures(docs), "signatures")
+    own = plan(SIMILAR)
+    signed = land(signatures(docs, own), "signatures")
     members = land(
         signed.filter("fp is not null").groupBy("fp").agg(
             F.expr("min(doc_id) as rep"), F.expr("count(*) as copies"),
             F.expr("any_value(n_shingles) as n_shingles"), F.expr("any_value(sig) as sig")),
         "members")
-    leaves, large = branch(members)
+    leaves, large = branch(members, own)
     groups = leaves[0]
     for more in leaves[1:]:
         groups = groups.unionByName(more)
     if large is not None:
         large = land(distinct_groups(large), "large")
         groups = groups.unionByName(dense_blocks(large))
-    edges = links(clusters(distinct_groups(groups), members), members, docs)
+    edges = links(clusters(distinct_groups(groups), members, own), members, docs, own.similar)
     roots = land(components(edges), "roots")
     if large is not None:
-        rest = clusters(dense_rest(large, roots), members, roots)
-        edges = edges.unionByName(links(rest, members, docs))
+        rest = clusters(dense_rest(large, roots), members, own, roots)
+        edges = edges.unionByName(links(rest, members, docs, own.similar))
         roots = land(components(edges), "roots")
     named = members.join(roots, "fp", "left").selectExpr(
         "fp", "copies", "rep", "coalesce(root, fp) as root")

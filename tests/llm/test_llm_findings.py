@@ -1,7 +1,53 @@
 """Places where the operators once did less than the whole job."""
 
+import random
+
+import pytest
+
 from remitwise.llm import neardup
+from test_llm_text import SCHEMA
 
 
 def test_near_duplicates_have_ten_trees():
-    assert neardup.TREES >= 10
+    assert neardup.plan(85).trees >= 10
+
+
+@pytest.mark.parametrize("similar", [80, 85])
+def test_trees_hold_their_recall_at_every_depth(similar):
+    """Drawn anew: how often a pair of exactly this similarity is parted, against the computed chance."""
+    own, draw, runs = neardup.plan(similar), random.Random(6), 4000
+
+    def parted(level, used):
+        if level == neardup.MOST_DEPTH:
+            return False
+        more = own.more if level < neardup.LEAST_DEPTH else own.deep
+        free = [c for c in range(neardup.OWN) if c not in used]
+        chosen = draw.sample(free, 1 + (draw.randrange(1000) < more))
+        return all(not same[c] or parted(level + 1, used | {c}) for c in chosen)
+
+    lost = 0
+    for _ in range(runs):
+        same = [draw.randrange(100) < similar for _ in range(neardup.OWN)]
+        lost += parted(0, frozenset())
+    miss = neardup.tree_miss(similar, own.more, own.deep, neardup.MOST_DEPTH)
+    assert lost / runs == pytest.approx(miss, abs=0.03)
+    assert miss ** own.trees <= neardup.MISSED
+    assert own.trees >= neardup.LEAST_TREES
+
+
+def test_pairs_in_a_large_family(spark):
+    """10,400 texts share a passage, 2,600 pairs of them are just similar enough."""
+    draw = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(66))
+    values = []
+    for i in range(7800):
+        own = [f"{i}x{j}" for j in range(38)]
+        values.append(f"{passage} {' '.join(own)}")
+        if i < 2600:
+            at = draw.randrange(6, 28)
+            own[at], own[at + 3] = "y", "z"
+            values.append(f"{passage} {' '.join(own)}")
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(values)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {
+        i: i - i % 2 if i < 5200 else i for i in range(len(values))}
