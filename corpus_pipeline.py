@@ -11,6 +11,8 @@ from remitwise.llm import language, mixing, neardup, pieces, surrogates
 from remitwise.llm.common import land, pick, table
 from remitwise.llm.queries import tokenizer
 
+# Percent of common shingles from which two documents are near-duplicates here.
+SIMILAR = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 # No statement: pivotal draws, keyed surrogates and subword ids are outside SQL.
@@ -26,7 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return neardup.deduplicated(pick(docs, *COLUMNS))
+    return neardup.deduplicated(pick(docs, *COLUMNS), SIMILAR)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

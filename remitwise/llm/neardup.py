@@ -454,9 +454,12 @@ def dense_rest(large: DataFrame, roots: DataFrame) -> DataFrame:
         rows.filter("root <> main").selectExpr("fp", f"explode({across}) as node")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and text_hash, a hash of the text, of every document."""
-    own = plan(SIMILAR)
+def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept and text_hash, a hash of the text, of every document.
+
+    `similar` is the least similarity of a link in percent.
+    """
+    own = plan(similar)
     signed = land(signatures(docs, own), "signatures")
     members = land(
         signed.filter("fp is not null").groupBy("fp").agg(
@@ -488,9 +491,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", "doc_id as component_id", "true as kept", "text_hash"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """All columns of the documents that stay: one of each component, one of repeated rows."""
-    kept = near_duplicates(docs).filter("kept").selectExpr(
+    kept = near_duplicates(docs, similar).filter("kept").selectExpr(
         "doc_id as kept_id", "text_hash as kept_hash").distinct()
     columns = [f"_{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*columns)

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from remitwise.llm import neardup
 from test_llm_text import SCHEMA
 
@@ -51,3 +52,16 @@ def test_pairs_in_a_large_family(spark):
     got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {r.doc_id: r.component_id for r in got} == {
         i: i - i % 2 if i < 5200 else i for i in range(len(values))}
+
+
+def test_stage_links_from_eighty_percent(spark):
+    """54 of 66 shingles, 0.82, are common to the first two; 51 of 69, 0.74, to the first and last."""
+    words = [f"w{i}" for i in range(64)]
+    near, far = list(words), list(words)
+    near[20], near[21] = "a", "b"
+    far[20], far[24] = "c", "d"
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate([words, near, far])]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2]
+    assert neardup.near_duplicates(docs).filter("kept").count() == 3
