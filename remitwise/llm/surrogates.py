@@ -71,8 +71,9 @@ PATTERN = re.compile(
     r"|(?<![\w.+-])(?P<card>\d{13,}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}"
     r"|\d{4}(?P<gap2>[ -])\d{6}(?P=gap2)\d{5})(?![\w]|[.-]\d)"
     r"|(?<![\w.-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w]|[.-]\d)"
-    r"|(?<![\w.+-])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})"
-    r"(?![\w]|[ .-]?\d)"
+    # Bare groups with blanks between them may go on after a blank; other numbers end there.
+    r"|(?<![\w.+-])(?P<phone>(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])|\(\d{2,4}\)[ .-]?)"
+    r"\d{3,4}[ .-]\d{3,4}|\d{2,4}[ .-]\d{3,4}(?:[.-]\d{3,4}| \d{3,4}(?! \d)))(?![\w]|[.-]\d)"
     rf"|(?<!\w)(?P<title>{_TITLES})[ \t]+(?P<person>{_NAME}(?:[ \t]+{_NAME}){{0,2}})")
 # What a text needs for any entity: cheap, run by Arrow over whole columns.
 HINT = rf"\d|@|[:=][ \t]*[\"']|(?:{_TITLES})[ \t]"

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from remitwise.llm import neardup
+from remitwise.llm import neardup, surrogates
 from test_llm_text import SCHEMA
 
 
@@ -65,3 +65,14 @@ def test_stage_links_from_eighty_percent(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
     assert sorted(r.doc_id for r in kept) == [0, 2]
     assert neardup.near_duplicates(docs).filter("kept").count() == 3
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("+1 (826) 555-4081 190.137.223.204", ["phone", "ip"]),
+    ("+1 (743) 555-3824 4845168114407329", ["phone", "card"]),
+    ("(743) 555-3824 4845 1681 1440 7329", ["phone", "card"]),
+    ("+1 (743) 555-3824 5 men", ["phone"]), ("743-555-3824 5 men", ["phone"]),
+    ("12 4845 1681 1440 7329", ["card"]), ("10 190.137.223.204", ["ip"]),
+    ("+1 (743) 555-3824-55, +1 (743) 555-38245", [])])
+def test_phones_before_digits(text, kinds):
+    assert [e[0] for e, _, _ in surrogates.find(text)] == kinds
