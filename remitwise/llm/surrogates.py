@@ -73,11 +73,15 @@ PATTERN = re.compile(
     r"|(?<![\w.-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w]|[.-]\d)"
     # Bare groups with blanks between them may go on after a blank; other numbers end there.
     r"|(?<![\w.+-])(?P<phone>(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])|\(\d{2,4}\)[ .-]?)"
-    r"\d{3,4}[ .-]\d{3,4}|\d{2,4}[ .-]\d{3,4}(?:[.-]\d{3,4}| \d{3,4}(?! \d)))(?![\w]|[.-]\d)"
+    r"\d{3,4}[ .-]\d{3,4}|\+[1-9]\d{7,14}|\+\d{1,3}[ .-]\d(?:[ .-]\d{2}){4}"
+    r"|\+\d{1,3}[ .-]\d{2,5}[ .-]\d{5,8}|\d{2,4}[ .-]\d{3,4}(?:[.-]\d{3,4}| \d{3,4}(?! \d)))(?![\w]|[.-]\d)"
     rf"|(?<!\w)(?P<title>{_TITLES})[ \t]+(?P<person>{_NAME}(?:[ \t]+{_NAME}){{0,2}})")
 # What a text needs for any entity: cheap, run by Arrow over whole columns.
 HINT = rf"\d|@|[:=][ \t]*[\"']|(?:{_TITLES})[ \t]"
 
+# Country codes of one and two digits; all others have three.
+_CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+
 Entity = tuple[str, str]
 
 
@@ -142,8 +146,9 @@ def find(text: str) -> list[tuple[Entity, int, int]]:
         else:
             normal = said if kind == "ip" else digits
         if kind == "phone" and said[0] == "+":
-            # The country code is told from the number by what follows it.
-            normal = "+" + re.match(r"\d+", said[1:])[0] + "-" + digits
+            # The country code is told from the number by what follows it, if anything does.
+            code = re.match(r"\d+", said[1:])[0]
+            normal = "+" + (code if len(code) <= 3 else _CODES.match(code)[0]) + "-" + digits
         out.append(((kind, normal), m.start(kind), m.end(kind)))
     return out
 

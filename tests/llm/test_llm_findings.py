@@ -76,3 +76,15 @@ def test_stage_links_from_eighty_percent(spark):
     ("+1 (743) 555-3824-55, +1 (743) 555-38245", [])])
 def test_phones_before_digits(text, kinds):
     assert [e[0] for e, _, _ in surrogates.find(text)] == kinds
+
+
+@pytest.mark.parametrize("text, normal", [
+    ("+14155550123", "+1-14155550123"), ("+1 (415) 555-0123", "+1-14155550123"),
+    ("+33 1 23 45 67 89 5 men", "+33-33123456789"), ("+49 30 1234567", "+49-49301234567"),
+    ("+353871234567 10.1.2.3", "+353-353871234567")])
+def test_international_phones(text, normal):
+    entity, begin, end = surrogates.find(text)[0]
+    assert entity == ("phone", normal)
+    own = surrogates.spelled(entity, surrogates.surrogate(b"k", *entity, 0), text[begin:end])
+    code = normal.split("-")[0]
+    assert own.startswith(code) and own != text[begin:end] and len(own) == end - begin
