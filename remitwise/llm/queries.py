@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitwise.llm import chat, language, mixing, neardup, pieces, quality, surrogates, tokens, topk, urls
+from remitwise.llm import (align, chat, language, mixing, neardup, negatives, packing, pieces,
+                           quality, surrogates, tokens, topk, urls)
 from remitwise.llm.common import table
 
 
@@ -65,6 +66,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = "cast(label as bigint)"
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0",
+                                    label=f"if(vec_id % 7 = 0, ({label} + 1) % 10, {label})")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
+                         tokenizer("piece_bpe_32k.model"),
+                         ("if(n_a = 0, '', sha2(groups, 256)) as groups_sha256",))
+
+
+def op13_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
@@ -76,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_pack_sequences": op13_pack_sequences,
 }
 
 ORACLE: dict[str, str] = {
@@ -227,4 +247,26 @@ select * from (
     as integer) as rank, vec_id, score
   from pairs)
 where rank <= 20""",
+    "op11_hard_negatives": """
+with v as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from (select vec_id, embedding, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10
+          else label end as label from embeddings)
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+  qualify row_number() over (partition by vec_id order by label,
+    list_transform(embedding, lambda x: cast(x as double))) = 1),
+pairs as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+    cast(coalesce(list_inner_product(a.v, c.v), 0) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id and len(a.v) = len(c.v) where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id
+    order by score desc, vec_id) as integer) as rank, vec_id as negative_id, positive_score,
+  score as negative_score
+from positives join pairs using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 5""",
 }
