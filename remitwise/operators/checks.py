@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import (CPT_TEXT, ICD10_TEXT, NPI_TEXT, sql_any, sql_fill,
                                          sql_matches, sql_money, sql_npi_is_valid, sql_zero)
-from remitwise.operators.layers import Layer
+from remitwise.operators.bloom import may_match
+from remitwise.operators.layers import Layer, store
 from remitwise.operators.skew import repeats, spread_join
 from remitwise.schemas import EXCEPTION_COLUMNS, MONEY, SEVERITY, TOTAL
+from remitwise.sources.scratch import scratch_path
 
 
 @dataclass(frozen=True)
@@ -163,15 +165,18 @@ def dq01(layer: Layer, params: Params) -> DataFrame:
 def dq02(layer: Layer, params: Params) -> DataFrame:
     """Duplicate billing fingerprint: a later claim for a patient, provider, day, code and charge.
 
-    Hashes of the fingerprints are counted first, in a state of fixed size; only claims whose hash
-    is seen twice, normally few, are grouped by the fingerprint itself.
+    Hashes of the fingerprints are counted first, in a state of fixed size; those seen twice,
+    normally few, are written and fill a filter. Only claims that pass it are shuffled, joined to
+    the hashes and grouped by the fingerprint itself.
     """
     fingerprint = ["patient_id", "provider_npi", "date_of_service", "cpt_code", "billed_amount"]
     complete = (layer.claims.filter("billed_amount > 0").na.drop(subset=fingerprint)
                 .selectExpr(*fingerprint, "claim_id", "claim_submit_date", "payer_id", "payer_name",
                             f"xxhash64({', '.join(fingerprint)}) as hash"))
-    seen = complete.groupBy("hash").agg(F.expr("count(*) as times")).filter("times > 1")
-    candidates = spread_join(complete, seen, ["hash"], "times", "claim_id", layer.rows_per_task)
+    seen = store(complete.groupBy("hash").agg(F.expr("count(*) as times")).filter("times > 1"),
+                 scratch_path(layer.grain.sparkSession, "hashes"))
+    candidates = spread_join(may_match(complete, seen, ["hash"]), seen, ["hash"], "times",
+                             "claim_id", layer.rows_per_task)
     later = repeats(candidates, fingerprint, ["claim_submit_date", "claim_id"], "claim_id",
                     "claim_id", layer.rows_per_task)
     finding = sql_fill("duplicate of {} - same patient, provider, date of service, CPT and "

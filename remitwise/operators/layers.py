@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import (sql_blank_to_null, sql_money, sql_safe_date,
                                          sql_safe_numeric, sql_sorted_list, sql_zero)
+from remitwise.operators.bloom import may_match
 from remitwise.operators.skew import is_small, lookup, spread_join
 from remitwise.schemas import (CLAIM_COLUMNS, CLAIM_RAW_COLUMNS, LIST_COLUMNS, RECON_COLUMNS,
                                REMIT_COLUMNS, TOTAL, TYPED_CLAIM_COLUMNS)
@@ -172,7 +173,7 @@ class Layer:
         return claim_recon(self.claim_unique, self.remit_by_claim)
 
 
-def _store(df: DataFrame, path: str) -> DataFrame:
+def store(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: the cut in the lineage of everything after it."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -180,14 +181,17 @@ def _store(df: DataFrame, path: str) -> DataFrame:
 
 def flagged_lines(remits: DataFrame, grain: DataFrame, payers: DataFrame, payers_small: bool,
                   rows_per_task: int | None = None) -> DataFrame:
-    """Lines of claim_ids with several lines or no claim, and lines without a claim_id."""
+    """Lines of claim_ids with several lines or no claim, and lines without a claim_id.
+
+    The few such claim_ids fill a filter, and only lines that pass it are shuffled to the join.
+    """
     line = ["remit_id", "claim_id", "payer_id", "check_eft_number", "remit_date", "paid_amount",
             "line_no"]
     claim = ["payer_name", "date_of_service", "cpt_code", "billed_amount"]
     facts = (grain.filter("remit_line_count > 1 or (not in_claims and remit_line_count > 0)")
              .selectExpr("claim_id", "remit_line_count", "in_claims",
                          *[f"{c} as claim_{c}" for c in claim]))
-    known = remits.filter("claim_id is not null").select(*line)
+    known = may_match(remits.filter("claim_id is not null").select(*line), facts, ["claim_id"])
     matched = spread_join(known, facts, ["claim_id"], "remit_line_count", "line_no", rows_per_task)
     unnamed = (remits.filter("claim_id is null")
                .selectExpr(*line, "false as in_claims"))
@@ -201,14 +205,14 @@ def build_layer(spark: SparkSession, claims: DataFrame, remits: DataFrame, payer
     """Type, de-duplicate, roll up and reconcile the landed feeds; write the layer to `path`."""
     path = path or scratch_path(spark, "layer")
     payers_small = is_small(payers)
-    lines = _store(typed_remits(remits).withColumn("line_no", F.monotonically_increasing_id()),
+    lines = store(typed_remits(remits).withColumn("line_no", F.monotonically_increasing_id()),
                    f"{path}/remits")
     known = payers.selectExpr("payer_id", "true as payer_known")
     unique = lookup(claims_by_id(typed_claims(claims)), known, "payer_id", "claim_id",
                     payers_small, rows_per_task)
-    grain = _store(audit_grain(unique, remit_totals(lines)), f"{path}/grain")
+    grain = store(audit_grain(unique, remit_totals(lines)), f"{path}/grain")
     # Few lines are flagged, spread over every split: `rebalance` gathers them into full files.
-    flagged = _store(flagged_lines(lines, grain, payers, payers_small, rows_per_task)
+    flagged = store(flagged_lines(lines, grain, payers, payers_small, rows_per_task)
                      .hint("rebalance"), f"{path}/flagged")
     return Layer(grain, lines, flagged, payers, path, rows_per_task)
 
