@@ -36,20 +36,15 @@ COPIES_PER_BLOCK = 1_000_000
 def _numbered(exceptions: DataFrame, per_block: int) -> DataFrame:
     """Each exception with `copy`: 1, or the number of the copy where records are equal.
 
-    Equal records are counted, map side first, and written out again from the count. A count above
-    `per_block` is cut into blocks that are spread over tasks, so one line posted again and again
-    stays split.
+    Equal records are counted, map side first, and written out again from the count, in blocks of
+    `per_block` copies, so that no row holds a list longer than that. The rows of one line posted
+    again and again leave their task as a stream, and `write_run` deals them out.
     """
     counted = exceptions.groupBy(*EXCEPTION_COLUMNS).agg(F.expr("count(*) as copies"))
-    few = counted.filter(f"copies <= {per_block}").selectExpr(
-        *EXCEPTION_COLUMNS, "explode(sequence(1L, copies)) as copy")
-    blocks = (counted.filter(f"copies > {per_block}")
-              .selectExpr("*", f"explode(sequence(0L, (copies - 1) div {per_block})) as block")
-              .repartition("check_id", "entity_key", "finding", "block"))
-    many = blocks.selectExpr(
+    return counted.selectExpr(
+        "*", f"explode(sequence(0L, (copies - 1) div {per_block})) as block").selectExpr(
         *EXCEPTION_COLUMNS, f"explode(sequence(block * {per_block} + 1, "
                             f"least((block + 1) * {per_block}, copies))) as copy")
-    return few.unionByName(many)
 
 
 def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime,
