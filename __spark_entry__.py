@@ -55,6 +55,23 @@ def _plant(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
         draw=number)
 
 
+def _plant_exactly(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A fixed number of each defect, in the order of a hash that both engines know."""
+    return planting.plant_exactly(
+        fixture.claims(spark, sf_dir, False), fixture.remits(spark, sf_dir, False),
+        fixture.AUDIT_DATE, statements.EXACT_PLAN, strict=False,
+        order="cast(conv(substr(md5(claim_id), 1, 15), 16, 10) as bigint)")
+
+
+def _planted_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims that an exact plan chose, with what made them fit."""
+    lines = fixture.remits(spark, sf_dir, False).selectExpr("claim_id", "true as line")
+    book = fixture.claims(spark, sf_dir, False).join(lines, "claim_id", "left").selectExpr(
+        "concat('INJ-', claim_id) as defect_ref", "claim_status", "coalesce(line, false) as has_line")
+    return _plant_exactly(spark, sf_dir)[2].join(book, "defect_ref").select(
+        "defect_ref", "check_id", "claim_status", "has_line")
+
+
 def _audit(spark: SparkSession, sf_dir: str, book: str = "dirty") -> Audit:
     """The audit of a book: `dirty` and `clean` from the fixture, `planted` by `plant_defects`."""
     key = (spark.sparkContext.applicationId, book, _files(spark, sf_dir))
@@ -271,6 +288,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_exceptions": _on_audit(lambda a: exports.read_exceptions(
             a.register.sparkSession, _exported(a))),
         "crossfoot_from_exports": _on_audit(_crossfoot_from_exports),
+        "planted_exact": _planted_exact,
         "planted_ledger": lambda spark, sf_dir: _plant(spark, sf_dir)[2],
         "planted_validation": lambda spark, sf_dir: _audit(
             spark, sf_dir, "planted").suite_validation(),

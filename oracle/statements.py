@@ -436,6 +436,24 @@ _PLANTED_NOTE = """CASE b WHEN 0 THEN 'Exact claim_id re-submitted under a resen
     WHEN 10 THEN 'Temporal integrity break' ELSE 'Mandatory field blank or malformed' END"""
 
 
+# How many defects of each check the exact plan plants.
+EXACT_PLAN = dict(zip(CHECKS, [90, 140, 75, 120, 60, 310, 45, 200, 55, 70, 85, 130], strict=True))
+
+
+def _exact_steps() -> dict[str, str]:
+    """Each defect takes the first claims that it fits, by a hash, of those that are left."""
+    fits = {"DQ-03": "paid", "DQ-04": "paid", "DQ-05": "paid", "DQ-07": "paid",
+            "DQ-06": "paid AND (billed - expected > 3 OR expected > 2.5)",
+            "DQ-08": "paid AND expected > 1"}
+    steps = {"left0": """SELECT *, status = 'PAID' AS paid, status AS claim_status,
+        status <> 'PENDING' AS has_line, CAST('0x' || substr(md5(cid), 1, 15) AS BIGINT) AS u FROM o"""}
+    for i, (check_id, n) in enumerate(EXACT_PLAN.items()):
+        steps[f"take{i}"] = (f"SELECT *, '{check_id}' AS check_id FROM left{i} WHERE "
+                             f"{fits.get(check_id, 'true')} ORDER BY u LIMIT {n}")
+        steps[f"left{i + 1}"] = f"SELECT * FROM left{i} WHERE k NOT IN (SELECT k FROM take{i})"
+    return steps
+
+
 def _oracles() -> dict[str, str]:
     receipts = """SELECT 'claims_source' AS table_name, count(*) AS rows_loaded,
             0::BIGINT AS rows_rejected FROM claims
@@ -662,8 +680,16 @@ def _oracles() -> dict[str, str]:
             (SELECT {_total('max(abs(amount_impact))')} FROM reg WHERE check_id = 'DQ-07')
                 AS largest_item,
             (SELECT {_total('round(median(abs(amount_impact)), 2)')} FROM reg
-                WHERE check_id = 'DQ-07') AS median_item
+                WHERE check_id = 'DQ-07') AS median_item,
+            (SELECT {_total('quantile_disc(abs(amount_impact), 0.9)')} FROM reg
+                WHERE check_id = 'DQ-07') AS q90_item,
+            (SELECT {_total('quantile_disc(abs(amount_impact), 0.99)')} FROM reg
+                WHERE check_id = 'DQ-07') AS q99_item
             FROM rc WHERE remit_line_count > 0""".replace("DQ-07", "DQ-08"), *_REGISTER)
+    out["planted_exact"] = _chain(
+        "SELECT 'INJ-' || cid AS defect_ref, check_id, claim_status, has_line FROM ("
+        + " UNION ALL ".join(f"SELECT * FROM take{i}" for i in range(len(EXACT_PLAN))) + ") t",
+        {"o": feeds(False)["o"]}, _exact_steps())
     out["planted_ledger"] = _chain(
         f"""SELECT 'INJ-' || cid AS defect_ref, 'DQ-' || lpad(CAST(b + 1 AS VARCHAR), 2, '0')
             AS check_id, CASE WHEN b IN (2, 3) THEN 'remit' ELSE 'claim' END AS entity_type,

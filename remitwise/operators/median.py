@@ -1,35 +1,29 @@
-"""Exact median without bringing the values together in one task."""
+"""Exact quantiles of amounts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from remitwise.operators.selection import values_at
 
-def exact_median(df: DataFrame, amount: str, name: str) -> DataFrame:
-    """One row with the median of non-negative amounts in cents, the mean of the middle two.
 
-    Values are counted, the counts are summed in buckets of leading digits, and only the one or
-    two buckets that hold a middle rank are ranked by value. A bucket is the digit count and the
-    first four digits, which keeps the order of the values and allows fewer than 200,000 buckets.
+def exact_quantiles(df: DataFrame, amount: str, median: str, **percents: int) -> DataFrame:
+    """One row: the median of non-negative amounts in cents, the mean of the middle two, and under
+    each name in `percents` the least amount that so many percent do not exceed.
+
+    NULL for no amounts. Every rank is found by counting leading digits (`values_at`).
     """
-    counts = (df.selectExpr(f"cast({amount} * 100 as decimal(38,0)) as cents")
-              .filter("cents is not null").groupBy("cents").agg(F.expr("count(*) as n"))
-              .selectExpr("cents", "n", "length(cents) as digits",
-                          "rpad(substr(cents, 1, 4), 4, '0') as head"))
-    buckets = (counts.groupBy("digits", "head").agg(F.expr("sum(n) as size"))
-               .selectExpr("digits", "head", "size",
-                           "sum(size) over (order by digits, head) as upto",
-                           "sum(size) over () as total")
-               .selectExpr("digits", "head", "upto", "upto - size as before",
-                           "floor((total + 1) / 2) as low", "floor((total + 2) / 2) as high"))
-    middle = (buckets.filter("(before < low and upto >= low) or (before < high and upto >= high)")
-              .select("digits", "head", "before", "low", "high"))
-    ranked = (counts.join(F.broadcast(middle), ["digits", "head"])  # at most two rows
-              .selectExpr("cents", "n", "low", "high",
-                          "before + sum(n) over (partition by digits, head order by cents) as upto")
-              .selectExpr("cents", "low", "high", "upto", "upto - n as before"))
-    return ranked.agg(F.expr(
-        "cast((max(cents) filter (where before < low and upto >= low)"
-        " + max(cents) filter (where before < high and upto >= high)) / 200 as decimal(38,3))"
-        f" as {name}"))
+    def ranks(n: int) -> list[int]:
+        return [(n + 1) // 2, (n + 2) // 2, *(max(1, -(-p * n // 100)) for p in percents.values())]
+
+    found = values_at(df, f"{amount} * 100", ranks)
+    middle = f"cast('{sum(found[:2])}' as decimal(38,0)) / 200" if found else "null"
+    others = [f"cast('{v}' as decimal(38,0)) / 100" for v in found[2:]] or ["null"] * len(percents)
+    return df.sparkSession.range(1).selectExpr(
+        f"cast({middle} as decimal(38,3)) as {median}",
+        *[f"cast({v} as decimal(38,2)) as {name}" for v, name in zip(others, percents, strict=True)])
+
+
+def exact_median(df: DataFrame, amount: str, name: str) -> DataFrame:
+    """One row with the median alone."""
+    return exact_quantiles(df, amount, name)

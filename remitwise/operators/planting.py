@@ -8,8 +8,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import sql_fill, sql_safe_date, sql_safe_numeric
+from remitwise.operators.selection import ORDER_BITS, ROUND_BITS, Quota, deal_exactly
 from remitwise.schemas import CLAIM_COLUMNS, MONEY, REMIT_COLUMNS
 from remitwise.sources.scratch import scratch_path
 
@@ -93,33 +95,9 @@ def plant_defects(claims: DataFrame, remits: DataFrame, audit_date: dt.date,
                 .selectExpr("*", f"{_spot(plan or DEFAULT_PLAN, 'bucket')} as spot"))
 
     book, lines = spotted(claims), spotted(remits)
-    line = lines.filter("spot is not null").selectExpr(
-        "claim_id", "remit_id as line_id", "true as has_line",
-        f"{_cents('paid_amount')} as line_paid")
-    payable = "claim_status = 'PAID' and has_line"
-    # What a claim must offer to take a defect; the others take any claim.
-    fits = f"""case
-        when spot in ('DQ-03', 'DQ-04', 'DQ-05', 'DQ-07') then {payable}
-        when spot = 'DQ-06' then {payable} and (billed - line_paid > 300 or line_paid > 250)
-        when spot = 'DQ-08' then {payable} and expected > 100 else true end"""
-    # The form of a temporal defect; a claim without a line cannot have an early remittance.
-    form = f"""case when defect = 'DQ-11' then
-            case when draw % 20 < 9 and has_line then 'remit'
-                 when draw % 20 between 9 and 14 then 'submit' else 'future' end
-        when defect = 'DQ-12' then {_pick(["cpt_code", "icd10_code", "date_of_service",
-                                           "billed_amount", "patient_id"], "draw")} end"""
-    marked = (book.filter("spot is not null").join(line, "claim_id", "left")
-              .selectExpr("*", f"abs({draw} % 1000000007L) as draw",
-                          f"{_cents('billed_amount')} as billed",
-                          f"{_cents('expected_allowed_amount')} as expected",
-                          f"{sql_safe_date('date_of_service')} as dos",
-                          f"{sql_safe_date('claim_submit_date')} as submit")
-              .selectExpr("*", f"case when {fits} then spot end as defect")
-              .selectExpr("*", f"{form} as form"))
-    spark = claims.sparkSession
-    path = scratch_path(spark, "marked")
-    marked.hint("rebalance").write.parquet(path)
-    marked = spark.read.schema(marked.schema).parquet(path)
+    marked = _store(_marks(book.filter("spot is not null"), lines.filter("spot is not null"), draw)
+                    .selectExpr("*", f"case when {_fits('spot')} then spot end as defect")
+                    .selectExpr("*", f"{FORM} as form"))
     return (_dirty_claims(marked, audit_date).unionByName(
                 book.filter("spot is null").select(*CLAIM_COLUMNS)),
             _dirty_remits(marked, lines.filter("spot is not null")).unionByName(
@@ -127,6 +105,85 @@ def plant_defects(claims: DataFrame, remits: DataFrame, audit_date: dt.date,
             _ledger(marked))
 
 
+def plant_exactly(claims: DataFrame, remits: DataFrame, audit_date: dt.date, plan: dict[str, int],
+                  seed: int = 0, order: str | None = None, draw: str | None = None,
+                  strict: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Dirty claims, dirty remittances and the ledger, with exactly so many defects of each check.
+
+    Claims are taken in the order of `order`, SQL text over claim_id that gives distinct numbers below
+    2**ORDER_BITS, by default a hash; each goes to the first defect of the plan that it can take and
+    that has not its number yet. The book is not sorted: only its share with the smallest orders, as
+    large as the plan needs, is joined to its lines and written, and ranks are found by counting
+    (`deal_exactly`). The share does not change the outcome. Too small a book raises; with `strict`
+    off it gets what it can take.
+    """
+    order = order or f"shiftrightunsigned(xxhash64(claim_id, {seed}, 'order'), {64 - ORDER_BITS})"
+    draw = draw or f"xxhash64(claim_id, {seed}, 'draw')"
+    book, lines = claims.selectExpr("*", f"{order} as u"), remits.selectExpr("*", f"{order} as u")
+    step = 1 << (ORDER_BITS - ROUND_BITS)
+    heads = sorted(map(tuple, book.groupBy(F.expr(f"u div {step} as head")).count().collect()))
+    wanted = 4 * sum(plan.values())
+    kind = " + ".join(f"if({_fits(repr(check_id))}, {1 << i}, 0)" for i, check_id in enumerate(plan)) or "0"
+    while True:
+        upto, seen = 0, 0
+        for head, n in heads:
+            if seen < wanted:
+                upto, seen = (head + 1) * step, seen + n
+        share = _store(_marks(book.filter(f"u < {upto}"), lines.filter(f"u < {upto}"), draw)
+                       .selectExpr("*", f"{kind} as kind"))
+        kinds = [r.kind for r in share.select("kind").distinct().collect()]
+        quotas = [Quota(check_id, n, frozenset(k for k in kinds if k >> i & 1))
+                  for i, (check_id, n) in enumerate(plan.items())]
+        spot, short = deal_exactly(share.select("kind", "u"), quotas)
+        if not any(short.values()) or not heads or upto > heads[-1][0] * step:
+            break
+        wanted *= 4
+    if strict and any(short.values()):
+        raise ValueError("too few claims for " + ", ".join(
+            f"{check_id} ({n} short)" for check_id, n in short.items() if n))
+    marked = share.selectExpr("*", f"{spot} as defect").selectExpr("*", f"{FORM} as form")
+    return (_dirty_claims(marked, audit_date).unionByName(
+                book.filter(f"u >= {upto}").select(*CLAIM_COLUMNS)),
+            _dirty_remits(marked, lines.filter(f"u < {upto}")).unionByName(
+                lines.filter(f"u >= {upto}").select(*REMIT_COLUMNS)),
+            _ledger(marked))
+
+
+# The form of a temporal defect or a bad field; a claim without a line cannot have an early remittance.
+FORM = f"""case when defect = 'DQ-11' then
+        case when draw % 20 < 9 and has_line then 'remit'
+             when draw % 20 between 9 and 14 then 'submit' else 'future' end
+    when defect = 'DQ-12' then {_pick(["cpt_code", "icd10_code", "date_of_service",
+                                       "billed_amount", "patient_id"], "draw")} end"""
+
+
+def _fits(spot: str) -> str:
+    """Whether a claim offers what a defect needs; the others take any claim."""
+    payable = "claim_status = 'PAID' and has_line"
+    return f"""coalesce(case
+        when {spot} in ('DQ-03', 'DQ-04', 'DQ-05', 'DQ-07') then {payable}
+        when {spot} = 'DQ-06' then {payable} and (billed - line_paid > 300 or line_paid > 250)
+        when {spot} = 'DQ-08' then {payable} and expected > 100 else true end, false)"""
+
+
+def _marks(book: DataFrame, lines: DataFrame, draw: str) -> DataFrame:
+    """Claims with what they offer to a defect: the line, amounts in cents, dates and the draw."""
+    line = lines.selectExpr("claim_id", "remit_id as line_id", "true as has_line",
+                            f"{_cents('paid_amount')} as line_paid")
+    return book.join(line, "claim_id", "left").selectExpr(
+        "*", f"abs({draw} % 1000000007L) as draw", f"{_cents('billed_amount')} as billed",
+        f"{_cents('expected_allowed_amount')} as expected",
+        f"{sql_safe_date('date_of_service')} as dos",
+        f"{sql_safe_date('claim_submit_date')} as submit")
+
+
+def _store(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, "marked")
+    df.hint("rebalance").write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _changed(rows: DataFrame, columns: list[str], changes: dict[str, str]) -> DataFrame:
     """`changes` holds the arms of a CASE per column; a row that takes none keeps its value."""
     return rows.selectExpr(*[f"case {changes[c]} else {c} end as {c}" if c in changes else c

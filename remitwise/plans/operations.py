@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import (sql_add_business_days, sql_money, sql_rate, sql_zero)
-from remitwise.operators.median import exact_median
+from remitwise.operators.median import exact_quantiles
 from remitwise.plans.reports import IMPACT, PAYER, aggregate, grouped, sql_count
 from remitwise.schemas import SEVERITY_RANK, SLA_DAYS, TOTAL
 
@@ -180,7 +180,8 @@ def disposition_violations(register: DataFrame, as_of: dt.datetime) -> DataFrame
 
 
 def variance_profile(recon: DataFrame, register: DataFrame, check_id: str = "DQ-06") -> DataFrame:
-    """Net and absolute variance of adjudicated claims; median and largest item of a check."""
+    """Net and absolute variance of adjudicated claims; median, 90 % and 99 % quantile and largest item
+    of a check."""
     book = aggregate(
         recon.filter("remit_line_count > 0"),
         f"cast({sql_zero('sum(balance_variance)')} as {TOTAL}) as net_variance",
@@ -188,10 +189,10 @@ def variance_profile(recon: DataFrame, register: DataFrame, check_id: str = "DQ-
     items = register.filter(F.col("check_id") == check_id)
     sized = aggregate(items, "count(*) as items",
                       f"cast(max(abs(amount_impact)) as {TOTAL}) as largest_item")
-    median = exact_median(items, "abs(amount_impact)", "median_item")
-    return book.crossJoin(sized).crossJoin(median).selectExpr(
+    ranked = exact_quantiles(items, "abs(amount_impact)", "median_item", q90_item=90, q99_item=99)
+    return book.crossJoin(sized).crossJoin(ranked).selectExpr(
         "net_variance", "absolute_variance", "items", "largest_item",
-        f"{sql_money('median_item')} as median_item")
+        f"{sql_money('median_item')} as median_item", "q90_item", "q99_item")
 
 
 def entry_criteria(receipt: DataFrame, received: dict[str, int] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from rows import PARAMS, claim, feeds, found, layer, remit
 
 from remitwise.operators import skew
 from remitwise.operators.checks import CHECKS, all_exceptions
-from remitwise.operators.median import exact_median
+from remitwise.operators.median import exact_median, exact_quantiles
 
 
 def hot_feeds():
@@ -111,7 +111,14 @@ def test_median_against_sorting(spark):
         cents.sort()
         want = (cents[(n - 1) // 2] + cents[n // 2]) / 200
         assert float(exact_median(df, "m", "x").first().x) == want
+    # A million amounts that share four digits, so that no bucket of leading digits is small.
+    crowd = spark.range(1_000_000).selectExpr("cast((12340000 + id % 9973) / 100 as decimal(18,2)) as m")
+    row = exact_quantiles(crowd, "m", "x", q90=90, q99=99).first()
+    order = sorted(12340000 + i % 9973 for i in range(1_000_000))
+    assert [int(v * 1000) for v in row] == [5 * (order[499_999] + order[500_000]),
+                                            10 * order[899_999], 10 * order[989_999]]
     empty = spark.range(0).selectExpr("cast(id as decimal(18,2)) as m")
+    assert tuple(exact_quantiles(empty, "m", "x", q90=90).first()) == (None, None)
     assert exact_median(empty, "m", "x").first().x is None
 
 
