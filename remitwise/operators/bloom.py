@@ -37,14 +37,25 @@ def key_filter(keys: DataFrame, columns: list[str], words: int) -> DataFrame:
             .groupBy("_word").agg(F.expr("bit_or(_bits) as _mask")))
 
 
+def _tested(rows: DataFrame, keys: DataFrame, columns: list[str], words: int | None, how: str
+            ) -> DataFrame:
+    words = words or words_for(keys.count())
+    word, bits = _bits(columns, words)
+    held = key_filter(keys, columns, words)
+    return rows.join(F.broadcast(held), F.expr(
+        f"_word = ({word}) and (_mask & ({bits})) = ({bits})"), how)
+
+
 def may_match(rows: DataFrame, keys: DataFrame, columns: list[str], words: int | None = None
               ) -> DataFrame:
     """The rows whose columns may be those of a row of `keys`, by a map-side test.
 
     `words` is a power of two; without it the keys are counted first.
     """
-    words = words or words_for(keys.count())
-    word, bits = _bits(columns, words)
-    held = key_filter(keys, columns, words)
-    return rows.join(F.broadcast(held), F.expr(f"_word = ({word}) and (_mask & ({bits})) = ({bits})")
-                     ).select(*rows.columns)
+    return _tested(rows, keys, columns, words, "left_semi")
+
+
+def may_not_match(rows: DataFrame, keys: DataFrame, columns: list[str], words: int | None = None
+                  ) -> DataFrame:
+    """The rows that `may_match` leaves out: none of them has a partner in `keys`."""
+    return _tested(rows, keys, columns, words, "left_anti")

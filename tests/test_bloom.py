@@ -5,7 +5,7 @@ from __future__ import annotations
 from rows import PARAMS, claim, feeds, remit
 
 from remitwise import fixture
-from remitwise.operators.bloom import MOST_WORDS, key_filter, may_match, words_for
+from remitwise.operators.bloom import MOST_WORDS, key_filter, may_match, may_not_match, words_for
 from remitwise.operators.checks import dq02, dq03, dq04
 from remitwise.operators.layers import build_layer
 
@@ -38,6 +38,8 @@ def test_no_key_is_lost_and_few_others_pass(spark):
     assert passed.join(keys, "k", "left_semi").count() == 2000
     assert passed.count() < 2000 + 0.05 * 200_000
     assert passed.columns == ["k", "id"]
+    others = may_not_match(rows, keys, ["k"])
+    assert others.count() + passed.count() == 200_000 and not others.join(keys, "k").count()
 
 
 def test_a_full_filter_passes_everything(spark):
