@@ -13,6 +13,8 @@ from remitwise.llm.queries import tokenizer
 
 # Percent of common shingles from which two documents are near-duplicates here.
 SIMILAR = 80
+# The secret of the surrogates here; a corpus that leaves the house needs its own.
+TEST_KEY = b"corpus test key"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 # No statement: pivotal draws, keyed surrogates and subword ids are outside SQL.
@@ -33,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by surrogates; `n_chars` follows the new text."""
-    done = surrogates.pseudonymised(docs, carry=("lang", "source", "n_chars"))
+    done = surrogates.pseudonymised(docs, TEST_KEY, carry=("lang", "source", "n_chars"))
     return done.selectExpr("doc_id", "text", "lang", "source",
                            "if(n_entities > 0, cast(length(text) as bigint), n_chars) as n_chars")
 
