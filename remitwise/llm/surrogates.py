@@ -1,26 +1,34 @@
 """Operator 7: personal data is replaced by keyed surrogates.
 
 Found are mail addresses, IPv4 addresses, payment cards (issuer prefix and Luhn digit), phone numbers,
-social security numbers, quoted secrets after a name such as `token =`, and names after an honorific.
-An entity is its kind and its normal form. Its surrogate is drawn from a keyed hash of these, so the
+social security numbers, quoted secrets after a name such as `token =`, and names: the capitalised
+words after an honorific, up to the next honorific, and the same words elsewhere in the same text. Of
+several such words the last is the surname; one alone is a surname, unless the text has it as a given
+name. An entity is its kind and its normal form. Its surrogate comes from a key and these only, so the
 same entity has the same surrogate in every document, whatever its spelling there, and nobody without
-the key can go back. A surrogate keeps kind and format: separators, number of digits, letter case,
-the first digit and a right check digit of a card, the country code of a phone; a name keeps its
-script and gender, and given names and surnames are entities of their own, so that partial mentions
-agree. Mail hosts end in a reserved domain.
-
-The collision checks run over the entities of all documents: two entities of a kind with one
-surrogate, or a surrogate that is an entity of the documents. All but the first of such entities draw
-anew until there is none. Entities that drew anew, normally next to none, are joined to the documents
-that mention them; all others are drawn where they stand.
-
-Null text stays null; texts without an entity stay as they are. Repeated rows and ids do no harm. Extra
-columns are ignored; an empty table gives no rows.
+the key can go back. A surrogate keeps kind and format: separators, number of digits, letter case, the
+first digit and a right check digit of a card, the country code of a phone; a name keeps its script and
+gender, and given names and surnames are entities of their own, so that partial mentions agree. Mail
+hosts end in a reserved domain.
+
+Numbers, addresses and secrets go through a keyed permutation of their format (a Feistel network that is
+walked until it is back in the format), so two of one format never share a surrogate; names are composed
+of syllables, with a hundred million names per script and gender. The collision checks run over the
+entities of all documents: two entities of a kind with one surrogate, or a surrogate that is an entity
+of the documents. All but the first of such entities draw anew until there is none. Texts are never
+joined to entities: the few that drew anew are given to every task as long as they are BROADCAST_ROWS at
+most, and beyond that only the texts that mention one meet them; all other surrogates are drawn where
+they stand.
+
+Null text stays null; texts without an entity stay as they are. Texts of any length are searched whole.
+Repeated rows, and null or repeated ids, do no harm: nothing is grouped by them. Extra columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -30,9 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitwise.llm.common import land, map_batches, pick, steps
-from remitwise.operators.skew import spread_join
-
-KEY = b"change me"
+from remitwise.operators.bloom import may_match, may_not_match, words_for
+from remitwise.operators.skew import is_small, spread_join
 
 # Honorifics and the gender that they tell.
 HONORIFICS = {
@@ -40,31 +47,22 @@ HONORIFICS = {
     "f": ["Mrs.", "Mrs", "Ms.", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora",
           "Señorita", "Signora", "госпожа"],
 }
-# Names that surrogates are composed of, by script and gender.
-NAMES = {
-    "latin": {
-        "m": ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas",
-              "Karim", "Leo", "Marco", "Nils", "Oscar", "Paul", "Robert", "Simon", "Tom", "Victor"],
-        "f": ["Alice", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Helen", "Irene",
-              "Julia", "Karla", "Laura", "Maria", "Nora", "Olga", "Paula", "Rosa", "Sara", "Tina",
-              "Vera"],
-        "": ["Abel", "Baker", "Costa", "Decker", "Ebner", "Fisher", "Garcia", "Holm", "Iversen",
-             "Janson", "Keller", "Lang", "Moreau", "Norman", "Ortega", "Perrin", "Roth", "Santos",
-             "Turner", "Weber"],
-    },
-    "cyrillic": {
-        "m": ["Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Олег", "Павел", "Роман"],
-        "f": ["Алла", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга", "Юлия"],
-        "": ["Белов", "Волков", "Громов", "Зайцев", "Котов", "Лебедев", "Морозов", "Орлов",
-             "Соколов", "Титов"],
-    },
+# What names are composed of, by script: the consonants and vowels of syllables, and endings by gender
+# ("" for surnames). Four syllables give a hundred million names.
+SYLLABLES = {
+    "latin": ("bdfghjklmnprstvzwcyx", "aeiou", {"m": ["n", "r", "s"], "f": ["na", "la", "ra"],
+                                                "": ["ner", "man", "sen"]}),
+    "cyrillic": ("бвгджзклмнпрстфхцчшщ", "аеиоу", {"m": ["н", "р", "й"], "f": ["на", "ла", "ра"],
+                                                   "": ["нко", "рук", "сян"]}),
+    "greek": ("βγδζθκλμνξπρστφχψ", "αεηιου", {"m": ["ν", "ς", "ρ"], "f": ["να", "λα", "ρα"],
+                                               "": ["νης", "κος", "λας"]}),
 }
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLES = "|".join(re.escape(t) for g in HONORIFICS.values() for t in sorted(g, key=len, reverse=True))
 _NAME = r"[^\W\d_][^\W\d_]+(?:[-'’][^\W\d_]+)*"
 PATTERN = re.compile(
-    r"(?P<email>(?<![\w.+-])[\w+-](?:[\w.+-]{0,62}[\w+-])?@[\w-]+(?:\.[\w-]+)+)"
+    r"(?P<email>(?<![\w.+-])[\w+-](?:[\w.+-]*[\w+-])?@[\w-]+(?:\.[\w-]+)+)"
     r"|(?<!\w)(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key)[\"']?"
     r"[ \t]*[:=][ \t]*[\"'](?P<secret>[^\"'\s]{8,})[\"']"
     rf"|(?<![\w.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?![\w]|\.\d)"
@@ -75,7 +73,10 @@ PATTERN = re.compile(
     r"|(?<![\w.+-])(?P<phone>(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])|\(\d{2,4}\)[ .-]?)"
     r"\d{3,4}[ .-]\d{3,4}|\+[1-9]\d{7,14}|\+\d{1,3}[ .-]\d(?:[ .-]\d{2}){4}"
     r"|\+\d{1,3}[ .-]\d{2,5}[ .-]\d{5,8}|\d{2,4}[ .-]\d{3,4}(?:[.-]\d{3,4}| \d{3,4}(?! \d)))(?![\w]|[.-]\d)"
-    rf"|(?<!\w)(?P<title>{_TITLES})[ \t]+(?P<person>{_NAME}(?:[ \t]+{_NAME}){{0,2}})")
+    rf"|(?<!\w)(?P<title>{_TITLES})[ \t]+(?P<person>{_NAME})")
+_MORE = re.compile(rf"[ \t]+({_NAME})")
+_WORD = re.compile(_NAME)
+_PLAIN_TITLES = {t.rstrip(".").casefold() for g in HONORIFICS.values() for t in g}
 # What a text needs for any entity: cheap, run by Arrow over whole columns.
 HINT = rf"\d|@|[:=][ \t]*[\"']|(?:{_TITLES})[ \t]"
 
@@ -102,31 +103,78 @@ def is_card(digits: str) -> bool:
 
 
 def _script(name: str) -> str:
-    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in name) else "latin"
+    if any("Ѐ" <= c <= "ӿ" for c in name):
+        return "cyrillic"
+    return "greek" if any("Ͱ" <= c <= "Ͽ" for c in name) else "latin"
 
 
-def _person(match: re.Match) -> list[tuple[Entity, int, int]]:
-    """The given names and the surname of a mention; capitalised words only."""
-    gender = "m" if match["title"] in HONORIFICS["m"] else "f"
-    words = list(re.finditer(_NAME, match["person"]))
-    count = next((i for i, w in enumerate(words) if not w[0][0].isupper()), len(words))
-    out = []
-    for i, w in enumerate(words[:count]):
-        part = "" if i == count - 1 else gender
-        out.append(((f"name-{_script(w[0])}-{part}", w[0].casefold()),
-                    match.start("person") + w.start(), match.start("person") + w.end()))
+def _is_name(word: str) -> bool:
+    return word[0].isupper() and word.casefold() not in _PLAIN_TITLES
+
+
+def _words(text: str, match: re.Match) -> list[tuple[int, int]]:
+    """Where the words of a mention are: the capitalised ones behind an honorific."""
+    if not _is_name(match["person"]):
+        return []
+    out = [match.span("person")]
+    while (more := _MORE.match(text, out[-1][1])) and _is_name(more[1]):
+        out.append(more.span(1))
     return out
 
 
-def find(text: str) -> list[tuple[Entity, int, int]]:
-    """(entity, begin, end) of all mentions in a text."""
-    out = []
-    for m in PATTERN.finditer(text):
+Found = tuple[Entity, int, int]
+
+
+def _names(text: str, persons: list[tuple[str, list[tuple[int, int]]]], taken: list[Found]) -> list[Found]:
+    """Given names and surnames of the mentions, and the same words elsewhere."""
+    out, known = [], {}
+
+    def named(a: int, b: int, gender: str) -> Entity:
+        return f"name-{_script(text[a:b])}-{gender}", text[a:b].casefold()
+
+    alone = []
+    for gender, words in persons:
+        if len(words) == 1:
+            alone.append((gender, *words[0]))
+            continue
+        for i, (a, b) in enumerate(words):
+            entity = named(a, b, gender if i < len(words) - 1 else "")
+            known[entity] = None
+            out.append((entity, a, b))
+    for gender, a, b in alone:
+        entity = named(a, b, gender)
+        entity = entity if entity in known else named(a, b, "")
+        known[entity] = None
+        out.append((entity, a, b))
+    # A word that is both goes by the surname.
+    elsewhere = {normal: entity for entity in sorted(known, reverse=True) for normal in (entity[1],)}
+    begun = sorted((a, b) for _, a, b in (*taken, *out))
+    at = 0
+    for word in _WORD.finditer(text):
+        entity = elsewhere.get(word[0].casefold()) if word[0][0].isupper() else None
+        if entity is None:
+            continue
+        a, b = word.span()
+        while at < len(begun) and begun[at][1] <= a:
+            at += 1
+        if at == len(begun) or begun[at][0] >= b:
+            out.append((entity, a, b))
+    return out
+
+
+def find(text: str) -> list[Found]:
+    """(entity, begin, end) of all mentions in a text, in their order."""
+    out, persons, at = [], [], 0
+    while m := PATTERN.search(text, at):
+        at = m.end()
         kind = m.lastgroup
         if kind in ("gap", "gap2"):
             kind = "card"
         if kind == "person":
-            out += _person(m)
+            words = _words(text, m)
+            if words:
+                persons.append(("m" if m["title"] in HONORIFICS["m"] else "f", words))
+            at = words[-1][1] if words else m.end("title")
             continue
         said = m[kind]
         digits = re.sub(r"\D", "", said)
@@ -150,6 +198,8 @@ def find(text: str) -> list[tuple[Entity, int, int]]:
             code = re.match(r"\d+", said[1:])[0]
             normal = "+" + (code if len(code) <= 3 else _CODES.match(code)[0]) + "-" + digits
         out.append(((kind, normal), m.start(kind), m.end(kind)))
+    if persons:
+        out = sorted(out + _names(text, persons, out), key=lambda f: f[1])
     return out
 
 
@@ -174,48 +224,103 @@ class Draw:
                        letters[self.below(len(letters))] if c.isalpha() else c for c in text)
 
 
+def permuted(key: bytes, tweak: tuple, value: int, size: int) -> int:
+    """A keyed permutation of the numbers below `size`."""
+    if size < 2:
+        return value
+    half = math.isqrt(size - 1) + 1
+    seed = hashlib.blake2b(repr(tweak).encode(), key=key[:64]).digest()
+    width = half.bit_length() // 8 + 9
+    while True:
+        left, right = divmod(value, half)
+        for turn in range(8):
+            mixed = hashlib.shake_256(seed + b"%d:%d" % (turn, right)).digest(width)
+            left, right = right, (left + int.from_bytes(mixed, "big")) % half
+        value = left * half + right
+        if value < size:  # else walk on: the walk comes back to the format
+            return value
+
+
+_ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
+def reformed(key: bytes, tweak: tuple, text: str, hexadecimal: bool = False) -> str:
+    """Digits for digits and letters for letters by a permutation; anything else stays.
+
+    Text with other letters than ASCII ones is drawn, since its format has no fixed alphabet.
+    """
+    if not text.isascii():
+        return Draw(key, *tweak, text).like(text)
+    letters = [next((a for a in _ALPHABETS if c in a), c) for c in text]
+    if hexadecimal:
+        letters = [a[:6] if len(a) == 26 else a for a in letters]
+    size, value = 1, 0
+    for c, alphabet in zip(text, letters, strict=True):
+        size, value = size * len(alphabet), value * len(alphabet) + alphabet.index(c)
+    # The other characters are part of the format.
+    form = "".join(c if len(a) == 1 else str(len(a)) for c, a in zip(text, letters, strict=True))
+    value = permuted(key, (*tweak, form), value, size)
+    out = []
+    for alphabet in reversed(letters):
+        value, i = divmod(value, len(alphabet))
+        out.append(alphabet[i])
+    return "".join(reversed(out))
+
+
 def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
     """The normal form of an entity's surrogate.
 
     Later attempts have more room than the entity's own format, so that drawing anew ends.
     """
-    draw = Draw(key, kind, normal, attempt)
+    tweak = (kind, attempt)
+    more = Draw(key, kind, normal, attempt)
     room = max(0, attempt - 3)
     if kind == "email":
-        local, host = normal.split("@")
-        name, _, top = host.rpartition(".")
-        host = Draw(key, "host", host).like(name)  # one host stays one host
-        return f"{draw.like(local)}{draw.like('x' * room)}@{host}.example"
+        local, _, host = normal.rpartition("@")
+        host = reformed(key, ("host",), host)  # one host stays one host
+        return f"{reformed(key, (*tweak, host), local)}{more.like('x' * room)}@{host}.example"
     if kind == "secret":
-        letters = "abcdef" if re.fullmatch(r"[0-9a-f]+", normal) else "abcdefghijklmnopqrstuvwxyz"
-        said = draw.like(normal.lower(), letters)
-        return "".join(s.upper() if c.isupper() else s for s, c in zip(said, normal, strict=True)
-                       ) + draw.like("0" * room)
+        plain = re.fullmatch(r"[0-9a-f]+", normal) is not None
+        return reformed(key, tweak, normal, plain) + more.like("0" * room)
     if kind == "ip":
-        return ".".join(map(str, [1 + draw.below(223), *(draw.below(256) for _ in range(3))]))
+        first, *rest = map(int, normal.split("."))
+        value = first << 24 | rest[0] << 16 | rest[1] << 8 | rest[2]
+        common = 1 <= first <= 223
+        while True:
+            value = permuted(key, tweak, value, 1 << 32)
+            if (1 <= value >> 24 <= 223) == common:
+                return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
     if kind == "card":
-        body = normal[0] + draw.like(normal[1:])
-        while not is_card(body[:-1] + str(luhn(body))):
-            body = normal[0] + draw.like(normal[1:])
-        return body[:-1] + str(luhn(body))
-    if kind == "phone":
+        size = len(normal) - 2
+        value = int(normal[1:-1])
+        while True:
+            value = permuted(key, (*tweak, normal[0], size), value, 10**size)
+            body = f"{normal[0]}{value:0{size}d}0"
+            body = body[:-1] + str(luhn(body))
+            if is_card(body):
+                return body
+    if kind in ("phone", "ssn"):
         code, _, number = normal.rpartition("-")
         keep = max(0, len(code) - 1)
-        first = "123456789"[draw.below(9)]
-        return (code + "-" if code else "") + number[:keep] + first + draw.like(number[keep + 1:])
-    if kind == "ssn":
-        return draw.like(normal)
+        rest = number[keep:]
+        # A number with a leading zero stays one, and any other does not get one.
+        begin = 0 if rest[:1] == "0" else 10 ** (len(rest) - 1)
+        size = 10 ** (len(rest) - 1) if rest[:1] == "0" else 9 * begin
+        value = begin + permuted(key, (*tweak, code, len(rest), begin), int(rest) - begin, size)
+        return (code + "-" if code else "") + number[:keep] + f"{value:0{len(rest)}d}"
     _, script, gender = kind.split("-")
-    pool = NAMES[script][gender]
-    return "-".join(pool[draw.below(len(pool))] for _ in range(1 + min(attempt, 8))).casefold()
+    consonants, vowels, endings = SYLLABLES[script]
+    count = 4 if gender == "" else 3
+    said = "".join(consonants[more.below(len(consonants))] + vowels[more.below(len(vowels))]
+                   for _ in range(count + min(attempt, 8)))
+    return said + endings[gender][more.below(len(endings[gender]))]
 
 
 def spelled(entity: Entity, own: str, said: str) -> str:
     """A surrogate in the format of the mention that it replaces."""
     kind = entity[0]
     if kind.startswith("name-"):
-        return own.upper() if said.isupper() and len(said) > 1 else re.sub(
-            r"[^\W\d_]+", lambda m: m[0].capitalize(), own)
+        return own.upper() if said.isupper() and len(said) > 1 else own.capitalize()
     if kind in ("card", "phone", "ssn"):
         digits = iter(own.rpartition("-")[2])
         return "".join(next(digits) if c.isdigit() else c for c in said)
@@ -234,10 +339,13 @@ def replaced(text: str, lookup: Callable[[Entity], str]) -> tuple[str, int]:
     return "".join([*out, text[at:]]), len(found)
 
 
+# Tells texts apart, so that copies of a text are one.
+_TEXT = "xxhash64(text)"
+
+
 def mentions(docs: DataFrame) -> DataFrame:
-    """(doc_id, kind, normal): the entities of each text, each once."""
-    rows = pick(docs, "doc_id", "text")
-    id_type = rows.schema[0].dataType.simpleString()
+    """(text_hash, kind, normal): the entities of each text, each once per row."""
+    rows = pick(docs, "text").selectExpr(f"{_TEXT} as text_hash", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,9 +361,9 @@ def mentions(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [step.column(0).take(pa.array(place, pa.int64())),
                      pa.array(kinds, pa.string()), pa.array(normals, pa.string())],
-                    ["doc_id", "kind", "normal"])
+                    ["text_hash", "kind", "normal"])
 
-    return map_batches(rows, work, f"doc_id {id_type}, kind string, normal string")
+    return map_batches(rows, work, "text_hash bigint, kind string, normal string")
 
 
 def drawn(entities: DataFrame, key: bytes) -> DataFrame:
@@ -291,25 +399,40 @@ def assigned(entities: DataFrame, key: bytes) -> DataFrame:
         table = land(judged.filter("not clash").drop("clash").unionByName(again), "drawn")
 
 
-def pseudonymised(docs: DataFrame, key: bytes = KEY, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, text, n_entities, columns to carry): every text with its personal data replaced."""
+def pseudonymised(docs: DataFrame, key: bytes, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, n_entities, columns to carry): every text with its personal data replaced.
+
+    `key` is the secret that surrogates depend on; the same key gives the same surrogates.
+    """
     found = land(mentions(docs), "mentions")
     entities = land(found.groupBy("kind", "normal").agg(F.expr("count(*) as docs")), "entities")
-    again = assigned(entities, key).filter("attempt > 0")
+    again = assigned(entities, key).filter("attempt > 0").select("kind", "normal", "own")
     rows = pick(docs, "doc_id", "text", *carry)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    if again.isEmpty():
-        rows = rows.selectExpr(
-            "*", "cast(null as array<struct<kind: string, normal: string, own: string>>) as again")
-    else:
-        facts = again.join(entities, ["kind", "normal"])
-        # One list per document, as long as its own mentions.
-        lists = spread_join(found, facts.select("kind", "normal", "own", "docs"),
-                            ["kind", "normal"], "docs", "doc_id").groupBy("doc_id").agg(
-            F.expr("collect_list(struct(kind, normal, own)) as again")).withColumnRenamed(
-            "doc_id", "again_id")
-        rows = rows.join(lists, F.expr("doc_id <=> again_id"), "left").select(
-            "doc_id", "text", *carry, "again")
+    none = "cast(null as array<struct<kind: string, normal: string, own: string>>) as again"
+    if is_small(again):
+        # At most BROADCAST_ROWS entities.
+        drawn_anew = {(r.kind, r.normal): r.own for r in again.collect()}
+        return _replaced(rows.selectExpr("*", none), key, drawn_anew, carry)
+    # Only texts that mention such an entity meet them: one list per text, no longer than its mentions.
+    facts = again.join(entities, ["kind", "normal"])
+    said = spread_join(may_match(found, again, ["kind", "normal"]), facts, ["kind", "normal"], "docs",
+                       "text_hash")
+    lists = land(said.groupBy("text_hash").agg(
+        F.expr("collect_set(struct(kind, normal, own)) as again")), "drawn_anew")
+    rows = rows.selectExpr("*", f"{_TEXT} as text_hash")
+    words = words_for(lists.count())
+    touched = may_match(rows, lists, ["text_hash"], words)
+    sized = touched.groupBy("text_hash").agg(F.expr("count(*) as copies")).join(
+        lists, "text_hash", "left")
+    met = spread_join(touched, sized, ["text_hash"], "copies", "doc_id").drop("copies", "text_hash")
+    rest = may_not_match(rows, lists, ["text_hash"], words).drop("text_hash").selectExpr("*", none)
+    return _replaced(rest.unionByName(met), key, {}, carry)
+
+
+def _replaced(rows: DataFrame, key: bytes, drawn_anew: dict[Entity, str], carry: tuple[str, ...]
+              ) -> DataFrame:
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
+                      if f.name != "again")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,7 +444,8 @@ def pseudonymised(docs: DataFrame, key: bytes = KEY, carry: tuple[str, ...] = ()
                 touched = step.filter(hint)
                 for i, text, other in zip(place, touched.column(1).to_pylist(),
                                           touched.column("again").to_pylist(), strict=True):
-                    own = {(o["kind"], o["normal"]): o["own"] for o in other or []}
+                    own = drawn_anew | {(o["kind"], o["normal"]): o["own"] for o in other or []} \
+                        if other else drawn_anew
                     text, counts[i] = replaced(
                         text, lambda e, own=own: own.get(e) or surrogate(key, *e, 0))
                     texts.append(text)

@@ -53,7 +53,7 @@ def test_text_operators_in_spark(spark):
     rows = docs(spark, [*ODD, "a"]).selectExpr("*", "1 as DOC_ID", "2 as Text")
     for query in (lambda d: pieces.digests(d, tokenizer("piece_bpe_32k.model")),
                   lambda d: tokens.token_counts(d, tokenizer("byte_bpe_50k.json")),
-                  quality.judge, surrogates.pseudonymised, language.identify):
+                  quality.judge, lambda d: surrogates.pseudonymised(d, b"k"), language.identify):
         assert query(rows.union(rows)).count() == 2 * (len(ODD) + 1)
         assert query(docs(spark, [])).count() == 0
     coded = pieces.digests(rows, tokenizer("piece_bpe_32k.model")).collect()
@@ -116,7 +116,7 @@ def test_no_personal_data_no_change():
 def test_surrogates_stay_distinct(spark):
     """A few names for many people: collisions must be drawn anew."""
     names = [f"Mr. X{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
-    got = surrogates.pseudonymised(docs(spark, names + names)).collect()
+    got = surrogates.pseudonymised(docs(spark, names + names), b"k").collect()
     said = {r.doc_id: r.text for r in got}
     assert len(set(said.values())) == len(names)
     assert all(said[i] == said[i + len(names)] for i in range(len(names)))
