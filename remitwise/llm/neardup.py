@@ -22,6 +22,11 @@ cap: its members in random blocks of `BLOCK`, each with
 the node's first member, which joins nearly all of them; then whoever is not yet in the node's largest
 component against every block, in portions of `BLOCK`.
 
+The trees are compared in two rounds. After the first, of `FIRST_TREES` trees, members have the roots of
+the links found so far, and a node whose members all have one root is dropped before signatures or sets
+are joined: whatever link it holds is in the component already. So the members of a large family, which
+lie together in every tree, are compared in the first round only.
+
 Components come from the links by alternating large-star and small-star steps over written tables;
 the driver sees counts and checksums only. Copies come back by a join that splits common sets.
 
@@ -60,6 +65,8 @@ WORDS = 5
 SIMILAR = 85  # percent
 COORDINATES = 64
 LEAST_TREES = 10
+# Trees of the first round.
+FIRST_TREES = 2
 # Minwise functions of each tree.
 OWN = 24
 LEAST_DEPTH, MOST_DEPTH = 2, 8
@@ -237,7 +244,7 @@ def sized(rows: DataFrame) -> DataFrame:
 
 
 def branch(members: DataFrame, own: Plan) -> tuple[list[DataFrame], DataFrame | None]:
-    """Leaves, and the nodes that are to be compared by blocks, as tables of (node, fp)."""
+    """Leaves, and the nodes that are to be compared by blocks, as tables of (node, fp, tree)."""
     rows = members.selectExpr(
         "fp", "sig", f"explode(sequence(0, {own.trees - 1})) as tree").selectExpr(
         "fp", "sig", "tree", "0 as used", "xxhash64(tree) as node", "cast(null as bigint) as above")
@@ -248,12 +255,12 @@ def branch(members: DataFrame, own: Plan) -> tuple[list[DataFrame], DataFrame |
     depth = LEAST_DEPTH
     while True:
         level = land(sized(rows.select("node", "fp", "tree", "used", "above")), "nodes")
-        leaves.append(level.filter(f"size <= {LEAF}").select("node", "fp"))
+        leaves.append(level.filter(f"size <= {LEAF}").select("node", "fp", "tree"))
         large = level.filter(f"size > {LEAF}")
         # Every level that is branched has less than half the members per node of the one above.
         stuck = "2 * size > above" if depth < MOST_DEPTH else "true"
         if dense or not large.filter(stuck).isEmpty():
-            dense.append(large.filter(stuck).select("node", "fp"))
+            dense.append(large.filter(stuck).select("node", "fp", "tree"))
         large = large.filter(f"not coalesce({stuck}, false)")
         if large.isEmpty():
             return leaves, reduce(DataFrame.unionByName, dense) if dense else None
@@ -273,6 +280,14 @@ def distinct_groups(groups: DataFrame) -> DataFrame:
     return groups.join(one, "node")
 
 
+def unsettled(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, fp) of the groups whose members do not all have one root."""
+    rows = groups.join(roots, "fp", "left").selectExpr("node", "coalesce(root, fp) as root")
+    still = rows.groupBy("node").agg(F.expr("min(root) as lo"), F.expr("max(root) as hi")).filter(
+        "lo <> hi").select("node")
+    return groups.join(still, "node", "left_semi")
+
+
 # -- comparing --------------------------------------------------------------------------------
 
 
@@ -426,6 +441,13 @@ def components(edges: DataFrame) -> DataFrame:
         told = now
 
 
+def joined_roots(found: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(fp, root) with new links, on top of the components so far."""
+    if roots is not None:
+        found = roots.filter("fp <> root").selectExpr("fp as u", "root as v").unionByName(found)
+    return land(components(found), "roots")
+
+
 def dense_blocks(large: DataFrame) -> DataFrame:
     """Random blocks of each large node, each with the node's first member, as (node, fp)."""
     facts = large.groupBy("node").agg(F.expr("count(*) as size"), F.expr("min(fp) as first"))
@@ -467,18 +489,21 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
             F.expr("any_value(n_shingles) as n_shingles"), F.expr("any_value(sig) as sig")),
         "members")
     leaves, large = branch(members, own)
-    groups = leaves[0]
-    for more in leaves[1:]:
-        groups = groups.unionByName(more)
-    if large is not None:
-        large = land(distinct_groups(large), "large")
-        groups = groups.unionByName(dense_blocks(large))
-    edges = links(clusters(distinct_groups(groups), members, own), members, docs, own.similar)
-    roots = land(components(edges), "roots")
+    nodes = reduce(DataFrame.unionByName, leaves)
+    roots = None
+    for trees in (f"tree < {FIRST_TREES}", f"tree >= {FIRST_TREES}"):
+        groups = distinct_groups(nodes.filter(trees).select("node", "fp"))
+        if large is not None:
+            blocked = distinct_groups(large.filter(trees).select("node", "fp"))
+            blocked = blocked if roots is None else unsettled(blocked, roots)
+            groups = groups.unionByName(dense_blocks(land(blocked, "large")))
+        groups = groups if roots is None else unsettled(groups, roots)
+        roots = joined_roots(links(clusters(groups, members, own, roots), members, docs,
+                                   own.similar), roots)
     if large is not None:
-        rest = clusters(dense_rest(large, roots), members, own, roots)
-        edges = edges.unionByName(links(rest, members, docs, own.similar))
-        roots = land(components(edges), "roots")
+        rest = land(unsettled(distinct_groups(large.select("node", "fp")), roots), "large")
+        found = clusters(dense_rest(rest, roots), members, own, roots)
+        roots = joined_roots(links(found, members, docs, own.similar), roots)
     named = members.join(roots, "fp", "left").selectExpr(
         "fp", "copies", "rep", "coalesce(root, fp) as root")
     least = named.groupBy("root").agg(F.expr("min(rep) as component_id"), F.expr("count(*) as n"))
