@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitwise.schemas import EXCEPTION_COLUMNS, QUEUE
+from remitwise.sources.versions import parts, publish, published
 
 REGISTER = T.StructType([
     T.StructField("exception_id", T.StringType()), T.StructField("run_id", T.StringType()),
@@ -67,9 +68,9 @@ def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime,
 
 
 def write_register(register: DataFrame, path: str) -> None:
-    """Replace the runs contained in `register`, keep the other runs in the table."""
-    (register.hint("rebalance").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+    """Replace the runs contained in `register`, each in one step, keep the other runs in the table."""
+    for run in register.select("run_id").distinct().collect():  # one row per run
+        write_run(register, path, run.run_id)
 
 
 def run_folder(run_id: str) -> str:
@@ -83,16 +84,24 @@ def run_folder(run_id: str) -> str:
 
 
 def write_run(register: DataFrame, path: str, run_id: str) -> None:
-    """Replace one run, also when it has no exceptions.
+    """Replace one run in one step, also when it has no exceptions. A write that fails leaves the run
+    as it was, and nobody reads half of one.
 
     Exceptions are a small share of the rows of every split; `rebalance` gathers them into files of
     a good size.
     """
-    (register.filter(F.col("run_id") == run_id).drop("run_id").hint("rebalance")
-     .write.mode("overwrite").parquet(f"{path}/{run_folder(run_id)}"))
+    publish(register.filter(F.col("run_id") == run_id).drop("run_id").hint("rebalance"),
+            f"{path}/{run_folder(run_id)}")
 
 
 def read_register(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """The register, or one run of it; a run is one partition folder."""
-    register = spark.read.schema(REGISTER).parquet(path).select(*REGISTER_COLUMNS)
+    if run_id is None:
+        folders = parts(spark, path)
+    else:
+        folders = [v for v in [published(spark, f"{path}/{run_folder(run_id)}")] if v]
+    if not folders:
+        return spark.createDataFrame([], REGISTER).select(*REGISTER_COLUMNS)
+    register = (spark.read.schema(REGISTER).option("basePath", path).parquet(*folders)
+                .select(*REGISTER_COLUMNS))
     return register if run_id is None else register.filter(F.col("run_id") == run_id)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitwise import schemas
+from remitwise.sources.versions import publish, published
 
 # What a field without text reads as before it becomes NULL, so that a quoted `""` stays `''`.
 _NOTHING = "\u0001nothing\u0001"
@@ -107,9 +108,19 @@ def read_cpt(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land(df: DataFrame, path: str) -> DataFrame:
-    """Replace the landing table at `path` and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace the landing table at `path` in one step and read it back.
+
+    A load that fails leaves the rows of the former one (`landed`).
+    """
+    return df.sparkSession.read.schema(df.schema).parquet(publish(df, path))
+
+
+def landed(spark: SparkSession, path: str) -> DataFrame:
+    """The landing table as last loaded in full."""
+    version = published(spark, path)
+    if version is None:
+        raise ValueError(f"nothing has landed at {path}")
+    return spark.read.parquet(version)
 
 
 def load_receipt(tables: dict[str, DataFrame],
