@@ -102,11 +102,12 @@ def blocked(rows: DataFrame, limit: int, name: str) -> DataFrame:
     # At most four times the square of the directions' number per size of vectors.
     cells = rows.groupBy("size", "near").agg(F.expr("count(*) as n"))
     order = "partition by size order by near"
-    cells = cells.selectExpr("*", f"cast(ceil(n / {limit}) as int) as parts", f"if(n > {limit}, 0, n) as few")
+    cells = cells.selectExpr("*", f"cast(ceil(n / {limit}) as int) as parts",
+                             f"if(n > {limit}, 0, n) as few")
     cells = cells.selectExpr(
         "size as _size", "near as _near", "parts",
         f"concat(size, '-', if(parts > 1, concat('c', near), "
-        f"(sum(few) over ({order}) - few) div {limit})) as cell")
+        f"cast((sum(few) over ({order}) - few) div {limit} as string))) as cell")
     return rows.join(cells, F.expr("size = _size and near = _near")).selectExpr(
         *rows.columns, f"concat(cell, '-', pmod(xxhash64(vec_id), parts)) as {name}")
 
@@ -251,8 +252,9 @@ def search(anchors: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, low: i
             some = Block(a.rows.take(pa.array(has)))
             positive = np.array([lists[i][place]["vec_id"] for i in has])
             said = np.array([lists[i][place]["score"] for i in has])
-            row, column, score, _ = windowed(some, b, ~same[has], -(-low * said // 100),
-                                             high * said // 100, k)
+            whole, rest = np.divmod(said, 100)  # so that no product leaves the range of a long
+            row, column, score, _ = windowed(some, b, ~same[has], low * whole - (-low * rest // 100),
+                                             high * whole + high * rest // 100, k)
             out.append(pa.table([some.ids[row], positive[row], said[row], b.ids[column], score], names))
         return out
 
@@ -307,8 +309,8 @@ def hard_negatives(table: DataFrame, anchor: str, positives: int = 5, negatives:
     asked = land(anchors.drop("block").join(lists, F.expr("vec_id = anchor_id")).drop("anchor_id"),
                  "with_positives")
     limits = asked.selectExpr("ablock", "explode(positives.score) as score").groupBy("ablock").agg(
-        F.expr(f"cast({low} * min(score) / 100 as double) as least"),
-        F.expr(f"cast({high} * max(score) / 100 as double) as most"))
+        F.expr(f"cast(min(score) as double) * {low} / 100 as least"),
+        F.expr(f"cast(max(score) as double) * {high} / 100 as most"))
     pairs = land(block_pairs(ranges.join(limits, "ablock"), blocks), "negative_pairs")
     return ranked(search(asked, rows, pairs, negatives, low, high), "anchor_id, positive_id",
                   negatives).selectExpr("anchor_id", "positive_id", "rank", "vec_id as negative_id",
