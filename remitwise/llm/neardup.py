@@ -58,7 +58,8 @@ from remitwise.operators.skew import is_small, spread_join
 
 WORDS = 5
 SIMILAR = 85  # percent
-COORDINATES = 64
+# Coordinates that a leaf compares, each by its last 16 bits, which can only let more pairs through.
+COORDINATES = 128
 LEAST_TREES = 10
 # Minwise functions of each tree.
 OWN = 24
@@ -299,7 +300,8 @@ def clusters(groups: DataFrame, members: DataFrame, own_plan: Plan,
     """
     # A member is joined once, then goes to its groups: some per tree, few for one that is let go.
     rows = (groups.groupBy("fp").agg(F.expr("collect_list(node) as nodes"))
-            .join(members.selectExpr("fp", "n_shingles", f"slice(sig, 1, {COORDINATES}) as sig"), "fp"))
+            .join(members.selectExpr("fp", "n_shingles", f"transform(slice(sig, 1, {COORDINATES}), "
+                                     "x -> cast((x & 65535) - 32768 as smallint)) as sig"), "fp"))
     own, similar, agree = "fp", own_plan.similar, own_plan.agree
     if known is not None:
         rows, own = rows.join(known, "fp", "left"), "coalesce(root, fp)"
