@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -24,10 +23,10 @@ from remitwise.sources import exports, landing  # noqa: E402
 from remitwise.sources.scratch import scratch_path  # noqa: E402
 
 # The only place that tolerates the absence of the training-data operators.
-if importlib.util.find_spec("remitwise.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from remitwise.llm import queries as llm
-else:
+except ImportError:
     corpus_pipeline = llm = None
 
 PARAMS = checks.Params(fixture.AUDIT_DATE)
