@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -200,20 +201,34 @@ def flagged_lines(remits: DataFrame, grain: DataFrame, payers: DataFrame, payers
     return lookup(lines, names, "payer_id", "line_no", payers_small, rows_per_task)
 
 
+# Inputs that a table of the layer depends on, where it does not depend on all of them.
+LAYER_READS = {"remits": ("payments_remittance",)}
+
+
 def build_layer(spark: SparkSession, claims: DataFrame, remits: DataFrame, payers: DataFrame,
-                path: str | None = None, rows_per_task: int | None = None) -> Layer:
-    """Type, de-duplicate, roll up and reconcile the landed feeds; write the layer to `path`."""
+                path: str | None = None, rows_per_task: int | None = None,
+                keep: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None) -> Layer:
+    """Type, de-duplicate, roll up and reconcile the landed feeds; write the layer to `path`.
+
+    `keep(table, build)` stores a table in another way and gives it back; it need not call `build`
+    for a table that it still has.
+    """
     path = path or scratch_path(spark, "layer")
+    keep = keep or (lambda table, build: store(build(), f"{path}/{table}"))
     payers_small = is_small(payers)
-    lines = store(typed_remits(remits).withColumn("line_no", F.monotonically_increasing_id()),
-                   f"{path}/remits")
-    known = payers.selectExpr("payer_id", "true as payer_known")
-    unique = lookup(claims_by_id(typed_claims(claims)), known, "payer_id", "claim_id",
-                    payers_small, rows_per_task)
-    grain = store(audit_grain(unique, remit_totals(lines)), f"{path}/grain")
+
+    def grained() -> DataFrame:
+        known = payers.selectExpr("payer_id", "true as payer_known")
+        unique = lookup(claims_by_id(typed_claims(claims)), known, "payer_id", "claim_id",
+                        payers_small, rows_per_task)
+        return audit_grain(unique, remit_totals(lines))
+
+    lines = keep("remits", lambda: typed_remits(remits).withColumn(
+        "line_no", F.monotonically_increasing_id()))
+    grain = keep("grain", grained)
     # Few lines are flagged, spread over every split: `rebalance` gathers them into full files.
-    flagged = store(flagged_lines(lines, grain, payers, payers_small, rows_per_task)
-                     .hint("rebalance"), f"{path}/flagged")
+    flagged = keep("flagged", lambda: flagged_lines(
+        lines, grain, payers, payers_small, rows_per_task).hint("rebalance"))
     return Layer(grain, lines, flagged, payers, path, rows_per_task)
 
 

@@ -8,13 +8,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from remitwise.operators.checks import Params, all_exceptions_fused
-from remitwise.operators.layers import Layer, build_layer
-from remitwise.plans import reports
+from remitwise.operators.layers import LAYER_READS, Layer, build_layer
+from remitwise.plans import crossfoot, operations, reports
 from remitwise.plans.register import exception_register, read_register, run_folder, write_run
 from remitwise.schemas import check_catalog
 from remitwise.sources import exports
 from remitwise.sources.landing import require_key
 from remitwise.sources.scratch import scratch_path
+from remitwise.sources.steps import Steps, fingerprints
+from remitwise.sources.versions import published
+
+
+class EntryRefused(ValueError):
+    """A table that the run needs is absent, empty, short, or has lines set aside."""
+
+
+class PublicationRefused(ValueError):
+    """The run summary and the cross-foot do not agree."""
 
 
 @dataclass(frozen=True)
@@ -76,3 +86,92 @@ def run_audit(spark: SparkSession, claims: DataFrame, remits: DataFrame, payers:
     found = exception_register(all_exceptions_fused(layer, params), run_id, run_ts)
     write_run(found, register_path, run_id)
     return Audit(layer, read_register(spark, register_path, run_id), check_catalog(spark), ledger)
+
+
+@dataclass(frozen=True)
+class GuardedAudit(Audit):
+    """A finished audit with the steps it was made in, and its gate before publication."""
+
+    steps: Steps | None = None
+
+    def disagreements(self) -> list[str]:
+        """What the cross-foot and the run summary do not agree on; reads at most 16 rows."""
+        detail = crossfoot.crossfoot_detail(self.layer.recon, self.register)
+        footed = crossfoot.crossfoot_summary(detail, self.register)
+        out = [f"{r.check_id}: register {r.register_count}, recomputed {r.recomputed_count}"
+               for r in footed.filter("status <> 'AGREE'").orderBy("check_id").collect()]
+        counted = reports.grouped(self.register, ["check_id"], "count(*) as held")
+        summed = self.dq_summary().join(counted, "check_id", "full").filter(
+            "coalesce(exceptions_found, 0L) <> coalesce(held, 0L)")
+        return out + [f"{r.check_id}: summary {r.exceptions_found}, register {r.held}"
+                      for r in summed.orderBy("check_id").collect()]
+
+    def finish(self, out: str, accepted: bool = False) -> None:
+        """Export the run if its summary and the cross-foot agree, then remove its step tables.
+
+        A claim can rightly be in two payment checks, which the cross-foot shows as CHECK; `accepted`
+        says that somebody has looked into the differences. The register stays.
+        """
+        differences = [] if accepted else self.disagreements()
+        if differences:
+            raise PublicationRefused("not published: " + "; ".join(differences))
+        self.export(out)
+        self.steps.clear()
+
+
+def guarded_audit(spark: SparkSession, claims: DataFrame, remits: DataFrame, payers: DataFrame,
+                  cpt: DataFrame, params: Params, run_id: str, run_ts: dt.datetime, path: str,
+                  register_path: str, received: dict[str, int] | None = None,
+                  rejected: dict[str, DataFrame] | None = None, ledger: DataFrame | None = None,
+                  rows_per_task: int | None = None) -> GuardedAudit:
+    """`run_audit` with an entry gate, taken up where a former try of it stopped.
+
+    One pass over the inputs counts and fingerprints them. Tables that do not meet their entry
+    criterion stop the run before anything is written: `received` holds announced row counts,
+    `rejected` the lines set aside. Finished steps below `path` are read instead of done again as
+    long as inputs, audit date, run id and time are the same; the lines flagged for the checks are
+    removed once the register is written, the rest by `finish`.
+    """
+    run_folder(run_id)
+    tables = {"claims_source": claims, "payments_remittance": remits, "payer_reference": payers,
+              "cpt_reference": cpt}
+    # One row per table.
+    held = {r.table_name: r for r in fingerprints(tables).collect()}
+    counted = spark.createDataFrame([(t, r.rows) for t, r in held.items()],
+                                    "table_name string, rows_loaded bigint")
+    set_aside = spark.createDataFrame([(t, df.count()) for t, df in (rejected or {}).items()],
+                                      "table_name string, rows_rejected bigint")
+    receipt = counted.join(set_aside, "table_name", "left").selectExpr(
+        "table_name", "rows_loaded", "coalesce(rows_rejected, 0L) as rows_rejected")
+    unmet = operations.entry_criteria(receipt, received).filter("criterion <> 'MET'")
+    refused = [f"{r.table_name} is {r.criterion}" for r in unmet.orderBy("table_name").collect()]
+    if refused:
+        raise EntryRefused("run refused: " + "; ".join(refused))
+    require_key("payer_reference", payers, "payer_id")
+
+    # The flagged lines are gone once the register is written, so they are not looked for then.
+    steps = Steps(spark, path, {t: r.content for t, r in held.items()},
+                  f"{params} {run_id!r} {run_ts.isoformat()} {rows_per_task}")
+    done = steps.finished("register")
+    place = published(spark, f"{register_path}/{run_folder(run_id)}")
+    if done and done.first().version != place:
+        # Another run wrote the register since: it is written again.
+        steps.drop("register")
+        done = None
+
+    def keep(table: str, build):
+        if table == "flagged" and done:
+            return None
+        return steps.table(table, build, LAYER_READS.get(table))
+
+    layer = build_layer(spark, claims, remits, payers, path, rows_per_task, keep)
+
+    def register() -> DataFrame:
+        found = exception_register(all_exceptions_fused(layer, params), run_id, run_ts)
+        version = write_run(found, register_path, run_id)
+        return spark.createDataFrame([(version,)], "version string")
+
+    steps.table("register", register)
+    steps.drop("flagged")
+    return GuardedAudit(layer, read_register(spark, register_path, run_id), check_catalog(spark),
+                        ledger, steps)

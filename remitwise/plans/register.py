@@ -83,15 +83,15 @@ def run_folder(run_id: str) -> str:
     return f"run_id={escaped}"
 
 
-def write_run(register: DataFrame, path: str, run_id: str) -> None:
-    """Replace one run in one step, also when it has no exceptions. A write that fails leaves the run
-    as it was, and nobody reads half of one.
+def write_run(register: DataFrame, path: str, run_id: str) -> str:
+    """Replace one run in one step, also when it has no exceptions; returns the folder of its version.
+    A write that fails leaves the run as it was, and nobody reads half of one.
 
     Exceptions are a small share of the rows of every split; `rebalance` gathers them into files of
     a good size.
     """
-    publish(register.filter(F.col("run_id") == run_id).drop("run_id").hint("rebalance"),
-            f"{path}/{run_folder(run_id)}")
+    return publish(register.filter(F.col("run_id") == run_id).drop("run_id").hint("rebalance"),
+                   f"{path}/{run_folder(run_id)}")
 
 
 def read_register(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
