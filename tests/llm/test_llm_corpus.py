@@ -1,7 +1,9 @@
 """Operators over whole tables against brute force, and the pipeline."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,81 @@ def test_top_k_with_ties_and_gaps(spark):
         assert sorted(got.get(q, [])) == [(n, i, -s) for n, (s, i) in enumerate(best, 1)]
 
 
+def brute_force(rows, k=20):
+    """Ranked candidates of each query id, by integers; rows of one id are ranked together."""
+    valid = [(i, [math.floor(64 * x) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = {}
+    for i, q in valid:
+        if i % 20 == 0:
+            out.setdefault(i, []).extend(
+                (-sum(a * b for a, b in zip(q, v)), j) for j, v in valid if j != i and len(v) == len(q))
+    return {i: [(n, j, -s) for n, (s, j) in enumerate(sorted(found)[:k], 1)]
+            for i, found in out.items() if found}
+
+
+def top_k_of(spark, rows, **kw):
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in topk.top_k(frame, **kw).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    return {i: sorted(found) for i, found in got.items()}
+
+
+def clustered(n, size=16, clusters=12, seed=7):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(clusters, size)).repeat(8, axis=1)
+    return centres[draw.integers(0, clusters, n)] + 0.05 * draw.normal(size=(n, size * 8))
+
+
+def test_top_k_of_clusters_random_and_equal_vectors(spark):
+    draw = np.random.default_rng(3)
+    for made in (clustered(600), draw.normal(size=(500, 64)), np.ones((300, 9)),
+                 np.repeat(draw.normal(size=(40, 5)), 8, axis=0)):
+        rows = [(i, v.tolist()) for i, v in enumerate(made)]
+        assert top_k_of(spark, rows, query_block=16, candidate_block=50) == brute_force(rows)
+
+
+def test_top_k_of_odd_rows(spark):
+    draw = random.Random(5)
+    base = [(i, [draw.uniform(-1, 1) for _ in range(10)]) for i in range(120)]
+    # Repeated ids, queries among them, with the same vector and with another.
+    rows = [*base, base[20], base[21], (40, base[41][1]), (None, base[0][1]), (400, None),
+            (420, [1.0, None]), (440, [float("inf")] * 10), (460, []), (461, []), (480, [1e300] * 3)]
+    assert top_k_of(spark, rows, query_block=8, candidate_block=30) == brute_force(rows)
+    assert top_k_of(spark, rows[:1]) == {} and top_k_of(spark, [(20, None)]) == {}
+    large = [(i, [float(draw.randrange(1 << 24)) for _ in range(3)]) for i in range(60)]
+    assert top_k_of(spark, large, candidate_block=20) == brute_force(large)
+    clash = spark.createDataFrame([(i, v, 1) for i, v in base], "vec_id bigint, embedding array<double>, "
+                                  "VEC_ID int")
+    assert topk.top_k(clash).count() == 120
+
+
+def test_top_k_prunes_pairs_and_blocks(spark):
+    made = np.floor(64 * clustered(4000))
+    alive = np.ones((100, 4000), bool)
+    alive[np.arange(100), np.arange(100)] = False
+    *_, left = topk.best(made[:100], made, alive, np.full(100, -np.inf), np.arange(4000), 20)
+    assert left[0] == 100 * 3999 and left == sorted(left, reverse=True)
+    assert left[2] < 0.3 * left[0] and left[-1] < 0.05 * left[0]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made / 64)],
+                                  "vec_id bigint, embedding array<double>")
+    rows = topk.blocked(topk.summarised(topk.vectors(frame)), 100, "block").cache()
+    asked = topk.envelopes(rows.withColumnRenamed("block", "query_block"), "query_block")
+    blocks = topk.envelopes(rows, "block")
+    least = float(np.partition(made[0] @ made.T, -20)[-20])
+    every = asked.count() * blocks.count()
+    for needed, share in ((-np.inf, 1.0), (0.5 * least, 0.5)):
+        pairs = topk.block_pairs(asked.withColumn("least", F.lit(needed)), blocks).collect()
+        assert len(pairs) == every if share == 1 else len(pairs) <= share * every
+    # No pair of blocks that holds such a score is left out.
+    place = {r.vec_id: r.block for r in rows.select("vec_id", "block").collect()}
+    row, column = np.nonzero(made @ made.T >= 0.5 * least)
+    kept = {(p.query_block, p.block) for p in pairs}
+    assert {(place[i], place[j]) for i, j in zip(row.tolist(), column.tolist())} <= kept
+    rows.unpersist()
+
+
 def test_urls(spark):
     pages = [(1, "http://A.Example.NET/en/x?q"), (2, "https://example.com/de/1"), (3, None), (4, ""),
              (5, "x.net/"), (6, "http://b.org/fr/#"), (7, "http://net"), (8, "ftp://x.net//"),
