@@ -16,7 +16,7 @@ from oracle import statements  # noqa: E402
 from remitwise import fixture  # noqa: E402
 from remitwise.operators import checks, layers, planting  # noqa: E402
 from remitwise.plans import crossfoot, operations, reports  # noqa: E402
-from remitwise.plans.audit import Audit, run_audit  # noqa: E402
+from remitwise.plans.audit import Audit, guarded_audit, run_audit  # noqa: E402
 from remitwise.plans.register import exception_register, read_register, write_run  # noqa: E402
 from remitwise.schemas import check_catalog, check_routing  # noqa: E402
 from remitwise.sources import exports, landing  # noqa: E402
@@ -198,6 +198,53 @@ def _csv_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_ledger(spark, _csv(_plant(spark, sf_dir)[2], "ledger_csv"))
 
 
+def _claims_per_row(master: DataFrame, claims: DataFrame, key: str) -> DataFrame:
+    """A master table with the number of claims that name each row."""
+    counted = claims.groupBy(key).agg(F.expr("count(*) as claims"))
+    return master.join(counted, key, "left").selectExpr(
+        *master.columns, "coalesce(claims, 0L) as claims")
+
+
+def _csv_payers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _claims_per_row(landing.read_payers(spark, _csv(fixture.payers(spark), "payers_csv")),
+                           fixture.claims(spark, sf_dir), "payer_id")
+
+
+def _csv_cpt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _claims_per_row(landing.read_cpt(spark, _csv(fixture.cpt(spark), "cpt_csv")),
+                           fixture.claims(spark, sf_dir), "cpt_code")
+
+
+def _remit_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.reference_violations(
+        "remits", _typed_remits(spark, sf_dir), ["remit_id"], ["claim_id", "paid_amount"],
+        _typed_claims(spark, sf_dir).select("claim_id"))
+
+
+def _register_violations(audit: Audit) -> DataFrame:
+    """A register in which one check landed twice, against a catalogue that lacks another."""
+    twice = audit.register.unionByName(audit.register.filter("check_id = 'DQ-01'"))
+    return landing.reference_violations(
+        "register", twice, ["exception_id"], ["run_id", "claim_id"],
+        audit.catalog.filter("check_id <> 'DQ-02'").select("check_id"))
+
+
+def _guarded_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The register of an audit behind the entry gate, after a second try took up its steps."""
+    path, register = scratch_path(spark, "run"), scratch_path(spark, "register")
+    for _ in range(2):
+        run = guarded_audit(
+            spark, fixture.claims(spark, sf_dir), fixture.remits(spark, sf_dir),
+            fixture.payers(spark), fixture.cpt(spark), PARAMS, statements.RUN_ID, RUN_TS, path, register)
+    run.steps.clear()
+    return run.register
+
+
+def _export_reports(audit: Audit) -> DataFrame:
+    return exports.read_report(audit.register.sparkSession, _exported(audit), "dq_run_summary",
+                               audit.dq_summary().schema)
+
+
 def _exported(audit: Audit) -> str:
     """The folder with the exports of an audit."""
     out = scratch_path(audit.register.sparkSession, "exports")
@@ -282,6 +329,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_remits": _csv_remits,
         "csv_ledger": _csv_ledger,
         "stored_run": _on_audit(_stored_run),
+        "csv_payers": _csv_payers,
+        "csv_cpt": _csv_cpt,
+        "remit_violations": _remit_violations,
+        "register_violations": _on_audit(_register_violations),
+        "guarded_register": _guarded_register,
+        "export_reports": _on_audit(_export_reports),
+        "export_order": _on_audit(lambda a: exports.delivery_order(
+            a.register.sparkSession, _exported(a))),
         "export_register": _reread("exception_register"),
         "export_recon": _reread("claim_reconciliation"),
         "export_exceptions": _on_audit(lambda a: exports.read_exceptions(

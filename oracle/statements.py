@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from remitwise import schemas
-from remitwise.fixture import BAD_NPI, NPIS, PAYER_ROWS
+from remitwise.fixture import BAD_NPI, CPT_ROWS, NPIS, PAYER_ROWS
 
 MONEY = "DECIMAL(18,2)"
 AUDIT_DATE = "2001-12-31"
@@ -503,6 +503,46 @@ def _oracles() -> dict[str, str]:
     out["csv_claims"] = _chain(
         """SELECT * REPLACE (payer_name || ', "Inc" ' AS payer_name) FROM claims""",
         MASTER, feeds())
+    out["csv_payers"] = _chain(
+        """SELECT payer_id, payer_name, payer_type, CAST(contract_rate AS DECIMAL(5,2)) AS contract_rate,
+            (SELECT count(*) FROM claims c WHERE c.payer_id = payer.payer_id) AS claims FROM payer""",
+        MASTER, feeds())
+    out["csv_cpt"] = _chain(
+        """SELECT cpt_code, cpt_description, CAST(standard_charge AS DECIMAL(12,2)) AS standard_charge,
+            (SELECT count(*) FROM claims c WHERE c.cpt_code = cpt.cpt_code) AS claims FROM cpt""",
+        {"cpt": _values(CPT_ROWS, "cpt_code, cpt_description, standard_charge")}, feeds())
+    out["remit_violations"] = _chain(
+        """SELECT 'remits' AS table_name, 'UNIQUE' AS rule, 'remit_id' AS column_name,
+            coalesce(remit_id, '<null>') AS key_value, count(*) AS rows FROM tr GROUP BY remit_id
+            HAVING count(*) > 1
+        UNION ALL SELECT 'remits', 'NOT NULL', c, coalesce(remit_id, '<null>'), count(*) FROM (
+            SELECT remit_id, unnest(['remit_id', 'claim_id', 'paid_amount']) AS c,
+                unnest([remit_id IS NULL, claim_id IS NULL, paid_amount IS NULL]) AS missing FROM tr) t
+            WHERE missing GROUP BY c, remit_id
+        UNION ALL SELECT 'remits', 'FOREIGN KEY', 'claim_id', claim_id, count(*) FROM tr
+            WHERE claim_id IS NOT NULL AND claim_id NOT IN (
+                SELECT claim_id FROM tc WHERE claim_id IS NOT NULL) GROUP BY claim_id""", *_TYPED)
+    out["register_violations"] = _chain(
+        """SELECT 'register' AS table_name, 'UNIQUE' AS rule, 'exception_id' AS column_name,
+            exception_id AS key_value, 2::BIGINT AS rows FROM reg WHERE check_id = 'DQ-01'
+        UNION ALL SELECT 'register', 'NOT NULL', 'claim_id', exception_id,
+            CASE check_id WHEN 'DQ-01' THEN 2 ELSE 1 END FROM reg WHERE claim_id IS NULL
+        UNION ALL SELECT 'register', 'FOREIGN KEY', 'check_id', check_id, count(*) FROM reg
+            WHERE check_id = 'DQ-02' GROUP BY check_id""", *_REGISTER)
+    out["guarded_register"] = _chain("SELECT * FROM reg", *_REGISTER)
+    out["export_reports"] = _chain("SELECT * FROM summary", *_REGISTER, SUMMARY)
+    out["export_order"] = _chain(
+        """SELECT 'exception_register' AS export, '' AS folder, count(*) AS rows,
+            min(check_id || '|' || entity_key) AS first_key,
+            max(check_id || '|' || entity_key) AS last_key,
+            CAST(sum(coalesce(abs(amount_impact), 0)) AS DECIMAL(38,2)) AS amount, 0::BIGINT AS overlaps
+            FROM reg
+        UNION ALL SELECT 'claim_reconciliation', '', count(*), min(claim_id), max(claim_id),
+            CAST(sum(coalesce(billed_amount, 0)) AS DECIMAL(38,2)), 0 FROM rc
+        UNION ALL SELECT 'exceptions', 'evidence=' || evidence, count(*),
+            min(evidence || '|' || entity_key), max(evidence || '|' || entity_key),
+            CAST(sum(coalesce(amount_impact, 0)) AS DECIMAL(38,2)), 0
+            FROM reg JOIN routing USING (check_id) GROUP BY evidence""", *_REGISTER)
     out["csv_remits"] = _chain("SELECT * FROM remits", MASTER, feeds())
     out["dq_summary"] = _chain("SELECT * FROM summary", *_REGISTER, SUMMARY)
     out["control_totals"] = _chain(

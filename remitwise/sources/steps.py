@@ -20,6 +20,23 @@ from pyspark.sql import DataFrame, SparkSession
 from remitwise.sources.versions import publish, published
 
 
+def sql_row_hash(columns: list[str]) -> str:
+    """A hash of a row's columns.
+
+    The hash function skips nulls: without the second part ('a', null) and (null, 'a') would be one row.
+    """
+    return f"xxhash64({', '.join([*columns, *[f'{c} is null' for c in columns]]) or '0'})"
+
+
+def sql_checksum(row_hash: str) -> str:
+    """An aggregate over rows that does not depend on their order.
+
+    The exclusive or alone would not see two equal rows replaced by two others.
+    """
+    return (f"concat_ws('-', count(*), hex(coalesce(bit_xor({row_hash}), 0L)), "
+            f"coalesce(sum(cast({row_hash} as decimal(20, 0))), 0))")
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: `rows`, and `content`, a checksum of the rows that does not depend on their order.
 
@@ -27,13 +44,9 @@ def fingerprint(df: DataFrame) -> DataFrame:
     fingerprint.
     """
     names = [f"_{i}" for i in range(len(df.columns))]
-    # A hash skips nulls: without the second part ('a', null) and (null, 'a') would be one row.
-    parts = ", ".join([*names, *[f"{n} is null" for n in names]]) or "0"
     shape = hashlib.sha256(df.schema.simpleString().encode()).hexdigest()[:16]
-    # The exclusive or alone would not see two equal rows replaced by two others.
-    return df.toDF(*names).selectExpr(f"xxhash64({parts}) as h").selectExpr(
-        "count(*) as rows", f"concat_ws('-', '{shape}', count(*), hex(coalesce(bit_xor(h), 0L)), "
-                            "coalesce(sum(cast(h as decimal(20, 0))), 0)) as content")
+    return df.toDF(*names).selectExpr(f"{sql_row_hash(names)} as h").selectExpr(
+        "count(*) as rows", f"concat('{shape}-', {sql_checksum('h')}) as content")
 
 
 def fingerprints(tables: dict[str, DataFrame]) -> DataFrame:
