@@ -17,6 +17,7 @@ from remitwise import fixture  # noqa: E402
 from remitwise.operators import checks, layers, planting  # noqa: E402
 from remitwise.plans import crossfoot, operations, reports  # noqa: E402
 from remitwise.plans.audit import Audit, guarded_audit, run_audit  # noqa: E402
+from remitwise.plans.figures import book_cells, finding_cells  # noqa: E402
 from remitwise.plans.register import exception_register, read_register, write_run  # noqa: E402
 from remitwise.schemas import check_catalog, check_routing  # noqa: E402
 from remitwise.sources import exports, landing  # noqa: E402
@@ -307,11 +308,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_summary": _on_audit(lambda a: crossfoot.check_summary(a.dq_summary(), _routing(a))),
         "defect_log": _on_audit(lambda a: crossfoot.defect_log(
             a.register, a.catalog, _routing(a), fixture.AUDIT_DATE)),
-        "severity_mix": _on_audit(lambda a: crossfoot.severity_mix(a.register, a.catalog)),
-        "payer_scorecard_total": _on_audit(lambda a: crossfoot.payer_scorecard_total(
-            a.layer.recon, a.register, a.layer.payers)),
-        "headline": _on_audit(
-            lambda a: crossfoot.headline(a.layer.grain, a.register, a.layer.remits)),
+        "severity_mix": _on_audit(Audit.severity_mix),
+        "payer_scorecard_total": _on_audit(Audit.payer_scorecard_total),
+        "headline": _on_audit(Audit.headline),
+        "book_cells": _on_audit(lambda a: book_cells(a.layer.claims)),
+        "finding_cells": _on_audit(lambda a: finding_cells(a.register)),
         "run_verdict": _on_audit(
             lambda a: operations.run_verdict(a.dq_summary(), a.layer.claim_unique)),
         "suite_verdict": lambda spark, sf_dir: operations.suite_verdict(

@@ -649,6 +649,32 @@ def _oracles() -> dict[str, str]:
             (SELECT {_total('sum(billed_amount)')} FROM rc) AS billed_in_scope,
             (SELECT {_total('sum(balance_variance)')} FROM rc WHERE remit_line_count > 0)
                 AS net_variance_adjudicated FROM reg""", *_REGISTER)
+    out["book_cells"] = _chain(
+        f"""SELECT rc.payer_id, v.verdict, count(*) AS claims_in_scope,
+            count(CASE WHEN rc.remit_line_count > 0 THEN 1 END) AS claims_with_remittance,
+            count(CASE WHEN rc.remit_line_count = 0 THEN 1 END) AS claims_without_remittance,
+            sum(n)::BIGINT AS claim_rows,
+            {_total('sum(coalesce(rc.billed_amount, 0))')} AS billed_total,
+            {_total('sum(coalesce(allowed_total, 0))')} AS allowed_total,
+            {_total('sum(coalesce(rc.paid_total, 0))')} AS paid_total,
+            {_total('sum(coalesce(patient_resp_total, 0))')} AS patient_responsibility_total,
+            {_total('sum(coalesce(adjustment_total, 0))')} AS adjustment_total,
+            {_total('sum(recomputed_variance)')} AS unreconciled_variance,
+            {_total('sum(CASE WHEN rc.remit_line_count > 0 THEN coalesce(rc.billed_amount, 0) END)')}
+                AS billed_total_adjudicated,
+            {_total('sum(CASE WHEN rc.remit_line_count > 0 THEN balance_variance END)')}
+                AS variance_adjudicated,
+            {_total('sum(CASE WHEN rc.remit_line_count > 0 THEN abs(balance_variance) END)')}
+                AS abs_variance_adjudicated
+            FROM rc JOIN verdicts v ON v.claim_id = rc.claim_id
+            JOIN (SELECT trim(claim_id) AS claim_id, count(*) AS n FROM claims GROUP BY 1) r
+                ON r.claim_id = rc.claim_id GROUP BY rc.payer_id, v.verdict""",
+        *_RECON, CROSSFOOT | {"detail": "SELECT 1"})
+    out["finding_cells"] = _chain(
+        f"""SELECT false AS of_check, check_id, severity, payer_id, CAST(NULL AS BIGINT) AS claims,
+            count(*) AS found, {_IMPACT} AS impact FROM reg GROUP BY check_id, severity, payer_id
+            UNION ALL SELECT true, check_id, NULL, NULL, count(DISTINCT claim_id), NULL, NULL
+            FROM reg GROUP BY check_id""", *_REGISTER)
     out["run_verdict"] = _chain(
         f"""SELECT claims, exceptions, critical_exceptions,
             {_pct('exceptions', 'claims', '100.0', 3)} AS exception_rate_pct,

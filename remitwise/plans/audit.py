@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from remitwise.operators.checks import Params, all_exceptions_fused
 from remitwise.operators.layers import LAYER_READS, Layer, build_layer
 from remitwise.plans import crossfoot, operations, reports
+from remitwise.plans.figures import Figures, take_figures
 from remitwise.plans.register import exception_register, read_register, run_folder, write_run
 from remitwise.schemas import check_catalog
 from remitwise.sources import exports
@@ -29,21 +31,42 @@ class PublicationRefused(ValueError):
 
 @dataclass(frozen=True)
 class Audit:
-    """A finished run: its layer, its part of the register, and the reports over both."""
+    """A finished run: its layer, its part of the register, and the reports over both.
+
+    The reports read `figures`, which the first of them writes below the layer's folder.
+    """
 
     layer: Layer
     register: DataFrame
     catalog: DataFrame
     ledger: DataFrame | None = None
 
+    @cached_property
+    def figures(self) -> Figures:
+        return take_figures(self.layer.claims, self.register, self.layer.path)
+
     def dq_summary(self) -> DataFrame:
-        return reports.dq_summary(self.register, self.layer.claim_unique, self.catalog)
+        return reports.summary_rows(self.figures.found_by_check(), self.figures.claims(),
+                                    self.catalog)
 
     def control_totals(self) -> DataFrame:
-        return reports.control_totals(self.layer.recon)
+        return self.figures.control_totals()
 
     def payer_scorecard(self) -> DataFrame:
-        return reports.payer_scorecard(self.layer.claim_unique, self.register, self.layer.payers)
+        by_payer = f"{reports.PAYER} as payer_id"
+        return reports.scorecard_rows(self.figures.claims_by(by_payer),
+                                      self.figures.found_by(by_payer), self.layer.payers)
+
+    def severity_mix(self) -> DataFrame:
+        return crossfoot.severity_rows(self.figures.found_by("severity"), self.catalog)
+
+    def payer_scorecard_total(self) -> DataFrame:
+        return crossfoot.scorecard_total_rows(self.figures.claims_by("payer_id"),
+                                              self.figures.found_by("payer_id"), self.layer.payers)
+
+    def headline(self) -> DataFrame:
+        return crossfoot.headline_row(self.figures.claims(), self.figures.found(),
+                                      self.layer.remits)
 
     def suite_validation(self) -> DataFrame:
         if self.ledger is None:

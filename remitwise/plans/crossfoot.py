@@ -28,6 +28,14 @@ def _listed(values: list[str]) -> str:
 
 def recon_verdict(recon: DataFrame, tolerance: Decimal = Decimal("0.01")) -> DataFrame:
     """A verdict per claim from the raw amounts, without use of the checks or their variance."""
+    return with_verdict(recon.select("claim_id", "claim_status", "billed_amount",
+                                     "remit_line_count", "paid_total", "patient_resp_total",
+                                     "adjustment_total"), tolerance).drop(
+        "patient_resp_total", "adjustment_total")
+
+
+def with_verdict(recon: DataFrame, tolerance: Decimal = Decimal("0.01")) -> DataFrame:
+    """Reconciled claims with `recomputed_accounted`, `recomputed_variance` and `verdict`."""
     accounted = sql_money(" + ".join(
         sql_zero(c) for c in ("paid_total", "patient_resp_total", "adjustment_total")))
     variance = sql_money(f"{sql_zero('billed_amount')} - recomputed_accounted")
@@ -39,8 +47,7 @@ def recon_verdict(recon: DataFrame, tolerance: Decimal = Decimal("0.01")) -> Dat
         when {sql_zero('paid_total')} > billed_amount then 'OVERPAYMENT'
         when abs(recomputed_variance) > {tolerance:f} then 'MISMATCH'
         else 'BALANCED' end as verdict"""
-    return (recon.selectExpr("claim_id", "claim_status", "billed_amount", "remit_line_count",
-                             "paid_total", f"{accounted} as recomputed_accounted")
+    return (recon.selectExpr("*", f"{accounted} as recomputed_accounted")
             .selectExpr("*", f"{variance} as recomputed_variance")
             .selectExpr("*", verdict))
 
@@ -111,11 +118,16 @@ def defect_log(register: DataFrame, catalog: DataFrame, routing: DataFrame,
 
 def severity_mix(register: DataFrame, catalog: DataFrame) -> DataFrame:
     """Exceptions, share and exposure per severity, and a TOTAL row."""
-    found = grouped(register, ["severity"], "count(*) as found", f"{IMPACT} as exposure")
+    return severity_rows(
+        grouped(register, ["severity"], "count(*) as found", f"{IMPACT} as impact"), catalog)
+
+
+def severity_rows(found: DataFrame, catalog: DataFrame) -> DataFrame:
+    """`severity_mix` from `found` and `impact` per severity."""
     listed = catalog.select("severity").distinct().join(F.broadcast(found), "severity", "left")
     rows = listed.rollup("severity").agg(
         F.expr(f"{sql_count('sum(found)')} as exceptions"),
-        F.expr(f"cast({sql_zero('sum(exposure)')} as {TOTAL}) as financial_exposure_usd"),
+        F.expr(f"cast({sql_zero('sum(impact)')} as {TOTAL}) as financial_exposure_usd"),
         F.expr("grouping(severity) as is_total"))
     # Four rows, so one window over all of them is safe.
     overall = "max(if(is_total = 1, exceptions, null)) over ()"
@@ -129,10 +141,16 @@ def payer_scorecard_total(recon: DataFrame, register: DataFrame, payers: DataFra
 
     A payer with exceptions but no claims is listed too, so that the total is the register's.
     """
-    claims = grouped(recon, ["payer_id as claim_payer"], "count(*) as claims",
-                     f"cast(sum({sql_zero('billed_amount')}) as {TOTAL}) as billed")
-    found = grouped(register, ["payer_id as found_payer"], "count(*) as found",
-                    f"{IMPACT} as impact")
+    return scorecard_total_rows(
+        grouped(recon, ["payer_id"], "count(*) as claims",
+                f"cast(sum({sql_zero('billed_amount')}) as {TOTAL}) as billed"),
+        grouped(register, ["payer_id"], "count(*) as found", f"{IMPACT} as impact"), payers)
+
+
+def scorecard_total_rows(claims: DataFrame, found: DataFrame, payers: DataFrame) -> DataFrame:
+    """`payer_scorecard_total` from `claims` and `billed`, `found` and `impact` per payer_id."""
+    claims = claims.withColumnRenamed("payer_id", "claim_payer")
+    found = found.withColumnRenamed("payer_id", "found_payer")
     names = payers.selectExpr("payer_id as known_payer", "payer_name")
     unknown = "Unmapped / unknown payer"
     rows = (claims.join(found, F.expr("claim_payer <=> found_payer"), "full")
@@ -157,16 +175,21 @@ def payer_scorecard_total(recon: DataFrame, register: DataFrame, payers: DataFra
 def headline(grain: DataFrame, register: DataFrame, remits: DataFrame) -> DataFrame:
     """The eight headline figures in one row, from the layer's grain and lines and the register."""
     net = "sum(balance_variance) filter (where remit_line_count > 0)"
-    claims = aggregate(grain.filter("in_claims"), "count(*) as unique_claims",
-                       "coalesce(sum(occurrences), 0L) as claim_rows",
-                       f"cast({sql_zero('sum(billed_amount)')} as {TOTAL}) as billed_in_scope",
-                       f"cast({sql_zero(net)} as {TOTAL}) as net_variance_adjudicated")
-    found = aggregate(register, "count(*) as exceptions",
-                      "count(*) filter (where severity = 'CRITICAL') as critical_exceptions",
-                      f"{sql_zero(IMPACT)} as financial_exposure_usd")
+    return headline_row(
+        aggregate(grain.filter("in_claims"), "count(*) as claims",
+                  "coalesce(sum(occurrences), 0L) as claim_rows",
+                  f"cast({sql_zero('sum(billed_amount)')} as {TOTAL}) as billed",
+                  f"cast({sql_zero(net)} as {TOTAL}) as net_variance"),
+        aggregate(register, "count(*) as found",
+                  "count(*) filter (where severity = 'CRITICAL') as critical",
+                  f"{sql_zero(IMPACT)} as impact"), remits)
+
+
+def headline_row(claims: DataFrame, found: DataFrame, remits: DataFrame) -> DataFrame:
+    """`headline` from one row about the claims and one about the register."""
     received = aggregate(remits, "count(*) as remit_rows")
     return claims.crossJoin(found).crossJoin(received).selectExpr(
-        "unique_claims", "claim_rows + remit_rows as rows_compared", "exceptions",
-        f"{sql_rate('exceptions', 'unique_claims', 100, 1)} as exception_rate_pct",
-        "critical_exceptions", "financial_exposure_usd", "billed_in_scope",
-        "net_variance_adjudicated")
+        "claims as unique_claims", "claim_rows + remit_rows as rows_compared",
+        "found as exceptions", f"{sql_rate('found', 'claims', 100, 1)} as exception_rate_pct",
+        "critical as critical_exceptions", "impact as financial_exposure_usd",
+        "billed as billed_in_scope", "net_variance as net_variance_adjudicated")

@@ -29,9 +29,15 @@ def sql_count(c: str) -> str:
 
 def dq_summary(register: DataFrame, claim_unique: DataFrame, catalog: DataFrame) -> DataFrame:
     """One row per check, also for checks without findings."""
-    reviewed = aggregate(claim_unique, "count(*) as claims_reviewed")
-    found = grouped(register, ["check_id"], "count(*) as found",
-                    "count(distinct claim_id) as claims", f"{IMPACT} as impact")
+    return summary_rows(
+        grouped(register, ["check_id"], "count(*) as found", "count(distinct claim_id) as claims",
+                f"{IMPACT} as impact"),
+        aggregate(claim_unique, "count(*) as claims"), catalog)
+
+
+def summary_rows(found: DataFrame, reviewed: DataFrame, catalog: DataFrame) -> DataFrame:
+    """`dq_summary` from `found`, `claims` and `impact` per check and the one row of claims reviewed."""
+    reviewed = reviewed.selectExpr("claims as claims_reviewed")
     found_n = sql_count("found")
     # `found` has at most one row per check, `reviewed` one row.
     return (catalog.join(F.broadcast(found), "check_id", "left")
@@ -69,16 +75,21 @@ def control_totals(recon: DataFrame) -> DataFrame:
 
 def payer_scorecard(claim_unique: DataFrame, register: DataFrame, payers: DataFrame) -> DataFrame:
     """Claims, exceptions and impact per payer; payers without claims are left out."""
-    base = grouped(claim_unique, [f"{PAYER} as payer_id"], "count(*) as claims",
-                   f"cast(sum({sql_zero('billed_amount')}) as {TOTAL}) as billed_total")
-    found = grouped(register, [f"{PAYER} as payer_id"], "count(*) as found",
-                    f"{IMPACT} as impact")
+    return scorecard_rows(
+        grouped(claim_unique, [f"{PAYER} as payer_id"], "count(*) as claims",
+                f"cast(sum({sql_zero('billed_amount')}) as {TOTAL}) as billed"),
+        grouped(register, [f"{PAYER} as payer_id"], "count(*) as found", f"{IMPACT} as impact"),
+        payers)
+
+
+def scorecard_rows(claims: DataFrame, found: DataFrame, payers: DataFrame) -> DataFrame:
+    """`payer_scorecard` from `claims` and `billed`, `found` and `impact` per payer."""
     found_n = sql_count("found")
-    return (base.join(found, "payer_id", "left")
+    return (claims.join(found, "payer_id", "left")
             .join(payers.select("payer_id", "payer_name"), "payer_id", "left")
             .selectExpr("payer_id",
                         "coalesce(payer_name, 'Unmapped / unknown payer') as payer_name",
-                        "claims", "billed_total", f"{found_n} as exceptions",
+                        "claims", "billed as billed_total", f"{found_n} as exceptions",
                         f"{sql_zero('impact')} as financial_impact_usd",
                         f"{sql_rate(found_n, 'claims', 1000, 1)} as exceptions_per_1000_claims"))
 
