@@ -16,11 +16,12 @@ from oracle import statements  # noqa: E402
 from remitwise import fixture  # noqa: E402
 from remitwise.operators import checks, layers, planting  # noqa: E402
 from remitwise.plans import crossfoot, operations, reports  # noqa: E402
-from remitwise.plans.audit import Audit, guarded_audit, run_audit  # noqa: E402
+from remitwise.plans.audit import (Audit, audit_laid_out, guarded_audit,  # noqa: E402
+                                   run_audit)
 from remitwise.plans.figures import book_cells, finding_cells  # noqa: E402
 from remitwise.plans.register import exception_register, read_register, write_run  # noqa: E402
 from remitwise.schemas import check_catalog, check_routing  # noqa: E402
-from remitwise.sources import exports, landing  # noqa: E402
+from remitwise.sources import exports, landing, layout  # noqa: E402
 from remitwise.sources.scratch import scratch_path  # noqa: E402
 
 # The only place that tolerates the absence of the training-data operators.
@@ -241,6 +242,14 @@ def _guarded_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.register
 
 
+def _laid_out_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The register of an audit over feeds laid out in buckets of claim_id."""
+    laid = layout.lay_out(fixture.claims(spark, sf_dir), fixture.remits(spark, sf_dir),
+                          scratch_path(spark, "layout"))
+    return audit_laid_out(spark, laid, fixture.payers(spark), PARAMS, statements.RUN_ID,
+                          RUN_TS).register
+
+
 def _export_reports(audit: Audit) -> DataFrame:
     return exports.read_report(audit.register.sparkSession, _exported(audit), "dq_run_summary",
                                audit.dq_summary().schema)
@@ -335,6 +344,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "remit_violations": _remit_violations,
         "register_violations": _on_audit(_register_violations),
         "guarded_register": _guarded_register,
+        "laid_out_register": _laid_out_register,
         "export_reports": _on_audit(_export_reports),
         "export_order": _on_audit(lambda a: exports.delivery_order(
             a.register.sparkSession, _exported(a))),

@@ -530,6 +530,7 @@ def _oracles() -> dict[str, str]:
         UNION ALL SELECT 'register', 'FOREIGN KEY', 'check_id', check_id, count(*) FROM reg
             WHERE check_id = 'DQ-02' GROUP BY check_id""", *_REGISTER)
     out["guarded_register"] = _chain("SELECT * FROM reg", *_REGISTER)
+    out["laid_out_register"] = out["exception_register"]
     out["export_reports"] = _chain("SELECT * FROM summary", *_REGISTER, SUMMARY)
     out["export_order"] = _chain(
         """SELECT 'exception_register' AS export, '' AS folder, count(*) AS rows,

@@ -201,6 +201,15 @@ def flagged_lines(remits: DataFrame, grain: DataFrame, payers: DataFrame, payers
     return lookup(lines, names, "payer_id", "line_no", payers_small, rows_per_task)
 
 
+def typed_grain(claims: DataFrame, lines: DataFrame, payers: DataFrame, payers_small: bool,
+                rows_per_task: int | None = None) -> DataFrame:
+    """The grain of typed feeds, with `payer_known`."""
+    known = payers.selectExpr("payer_id", "true as payer_known")
+    unique = lookup(claims_by_id(claims), known, "payer_id", "claim_id", payers_small,
+                    rows_per_task)
+    return audit_grain(unique, remit_totals(lines))
+
+
 # Inputs that a table of the layer depends on, where it does not depend on all of them.
 LAYER_READS = {"remits": ("payments_remittance",)}
 
@@ -217,15 +226,10 @@ def build_layer(spark: SparkSession, claims: DataFrame, remits: DataFrame, payer
     keep = keep or (lambda table, build: store(build(), f"{path}/{table}"))
     payers_small = is_small(payers)
 
-    def grained() -> DataFrame:
-        known = payers.selectExpr("payer_id", "true as payer_known")
-        unique = lookup(claims_by_id(typed_claims(claims)), known, "payer_id", "claim_id",
-                        payers_small, rows_per_task)
-        return audit_grain(unique, remit_totals(lines))
-
     lines = keep("remits", lambda: typed_remits(remits).withColumn(
         "line_no", F.monotonically_increasing_id()))
-    grain = keep("grain", grained)
+    grain = keep("grain", lambda: typed_grain(typed_claims(claims), lines, payers, payers_small,
+                                              rows_per_task))
     # Few lines are flagged, spread over every split: `rebalance` gathers them into full files.
     flagged = keep("flagged", lambda: flagged_lines(
         lines, grain, payers, payers_small, rows_per_task).hint("rebalance"))

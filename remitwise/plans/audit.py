@@ -9,13 +9,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from remitwise.operators.checks import Params, all_exceptions_fused
-from remitwise.operators.layers import LAYER_READS, Layer, build_layer
+from remitwise.operators.layers import (LAYER_READS, Layer, build_layer, flagged_lines, store,
+                                        typed_grain)
+from remitwise.operators.skew import is_small
 from remitwise.plans import crossfoot, operations, reports
 from remitwise.plans.figures import Figures, take_figures
 from remitwise.plans.register import exception_register, read_register, run_folder, write_run
 from remitwise.schemas import check_catalog
 from remitwise.sources import exports
 from remitwise.sources.landing import require_key
+from remitwise.sources.layout import LaidOutFeeds
 from remitwise.sources.scratch import scratch_path
 from remitwise.sources.steps import Steps, fingerprints
 from remitwise.sources.versions import published
@@ -105,6 +108,41 @@ def run_audit(spark: SparkSession, claims: DataFrame, remits: DataFrame, payers:
     run_folder(run_id)
     require_key("payer_reference", payers, "payer_id")
     layer = build_layer(spark, claims, remits, payers, layer_path, rows_per_task)
+    return _checked(spark, layer, params, run_id, run_ts, register_path, ledger)
+
+
+def laid_out_layer(spark: SparkSession, feeds: LaidOutFeeds, payers: DataFrame,
+                   path: str | None = None, rows_per_task: int | None = None) -> Layer:
+    """The layer of feeds that `lay_out` wrote.
+
+    Claims in buckets are reconciled without an exchange, those beside them as in `build_layer`. The
+    lines are read where they are.
+    """
+    path = path or scratch_path(spark, "layer")
+    small = is_small(payers)
+    grain = typed_grain(feeds.claims, feeds.remits, payers, small, rows_per_task)
+    if feeds.has_loose:
+        grain = grain.unionByName(typed_grain(feeds.loose_claims, feeds.loose_remits, payers, small,
+                                              rows_per_task))
+    grain = store(grain, f"{path}/grain")
+    flagged = store(flagged_lines(feeds.lines, grain, payers, small, rows_per_task)
+                    .hint("rebalance"), f"{path}/flagged")
+    return Layer(grain, feeds.lines, flagged, payers, path, rows_per_task)
+
+
+def audit_laid_out(spark: SparkSession, feeds: LaidOutFeeds, payers: DataFrame, params: Params,
+                   run_id: str, run_ts: dt.datetime, register_path: str | None = None,
+                   layer_path: str | None = None, ledger: DataFrame | None = None,
+                   rows_per_task: int | None = None) -> Audit:
+    """`run_audit` over feeds that `lay_out` wrote."""
+    run_folder(run_id)
+    require_key("payer_reference", payers, "payer_id")
+    layer = laid_out_layer(spark, feeds, payers, layer_path, rows_per_task)
+    return _checked(spark, layer, params, run_id, run_ts, register_path, ledger)
+
+
+def _checked(spark: SparkSession, layer: Layer, params: Params, run_id: str, run_ts: dt.datetime,
+             register_path: str | None, ledger: DataFrame | None) -> Audit:
     register_path = register_path or scratch_path(spark, "register")
     found = exception_register(all_exceptions_fused(layer, params), run_id, run_ts)
     write_run(found, register_path, run_id)
