@@ -130,17 +130,26 @@ def _register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exception_register(checks.all_exceptions_fused(layer, PARAMS), statements.RUN_ID, RUN_TS)
 
 
-def _repeat_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven nightly runs: one clean, one without the remittance feed."""
+def _nights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Register and log of seven nightly runs: one clean, one without the remittance feed."""
     def listed(runs: list[str]) -> str:
         return "array(" + ", ".join(f"'{r}'" for r in runs) + ")"
 
     nights = _audit(spark, sf_dir).register.selectExpr(
-        "check_id", "entity_key",
+        "check_id", "entity_key", "claim_id",
         f"explode(if(entity_type = 'claim', {listed(statements.CLAIM_RUNS)}, "
         f"{listed(statements.REMIT_RUNS)})) as run_id")
     runs = spark.createDataFrame(statements.RUNS, "run_id string, run_ts string")
-    return operations.repeat_defects(nights, runs)
+    return nights, runs
+
+
+def _repeat_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operations.repeat_defects(*_nights(spark, sf_dir))
+
+
+def _repeating_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nights, runs = _nights(spark, sf_dir)
+    return operations.repeating_feeds(nights, _audit(spark, sf_dir).layer.claim_unique, runs)
 
 
 def _disposition_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,6 +340,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda a: operations.triage_queue(a.register, statements.TRIAGE_N)),
         "sla_ageing": _on_audit(lambda a: operations.sla_ageing(a.register, AS_OF)),
         "escalations": _on_audit(lambda a: operations.escalations(a.register)),
+        "unmatched_payments": _on_audit(
+            lambda a: operations.unmatched_payments(a.register, AS_OF)),
+        "repeating_feeds": _repeating_feeds,
         "repeat_defects": _repeat_defects,
         "disposition_violations": _disposition_violations,
         "variance_profile": _on_audit(lambda a: operations.variance_profile(

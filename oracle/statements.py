@@ -730,6 +730,23 @@ def _oracles() -> dict[str, str]:
             max(run) AS last_run, sum(n)::BIGINT AS exceptions FROM (
             SELECT *, run_no - dense_rank() OVER (PARTITION BY check_id ORDER BY run_no) AS island
             FROM ({seen}) s) t GROUP BY check_id, island HAVING count(*) >= 3""", *_REGISTER)
+    out["unmatched_payments"] = _chain(
+        f"""SELECT check_id, run_id, 'payment' AS scope, entity_key AS scope_key, count(*) AS items,
+            {_EXPOSURE} AS exposure_usd, 'Payer' AS escalate_to FROM reg
+            WHERE check_id = 'DQ-04' AND TIMESTAMP '{AS_OF}' >
+                (SELECT CAST(d + 1 AS TIMESTAMP) FROM weekday WHERE n = 2)
+            GROUP BY check_id, run_id, entity_key""", *_REGISTER, SLA)
+    nights = ", ".join(f"({i + 1}, '{run}')" for i, (run, _) in enumerate(RUNS) if run in CLAIM_RUNS)
+    out["repeating_feeds"] = _chain(
+        f"""SELECT 'DQ-11' AS check_id, 'feed' AS scope, scope_key, min_by(run, run_no) AS first_run,
+            max_by(run, run_no) AS last_run, count(*) AS consecutive_runs, sum(n)::BIGINT AS items,
+            'Interface team' AS escalate_to FROM (
+            SELECT *, run_no - row_number() OVER (PARTITION BY scope_key ORDER BY run_no) AS island
+            FROM (SELECT coalesce(cu.source_system, 'UNKNOWN') AS scope_key, run_no, run,
+                    count(*) AS n FROM reg JOIN cu ON cu.claim_id = reg.claim_id,
+                    (VALUES {nights}) AS r(run_no, run) WHERE check_id = 'DQ-11'
+                    GROUP BY 1, 2, 3) s) t
+            GROUP BY scope_key, island HAVING count(*) >= 2""", *_REGISTER)
     out["disposition_violations"] = _chain(
         f"""SELECT run_id, reg.check_id, entity_key, assigned_queue, {_STATE.replace('check_id', 'reg.check_id')} AS disposition,
             {_REASON.replace('check_id', 'reg.check_id')} AS disposition_reason,

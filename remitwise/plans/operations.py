@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import (sql_add_business_days, sql_money, sql_rate, sql_zero)
+from remitwise.operators.bloom import may_match
 from remitwise.operators.median import exact_quantiles
 from remitwise.plans.reports import IMPACT, PAYER, aggregate, grouped, sql_count
 from remitwise.schemas import SEVERITY_RANK, SLA_DAYS, TOTAL
@@ -19,6 +20,8 @@ MISSING_REMIT_LIMITS = (10, 5000)
 UNDERPAID_LIMITS = (25, 5000)
 RUN_RATE_LIMIT_PCT = Decimal("0.5")
 REPEATED_RUNS = 3
+UNMATCHED_DAYS = 2
+REPEATED_FEED_RUNS = 2
 CLOSED = ["RESOLVED", "WAIVED", "CARRIED FORWARD"]
 
 
@@ -121,7 +124,10 @@ def sla_ageing(register: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def escalations(register: DataFrame) -> DataFrame:
-    """Items and groups that crossed an escalation threshold."""
+    """Items and groups that crossed an escalation threshold of one run.
+
+    What takes time or several runs to escalate is in `unmatched_payments` and `repeating_feeds`.
+    """
     single = (register
               .filter(f"check_id = 'DQ-06' and abs(amount_impact) > {SINGLE_VARIANCE_LIMIT}")
               .selectExpr("check_id", "'claim' as scope", "entity_key as scope_key",
@@ -142,6 +148,33 @@ def escalations(register: DataFrame) -> DataFrame:
             .unionByName(by_group("DQ-08", "payer", PAYER, UNDERPAID_LIMITS, "Payer Relations")))
 
 
+def unmatched_payments(register: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Payments without a claim (DQ-04) that are open when their business days have ended."""
+    ended = (f"cast(date_add({sql_add_business_days('to_date(run_ts)', str(UNMATCHED_DAYS))}, 1) "
+             "as timestamp)")
+    late = register.filter("check_id = 'DQ-04' and disposition = 'OPEN'").filter(
+        f"timestamp'{as_of.isoformat(' ')}' > {ended}")
+    return grouped(late, ["check_id", "run_id", "entity_key"], "count(*) as items",
+                   f"{sql_zero(IMPACT)} as exposure_usd").selectExpr(
+        "check_id", "run_id", "'payment' as scope", "entity_key as scope_key", "items",
+        "exposure_usd", "'Payer' as escalate_to")
+
+
+def repeating_feeds(register: DataFrame, claims: DataFrame, runs: DataFrame,
+                    min_runs: int = REPEATED_FEED_RUNS) -> DataFrame:
+    """Source systems with temporal breaks (DQ-11) in `min_runs` consecutive runs or more.
+
+    `claims` has one row per claim_id; only those that may have a break are shuffled to the join.
+    """
+    broken = register.filter("check_id = 'DQ-11'").select("run_id", "check_id", "claim_id")
+    sources = may_match(claims.selectExpr(
+        "claim_id", "coalesce(source_system, 'UNKNOWN') as scope_key"), broken, ["claim_id"])
+    return repeat_defects(broken.join(sources, "claim_id"), runs, ["check_id", "scope_key"],
+                          min_runs).selectExpr(
+        "check_id", "'feed' as scope", "scope_key", "first_run", "last_run", "consecutive_runs",
+        "exceptions as items", "'Interface team' as escalate_to")
+
+
 def repeat_defects(register: DataFrame, runs: DataFrame, keys: list[str] | None = None,
                    min_runs: int = REPEATED_RUNS) -> DataFrame:
     """Defects found in at least `min_runs` consecutive runs.

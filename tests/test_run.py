@@ -191,6 +191,29 @@ def test_escalations(spark):
         ("DQ-05", "R1", "10"), ("DQ-06", "a", "1"), ("DQ-08", "P1", "25"), ("DQ-08", "P2", "1")]
 
 
+def test_unmatched_payments_wait_for_business_days(spark):
+    # The run is of a Friday: its second business day, a Tuesday, ends with the first of September.
+    reg = items(spark, [{"check_id": "DQ-04", "entity_key": "a", "amount_impact": "7"},
+                        {"check_id": "DQ-04", "entity_key": "a", "amount_impact": "-2"},
+                        {"check_id": "DQ-04", "entity_key": "b", "disposition": "RESOLVED"},
+                        {"check_id": "DQ-05", "entity_key": "c"}])
+    assert operations.unmatched_payments(reg, dt.datetime(2026, 9, 2)).count() == 0
+    assert found(operations.unmatched_payments(reg, dt.datetime(2026, 9, 2, 0, 1)), "scope_key",
+                 "items", "exposure_usd", "escalate_to") == [("a", "2", "9.00", "Payer")]
+
+
+def test_repeating_feeds(spark):
+    runs = spark.createDataFrame([(f"R{i}", f"2026-08-0{i}") for i in range(1, 5)],
+                                 "run_id string, run_ts string")
+    sources = {"C1": "A", "C2": "A", "C3": "B", "C4": None}
+    claims = spark.createDataFrame(list(sources.items()), "claim_id string, source_system string")
+    # A: other claims, but run after run. B: with a clean run between. Unknown sources count too.
+    seen = [("C1", 1), ("C2", 2), ("C3", 1), ("C3", 3), ("C4", 3), ("C4", 4)]
+    reg = items(spark, [{"check_id": "DQ-11", "entity_key": c, "run_id": f"R{i}"} for c, i in seen])
+    assert found(operations.repeating_feeds(reg, claims, runs), "scope_key", "first_run", "last_run",
+                 "items") == [("A", "R1", "R2", "2"), ("UNKNOWN", "R3", "R4", "2")]
+
+
 def test_repeat_defects_count_clean_runs(spark):
     runs = spark.createDataFrame([(f"R{i}", f"2026-08-0{i}") for i in range(1, 9)],
                                  "run_id string, run_ts string")
