@@ -472,10 +472,12 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     groups = leaves[0]
     for more in leaves[1:]:
         groups = groups.unionByName(more)
+    groups = distinct_groups(groups)
     if large is not None:
+        # Blocks of distinct nodes are cut by different hashes, so hardly any two are equal.
         large = land(distinct_groups(large), "large")
         groups = groups.unionByName(dense_blocks(large))
-    edges = links(clusters(distinct_groups(groups), members, own), members, docs, own.similar)
+    edges = links(clusters(groups, members, own), members, docs, own.similar)
     roots = land(components(edges), "roots")
     if large is not None:
         rest = clusters(dense_rest(large, roots), members, own, roots)
