@@ -13,6 +13,9 @@ from remitwise import schemas
 
 AUDIT_DATE = dt.date(2001, 12, 31)
 
+# Tasks that a large table is dealt to, per core.
+TASKS_PER_CORE = 4
+
 # The payer master, columns payer_id, payer_name, payer_type, contract_rate.
 PAYER_ROWS = [
     ("PAY-MCR-001", "Medicare Part B", "MEDICARE", "0.62"),
@@ -69,9 +72,13 @@ def _pick(values: list[str], index: str) -> str:
 def _orders(spark: SparkSession, sf_dir: str, defects: bool) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
     cores = spark.sparkContext.defaultParallelism
-    if orders.rdd.getNumPartitions() < cores:
+    splits = orders.rdd.getNumPartitions()
+    if splits < cores:
         # A small file is one split; the rows derived from it would keep one core busy.
         orders = orders.repartition(cores)
+    elif splits < TASKS_PER_CORE * cores:
+        # Splits hold whole row groups, some of them twice as many as others, and rows become wide.
+        orders = orders.repartition(TASKS_PER_CORE * cores, "o_orderkey")
     billed = "cast(100 + o_orderkey % 400 as decimal(18,2))"
     return orders.selectExpr(
         "o_orderkey as k",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from remitwise.functions.scalars import (sql_blank_to_null, sql_money, sql_safe_date,
                                          sql_safe_numeric, sql_sorted_list, sql_zero)
-from remitwise.operators.bloom import may_match
+from remitwise.operators.bloom import may_match, may_not_match, words_for
 from remitwise.operators.skew import is_small, lookup, spread_join
 from remitwise.schemas import (CLAIM_COLUMNS, CLAIM_RAW_COLUMNS, LIST_COLUMNS, RECON_COLUMNS,
                                REMIT_COLUMNS, TOTAL, TYPED_CLAIM_COLUMNS)
@@ -65,6 +65,13 @@ def claims_by_id(typed: DataFrame) -> DataFrame:
         f"if(occurrences > 1, {sql_sorted_list('batches', ', ')}, null) as ingest_batches")
 
 
+def claims_alone(typed: DataFrame) -> DataFrame:
+    """`claims_by_id` of rows whose claim_id no other row has."""
+    return typed.selectExpr(
+        *TYPED_CLAIM_COLUMNS, "1L as occurrences", "billed_amount as max_billed_amount",
+        "cast(null as string) as source_systems", "cast(null as string) as ingest_batches")
+
+
 def claim_unique(typed: DataFrame) -> DataFrame:
     """One row per claim_id."""
     return claims_by_id(typed).select(*TYPED_CLAIM_COLUMNS)
@@ -94,6 +101,36 @@ def remit_totals(remits: DataFrame) -> DataFrame:
     return _rollup(remits, ["min(check_eft_number) as first_check_eft_number"])
 
 
+def totals_alone(remits: DataFrame) -> DataFrame:
+    """`remit_totals` of lines whose claim_id no other line has."""
+    def total(c: str) -> str:
+        return f"cast({c} as {TOTAL})"
+
+    return remits.filter("claim_id is not null").selectExpr(
+        "claim_id", "1L as remit_line_count", f"{total('allowed_amount')} as allowed_total",
+        f"{total('paid_amount')} as paid_total",
+        f"{total('patient_responsibility')} as patient_resp_total",
+        f"{total('contractual_adjustment')} as adjustment_total",
+        "remit_date as first_remit_date", "remit_date as last_remit_date",
+        "claim_status_code as remit_status_code", "check_eft_number as first_check_eft_number")
+
+
+def alone_and_repeated(rows: DataFrame, claim_id: str = "claim_id") -> tuple[DataFrame, DataFrame]:
+    """`rows` in two parts: those whose claim_id, an expression, no other row has, and the rest.
+
+    Hashes of the ids are counted, in a state of fixed size; those seen twice, normally few, are written
+    and fill a filter. All rows of an id lie in one part: whatever passes the filter is in the second,
+    which may hold some rows that are alone too.
+    """
+    hashed = rows.selectExpr("*", f"xxhash64({claim_id}) as id_hash")
+    seen = store(hashed.groupBy("id_hash").agg(F.expr("count(*) as times")).filter("times > 1")
+                 .select("id_hash"), scratch_path(rows.sparkSession, "ids"))
+    words = words_for(seen.count())
+    alone, repeated = (part(hashed, seen, ["id_hash"], words).drop("id_hash")
+                       for part in (may_not_match, may_match))
+    return alone, repeated
+
+
 def remit_by_claim(remits: DataFrame) -> DataFrame:
     """Remittance lines rolled up to the claim; lines without a claim_id are left out.
 
@@ -126,8 +163,8 @@ def audit_grain(claims: DataFrame, totals: DataFrame) -> DataFrame:
     """Claims (`claims_by_id`) full outer joined to their totals (`remit_totals`).
 
     One join serves the reconciliation and the orphan check: `in_claims` is false for a claim_id
-    that only the remittances know. Both sides leave their aggregation hashed on claim_id, so the
-    join adds no exchange.
+    that only the remittances know. Sides that leave an aggregation are hashed on claim_id, so the
+    join adds no exchange to these.
     """
     balance = {**_balance(), "in_claims": "coalesce(in_claims, false)",
                "payer_known": "coalesce(payer_known, false)"}
@@ -204,10 +241,29 @@ def flagged_lines(remits: DataFrame, grain: DataFrame, payers: DataFrame, payers
 def typed_grain(claims: DataFrame, lines: DataFrame, payers: DataFrame, payers_small: bool,
                 rows_per_task: int | None = None) -> DataFrame:
     """The grain of typed feeds, with `payer_known`."""
+    return _grain(claims_by_id(claims), remit_totals(lines), payers, payers_small, rows_per_task)
+
+
+def landed_grain(claims: DataFrame, lines: DataFrame, payers: DataFrame, payers_small: bool,
+                 rows_per_task: int | None = None) -> DataFrame:
+    """`typed_grain` of landed claims and typed lines that lie in no order.
+
+    Only repeated ids are aggregated, which sorts whole rows in the tasks that read the feed. The rows
+    of the others, nearly all, go to the join as they are.
+    """
+    # Claims are dealt before they are typed, so that no row is typed twice.
+    single, repeated = map(typed_claims, alone_and_repeated(claims, "trim(claim_id)"))
+    lone, several = alone_and_repeated(lines)
+    return _grain(claims_alone(single).unionByName(claims_by_id(repeated)),
+                  totals_alone(lone).unionByName(remit_totals(several)), payers, payers_small,
+                  rows_per_task)
+
+
+def _grain(unique: DataFrame, totals: DataFrame, payers: DataFrame, payers_small: bool,
+           rows_per_task: int | None) -> DataFrame:
     known = payers.selectExpr("payer_id", "true as payer_known")
-    unique = lookup(claims_by_id(claims), known, "payer_id", "claim_id", payers_small,
-                    rows_per_task)
-    return audit_grain(unique, remit_totals(lines))
+    return audit_grain(lookup(unique, known, "payer_id", "claim_id", payers_small, rows_per_task),
+                       totals)
 
 
 # Inputs that a table of the layer depends on, where it does not depend on all of them.
@@ -228,8 +284,7 @@ def build_layer(spark: SparkSession, claims: DataFrame, remits: DataFrame, payer
 
     lines = keep("remits", lambda: typed_remits(remits).withColumn(
         "line_no", F.monotonically_increasing_id()))
-    grain = keep("grain", lambda: typed_grain(typed_claims(claims), lines, payers, payers_small,
-                                              rows_per_task))
+    grain = keep("grain", lambda: landed_grain(claims, lines, payers, payers_small, rows_per_task))
     # Few lines are flagged, spread over every split: `rebalance` gathers them into full files.
     flagged = keep("flagged", lambda: flagged_lines(
         lines, grain, payers, payers_small, rows_per_task).hint("rebalance"))

@@ -7,6 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 from rows import PARAMS, claim, feeds, found, layer, remit
 
+from remitwise import fixture
 from remitwise.operators import skew
 from remitwise.operators.checks import CHECKS, all_exceptions
 from remitwise.operators.median import exact_median, exact_quantiles
@@ -127,3 +128,35 @@ def test_first_row_of_a_hot_claim_is_combined_before_the_exchange(spark):
     from remitwise.operators.layers import claims_by_id, typed_claims
     plan = claims_by_id(typed_claims(claims))._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_only_repeated_ids_are_aggregated(spark):
+    """Rows of an id that comes once go to the join as they are, with the outcome of the aggregation."""
+    from remitwise.operators.layers import (alone_and_repeated, landed_grain, typed_claims,
+                                            typed_grain, typed_remits)
+    ids = ["C1", " C1 ", "C2", None, None, "", "  ", *[f"C{n}" for n in range(3, 400)]]
+    claims, remits = feeds(
+        spark, [claim(n, claim_id=i, source_system=f"S{n}") for n, i in enumerate(ids)],
+        [remit(n, claim_id=i) for n, i in enumerate(["C1", "C2", "C2", "X", None, None, *ids[20:]])])
+    alone, repeated = alone_and_repeated(claims, "trim(claim_id)")
+    rest = {row.claim_id for row in repeated.collect()}
+    assert rest >= {"C1", " C1 ", None, "", "  "} and len(rest) < 40
+    assert alone.count() + repeated.count() == len(ids)
+    lines = typed_remits(remits)
+    payers = fixture.payers(spark)
+    want = typed_grain(typed_claims(claims), lines, payers, True)
+    got = landed_grain(claims, lines, payers, True)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert found(got) == found(want)
+
+
+def test_large_tables_are_dealt_evenly(spark, tmp_path):
+    """Splits of as many files as there are cores, one of which holds nearly all rows."""
+    for part in range(8):
+        rows = 8000 if part == 0 else 1
+        spark.range(part * 10_000, part * 10_000 + rows).selectExpr(
+            "id as o_orderkey", "timestamp'2001-01-01' as o_orderdate").coalesce(1).write.mode(
+            "append").parquet(str(tmp_path / "orders.parquet"))
+    held = fixture.claims(spark, str(tmp_path), False).groupBy(
+        F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in held) < 2 * 8007 / 8
