@@ -294,9 +294,9 @@ def connected(pairs_a: np.ndarray, pairs_b: np.ndarray, n: int) -> np.ndarray:
 
 def clusters(groups: DataFrame, members: DataFrame, own_plan: Plan,
              known: DataFrame | None = None) -> DataFrame:
-    """Cut (node, fp) into clusters by signature: (node, fp), clusters of one left out.
+    """Cut (node, fp) into clusters by signature: (fps), a cluster's members in order, two at least.
 
-    With `known`, a table of (fp, root), pairs that already are in one component do not count.
+    A cluster is one row however many members it has, and equal ones of several nodes are equal rows. With `known`, a table of (fp, root), pairs that already are in one component do not count.
     """
     # A member is joined once, then goes to its groups: some per tree, few for one that is let go.
     rows = (groups.groupBy("fp").agg(F.expr("collect_list(node) as nodes"))
@@ -330,13 +330,14 @@ def clusters(groups: DataFrame, members: DataFrame, own_plan: Plan,
                 found_a.append(a[ok])
                 found_b.append(b[ok])
             label = connected(np.concatenate(found_a), np.concatenate(found_b), len(size))
-            kept = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
-            names = node.to_numpy()[label].astype(np.uint64) + mixed(
-                label.astype(np.uint64) - np.repeat(cuts[:-1], count).astype(np.uint64))
+            held = np.bincount(label, minlength=len(label))
+            kept = np.flatnonzero(held[label] > 1)
+            kept = kept[np.argsort(label[kept], kind="stable")]
+            ends = np.concatenate([[0], np.cumsum(held[held > 1])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[kept].view(np.int64)), fp.take(pa.array(kept))], ["node", "fp"])
+                [pa.ListArray.from_arrays(pa.array(ends), fp.take(pa.array(kept)))], ["fps"])
 
-    return map_batches(dealt, work, "node bigint, fp binary")
+    return map_batches(dealt, work, "fps array<binary>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -381,9 +382,10 @@ def linked(sets: list[np.ndarray], similar: int) -> np.ndarray:
     return 100 * shared >= similar * union
 
 
-def links(groups: DataFrame, members: DataFrame, docs: DataFrame, similar: int) -> DataFrame:
-    """(u, v): a spanning forest of the confirmed links of every cluster of (node, fp)."""
-    groups = land(distinct_groups(groups), "clusters")
+def links(found: DataFrame, members: DataFrame, docs: DataFrame, similar: int) -> DataFrame:
+    """(u, v): a spanning forest of the confirmed links of every cluster of (fps)."""
+    groups = land(found.distinct().selectExpr("xxhash64(fps) as node", "explode(fps) as fp"),
+                  "clusters")
     wanted = groups.select("fp").distinct().join(members.select("fp", "rep"), "fp")
     dealt = (groups.join(full_sets(docs, wanted), "fp").select("node", "fp", "shingles")
              .repartition("node").sortWithinPartitions("node", "fp"))
