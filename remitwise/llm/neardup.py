@@ -54,11 +54,13 @@ from remitwise.llm.common import (
     texts_of,
     whole_groups,
 )
+from remitwise.operators.bloom import may_match, words_for
 from remitwise.operators.skew import is_small, spread_join
 
 WORDS = 5
 SIMILAR = 85  # percent
-# Coordinates that a leaf compares, each by its last 16 bits, which can only let more pairs through.
+# Coordinates that a leaf compares. Signatures hold 16 bits of each, for the trees too: values that differ
+# may then look equal, which can only let more pairs meet and pass.
 COORDINATES = 128
 LEAST_TREES = 10
 # Minwise functions of each tree.
@@ -192,24 +194,25 @@ def signatures(docs: DataFrame, own: Plan) -> DataFrame:
                 sets = shingle_sets(step.column(2))
                 size = np.array([len(s) for s in sets])
                 full = np.flatnonzero(size)
-                sig = np.zeros((len(full), width), np.uint32)
+                sig = np.zeros((len(full), width), np.uint16)
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     cuts = np.cumsum(size[full]) - size[full]
                     for c, m in enumerate(multipliers):
                         least = np.minimum.reduceat(flat * m, cuts)
-                        sig[:, c] = (least >> np.uint64(32)).astype(np.uint32)
+                        # The bits above these are those of a least value, mostly zeros.
+                        sig[:, c] = ((least >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16)
                 lengths = np.where(size > 0, width, 0)
                 yield pa.RecordBatch.from_arrays([
                     step.column(0), step.column(1), pa.array(size.astype(np.int64)),
                     pa.array([fingerprint(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)),
-                        pa.array(sig.view(np.int32).ravel())),
+                        pa.array(sig.view(np.int16).ravel())),
                 ], ["doc_id", "text_hash", "n_shingles", "fp", "sig"])
 
     return map_batches(rows, work, f"doc_id {kind}, text_hash bigint, n_shingles bigint, "
-                                   "fp binary, sig array<int>")
+                                   "fp binary, sig array<smallint>")
 
 
 # -- the trees --------------------------------------------------------------------------------
@@ -258,11 +261,11 @@ def branch(members: DataFrame, own: Plan) -> tuple[list[DataFrame], DataFrame |
         large = large.filter(f"not coalesce({stuck}, false)")
         if large.isEmpty():
             return leaves, reduce(DataFrame.unionByName, dense) if dense else None
-        # A member is joined once, then goes to its nodes.
+        # A member is joined once, then goes to its nodes. Signatures of others are not shuffled.
         held = large.groupBy("fp").agg(
             F.expr("collect_list(struct(node, tree, used, size as above)) as nodes"))
-        rows = children(held.join(members.select("fp", "sig"), "fp").selectExpr(
-            "fp", "sig", "inline(nodes)"), own.deep)
+        known = may_match(members.select("fp", "sig"), large, ["fp"], words_for(large.count()))
+        rows = children(held.join(known, "fp").selectExpr("fp", "sig", "inline(nodes)"), own.deep)
         depth += 1
 
 
@@ -299,9 +302,12 @@ def clusters(groups: DataFrame, members: DataFrame, own_plan: Plan,
     A cluster is one row however many members it has, and equal ones of several nodes are equal rows. With `known`, a table of (fp, root), pairs that already are in one component do not count.
     """
     # A member is joined once, then goes to its groups: some per tree, few for one that is let go.
-    rows = (groups.groupBy("fp").agg(F.expr("collect_list(node) as nodes"))
-            .join(members.selectExpr("fp", "n_shingles", f"transform(slice(sig, 1, {COORDINATES}), "
-                                     "x -> cast((x & 65535) - 32768 as smallint)) as sig"), "fp"))
+    # Members without a group, most of them, are not shuffled.
+    groups = land(groups, "groups")
+    grouped = may_match(members.select("fp", "n_shingles", "sig"), groups, ["fp"],
+                        words_for(groups.count())).selectExpr(
+        "fp", "n_shingles", f"slice(sig, 1, {COORDINATES}) as sig")
+    rows = groups.groupBy("fp").agg(F.expr("collect_list(node) as nodes")).join(grouped, "fp")
     own, similar, agree = "fp", own_plan.similar, own_plan.agree
     if known is not None:
         rows, own = rows.join(known, "fp", "left"), "coalesce(root, fp)"
