@@ -88,12 +88,18 @@ class Audit:
             tables["suite_validation"] = self.suite_validation().orderBy("check_id")
         return tables
 
-    def export(self, out: str) -> None:
-        """Write every CSV export of the run below `out`."""
-        exports.export_reports(self.report_tables(), out)
-        exports.export_register(self.register, out)
-        exports.export_exceptions(self.register, out)
-        exports.export_recon(self.layer.recon, out)
+    def export(self, out: str, *names: str) -> None:
+        """Write the CSV exports of the run below `out`: those named, `reports` or large ones
+        (`exports.DELIVERIES`), or every one.
+        """
+        writers = {
+            "reports": lambda: exports.export_reports(self.report_tables(), out),
+            "exception_register": lambda: exports.export_register(self.register, out),
+            "exceptions": lambda: exports.export_exceptions(self.register, out),
+            "claim_reconciliation": lambda: exports.export_recon(self.layer.recon, out),
+        }
+        for name in names or writers:
+            writers[name]()
 
 
 def run_audit(spark: SparkSession, claims: DataFrame, remits: DataFrame, payers: DataFrame,
