@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,30 +103,41 @@ def remit_totals(remits: DataFrame) -> DataFrame:
 
 
 def totals_alone(remits: DataFrame) -> DataFrame:
-    """`remit_totals` of lines whose claim_id no other line has."""
-    def total(c: str) -> str:
-        return f"cast({c} as {TOTAL})"
-
+    """`remit_totals` of lines whose claim_id no other line has; amounts are as narrow as in the line."""
     return remits.filter("claim_id is not null").selectExpr(
-        "claim_id", "1L as remit_line_count", f"{total('allowed_amount')} as allowed_total",
-        f"{total('paid_amount')} as paid_total",
-        f"{total('patient_responsibility')} as patient_resp_total",
-        f"{total('contractual_adjustment')} as adjustment_total",
+        "claim_id", "1L as remit_line_count", "allowed_amount as allowed_total",
+        "paid_amount as paid_total", "patient_responsibility as patient_resp_total",
+        "contractual_adjustment as adjustment_total",
         "remit_date as first_remit_date", "remit_date as last_remit_date",
         "claim_status_code as remit_status_code", "check_eft_number as first_check_eft_number")
 
 
-def alone_and_repeated(rows: DataFrame, claim_id: str = "claim_id") -> tuple[DataFrame, DataFrame]:
+def repeated_ids(*feeds: DataFrame, bucketed: bool = False) -> DataFrame:
+    """Hashes of the claim_ids that one of the feeds has in several rows, normally few; written.
+
+    Hashes are counted, in a state of fixed size. Feeds in buckets of claim_id are counted by the id
+    itself, which needs no exchange.
+    """
+    key, kept = "xxhash64(claim_id) as id", "id as id_hash"
+    if bucketed:
+        key, kept = "claim_id", "xxhash64(claim_id) as id_hash"
+    ids = [feed.selectExpr(key) for feed in feeds]
+    seen = [i.groupBy(*i.columns).agg(F.expr("count(*) as times")).filter("times > 1")
+            .selectExpr(kept) for i in ids]
+    return store(reduce(DataFrame.unionByName, seen), scratch_path(feeds[0].sparkSession, "ids"))
+
+
+def alone_and_repeated(rows: DataFrame, claim_id: str = "claim_id", seen: DataFrame | None = None
+                       ) -> tuple[DataFrame, DataFrame]:
     """`rows` in two parts: those whose claim_id, an expression, no other row has, and the rest.
 
-    Hashes of the ids are counted, in a state of fixed size; those seen twice, normally few, are written
-    and fill a filter. All rows of an id lie in one part: whatever passes the filter is in the second,
-    which may hold some rows that are alone too.
+    `seen`, by default the `repeated_ids` of `rows`, fills a filter. All rows of an id lie in one part,
+    in the same one for all tables that are cut by the same `seen`: whatever passes the filter is in the
+    second, which may hold some rows that are alone too.
     """
-    hashed = rows.selectExpr("*", f"xxhash64({claim_id}) as id_hash")
-    seen = store(hashed.groupBy("id_hash").agg(F.expr("count(*) as times")).filter("times > 1")
-                 .select("id_hash"), scratch_path(rows.sparkSession, "ids"))
+    seen = seen or repeated_ids(rows.selectExpr(f"{claim_id} as claim_id"))
     words = words_for(seen.count())
+    hashed = rows.selectExpr("*", f"xxhash64({claim_id}) as id_hash")
     alone, repeated = (part(hashed, seen, ["id_hash"], words).drop("id_hash")
                        for part in (may_not_match, may_match))
     return alone, repeated
@@ -166,7 +178,9 @@ def audit_grain(claims: DataFrame, totals: DataFrame) -> DataFrame:
     that only the remittances know. Sides that leave an aggregation are hashed on claim_id, so the
     join adds no exchange to these.
     """
-    balance = {**_balance(), "in_claims": "coalesce(in_claims, false)",
+    wide = {c: f"cast({c} as {TOTAL})" for c in
+            ("allowed_total", "paid_total", "patient_resp_total", "adjustment_total")}
+    balance = {**wide, **_balance(), "in_claims": "coalesce(in_claims, false)",
                "payer_known": "coalesce(payer_known, false)"}
     joined = claims.withColumn("in_claims", F.lit(True)).join(totals, "claim_id", "full")
     added = [c for c in balance if c not in joined.columns and c != "payer_known"]
@@ -246,17 +260,34 @@ def typed_grain(claims: DataFrame, lines: DataFrame, payers: DataFrame, payers_s
 
 def landed_grain(claims: DataFrame, lines: DataFrame, payers: DataFrame, payers_small: bool,
                  rows_per_task: int | None = None) -> DataFrame:
-    """`typed_grain` of landed claims and typed lines that lie in no order.
+    """`typed_grain` of landed claims and typed lines that lie in no order."""
+    lines = lines.filter("claim_id is not null")
+    seen = repeated_ids(claims.selectExpr("trim(claim_id) as claim_id"), lines)
+    # Claims are dealt before they are typed, so that no row is typed twice.
+    single, repeated = map(typed_claims, alone_and_repeated(claims, "trim(claim_id)", seen))
+    lone, several = alone_and_repeated(lines, seen=seen)
+    return _dealt_grain(single, repeated, lone, several, payers, payers_small, rows_per_task)
+
+
+def bucketed_grain(claims: DataFrame, lines: DataFrame, payers: DataFrame, payers_small: bool,
+                   rows_per_task: int | None = None) -> DataFrame:
+    """`typed_grain` of typed feeds that lie in buckets of claim_id, without an exchange."""
+    seen = repeated_ids(claims, lines, bucketed=True)
+    single, repeated = alone_and_repeated(claims, seen=seen)
+    lone, several = alone_and_repeated(lines, seen=seen)
+    return _dealt_grain(single, repeated, lone, several, payers, payers_small, rows_per_task)
 
-    Only repeated ids are aggregated, which sorts whole rows in the tasks that read the feed. The rows
-    of the others, nearly all, go to the join as they are.
+
+def _dealt_grain(single: DataFrame, repeated: DataFrame, lone: DataFrame, several: DataFrame,
+                 payers: DataFrame, payers_small: bool, rows_per_task: int | None) -> DataFrame:
+    """The grain of claims and lines of ids that are alone in both feeds, and of the other ids.
+
+    Only the latter are aggregated, which sorts whole rows. The others, nearly all, are joined as they
+    are.
     """
-    # Claims are dealt before they are typed, so that no row is typed twice.
-    single, repeated = map(typed_claims, alone_and_repeated(claims, "trim(claim_id)"))
-    lone, several = alone_and_repeated(lines)
-    return _grain(claims_alone(single).unionByName(claims_by_id(repeated)),
-                  totals_alone(lone).unionByName(remit_totals(several)), payers, payers_small,
-                  rows_per_task)
+    alone = _grain(claims_alone(single), totals_alone(lone), payers, payers_small, rows_per_task)
+    return alone.unionByName(_grain(claims_by_id(repeated), remit_totals(several), payers, payers_small,
+                                    rows_per_task))
 
 
 def _grain(unique: DataFrame, totals: DataFrame, payers: DataFrame, payers_small: bool,

@@ -160,3 +160,57 @@ def test_large_tables_are_dealt_evenly(spark, tmp_path):
     held = fixture.claims(spark, str(tmp_path), False).groupBy(
         F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in held) < 2 * 8007 / 8
+
+
+def test_a_claim_alone_in_both_feeds_is_joined_as_it_is(spark):
+    """Only ids that a feed repeats are aggregated; feeds in buckets need no exchange for it either."""
+    from remitwise.operators.layers import landed_grain, typed_remits
+    claims, remits = feeds(spark, [claim(n) for n in range(200)] + [claim(3), claim(4)],
+                           [remit(n) for n in range(5, 200)] + [remit(7), remit(500)])
+    grain = landed_grain(claims, typed_remits(remits), fixture.payers(spark), True)
+    joined = grain._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count("Join FullOuter") == 2
+    # Amounts of the lines that are alone reach the join as narrow as they came.
+    alone = joined[:joined.index("Aggregate")]
+    assert "Join FullOuter" in alone and "sum(" not in alone
+    rows = {r.claim_id: r for r in grain.collect()}
+    assert len(rows) == 201
+    assert [rows[i].occurrences for i in ("C3", "C4", "C5")] == [2, 2, 1]
+    assert [rows[i].remit_line_count for i in ("C3", "C7", "C500")] == [0, 2, 1]
+    assert not rows["C500"].in_claims and rows["C7"].paid_total == 2 * rows["C8"].paid_total
+
+
+def test_buckets_are_reconciled_without_an_exchange(spark, tmp_path):
+    from remitwise.operators.layers import bucketed_grain, typed_claims, typed_grain, typed_remits
+    from remitwise.sources import layout
+    raw = feeds(spark, [claim(n) for n in range(300)] + [claim(3)],
+                [remit(n) for n in range(5, 300)] + [remit(7), remit(500)])
+    laid = layout.lay_out(*raw, str(tmp_path), 4)
+    grain = bucketed_grain(laid.claims, laid.remits, fixture.payers(spark), True)
+    want = typed_grain(typed_claims(raw[0]), typed_remits(raw[1]), fixture.payers(spark), True)
+    assert grain.schema.simpleString() == want.schema.simpleString()
+    assert found(grain) == found(want)
+    plan = grain._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(claim_id" not in plan
+
+
+def test_the_claim_checks_are_compiled(spark):
+    """The JVM never compiles a method above 8,000 bytes."""
+    import re
+
+    from remitwise.operators.checks import all_exceptions_fused
+    from remitwise.operators.layers import build_layer
+    claims, remits = feeds(spark, [claim(n, cpt_code="x", units="") for n in range(50)],
+                           [remit(n) for n in range(5, 50)])
+    layer = build_layer(spark, claims, remits, fixture.payers(spark))
+    fused = all_exceptions_fused(layer, PARAMS)
+    assert found(fused) == found(all_exceptions(layer, PARAMS))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = fused.select("*")._jdf.queryExecution()
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", plan.explainString(mode))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(map(int, sizes)) < 8000
