@@ -9,8 +9,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from remitwise.operators.checks import Params, all_exceptions_fused
-from remitwise.operators.layers import (LAYER_READS, Layer, build_layer, flagged_lines, store,
-                                        typed_grain)
+from remitwise.operators.layers import (LAYER_READS, Layer, bucketed_grain, build_layer,
+                                        flagged_lines, store, typed_grain)
 from remitwise.operators.skew import is_small
 from remitwise.plans import crossfoot, operations, reports
 from remitwise.plans.figures import Figures, take_figures
@@ -126,7 +126,7 @@ def laid_out_layer(spark: SparkSession, feeds: LaidOutFeeds, payers: DataFrame,
     """
     path = path or scratch_path(spark, "layer")
     small = is_small(payers)
-    grain = typed_grain(feeds.claims, feeds.remits, payers, small, rows_per_task)
+    grain = bucketed_grain(feeds.claims, feeds.remits, payers, small, rows_per_task)
     if feeds.has_loose:
         grain = grain.unionByName(typed_grain(feeds.loose_claims, feeds.loose_remits, payers, small,
                                               rows_per_task))
