@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitwise.operators.checks import Params, all_exceptions_fused
+from remitwise.operators.checks import Params, exceptions_by_entity
 from remitwise.operators.layers import (LAYER_READS, Layer, bucketed_grain, build_layer,
                                         flagged_lines, store, typed_grain)
 from remitwise.operators.skew import is_small
@@ -147,10 +147,15 @@ def audit_laid_out(spark: SparkSession, feeds: LaidOutFeeds, payers: DataFrame,
     return _checked(spark, layer, params, run_id, run_ts, register_path, ledger)
 
 
+def _found(layer: Layer, params: Params, run_id: str, run_ts: dt.datetime) -> DataFrame:
+    of_claims, of_lines = exceptions_by_entity(layer, params)
+    return exception_register(of_lines, run_id, run_ts, single=of_claims)
+
+
 def _checked(spark: SparkSession, layer: Layer, params: Params, run_id: str, run_ts: dt.datetime,
              register_path: str | None, ledger: DataFrame | None) -> Audit:
     register_path = register_path or scratch_path(spark, "register")
-    found = exception_register(all_exceptions_fused(layer, params), run_id, run_ts)
+    found = _found(layer, params, run_id, run_ts)
     write_run(found, register_path, run_id)
     return Audit(layer, read_register(spark, register_path, run_id), check_catalog(spark), ledger)
 
@@ -234,7 +239,7 @@ def guarded_audit(spark: SparkSession, claims: DataFrame, remits: DataFrame, pay
     layer = build_layer(spark, claims, remits, payers, path, rows_per_task, keep)
 
     def register() -> DataFrame:
-        found = exception_register(all_exceptions_fused(layer, params), run_id, run_ts)
+        found = _found(layer, params, run_id, run_ts)
         version = write_run(found, register_path, run_id)
         return spark.createDataFrame([(version,)], "version string")
 

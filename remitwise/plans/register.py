@@ -49,15 +49,19 @@ def _numbered(exceptions: DataFrame, per_block: int) -> DataFrame:
 
 
 def exception_register(exceptions: DataFrame, run_id: str, run_ts: dt.datetime,
-                       per_block: int = COPIES_PER_BLOCK) -> DataFrame:
+                       per_block: int = COPIES_PER_BLOCK, single: DataFrame | None = None) -> DataFrame:
     """Exceptions of a run with queue and open disposition.
 
     The id is a hash of the run, the whole record and the number of its copy, so a rerun gives the
-    same ids and no two items share one.
+    same ids and no two items share one. `single` holds more exceptions, no two of which are equal:
+    they are not grouped.
     """
     record = ", ".join(f"coalesce(cast({c} as string), '<null>')" for c in EXCEPTION_COLUMNS)
     key = f"concat_ws(char(31), run_id, {record}, cast(copy as string))"
-    run = _numbered(exceptions, per_block).select(
+    numbered = _numbered(exceptions, per_block)
+    if single is not None:
+        numbered = single.selectExpr(*EXCEPTION_COLUMNS, "1L as copy").unionByName(numbered)
+    run = numbered.select(
         F.lit(run_id).alias("run_id"), F.expr(f"timestamp'{run_ts.isoformat(' ')}' as run_ts"),
         *EXCEPTION_COLUMNS, "copy")
     return run.selectExpr(
